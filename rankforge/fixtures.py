@@ -87,6 +87,56 @@ def fx_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
         "(length(text) % 7 = 0) AS done")
 
 
+# ---- participant metadata world (derived from TPC-H tables by fixed rules) --
+# registry = customer; commitments = orders; repo files = lineitem x orders;
+# gating and deployments are derived per model / per order.
+_W_MODEL = ("concat('lab', CAST(o_custkey % 4 AS STRING), '/', "
+            "CASE WHEN o_orderstatus = 'F' THEN 'Affine-' ELSE 'Other-' END, "
+            "substr(o_orderpriority, 1, 1))")
+_W_REV = "concat('rev', CAST(o_orderkey % 3 AS STRING))"
+_W_CHUTE = "concat('ch', CAST(o_orderkey AS STRING))"
+
+
+def world_registry(spark, sf):
+    return table(spark, sf, "customer").selectExpr("c_custkey AS uid", "c_name AS hotkey")
+
+
+def world_commits(spark, sf):
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer").select("c_custkey", "c_name")
+    return o.join(c, o.o_custkey == c.c_custkey).selectExpr(
+        "c_name AS hotkey", "o_orderkey AS pos",
+        "CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderkey % 997 AS BIGINT) END AS block",
+        f"to_json(named_struct('model', {_W_MODEL}, 'revision', {_W_REV}, 'chute_id', {_W_CHUTE})) AS data")
+
+
+def world_gating(spark, sf):
+    m = table(spark, sf, "orders").selectExpr(f"{_W_MODEL} AS model").distinct()
+    return m.selectExpr("model", "CASE WHEN model LIKE '%-5' THEN true WHEN model LIKE '%-4' THEN NULL "
+                        "ELSE false END AS gated")
+
+
+def world_files(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return li.join(o, li.l_orderkey == o.o_orderkey).selectExpr(
+        f"{_W_MODEL} AS model", f"{_W_REV} AS revision",
+        "concat('model-', CAST(l_linenumber AS STRING), CASE WHEN l_linenumber % 3 = 0 THEN '.bin' "
+        "ELSE '.safetensors' END) AS path",
+        "named_struct('sha256', CASE WHEN l_linenumber = 7 THEN NULL "
+        "WHEN l_partkey % 1000 = 7 THEN sha2(CAST(l_partkey % 3 AS STRING), 256) "
+        f"ELSE sha2(concat({_W_MODEL}, '@', {_W_REV}), 256) END) AS lfs")
+
+
+def world_deployments(spark, sf):
+    return table(spark, sf, "orders").selectExpr(
+        f"{_W_CHUTE} AS chute_id", "(o_orderkey % 4 <> 0) AS hot",
+        f"CASE WHEN o_orderkey % 9 = 0 THEN 'x/mismatch' ELSE {_W_MODEL} END AS name",
+        "CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN 'rev-other' "
+        f"ELSE {_W_REV} END AS revision",
+        "concat('s', CAST(o_orderkey AS STRING)) AS slug")
+
+
 # ---- DuckDB text of the same views (oracle side) --------------------------
 DUCK = {
     "fx_or": """fx_or AS (
@@ -125,7 +175,7 @@ fx_ev AS (
     "fx_doc_claims": """fx_doc_claims AS (
   SELECT doc_id AS uid, CASE WHEN doc_id % 13 = 0 THEN NULL ELSE n_chars END AS block,
          concat(lang, '/', source) AS model,
-         list_distinct(list_transform(string_split(text, chr(10)), x -> sha256(x))) AS hashes
+         list_distinct(list_transform(string_split(text, chr(10)), lambda x: sha256(x))) AS hashes
   FROM documents)""",
     "fx_conv": """fx_conv AS (
   SELECT conv_id AS episode_id, turn, role, text,
@@ -134,6 +184,34 @@ fx_ev AS (
 }
 
 
+DUCK.update({
+    "world_registry": "world_registry AS (SELECT c_custkey AS uid, c_name AS hotkey FROM customer)",
+    "world_commits": f"""world_commits AS (
+  SELECT c_name AS hotkey, o_orderkey AS pos,
+         CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderkey % 997 AS BIGINT) END AS block,
+         {_W_MODEL} AS model, {_W_REV} AS revision, {_W_CHUTE} AS chute_id
+  FROM orders JOIN customer ON o_custkey = c_custkey)""",
+    "world_gating": f"""world_gating AS (
+  SELECT model, CASE WHEN model LIKE '%-5' THEN true WHEN model LIKE '%-4' THEN NULL ELSE false END AS gated
+  FROM (SELECT DISTINCT {_W_MODEL} AS model FROM orders))""",
+    "world_files": f"""world_files AS (
+  SELECT {_W_MODEL} AS model, {_W_REV} AS revision,
+         concat('model-', CAST(l_linenumber AS STRING),
+                CASE WHEN l_linenumber % 3 = 0 THEN '.bin' ELSE '.safetensors' END) AS path,
+         CASE WHEN l_linenumber = 7 THEN NULL
+              WHEN l_partkey % 1000 = 7 THEN sha256(CAST(l_partkey % 3 AS STRING))
+              ELSE sha256(concat({_W_MODEL}, '@', {_W_REV})) END AS sha256
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
+    "world_deployments": f"""world_deployments AS (
+  SELECT {_W_CHUTE} AS chute_id, (o_orderkey % 4 <> 0) AS hot,
+         CASE WHEN o_orderkey % 9 = 0 THEN 'x/mismatch' ELSE {_W_MODEL} END AS name,
+         CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN 'rev-other'
+              ELSE {_W_REV} END AS revision,
+         concat('s', CAST(o_orderkey AS STRING)) AS slug
+  FROM orders)""",
+})
+
+
 def duck_with(*names: str) -> str:
     """``WITH`` prefix holding the named fixture views, for oracle SQL."""
     return "WITH " + ",\n".join(DUCK[n] for n in names) + "\n"

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from rankforge import fixtures as fx
 from rankforge.config import ScoringConfig
 from rankforge.operators import dominance as D
+from rankforge.operators import participants as PT
 from rankforge.operators import results as R
 from rankforge.plans import scoring as P
+from rankforge.session import materialize
 
 # ---- fixed values: the env domains of the fixture views --------------------
 OR_ENVS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -87,7 +89,7 @@ def required_li(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- X3 on FX-LI: subset winners and points (C4 D5-D10 M1-M4) ---------------
 def _li_scored(spark, sf, cfg=LI_CFG):
-    fl = li_flagged(spark, sf, cfg)
+    fl = materialize(li_flagged(spark, sf, cfg))
     winners, dom = P.score(fl, len(LI_ENVS), cfg)
     return fl, winners, dom
 
@@ -137,6 +139,61 @@ def leaderboard_li(spark: SparkSession, sf: str) -> DataFrame:
     return P.leaderboard(fl, w, wt, LI_ENVS)
 
 
+# ---- participants (X1 and parts) over the derived metadata world ------------
+# fixed value: the blacklist parameter, as the raw comma text an operator sets
+BLACKLIST_TEXT = " Customer#000000001, ,Customer#000000007 ,,"
+
+
+def _world_latest(spark, sf):
+    return PT.latest_commitment(fx.world_registry(spark, sf), fx.world_commits(spark, sf))
+
+
+def commit_latest_world(spark: SparkSession, sf: str) -> DataFrame:
+    return _world_latest(spark, sf)
+
+
+def gate_world(spark: SparkSession, sf: str) -> DataFrame:
+    return PT.gate_filter(_world_latest(spark, sf), fx.world_gating(spark, sf)).select("uid", "model")
+
+
+def weights_shas_world(spark: SparkSession, sf: str) -> DataFrame:
+    return PT.weights_shas(fx.world_files(spark, sf))
+
+
+def deploy_world(spark: SparkSession, sf: str) -> DataFrame:
+    d = PT.deployment_filter(_world_latest(spark, sf), fx.world_deployments(spark, sf))
+    return d.select("uid", "model", "revision", "slug")
+
+
+def _participants_world(spark, sf, check):
+    p = PT.participants(spark, fx.world_registry(spark, sf), fx.world_commits(spark, sf),
+                        fx.world_gating(spark, sf), fx.world_files(spark, sf),
+                        fx.world_deployments(spark, sf), PT.parse_blacklist(BLACKLIST_TEXT),
+                        check_validity=check)
+    return p.select("uid", "hotkey", "block", "model", "revision")
+
+
+def participants_world(spark: SparkSession, sf: str) -> DataFrame:
+    return _participants_world(spark, sf, True)
+
+
+def participants_world_nocheck(spark: SparkSession, sf: str) -> DataFrame:
+    return _participants_world(spark, sf, False)
+
+
+def claims_doc(spark: SparkSession, sf: str) -> DataFrame:
+    return PT.earliest_claims(fx.fx_doc_claims(spark, sf), hashes="hashes").select("uid")
+
+
+def best_model_doc(spark: SparkSession, sf: str) -> DataFrame:
+    return PT.best_per_model(fx.fx_doc_claims(spark, sf)).select("uid", "model")
+
+
+def participants_doc(spark: SparkSession, sf: str) -> DataFrame:
+    c = PT.earliest_claims(fx.fx_doc_claims(spark, sf), hashes="hashes")
+    return PT.best_per_model(c).select("uid", "model", "block")
+
+
 QUERIES = {
     "grid_or": grid_or,
     "grid_ev": grid_ev,
@@ -150,4 +207,13 @@ QUERIES = {
     "env_winners_li": env_winners_li,
     "weights_li": weights_li,
     "weights_li_noburn": weights_li_noburn,
+    "commit_latest_world": commit_latest_world,
+    "gate_world": gate_world,
+    "weights_shas_world": weights_shas_world,
+    "deploy_world": deploy_world,
+    "participants_world": participants_world,
+    "participants_world_nocheck": participants_world_nocheck,
+    "claims_doc": claims_doc,
+    "best_model_doc": best_model_doc,
+    "participants_doc": participants_doc,
 }

@@ -201,6 +201,45 @@ SELECT e.env, CAST(w.winner AS BIGINT) AS winner FROM wins w JOIN envs e ON w.S
 WHERE w.size = 1
 """
 
+# ---- participants ----------------------------------------------------------------
+_MAXB = 9223372036854775807
+_LATEST = duck_with("world_registry", "world_commits", "world_gating", "world_files",
+                    "world_deployments") + """,
+latest AS (SELECT r.uid, r.hotkey, CASE WHEN r.uid = 0 THEN 0 ELSE c.block END AS block,
+                  c.model, c.revision, c.chute_id
+           FROM world_registry r JOIN (SELECT * FROM world_commits
+                 QUALIFY row_number() OVER (PARTITION BY hotkey ORDER BY pos DESC) = 1) c USING (hotkey)),
+gated AS (SELECT l.* FROM latest l JOIN world_gating g USING (model) WHERE g.gated = false),
+shas AS (SELECT model, revision, list_sort(list_distinct(list(sha256))) AS weights_shas
+         FROM world_files WHERE suffix(path, '.safetensors') AND sha256 IS NOT NULL GROUP BY ALL),
+deployed AS (SELECT l.*, d.slug FROM latest l LEFT JOIN world_deployments d USING (chute_id)
+             WHERE coalesce(d.hot AND d.name = l.model
+                            AND (l.uid = 0 OR left(lower(split_part(d.name, '/', 2)), 6) = 'affine')
+                            AND (d.revision IS NULL OR l.revision = d.revision), false))"""
+
+
+def _x1(check: bool) -> str:
+    src = "deployed" if check else "latest"
+    return _LATEST + f""",
+c0 AS (SELECT * FROM {src} WHERE hotkey NOT IN ('Customer#000000001', 'Customer#000000007')
+       AND model IN (SELECT model FROM world_gating WHERE gated = false)),
+c3 AS (SELECT c0.*, s.weights_shas FROM c0 LEFT JOIN shas s USING (model, revision)),
+claims AS (SELECT DISTINCT uid, coalesce(block, {_MAXB}) AS b, unnest(weights_shas) AS h FROM c3),
+firsts AS (SELECT h, uid FROM claims QUALIFY row_number() OVER (PARTITION BY h ORDER BY b, uid) = 1),
+losers AS (SELECT DISTINCT c.uid FROM claims c JOIN firsts f USING (h) WHERE f.uid <> c.uid),
+c4 AS (SELECT * FROM c3 WHERE uid NOT IN (SELECT uid FROM losers)),
+best AS (SELECT uid FROM c4 WHERE model IS NOT NULL AND model <> ''
+         QUALIFY row_number() OVER (PARTITION BY model ORDER BY coalesce(block, {_MAXB}), uid) = 1)
+SELECT uid, hotkey, block, model, revision FROM c4 WHERE uid IN (SELECT uid FROM best)
+"""
+
+
+_DOC_E4 = duck_with("fx_doc_claims") + f""",
+claims AS (SELECT DISTINCT uid, coalesce(block, {_MAXB}) AS b, unnest(hashes) AS h FROM fx_doc_claims),
+firsts AS (SELECT h, uid FROM claims QUALIFY row_number() OVER (PARTITION BY h ORDER BY b, uid) = 1),
+losers AS (SELECT DISTINCT c.uid FROM claims c JOIN firsts f USING (h) WHERE f.uid <> c.uid),
+c4 AS (SELECT * FROM fx_doc_claims WHERE uid NOT IN (SELECT uid FROM losers))"""
+
 ORACLE = {
     "grid_or": GRID_OR,
     "grid_ev": GRID_EV,
@@ -214,4 +253,17 @@ ORACLE = {
     "env_winners_li": ENV_WINNERS_LI,
     "weights_li": _weights_sql(0.5, 0.9),
     "weights_li_noburn": _weights_sql(1.0, 0.0),
+    "commit_latest_world": _LATEST + "\nSELECT * FROM latest",
+    "gate_world": _LATEST + "\nSELECT uid, model FROM gated",
+    "weights_shas_world": _LATEST + "\nSELECT * FROM shas",
+    "deploy_world": _LATEST + "\nSELECT uid, model, revision, slug FROM deployed",
+    "participants_world": _x1(True),
+    "participants_world_nocheck": _x1(False),
+    "claims_doc": _DOC_E4 + "\nSELECT uid FROM c4",
+    "best_model_doc": duck_with("fx_doc_claims") + f"""
+SELECT uid, model FROM fx_doc_claims WHERE model IS NOT NULL AND model <> ''
+QUALIFY row_number() OVER (PARTITION BY model ORDER BY coalesce(block, {_MAXB}), uid) = 1""",
+    "participants_doc": _DOC_E4 + f"""
+SELECT uid, model, block FROM c4 WHERE model IS NOT NULL AND model <> ''
+QUALIFY row_number() OVER (PARTITION BY model ORDER BY coalesce(block, {_MAXB}), uid) = 1""",
 }

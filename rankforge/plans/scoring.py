@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from rankforge.config import ScoringConfig
 from rankforge.operators import dominance as D
 from rankforge.operators.results import fb_infinite, with_accuracy
+from rankforge.session import materialize
 
 
 def score(flagged: DataFrame, n_envs: int, cfg: ScoringConfig) -> tuple[DataFrame, DataFrame]:
     """(winners per subset, dominance counts) over the ``in_pool`` rows."""
     pool = with_accuracy(flagged.filter("in_pool"))
-    dom = D.dominance_counts(pool, n_envs, cfg)
-    return D.subset_winners(pool, dom, n_envs, cfg.scale), dom
+    dom = materialize(D.dominance_counts(pool, n_envs, cfg))
+    return materialize(D.subset_winners(pool, dom, n_envs, cfg.scale)), dom
 
 
 def best_participant(flagged: DataFrame, dom: DataFrame, n_envs: int) -> "F.Column":

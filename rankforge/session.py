@@ -53,3 +53,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Cut lineage of a small, reused intermediate (one row per participant
+    or per env subset) with a reliable checkpoint in the shared folder, so
+    the scalar subqueries and joins that reuse it do not recompute the scan,
+    and a lost executor does not force a recompute from the raw log."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
