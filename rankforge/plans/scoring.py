@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from rankforge.config import ScoringConfig
 from rankforge.operators import dominance as D
 from rankforge.operators.results import fb_infinite, with_accuracy
+from rankforge.functions.text import report_cell
 from rankforge.session import materialize
 
 
@@ -104,18 +105,17 @@ def leaderboard(flagged: DataFrame, winners: DataFrame, weights_df: DataFrame,
             F.substring(F.col("latest.model").cast("string"), 1, 30).alias("model"),
             F.substring(F.coalesce(F.col("latest.revision"), F.lit("None")), 1, 5).alias("rev")]
     for i, e in enumerate(envs):
-        cell = F.format_string("%.2f/%d", F.col("acc")[i] * 100, F.col("n")[i])
         won = F.array_contains(F.coalesce("won", F.array().cast("array<int>")), i)
-        cols.append(F.when(won, F.concat(F.lit("*"), cell, F.lit("*"))).otherwise(cell).alias(e))
+        cols.append(report_cell(F.col("acc")[i], F.col("n")[i], won).alias(e))
     for j in range(1, k + 1):
-        cols.append(F.format_string("%.1f", F.coalesce(F.col(f"L{j}"), F.lit(0.0))).alias(f"L{j}"))
-    cols += [F.format_string("%.2f", F.coalesce("points", F.lit(0.0))).alias("pts"),
+        cols.append(F.format_string("%.1f", F.bround(F.coalesce(F.col(f"L{j}"), F.lit(0.0)), 1)).alias(f"L{j}"))
+    cols += [F.format_string("%.2f", F.bround(F.coalesce("points", F.lit(0.0)), 2)).alias("pts"),
              F.when(F.col("eligible"), "Y").otherwise("N").alias("elig"),
              F.coalesce("points", F.lit(0.0)).alias("_p"), F.col("eligible").alias("_e")]
     rep = s.select(*cols)
     wv = weights_df.select(F.col("uid"), F.col("weight"))
     rep = rep.join(wv, "uid", "left").withColumn(
-        "wgt", F.format_string("%.4f", F.coalesce("weight", F.lit(0.0)))).drop("weight")
+        "wgt", F.format_string("%.4f", F.bround(F.coalesce("weight", F.lit(0.0)), 4))).drop("weight")
     if string_sort:
         order = [F.desc("pts"), F.desc("uid")]
     else:

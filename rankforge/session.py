@@ -62,3 +62,16 @@ def materialize(df):
     and a lost executor does not force a recompute from the raw log."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df):
+    """Give CPU-heavy per-row work at least one partition per core.
+
+    A scan of a file with one row group yields one task however many cores
+    there are; only then is a round-robin repartition worth its shuffle.
+    Scans that already have enough splits (any real table) are untouched,
+    so this is a no-op at cluster scale."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
