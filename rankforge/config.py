@@ -31,6 +31,7 @@ SINK_BUFFER = 100
 DATA_LEN = 200
 MAX_ROUND = 10
 TEMPO = 100                 # blocks between recomputes
+EPOCH_BLOCKS = 7200         # one day of 12-second blocks: the at-rest partition
 TERMINAL_STATUS = (400, 404, 410)
 ENV_PREFIXES = ("agentgym", "affine")
 ACTIVE_ENVS = (

@@ -61,7 +61,7 @@ def fx_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('r', CAST(((d + participant) div 10) % 2 AS STRING)) AS revision",
         "CASE WHEN participant % 11 = 0 THEN NULL "
         "ELSE (participant*37) % 1000 + 1000*((d + participant) div 10) END AS commit_block",
-        "sec div 12 AS block", "(k % 10 <> 0) AS success", "(k % 5) / CAST(4 AS DOUBLE) AS score")
+        "sec div 12 AS block", "(k % 10 <> 0) AS success", "(k % 5) / CAST(4 AS DOUBLE) AS score", "d")
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +168,7 @@ fx_ev AS (
          CASE WHEN participant % 11 = 0 THEN NULL
               ELSE (participant*37) % 1000 + 1000*((d + participant) // 10) END AS commit_block,
          sec // 12 AS block, (k % 10 <> 0) AS success,
-         (k % 5) / CAST(4 AS DOUBLE) AS score
+         (k % 5) / CAST(4 AS DOUBLE) AS score, d
   FROM fx_evt)""",
     "registry": """registry AS (
   SELECT CAST(s_suppkey AS BIGINT) AS uid, s_name AS hotkey FROM supplier)""",
