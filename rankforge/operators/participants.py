@@ -176,13 +176,15 @@ def first_block_fallback(summary: DataFrame, commits_latest: DataFrame,
 
 
 # ---- C12 ---------------------------------------------------------------------
-def latest_matching_deployment(listing: DataFrame, names: DataFrame) -> DataFrame:
-    """For each wanted model name, the chute_id of the last listing entry
-    (highest pos) whose model_name, name or readme equals it."""
-    j = names.join(listing, (listing["model_name"] == names["model"])
-                   | (listing["name"] == names["model"])
-                   | (listing["readme"] == names["model"]), "inner")
-    return j.groupBy(names["model"]).agg(F.max_by(listing["chute_id"], listing["pos"]).alias("chute_id"))
+def latest_matching_deployment(listing: DataFrame, names: DataFrame, name_col: str = "model") -> DataFrame:
+    """For each wanted name, the chute_id of the last listing entry (highest
+    pos) whose model_name, name or readme equals it.  The three candidate
+    columns are unpivoted so the match is an equi-join (an OR of equalities
+    would force a nested-loop join)."""
+    cand = listing.select("pos", "chute_id", F.explode(F.array_distinct(F.array(
+        "model_name", "name", "readme"))).alias("_name")).filter(F.col("_name").isNotNull())
+    j = names.select(F.col(name_col).alias("_name")).distinct().join(cand, "_name")
+    return j.groupBy(F.col("_name").alias(name_col)).agg(F.max_by("chute_id", "pos").alias("chute_id"))
 
 
 # ---- C10 ---------------------------------------------------------------------
@@ -197,29 +199,39 @@ def update_confirmation(attempts: DataFrame, registry_updates: DataFrame) -> Dat
 
 
 # ---- C9 ----------------------------------------------------------------------
-def ttl_lookup(requests: DataFrame, fetches: DataFrame, ttl: float,
+def ttl_lookup(requests: DataFrame, fetches: DataFrame, ttl: float, chunk_seconds: float = 86400.0,
                key: str = "model") -> DataFrame:
     """As-of lookup with a time-to-live.
 
     ``fetches`` (key, ts, value): the log of look-up attempts; a failed one
-    has null ``value``.  For a request (key, now) the answer is the latest
-    successful value fetched at or before ``now``; it is stale when older
-    than ``ttl``.  Rows: key, now, value, age, is_stale (value null when no
-    fetch ever succeeded).  As-of join as a union + ``last(ignorenulls)``
-    running window; the per-key fetch log is small (one per key per TTL)."""
+    has null ``value`` and is ignored.  For a request (key, now) the answer
+    is the latest successful value fetched at or before ``now``; it is
+    stale when at least ``ttl`` old (the cached value is reused, as the
+    reference does when a refetch fails).  Rows: key, now, value, age,
+    is_stale (value null when nothing was ever fetched).
+
+    Distributed as-of join: time is cut in chunks; per (key, chunk) the last
+    fetch is one hash aggregate; a running max over the small (key, chunk)
+    table carries it forward; the ordered window runs inside one
+    (key, chunk) only, so a hot key is split by time."""
     from pyspark.sql import Window
-    req = requests.select(key, F.col("now").cast("double").alias("_t"), F.lit(1).alias("_r"),
-                          F.lit(None).cast("string").alias("_v"),
-                          F.lit(None).cast("double").alias("_ft"))
-    fet = fetches.filter(F.col("value").isNotNull()).select(
-        key, F.col("ts").cast("double").alias("_t"), F.lit(0).alias("_r"),
-        F.col("value").cast("string").alias("_v"), F.col("ts").cast("double").alias("_ft"))
-    w = Window.partitionBy(key).orderBy("_t", "_r").rowsBetween(Window.unboundedPreceding, 0)
-    u = (req.unionByName(fet)
-         .withColumn("value", F.last("_v", ignorenulls=True).over(w))
-         .withColumn("fetched", F.last("_ft", ignorenulls=True).over(w))
-         .filter(F.col("_r") == 1))
-    age = F.col("_t") - F.col("fetched")
-    return u.select(key, F.col("_t").alias("now"), "value", age.alias("age"),
-                    F.when(F.col("value").isNull(), F.lit(None))
-                    .otherwise(age >= F.lit(float(ttl))).alias("is_stale"))
+    ch = lambda t: F.floor(t / F.lit(chunk_seconds)).cast("bigint")
+    f = (fetches.filter(F.col("value").isNotNull())
+         .select(key, F.col("ts").cast("double").alias("_t"), F.col("value").cast("string").alias("_v"))
+         .groupBy(key, "_t").agg(F.max("_v").alias("_v")))          # one value per (key, instant)
+    f = f.withColumn("_c", ch(F.col("_t")))
+    last_in_chunk = f.groupBy(key, "_c").agg(F.max(F.struct("_t", "_v")).alias("_lf"))
+    r = requests.select(key, F.col("now").cast("double").alias("_t")).withColumn("_c", ch(F.col("_t")))
+    # carried-in value per (key, chunk): running max over the small chunk table
+    chunks = r.select(key, "_c").distinct().join(last_in_chunk, [key, "_c"], "full")
+    run = Window.partitionBy(key).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    carry = chunks.withColumn("_in", F.max("_lf").over(run)).select(key, "_c", "_in")
+    u = (r.select(key, "_c", "_t", F.lit(1).alias("_r"), F.lit(None).cast("string").alias("_v"))
+         .unionByName(f.select(key, "_c", "_t", F.lit(0).alias("_r"), "_v")))
+    w = Window.partitionBy(key, "_c").orderBy("_t", "_r").rowsBetween(Window.unboundedPreceding, 0)
+    u = u.withColumn("_lf", F.last(F.when(F.col("_r") == 0, F.struct("_t", "_v")), ignorenulls=True).over(w))
+    u = u.filter(F.col("_r") == 1).join(carry, [key, "_c"], "left")
+    best = F.coalesce(F.col("_lf"), F.col("_in"))
+    age = F.col("_t") - best["_t"]
+    return u.select(key, F.col("_t").alias("now"), best["_v"].alias("value"), age.alias("age"),
+                    F.when(best.isNull(), F.lit(None)).otherwise(age >= F.lit(float(ttl))).alias("is_stale"))
