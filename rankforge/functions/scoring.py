@@ -47,7 +47,7 @@ def env_verdict(ai: Column, ni: Column, aj: Column, nj: Column,
     nw = threshold_not_worse(ai, ni, aj, nj, cfg)
     bet = threshold_better(ai, ni, aj, nj, nw, cfg)
     return F.struct((ai < aj - nw).alias("worse"), (ai >= aj + bet).alias("better"),
-                    ~(F.abs(ai - aj) > nw).alias("tie"))
+                    (~(F.abs(ai - aj) > nw)).alias("tie"))
 
 
 def layer_weight(s: Column, scale: float) -> Column:

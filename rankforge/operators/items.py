@@ -1,0 +1,80 @@
+"""Item generators that run on Spark rows.
+
+The planted k-SAT generator is numeric work over (item, clause, variable)
+cubes, so it runs as one vectorised numpy pass per Arrow batch
+(``mapInArrow``); Spark partitions the items.  Randomness is a seeded
+splitmix64 hash of (seed, clause, variable, stream), so an item is
+reproducible from its seed alone, on any executor.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+_M1 = np.uint64(0xBF58476D1CE4E5B9)
+_M2 = np.uint64(0x94D049BB133111EB)
+_GOLD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """splitmix64 finaliser on uint64 arrays (wrapping arithmetic)."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * _M1
+        x = (x ^ (x >> np.uint64(27))) * _M2
+        return x ^ (x >> np.uint64(31))
+
+
+def _h(*parts) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        acc = np.uint64(0)
+        for p in parts:
+            acc = _mix(acc * _GOLD + np.asarray(p).astype(np.uint64))
+        return acc
+
+
+def _planted_batch(seeds: np.ndarray, n: int, k: int, m: int, salt: int):
+    b = len(seeds)
+    s = seeds.astype(np.uint64)[:, None, None]
+    c = np.arange(m, dtype=np.uint64)[None, :, None]
+    v = np.arange(1, n + 1, dtype=np.uint64)[None, None, :]
+    sol = (_h(salt, s[:, 0, :], v[0]) & np.uint64(1)).astype(bool)            # (b, n)
+    order = np.argsort(_h(salt + 1, s, c, v), axis=2, kind="stable")[:, :, :k]  # (b, m, k) var index
+    var = order + 1
+    pick = (_h(salt + 2, s[:, :, 0], c[:, :, 0]) % np.uint64(k)).astype(np.int64)  # (b, m)
+    rnd = (_h(salt + 3, s, c, var.astype(np.uint64)) & np.uint64(1)).astype(bool)  # (b, m, k)
+    planted = np.take_along_axis(sol[:, None, :].repeat(m, 1), order, axis=2)     # sol of each var
+    is_pick = np.arange(k)[None, None, :] == pick[:, :, None]
+    positive = np.where(is_pick, planted, rnd)
+    lits = np.where(positive, var, -var).astype(np.int32)
+    return sol, lits.reshape(b, m, k)
+
+
+def planted_sat(items: DataFrame, seed_col: str, n: int = 15, k: int = 10, m: int | None = None,
+                salt: int = 0) -> DataFrame:
+    """Planted k-SAT: a random solution over x1..xn and m clauses of k
+    distinct variables, one literal of each clause made true by the
+    solution, the others with random signs.  Adds ``solution``
+    (map<int, boolean>) and ``clauses`` (array<array<int>>)."""
+    m = m or int(4.26 * n)
+    from pyspark.sql import types as T
+    schema = T.StructType(list(items.schema.fields) + [
+        T.StructField("solution", T.MapType(T.IntegerType(), T.BooleanType())),
+        T.StructField("clauses", T.ArrayType(T.ArrayType(T.IntegerType())))])
+
+    def gen(batches):
+        for rb in batches:
+            seeds = rb.column(seed_col).to_numpy(zero_copy_only=False).astype(np.int64)
+            b = len(seeds)
+            sol, lits = _planted_batch(seeds, n, k, m, salt)
+            keys = pa.array(np.tile(np.arange(1, n + 1, dtype=np.int32), b))
+            vals = pa.array(sol.reshape(-1))
+            smap = pa.MapArray.from_arrays(pa.array(np.arange(0, b * n + 1, n, dtype=np.int32)), keys, vals)
+            inner = pa.ListArray.from_arrays(pa.array(np.arange(0, b * m * k + 1, k, dtype=np.int32)),
+                                             pa.array(lits.reshape(-1)))
+            outer = pa.ListArray.from_arrays(pa.array(np.arange(0, b * m + 1, m, dtype=np.int32)), inner)
+            cols = [rb.column(i) for i in range(rb.num_columns)] + [smap, outer]
+            yield pa.RecordBatch.from_arrays(cols, names=list(rb.schema.names) + ["solution", "clauses"])
+
+    return items.mapInArrow(gen, schema)

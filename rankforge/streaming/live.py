@@ -35,12 +35,14 @@ from rankforge.sources.results_log import scratch_path, window_bucket, write_res
 def stage_files(df: DataFrame, part_col: str, path: str) -> None:
     """Fixture staging: one Parquet file per value of ``part_col``, written
     in value order so file modification times follow event time."""
-    vals = [r[0] for r in df.select(part_col).distinct().orderBy(part_col).collect()]
+    src = df.persist()          # staged once, written day by day
+    vals = [r[0] for r in src.select(part_col).distinct().orderBy(part_col).collect()]
     for v in vals:   # one small write per staged file: the count is the number of days
-        df.filter(F.col(part_col) == v).coalesce(1).write.mode("append").parquet(f"{path}/{part_col}={v}")
+        src.filter(F.col(part_col) == v).coalesce(1).write.mode("append").parquet(f"{path}/{part_col}={v}")
+    src.unpersist()
 
 
-def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int = 3) -> DataFrame:
+def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int = 10) -> DataFrame:
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
             .option("recursiveFileLookup", "true").parquet(path))
 
