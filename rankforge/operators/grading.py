@@ -208,18 +208,24 @@ def answer_match(response, expected) -> Column:
 
 
 # ---- J9 ------------------------------------------------------------------------------
-def grade_abduction(program, response, expected, got, run_error) -> Column:
-    """ABD over a recorded run: struct(score, reason)."""
+def grade_abduction(df: DataFrame, program: str = "program", response: str = "response",
+                    expected: str = "expected", got: str = "got", run_error: str = "run_error") -> DataFrame:
+    """ABD over a recorded run: adds ``score`` and ``reason``.  The extracted
+    input and its lines are separate projections, so each whole-text regex
+    runs once per row however many rules read them."""
     resp = F.coalesce(F.col(response), F.lit(""))
-    gen_in = X.extract_tagged_input(resp, "INPUT")
-    tags = X.has_tag_block(resp, "INPUT")
+    d = df.withColumn("_in", X.extract_tagged_input(resp, "INPUT")).withColumn(
+        "_tags", X.has_tag_block(resp, "INPUT"))
+    d = d.withColumn("_enough", X.enough_input_lines(F.col(program), F.col("_in")))
     clean = X.py_strip(F.coalesce(F.col(run_error), F.lit(""))) == ""
-    reason = (F.when((gen_in == "") & ~tags, "no_input")
-              .when(~X.enough_input_lines(F.col(program), gen_in), "invalid_input")
+    reason = (F.when((F.col("_in") == "") & ~F.col("_tags"), "no_input")
+              .when(~F.col("_enough"), "invalid_input")
               .when(~clean, "error")
               .when(~X.outputs_equal(F.col(expected), F.coalesce(F.col(got), F.lit(""))), "mismatch")
               .otherwise("ok"))
-    return F.struct(F.when(reason == "ok", 1.0).otherwise(0.0).alias("score"), reason.alias("reason"))
+    d = d.withColumn("reason", reason)
+    return d.withColumn("score", F.when(F.col("reason") == "ok", 1.0).otherwise(0.0)).drop(
+        "_in", "_tags", "_enough")
 
 
 # ---- D13 / D14 -----------------------------------------------------------------------

@@ -210,17 +210,34 @@ def round_counter(rounds_done: Column, data_len=None) -> Column:
 
 
 # ---- E12 -------------------------------------------------------------------------------
-def stalls(beats: DataFrame, key: str, ts: str, timeout_s: float) -> DataFrame:
+def stalls(beats: DataFrame, key: str, ts: str, timeout_s: float, chunk_s: float = 86400.0,
+           tie: str | None = None) -> DataFrame:
     """Gaps between consecutive heartbeats longer than the timeout, with a
-    session id that increases after each stall.  Heartbeats of one process
-    are bounded by its run time / heartbeat period."""
-    w = Window.partitionBy(key).orderBy(ts)
+    session id that increases after each stall.
+
+    A process may own a large share of the log, so nothing windows a whole
+    key: ordered windows run inside (key, day) chunks; each chunk's first
+    gap is taken from the previous chunk's last heartbeat, and the session
+    offset is a running sum, both over the small (key, chunk) table."""
     t = F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
-    d = beats.withColumn("_t", t).withColumn("gap", F.col("_t") - F.lag("_t").over(w))
+    d = beats.withColumn("_t", t).withColumn("_c", F.floor(F.col("_t") / chunk_s).cast("bigint"))
+    order = ["_t"] + ([tie] if tie else [])
+    w = Window.partitionBy(key, "_c").orderBy(*order)
+    d = d.withColumn("_prev", F.lag("_t").over(w))
+    per_chunk = d.groupBy(key, "_c").agg(F.max("_t").alias("_last"), F.min("_t").alias("_first"))
+    cw = Window.partitionBy(key).orderBy("_c")
+    per_chunk = per_chunk.withColumn("_carry", F.lag("_last").over(cw))
+    # stalls inside a chunk plus the one at its start, then session offsets
+    d = d.join(per_chunk.select(key, "_c", "_carry"), [key, "_c"])
+    d = d.withColumn("gap", F.col("_t") - F.coalesce(F.col("_prev"), F.col("_carry")))
     d = d.withColumn("stalled", F.coalesce(F.col("gap") > timeout_s, F.lit(False)))
-    d = d.withColumn("session", F.sum(F.col("stalled").cast("int")).over(
+    n_st = d.groupBy(key, "_c").agg(F.count_if("stalled").alias("_ns"))
+    offs = n_st.withColumn("_off", F.coalesce(F.sum("_ns").over(
+        cw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_ns")
+    d = d.join(offs, [key, "_c"])
+    d = d.withColumn("session", F.col("_off") + F.sum(F.col("stalled").cast("int")).over(
         w.rowsBetween(Window.unboundedPreceding, 0)))
-    return d.drop("_t")
+    return d.drop("_t", "_c", "_prev", "_carry", "_off")
 
 
 # ---- I6 (batch form) --------------------------------------------------------------------------

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.config import MAX_BLOCK
@@ -63,6 +63,60 @@ def family_filter(df: DataFrame, prefix: str, base=0, key: str = "participant",
 
 
 # ---- E1 ---------------------------------------------------------------------
+_TIME = ("timestamp", "timestamp_ntz")
+_INTS = ("bigint", "int", "smallint", "tinyint")
+
+
+def order_key(df: DataFrame, seq: Sequence[str]) -> Column:
+    """A total-order key for ``seq`` that hash aggregation can carry.
+
+    ``max`` of a struct (or a string) needs a sort-based aggregate, i.e. a
+    sort of the whole log; a (time, integer) or single numeric key is packed
+    into one DECIMAL(38,0) instead: wall-clock microseconds * 10^20 +
+    (id + 2^63), order-preserving and exact.  Other shapes keep the struct."""
+    types = dict(df.dtypes)
+    t = [types[c] for c in seq]
+    if len(seq) == 1 and (t[0] in _INTS or t[0] in _TIME or t[0] == "double"):
+        return F.col(seq[0])
+    if len(seq) == 2 and t[0] in _TIME + _INTS and t[1] in _INTS:
+        hi = F.col(seq[0])
+        if t[0] == "timestamp_ntz":
+            hi = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{seq[0]}`)")
+        elif t[0] == "timestamp":
+            hi = F.unix_micros(hi)
+        return pack_pair(hi, F.col(seq[1]))
+    return F.struct(*[F.col(c) for c in seq])
+
+
+_SHIFT = 10 ** 20
+_HALF = 1 << 63
+
+
+def pack_pair(hi: Column, lo: Column) -> Column:
+    """(hi, lo) of two longs -> one DECIMAL(38,0) with the same order, so
+    min/max over it stays a hash aggregate.  ``unpack_lo`` reverses lo."""
+    return (hi.cast("decimal(20,0)") * F.lit(str(_SHIFT)).cast("decimal(21,0)")
+            + (lo.cast("decimal(20,0)") + F.lit(str(_HALF)).cast("decimal(20,0)"))).cast("decimal(38,0)")
+
+
+def unpack_lo(packed: Column) -> Column:
+    return (F.pmod(packed, F.lit(str(_SHIFT)).cast("decimal(21,0)"))
+            - F.lit(str(_HALF)).cast("decimal(20,0)")).cast("bigint")
+
+
+def version_runs(d: DataFrame, key: str, version: Sequence[str]) -> DataFrame:
+    """Per participant, from the small per-version table: ``_cut`` = the
+    largest seq of any row whose version differs from the last row's (null
+    when there is one version), and ``latest`` = the last row's version."""
+    per_version = d.groupBy(key, *version).agg(F.max("_seq").alias("_vmax"))
+    last = per_version.groupBy(key).agg(
+        F.max("_vmax").alias("_last"),
+        F.max_by(F.struct(*[F.col(v) for v in version]), F.col("_vmax")).alias("latest"))
+    cut = (per_version.join(last.select(key, "_last"), key)
+           .groupBy(key).agg(F.max(F.when(F.col("_vmax") < F.col("_last"), F.col("_vmax"))).alias("_cut")))
+    return cut.join(last.select(key, "latest"), key)
+
+
 def current_run(df: DataFrame, key: str = "participant",
                 version: Sequence[str] = ("model", "revision"),
                 seq: Sequence[str] = ("ts", "seq_id")) -> DataFrame:
@@ -71,16 +125,13 @@ def current_run(df: DataFrame, key: str = "participant",
     Walking rows in ``seq`` order, any change of version starts a new run,
     so an earlier run of the same version does not count.  The run starts
     after ``cut`` = the largest seq of any row whose version differs from
-    the last row's version = the second-largest per-version max seq.
+    the last row's version = the second-largest per-version max seq.  All
+    aggregation is hash-based (see ``order_key``); the raw rows meet only a
+    one-row-per-participant table.
     """
-    d = df.withColumn("_seq", F.struct(*[F.col(c) for c in seq]))
-    per_version = d.groupBy(key, *version).agg(F.max("_seq").alias("_vmax"))
-    last = Window.partitionBy(key)  # over the small per-version table only
-    cut = (per_version
-           .withColumn("_last", F.max("_vmax").over(last))
-           .groupBy(key)
-           .agg(F.max(F.when(F.col("_vmax") < F.col("_last"), F.col("_vmax"))).alias("_cut")))
-    return (d.join(cut, key, "left")
+    d = df.withColumn("_seq", order_key(df, seq))
+    runs = version_runs(d, key, version).drop("latest")
+    return (d.join(runs, key, "left")
             .filter(F.col("_cut").isNull() | (F.col("_seq") > F.col("_cut")))
             .drop("_cut"))
 
@@ -179,11 +230,14 @@ def sample_grid(results: DataFrame, registry: DataFrame, envs: Sequence[str],
     r = member_filter(results, registry, key)
     if family is not None:
         r = family_filter(r, family, base, key)
-    if version:
-        run = current_run(r, key, version, seq)
-    else:   # one version: the run is every row
-        run = r.withColumn("_seq", F.struct(*[F.col(c) for c in seq]))
-    return participant_summary(run, envs, key, latest=version)
+    d = r.withColumn("_seq", order_key(r, seq))
+    if not version:      # one version: the run is every row
+        return participant_summary(d, envs, key, latest=())
+    runs = version_runs(d, key, version)          # one row per participant
+    run = (d.join(runs.select(key, "_cut"), key, "left")
+           .filter(F.col("_cut").isNull() | (F.col("_seq") > F.col("_cut"))).drop("_cut"))
+    summ = participant_summary(run, envs, key, latest=())
+    return summ.join(runs.select(key, "latest"), key, "left")
 
 
 def fb_infinite(col) -> "F.Column":

@@ -208,8 +208,7 @@ SELECT item_id, CASE WHEN reason = 'ok' THEN 1.0 ELSE 0.0 END AS score, reason F
 @register("abduction_docs", _abd_sql())
 def abduction_docs(spark: SparkSession, sf: str) -> DataFrame:
     d = _tbl(spark, sf, "documents").selectExpr(*_ABD)
-    g = G.grade_abduction("program", "response", "expected", "got", "run_error")
-    return d.select("item_id", g["score"].alias("score"), g["reason"].alias("reason"))
+    return G.grade_abduction(d).select("item_id", "score", "reason")
 
 
 # ---- D13 / D14 ----------------------------------------------------------------------
@@ -335,9 +334,8 @@ def _registry() -> G.EnvRegistry:
 
     @reg.register("affine:abd", program="a = input()\nb = input()")
     def _abd(df, program):
-        g = G.grade_abduction("program", "response", "expected", "got", "run_error")
-        return df.withColumn("program", F.lit(program)).select(
-            "env", "item_id", g["score"].alias("score"), g["reason"].alias("reason"))
+        return G.grade_abduction(df.withColumn("program", F.lit(program))).select(
+            "env", "item_id", "score", "reason")
 
     return reg
 
