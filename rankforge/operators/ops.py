@@ -138,19 +138,16 @@ def status_rollup(events: DataFrame, ts: str = "ts", every: str = "30 seconds",
 def resolve_attempts(attempts: DataFrame, req: str = "request_id") -> DataFrame:
     """The first success ends a request; a terminal status (400/404/410)
     ends it as a failure at once; otherwise the last attempt's failure
-    stands.  Rows: request, attempts, success, error."""
+    stands.  Rows: request, attempts, success, error.  Hash aggregate of the
+    ending attempt number, then an equi-join back for its outcome."""
     ok = F.coalesce(F.col("success"), F.lit(False))
     stop = ok | F.col("status").isin(list(TERMINAL_STATUS))
-    g = attempts.groupBy(req).agg(
-        F.min(F.when(stop, F.col("attempt"))).alias("_stop"),
-        F.max("attempt").alias("_last"),
-        F.min_by(F.struct(ok.alias("ok"), F.col("error").alias("err")),
-                 F.when(stop, F.col("attempt"))).alias("_s"),
-        F.max_by(F.struct(ok.alias("ok"), F.col("error").alias("err")), F.col("attempt")).alias("_l"))
-    end = F.when(F.col("_stop").isNotNull(), F.col("_s")).otherwise(F.col("_l"))
-    return g.select(req, F.coalesce("_stop", "_last").alias("attempts"),
-                    end["ok"].alias("success"),
-                    F.when(~end["ok"], end["err"]).alias("error"))
+    g = attempts.groupBy(req).agg(F.min(F.when(stop, F.col("attempt"))).alias("_stop"),
+                                  F.max("attempt").alias("_last"))
+    end = g.select(req, F.coalesce("_stop", "_last").alias("attempts"))
+    a = attempts.select(req, F.col("attempt").alias("attempts"), ok.alias("success"), F.col("error"))
+    return end.join(a, [req, "attempts"]).select(
+        req, "attempts", "success", F.when(~F.col("success"), F.col("error")).alias("error"))
 
 
 def retry_delay(attempt, backoff: float) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.config import MAX_BLOCK
-from rankforge.operators.results import pack_pair, unpack_lo
+from rankforge.operators.results import last_rows, pack_pair, unpack_lo
 
 COMMIT_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()),
@@ -50,8 +50,8 @@ def blacklist_from_text(col) -> "F.Column":
 def latest_commitment(registry: DataFrame, commits: DataFrame) -> DataFrame:
     """Registry inner join each hotkey's *last* commitment (max pos); JSON
     payload parsed to model / revision / chute_id; uid 0 gets block 0."""
-    last = commits.groupBy("hotkey").agg(
-        F.max_by(F.struct("block", "data"), F.col("pos")).alias("_c"))
+    last = last_rows(commits, ["hotkey"], "pos").select(
+        "hotkey", F.struct("block", "data").alias("_c"))
     j = registry.join(last, "hotkey", "inner")
     p = F.from_json(F.col("_c.data"), COMMIT_SCHEMA)
     return j.select("uid", "hotkey",
@@ -197,7 +197,7 @@ def latest_matching_deployment(listing: DataFrame, names: DataFrame, name_col: s
     cand = listing.select("pos", "chute_id", F.explode(F.array_distinct(F.array(
         "model_name", "name", "readme"))).alias("_name")).filter(F.col("_name").isNotNull())
     j = names.select(F.col(name_col).alias("_name")).distinct().join(cand, "_name")
-    return j.groupBy(F.col("_name").alias(name_col)).agg(F.max_by("chute_id", "pos").alias("chute_id"))
+    return last_rows(j, ["_name"], "pos").select(F.col("_name").alias(name_col), "chute_id")
 
 
 # ---- C10 ---------------------------------------------------------------------
@@ -233,7 +233,7 @@ def ttl_lookup(requests: DataFrame, fetches: DataFrame, ttl: float, chunk_second
          .select(key, F.col("ts").cast("double").alias("_t"), F.col("value").cast("string").alias("_v"))
          .groupBy(key, "_t").agg(F.max("_v").alias("_v")))          # one value per (key, instant)
     f = f.withColumn("_c", ch(F.col("_t")))
-    last_in_chunk = f.groupBy(key, "_c").agg(F.max(F.struct("_t", "_v")).alias("_lf"))
+    last_in_chunk = last_rows(f, [key, "_c"], "_t").select(key, "_c", F.struct("_t", "_v").alias("_lf"))
     r = requests.select(key, F.col("now").cast("double").alias("_t")).withColumn("_c", ch(F.col("_t")))
     # carried-in value per (key, chunk): running max over the small chunk table
     chunks = r.select(key, "_c").distinct().join(last_in_chunk, [key, "_c"], "full")

@@ -104,6 +104,18 @@ def unpack_lo(packed: Column) -> Column:
             - F.lit(str(_HALF)).cast("decimal(20,0)")).cast("bigint")
 
 
+def last_rows(df: DataFrame, keys: Sequence[str], order: str, first: bool = False) -> DataFrame:
+    """The row with the largest (smallest when ``first``) ``order`` per key.
+
+    ``max_by`` with a string or struct value needs a sort-based aggregate
+    over the whole input; this is a hash aggregate of (key, max order) and
+    an equi-join back on (key, order), which AQE broadcasts when the key
+    count is small.  ``order`` must be unique within a key."""
+    agg = F.min(order) if first else F.max(order)
+    best = df.groupBy(*keys).agg(agg.alias("_best"))
+    return df.join(best, [*keys], "inner").filter(F.col(order) == F.col("_best")).drop("_best")
+
+
 def version_runs(d: DataFrame, key: str, version: Sequence[str]) -> DataFrame:
     """Per participant, from the small per-version table: ``_cut`` = the
     largest seq of any row whose version differs from the last row's (null

@@ -63,18 +63,15 @@ def weights(spark: SparkSession, flagged: DataFrame, winners: DataFrame, dom: Da
                   .otherwise(F.when(F.col("participant") == top, 1.0).otherwise(0.0))
                   .alias("weight"))
     if burn > 0:
+        # scale, then add the burn to the base (inserted when absent): a
+        # union + per-participant sum, not a join on a literal key
         w = w.withColumn("weight", F.col("weight") * F.lit(1.0 - burn))
-        base_row = (spark.range(1).select(F.lit(base).cast("bigint").alias("participant"),
-                                          F.lit(0.0).alias("weight"))
-                    .join(w.select("participant"), "participant", "left_anti"))
-        w = (w.unionByName(base_row)
-             .withColumn("weight", F.when(F.col("participant") == base,
-                                          F.col("weight") + F.lit(burn))
-                         .otherwise(F.col("weight"))))
+        base_row = spark.range(1).select(F.lit(base).cast("bigint").alias("participant"),
+                                         F.lit(burn).alias("weight"))
+        w = w.unionByName(base_row).groupBy("participant").agg(F.sum("weight").alias("weight"))
     best = best_participant(flagged, dom, n_envs)
-    best_row = (spark.range(1).select(best.alias("participant"), F.lit(0.0).alias("weight"))
-                .join(w.select("participant"), "participant", "left_anti"))
-    vec = w.unionByName(best_row)
+    best_row = spark.range(1).select(best.cast("bigint").alias("participant"), F.lit(0.0).alias("weight"))
+    vec = w.unionByName(best_row).groupBy("participant").agg(F.sum("weight").alias("weight"))
     vec = vec.select(F.col("participant").cast("bigint").alias("uid"), "weight",
                      (F.col("participant") == best).alias("_best"))
     any_elig = flagged.agg(F.coalesce(F.bool_or("eligible"), F.lit(False))).scalar()
