@@ -194,6 +194,36 @@ def participants_doc(spark: SparkSession, sf: str) -> DataFrame:
     return PT.best_per_model(c).select("uid", "model", "block")
 
 
+# ---- X3-X5 on FX-EV: the versioned log with the live scale/burn ----------------------
+EV_CFG = ScoringConfig(scale=0.5, burn=0.9)
+
+
+def _ev_scored(spark, sf, cfg: ScoringConfig = EV_CFG):
+    summ = ev_summary(spark, sf)
+    queryable = fx.registry(spark, sf).filter("uid % 7 <> 0").select(F.col("uid").alias("participant"))
+    fl = materialize(D.eligibility(summ, queryable, len(EV_ENVS), cfg))
+    winners, dom = P.score(fl, len(EV_ENVS), cfg)
+    return fl, winners, dom
+
+
+def winners_ev(spark: SparkSession, sf: str) -> DataFrame:
+    _, w, _ = _ev_scored(spark, sf)
+    return w
+
+
+def weights_ev(spark: SparkSession, sf: str) -> DataFrame:
+    fl, w, dom = _ev_scored(spark, sf)
+    return P.weights(spark, fl, w, dom, len(EV_ENVS), EV_CFG, base=0)
+
+
+def leaderboard_ev(spark: SparkSession, sf: str) -> DataFrame:
+    """Nobody is eligible under the default sample rule: the report shows
+    1.0 for the best candidate and sorts on the formatted points."""
+    fl, w, dom = _ev_scored(spark, sf)
+    rw = P.report_weights(spark, fl, dom, len(EV_ENVS))
+    return P.leaderboard(fl, w, rw, EV_ENVS, string_sort=True, model_width=50)
+
+
 QUERIES = {
     "grid_or": grid_or,
     "grid_ev": grid_ev,
@@ -207,6 +237,9 @@ QUERIES = {
     "env_winners_li": env_winners_li,
     "weights_li": weights_li,
     "weights_li_noburn": weights_li_noburn,
+    "winners_ev": winners_ev,
+    "weights_ev": weights_ev,
+    "leaderboard_ev": leaderboard_ev,
     "commit_latest_world": commit_latest_world,
     "gate_world": gate_world,
     "weights_shas_world": weights_shas_world,

@@ -97,7 +97,14 @@ fl0 AS (SELECT el.participant, a.queryable, (a.queryable AND el.enough) AS eligi
         FROM el JOIN fx_li_attrs a USING (participant)),
 fl AS (SELECT *, CASE WHEN (SELECT bool_or(eligible) FROM fl0) THEN eligible ELSE queryable END
                  AS in_pool FROM fl0),
-pool AS (SELECT d.participant, d.i, d.n, d.acc, fl.first_block AS fb
+""" + _dominance_sql(len(LI_ENVS))
+
+
+def _dominance_sql(n_envs: int) -> str:
+    """Pairwise verdicts, subset dominance and winners over CTEs
+    ``dense(participant, i, n, acc)`` and ``fl(participant, in_pool,
+    first_block)`` (missing first block = +infinity)."""
+    return f"""pool AS (SELECT d.participant, d.i, d.n, d.acc, coalesce(fl.first_block, 9223372036854775807) AS fb
          FROM dense d JOIN fl USING (participant) WHERE fl.in_pool),
 pr AS (SELECT x.participant AS pa, y.participant AS pb, x.i, x.acc AS ai, x.n AS ni,
               y.acc AS aj, y.n AS nj, x.fb AS fa, y.fb AS fbb
@@ -112,7 +119,7 @@ mk AS (SELECT pa, pb, any_value(fa) AS fa, any_value(fbb) AS fbb,
               CAST(sum(CASE WHEN ai >= aj + bet THEN (1 << i) ELSE 0 END) AS BIGINT) AS bet_m,
               CAST(sum(CASE WHEN NOT (abs(ai - aj) > nw) THEN (1 << i) ELSE 0 END) AS BIGINT) AS tie_m
        FROM t2 GROUP BY pa, pb),
-subsets AS (SELECT range AS S FROM range(1, {1 << len(LI_ENVS)})),
+subsets AS (SELECT range AS S FROM range(1, {1 << n_envs})),
 dom AS (SELECT mk.pa AS participant, s.S, count(*) AS dom FROM mk, subsets s
         WHERE ((nw_m & S) = S AND (bet_m & S) <> 0) OR ((tie_m & S) = S AND fa < fbb)
         GROUP BY ALL),
@@ -130,10 +137,10 @@ wins AS (SELECT S, CAST(bit_count(S) AS INTEGER) AS size, winner,
                      ELSE CAST({scale} AS DOUBLE) * pow(2, bit_count(S)) END AS points FROM win)"""
 
 
-def _weights(scale: float, burn: float, base: int = 0) -> str:
-    full = (1 << len(LI_ENVS)) - 1
+def _weights(scale: float, burn: float, base: int = 0, n_envs: int = len(LI_ENVS)) -> str:
+    full = (1 << n_envs) - 1
     layers = ",\n       ".join(
-        f"coalesce(sum(points) FILTER (WHERE size = {s}), 0.0) AS L{s}" for s in range(1, len(LI_ENVS) + 1))
+        f"coalesce(sum(points) FILTER (WHERE size = {s}), 0.0) AS L{s}" for s in range(1, n_envs + 1))
     burn_sql = ""
     if burn > 0:
         burn_sql = f""",
@@ -240,6 +247,64 @@ firsts AS (SELECT h, uid FROM claims QUALIFY row_number() OVER (PARTITION BY h O
 losers AS (SELECT DISTINCT c.uid FROM claims c JOIN firsts f USING (h) WHERE f.uid <> c.uid),
 c4 AS (SELECT * FROM fx_doc_claims WHERE uid NOT IN (SELECT uid FROM losers))"""
 
+# ---- FX-EV: X3-X5 on the versioned log (default eligibility: nobody eligible) ----------------
+def _ev_core() -> str:
+    return duck_with("fx_ev") + _EV_RUN + f""",
+s AS (SELECT participant, env, count(*) FILTER (WHERE success) AS n,
+             coalesce(sum(score) FILTER (WHERE success), 0.0) AS succ FROM cur GROUP BY ALL),
+p AS (SELECT participant, min(block) AS first_block FROM cur GROUP BY participant),
+lat AS (SELECT participant, model, revision FROM f
+        QUALIFY row_number() OVER (PARTITION BY participant ORDER BY ts DESC, seq_id DESC) = 1),
+act AS (SELECT DISTINCT participant FROM f),
+dense AS (SELECT a.participant, e.i, e.env, CAST(coalesce(s.n, 0) AS BIGINT) AS n, coalesce(s.succ, 0.0) AS succ,
+                 CASE WHEN coalesce(s.n, 0) > 0 THEN s.succ / s.n ELSE 0.0 END AS acc
+          FROM act a CROSS JOIN envs e LEFT JOIN s ON s.participant = a.participant AND s.env = e.env),
+req AS (SELECT i, greatest(100, 10 + CAST(trunc(CAST(0.1 AS DOUBLE) * least(max(n), 2000)) AS INTEGER)) AS required
+        FROM dense GROUP BY i),
+el AS (SELECT d.participant, bool_and(d.n >= r.required) AS enough FROM dense d JOIN req r USING (i)
+       GROUP BY d.participant),
+fl0 AS (SELECT el.participant, (el.participant % 7 <> 0) AS queryable,
+               (el.participant % 7 <> 0) AND el.enough AS eligible, p.first_block
+        FROM el JOIN p USING (participant)),
+fl AS (SELECT *, CASE WHEN (SELECT bool_or(eligible) FROM fl0) THEN eligible ELSE queryable END AS in_pool
+       FROM fl0),
+""" + _dominance_sql(len(EV_ENVS)) + _weights(0.5, 0.9, n_envs=len(EV_ENVS))
+
+
+WINNERS_EV = _ev_core() + """
+SELECT CAST(S AS BIGINT) AS S, size, CAST(winner AS BIGINT) AS winner, points FROM wins"""
+
+WEIGHTS_EV = _ev_core() + """
+SELECT CAST(participant AS BIGINT) AS uid, weight,
+       CAST(row_number() OVER (ORDER BY participant = (SELECT participant FROM best), participant) - 1
+            AS INTEGER) AS ord
+FROM vec WHERE (SELECT e FROM anyel)
+UNION ALL SELECT CAST(0 AS BIGINT), 1.0, 0 WHERE NOT (SELECT e FROM anyel)"""
+
+
+def _cell(i):
+    return (f"CASE WHEN list_contains(won, {i}) THEN '*' ELSE '' END || "
+            f"printf('%.2f/%d', acc[{i + 1}] * 100, n[{i + 1}]) || "
+            f"CASE WHEN list_contains(won, {i}) THEN '*' ELSE '' END")
+
+
+LEADERBOARD_EV = _ev_core() + f""",
+grid AS (SELECT participant, list(acc ORDER BY i) AS acc, list(n ORDER BY i) AS n FROM dense GROUP BY participant),
+wn AS (SELECT winner AS participant, list(CAST(log2(S) AS INTEGER)) AS won FROM wins WHERE size = 1
+       GROUP BY winner),
+rep AS (SELECT f.participant AS uid, f.eligible, substr(CAST(l.model AS VARCHAR), 1, 50) AS model,
+               substr(coalesce(l.revision, 'None'), 1, 5) AS rev, coalesce(wn.won, []) AS won, g.acc, g.n,
+               {", ".join(f"pts.L{s}" for s in range(1, len(EV_ENVS) + 1))},
+               coalesce(pts.points, 0.0) AS p,
+               CASE WHEN f.participant = (SELECT participant FROM best) THEN 1.0 ELSE 0.0 END AS w
+        FROM fl f JOIN grid g USING (participant) JOIN lat l USING (participant)
+        LEFT JOIN pts USING (participant) LEFT JOIN wn USING (participant)),
+out AS (SELECT uid, model, rev, {", ".join(f"{_cell(i)} AS {e}" for i, e in enumerate(EV_ENVS))},
+               {", ".join(f"printf('%.1f', coalesce(L{s}, 0.0)) AS L{s}" for s in range(1, len(EV_ENVS) + 1))},
+               printf('%.2f', p) AS pts, CASE WHEN eligible THEN 'Y' ELSE 'N' END AS elig,
+               printf('%.4f', w) AS wgt FROM rep)
+SELECT *, CAST(row_number() OVER (ORDER BY pts DESC, uid DESC) AS INTEGER) AS rank FROM out"""
+
 ORACLE = {
     "grid_or": GRID_OR,
     "grid_ev": GRID_EV,
@@ -253,6 +318,9 @@ ORACLE = {
     "env_winners_li": ENV_WINNERS_LI,
     "weights_li": _weights_sql(0.5, 0.9),
     "weights_li_noburn": _weights_sql(1.0, 0.0),
+    "winners_ev": WINNERS_EV,
+    "weights_ev": WEIGHTS_EV,
+    "leaderboard_ev": LEADERBOARD_EV,
     "commit_latest_world": _LATEST + "\nSELECT * FROM latest",
     "gate_world": _LATEST + "\nSELECT uid, model FROM gated",
     "weights_shas_world": _LATEST + "\nSELECT * FROM shas",

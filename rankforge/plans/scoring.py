@@ -84,8 +84,15 @@ def weights(spark: SparkSession, flagged: DataFrame, winners: DataFrame, dom: Da
     return out.unionByName(one.filter(~any_elig))
 
 
+def report_weights(spark: SparkSession, flagged: DataFrame, dom: DataFrame, n_envs: int) -> DataFrame:
+    """Weights shown in the report when nobody is eligible: 1.0 for the
+    best candidate, 0.0 for everyone else."""
+    best = best_participant(flagged, dom, n_envs)
+    return spark.range(1).select(best.cast("bigint").alias("uid"), F.lit(1.0).alias("weight"))
+
+
 def leaderboard(flagged: DataFrame, winners: DataFrame, weights_df: DataFrame,
-                envs: Sequence[str], string_sort: bool = False) -> DataFrame:
+                envs: Sequence[str], string_sort: bool = False, model_width: int = 30) -> DataFrame:
     """One report row per active participant.
 
     Env cells "{100*acc:.2f}/{n}", starred for the env winner; L1..LE,
@@ -99,7 +106,7 @@ def leaderboard(flagged: DataFrame, winners: DataFrame, weights_df: DataFrame,
            .agg(F.collect_set(F.log2("S").cast("int")).alias("won")))   # at most E per row
     s = with_accuracy(flagged).join(pts, "participant", "left").join(won, "participant", "left")
     cols = [F.col("participant").alias("uid"),
-            F.substring(F.col("latest.model").cast("string"), 1, 30).alias("model"),
+            F.substring(F.col("latest.model").cast("string"), 1, model_width).alias("model"),
             F.substring(F.coalesce(F.col("latest.revision"), F.lit("None")), 1, 5).alias("rev")]
     for i, e in enumerate(envs):
         won = F.array_contains(F.coalesce("won", F.array().cast("array<int>")), i)
