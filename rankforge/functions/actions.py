@@ -27,6 +27,34 @@ HOUSEHOLD_SPEC = (
     ("inventory", "inventory", (), None),
     ("use", "use", ("obj",), None),
 )
+# science-task function spec, in lookup order
+SCIENCE_SPEC = (
+    ("open", "open", ("obj",), None),
+    ("close", "close", ("obj",), None),
+    ("activate", "activate", ("obj",), None),
+    ("deactivate", "deactivate", ("obj",), None),
+    ("connect", "connect", ("obj1", "obj2"), "to"),
+    ("disconnect", "disconnect", ("obj",), None),
+    ("use", "use", ("tool", "obj"), "on"),
+    ("lookaround", "look around", (), None),
+    ("lookat", "look at", ("obj",), None),
+    ("read", "read", ("obj",), None),
+    ("move", "move", ("obj", "container"), "to"),
+    ("pickup", "pick up", ("obj",), None),
+    ("drop", "drop", ("obj",), None),
+    ("pour", "pour", ("liq", "container"), "into"),
+    ("dunk", "dunk", ("container", "liq"), "in"),
+    ("mix", "mix", ("container",), None),
+    ("goto", "go to", ("loc",), None),
+    ("eat", "eat", ("food",), None),
+    ("flush", "flush", ("obj",), None),
+    ("focus", "focus on", ("obj",), None),
+    ("choose", "choose", ("option",), None),
+    ("wait", "wait", ("duration",), None),
+    ("examine", "examine", ("obj",), None),
+    ("task", "task", (), None),
+    ("inventory", "inventory", (), None),
+)
 # shopping-task functions: function -> argument name
 SHOP_SPEC = (("search", "keywords"), ("click", "item"))
 SAT_PROMPT_HEAD = "Find a satisfying assignment for the following {k}-SAT formula over variables x1..x{n}:\n"
@@ -49,8 +77,8 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _spec_map(i: int):
-    return F.create_map(*[x for row in HOUSEHOLD_SPEC for x in (F.lit(row[0]), _spec_val(row, i))])
+def _spec_map(i: int, spec=HOUSEHOLD_SPEC):
+    return F.create_map(*[x for row in spec for x in (F.lit(row[0]), _spec_val(row, i))])
 
 
 def _spec_val(row, i):
@@ -108,11 +136,11 @@ def shop_call_to_action(c) -> Column:
 
 
 # ---- T19 -----------------------------------------------------------------------------------
-def _spec_arr() -> Column:
+def _spec_arr(spec=HOUSEHOLD_SPEC) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(f).alias("fn"), F.lit(nm).alias("name"),
                               F.array(*[F.lit(a) for a in args]).cast("array<string>").alias("args"),
                               F.lit(cj).cast("string").alias("conj"))
-                     for i, (f, nm, args, cj) in enumerate(HOUSEHOLD_SPEC)])
+                     for i, (f, nm, args, cj) in enumerate(spec)])
 
 
 def action_to_call(c) -> Column:
@@ -130,6 +158,56 @@ def action_to_call(c) -> Column:
     return F.struct(s["fn"].alias("fn"), parts.alias("args"), s["args"].alias("arg_names"), err.alias("error"))
 
 
+def science_call_to_action(c) -> Column:
+    """Science-task form: no argument-count check; ``wait`` glues its
+    duration to the name, ``choose`` is the bare option; two arguments need
+    the function's conjunction.  struct(thought, action, error)."""
+    sp = SCIENCE_SPEC
+    p = F.from_json(_call_json(c), _CALL, {"allowUnquotedControlChars": "true"})
+    fn = py_strip(p["function_name"])
+    args = p["arguments"]
+    names = F.try_element_at(_spec_map(2, sp), fn)
+    name = F.try_element_at(_spec_map(1, sp), fn)
+    conj = F.try_element_at(_spec_map(3, sp), fn)
+    n = F.coalesce(F.size(F.map_keys(args)), F.lit(0))
+    a0 = F.try_element_at(args, F.try_element_at(names, F.lit(1)))
+    a1 = F.try_element_at(args, F.try_element_at(names, F.lit(2)))
+    err = (F.when(p.isNull() | fn.isNull(), "unparsable")
+           .when(names.isNull(), "invalid_function")
+           .when((n == 1) & a0.isNull(), "missing_arg")
+           .when((n >= 2) & conj.isNull(), "no_conjunction")
+           .when((n >= 2) & (a0.isNull() | a1.isNull()), "missing_arg"))
+    one = (F.when(fn == "wait", F.concat(name, a0)).when(fn == "choose", a0)
+           .otherwise(F.concat(name, F.lit(" "), a0)))
+    action = (F.when(n == 0, name).when(n == 1, one)
+              .otherwise(F.concat(name, F.lit(" "), a0, F.lit(" "), conj, F.lit(" "), a1)))
+    return F.struct(p["thought"].alias("thought"), F.when(err.isNull(), action).alias("action"),
+                    err.alias("error"))
+
+
+def science_action_to_call(c) -> Column:
+    """Science-task form of T19: digit-only actions are ``choose``; ``wait``
+    keeps the first number of its argument."""
+    a = _c(c)
+    s = F.try_element_at(F.filter(_spec_arr(SCIENCE_SPEC), lambda x: F.startswith(a, x["name"])), F.lit(1))
+    digits = a.rlike(r"^[0-9]+$")
+    choose = F.try_element_at(F.filter(_spec_arr(SCIENCE_SPEC), lambda x: x["fn"] == "choose"), F.lit(1))
+    spec = F.when(digits, choose).otherwise(s)
+    name_len = F.when(digits, F.lit(0)).otherwise(F.length(s["name"]))
+    rest = py_strip(F.substring(a, name_len + 1, 1 << 30))
+    split = F.transform(F.split(rest, F.concat(F.lit(f"{PY_WS}+"), spec["conj"], F.lit(f"{PY_WS}+")), -1),
+                        lambda x: py_strip(x))
+    parts = F.when(spec["conj"].isNotNull(), split).when(rest != "", F.array(rest)) \
+        .otherwise(F.array().cast("array<string>"))
+    dur = F.try_element_at(F.regexp_extract_all(F.coalesce(F.try_element_at(parts, F.lit(1)), F.lit("")),
+                                                F.lit(r"\d+"), 0), F.lit(1))
+    parts = F.when((spec["fn"] == "wait") & (F.size(parts) == 1), F.array(dur)).otherwise(parts)
+    err = (F.when(spec.isNull(), "invalid_action").when(F.size(parts) > F.size(spec["args"]), "too_many_args")
+           .when((spec["fn"] == "wait") & (F.size(parts) == 1) & dur.isNull(), "no_duration"))
+    return F.struct(spec["fn"].alias("fn"), parts.alias("args"), spec["args"].alias("arg_names"),
+                    err.alias("error"))
+
+
 def _json_str(x: Column) -> Column:
     """JSON string literal of x (escaped, quoted), non-ASCII kept."""
     j = F.to_json(F.array(x))

@@ -212,6 +212,107 @@ def signatures_part(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("p_partkey", *_hash(A.function_signature("name", "description", "params", "required"), "sig"))
 
 
+# ---- science-task flavour (T18 / T19) -----------------------------------------------------
+_SCI = A.SCIENCE_SPEC
+_SCALLS = [(f, args) for f, _, args, _ in _SCI] + [("fly", ("x",)), ("open", ("obj", "x")), ("use", ("obj", "x"))]
+_SVAL = {"obj": "concat('obj ', CAST(conv_id % 7 AS {t}))", "obj1": "'wire'", "obj2": "'battery'",
+         "tool": "'lighter'", "container": "concat('cup ', CAST(turn AS {t}))", "liq": "'water'",
+         "loc": "'kitchen'", "food": "'apple'", "duration": "CAST(turn AS {t})",
+         "option": "CAST(conv_id % 5 AS {t})", "x": "'y'"}
+
+
+def _sargs(args, duck):
+    t = "VARCHAR" if duck else "STRING"
+    if not args:
+        return "json_object()" if duck else "CAST(map() AS MAP<STRING, STRING>)"
+    body = ", ".join(f"'{a}', {_SVAL[a].format(t=t)}" for a in args)
+    return f"json_object({body})" if duck else f"map({body})"
+
+
+_SN = len(_SCALLS)
+_S_FN = f"CASE turn % {_SN} " + " ".join(f"WHEN {i} THEN '{f}'" for i, (f, _) in enumerate(_SCALLS)) + " END"
+_S_SP = f"CASE turn % {_SN} " + " ".join(f"WHEN {i} THEN {_sargs(a, False)}" for i, (_, a) in enumerate(_SCALLS)) + " END"
+_S_DK = f"CASE turn % {_SN} " + " ".join(f"WHEN {i} THEN {_sargs(a, True)}" for i, (_, a) in enumerate(_SCALLS)) + " END"
+_S_SPEC = ", ".join(
+    f"('{f}', '{nm}', {len(args)}, {repr(args[0]) if args else 'NULL'}, {repr(args[1]) if len(args) > 1 else 'NULL'}, "
+    f"{repr(cj) if cj else 'NULL'})" for f, nm, args, cj in _SCI)
+
+
+@register("science_calls_conv", f"""
+WITH spec AS (SELECT * FROM (VALUES {_S_SPEC}) t(fn, name, nargs, a0, a1, conj)),
+d AS (SELECT conv_id, turn, CAST(json_object('thought', text, 'function_name', {_S_FN}, 'arguments', {_S_DK}) AS VARCHAR)
+             AS js FROM conversations),
+q AS (SELECT conv_id, turn, json_extract_string(js, '$.thought') AS thought,
+             {d_strip("json_extract_string(js, '$.function_name')")} AS f, json_extract(js, '$.arguments') AS a FROM d),
+r AS (SELECT q.*, s.name, s.conj, len(json_keys(q.a)) AS n,
+             json_extract_string(q.a, '$."' || s.a0 || '"') AS v0, json_extract_string(q.a, '$."' || s.a1 || '"') AS v1
+      FROM q LEFT JOIN spec s ON q.f = s.fn),
+e AS (SELECT *, CASE WHEN name IS NULL THEN 'invalid_function' WHEN n = 1 AND v0 IS NULL THEN 'missing_arg'
+                     WHEN n >= 2 AND conj IS NULL THEN 'no_conjunction'
+                     WHEN n >= 2 AND (v0 IS NULL OR v1 IS NULL) THEN 'missing_arg' END AS error FROM r)
+SELECT conv_id, turn, {_dhash('thought', 'th')},
+       CASE WHEN error IS NULL THEN CASE WHEN n = 0 THEN name
+            WHEN n = 1 THEN CASE f WHEN 'wait' THEN name || v0 WHEN 'choose' THEN v0 ELSE name || ' ' || v0 END
+            ELSE name || ' ' || v0 || ' ' || conj || ' ' || v1 END END AS action, error
+FROM e""")
+def science_calls_conv(spark: SparkSession, sf: str) -> DataFrame:
+    d = fx.table(spark, sf, "conversations").selectExpr(
+        "conv_id", "turn", f"to_json(named_struct('thought', text, 'function_name', {_S_FN}, 'arguments', {_S_SP})) AS js")
+    r = d.select("conv_id", "turn", A.science_call_to_action("js").alias("r"))
+    return r.select("conv_id", "turn", *_hash(F.col("r.thought"), "th"), F.col("r.action").alias("action"),
+                    F.col("r.error").alias("error"))
+
+
+_SACTS = ["look around", "look at obj {c}", "pick up obj {c}", "pour water {c} into cup {t}",
+          "dunk cup {t} in water {c}", "wait{t}", "wait a while", "{c}", "focus on thing {c}",
+          "connect a to b to c", "fly away", "task", "use tool {t} on obj {c}", "move obj {c}  to box {t}"]
+
+
+def _sact_expr(t):
+    parts = []
+    for i, a in enumerate(_SACTS):
+        sql = "'" + a + "'"
+        sql = sql.replace("{t}", f"' || CAST(turn AS {t}) || '").replace("{c}", f"' || CAST(conv_id % 7 AS {t}) || '")
+        parts.append(f"WHEN {i} THEN {sql}")
+    return f"CASE turn % {len(_SACTS)} " + " ".join(parts) + " END"
+
+
+_S_SPEC2 = ", ".join(
+    f"({i}, '{f}', '{nm}', {repr(list(args))}::VARCHAR[], {repr(cj) if cj else 'NULL'})" for i, (f, nm, args, cj) in enumerate(_SCI))
+
+
+@register("science_actions_conv", f"""
+WITH spec AS (SELECT * FROM (VALUES {_S_SPEC2}) t(ord, fn, name, args, conj)),
+d AS (SELECT conv_id, turn, text AS thought, {_sact_expr('VARCHAR')} AS a FROM conversations),
+m AS (SELECT d.*, s.fn AS sfn, s.name, s.args AS sargs, s.conj AS sconj FROM d LEFT JOIN spec s ON starts_with(d.a, s.name)
+      QUALIFY row_number() OVER (PARTITION BY d.conv_id, d.turn ORDER BY s.ord NULLS LAST) = 1),
+k AS (SELECT *, regexp_full_match(a, '[0-9]+') AS digits FROM m),
+c AS (SELECT conv_id, turn, thought, a, CASE WHEN digits THEN 'choose' ELSE sfn END AS fn,
+             CASE WHEN digits THEN ['option'] ELSE sargs END AS arg_names,
+             CASE WHEN digits THEN NULL ELSE sconj END AS conj,
+             {d_strip("substr(a, CASE WHEN digits THEN 0 ELSE length(name) END + 1)")} AS rest FROM k),
+p0 AS (SELECT *, CASE WHEN conj IS NOT NULL
+                      THEN list_transform(string_split_regex(rest, '\s+' || conj || '\s+'), lambda z: {d_strip('z')})
+                      WHEN rest <> '' THEN [rest] ELSE []::VARCHAR[] END AS parts0 FROM c),
+p AS (SELECT *, regexp_extract_all(coalesce(parts0[1], ''), '\d+')[1] AS dur FROM p0),
+q AS (SELECT *, CASE WHEN fn = 'wait' AND len(parts0) = 1 THEN [dur] ELSE parts0 END AS parts FROM p),
+e AS (SELECT *, CASE WHEN fn IS NULL THEN 'invalid_action' WHEN len(parts) > len(arg_names) THEN 'too_many_args'
+                     WHEN fn = 'wait' AND len(parts0) = 1 AND dur IS NULL THEN 'no_duration' END AS error FROM q),
+o AS (SELECT *, CASE WHEN error IS NULL THEN
+        '{{' || chr(10) || '  "thought": ' || to_json(thought)::VARCHAR || ',' || chr(10) || '  "function_name": '
+        || to_json(fn)::VARCHAR || ',' || chr(10) || '  "arguments": '
+        || CASE WHEN len(parts) = 0 THEN '{{}}' ELSE '{{' || chr(10) || array_to_string(list_transform(range(1, len(parts) + 1),
+             lambda i: '    ' || to_json(arg_names[i])::VARCHAR || ': ' || to_json(parts[i])::VARCHAR), ',' || chr(10))
+             || chr(10) || '  }}' END || chr(10) || '}}' END AS js FROM e)
+SELECT conv_id, turn, fn, CAST(len(parts) AS INTEGER) AS n_args, error, {_dhash('js', 'js')} FROM o""")
+def science_actions_conv(spark: SparkSession, sf: str) -> DataFrame:
+    d = fx.table(spark, sf, "conversations").selectExpr("conv_id", "turn", "text AS thought",
+                                                       f"{_sact_expr('STRING')} AS a")
+    c = d.select("conv_id", "turn", "thought", A.science_action_to_call("a").alias("c"))
+    return c.select("conv_id", "turn", F.col("c.fn").alias("fn"), F.size("c.args").alias("n_args"),
+                    F.col("c.error").alias("error"), *_hash(A.call_json(F.col("thought"), F.col("c")), "js"))
+
+
 # ---- J10 + J6 + T21 (seeded hash generator: no SQL twin) ----------------------------------------
 @register("planted_sat_orders", None)
 def planted_sat_orders(spark: SparkSession, sf: str) -> DataFrame:
