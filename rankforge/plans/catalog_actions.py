@@ -292,9 +292,9 @@ c AS (SELECT conv_id, turn, thought, a, CASE WHEN digits THEN 'choose' ELSE sfn
              CASE WHEN digits THEN NULL ELSE sconj END AS conj,
              {d_strip("substr(a, CASE WHEN digits THEN 0 ELSE length(name) END + 1)")} AS rest FROM k),
 p0 AS (SELECT *, CASE WHEN conj IS NOT NULL
-                      THEN list_transform(string_split_regex(rest, '\s+' || conj || '\s+'), lambda z: {d_strip('z')})
+                      THEN list_transform(string_split_regex(rest, '\\s+' || conj || '\\s+'), lambda z: {d_strip('z')})
                       WHEN rest <> '' THEN [rest] ELSE []::VARCHAR[] END AS parts0 FROM c),
-p AS (SELECT *, regexp_extract_all(coalesce(parts0[1], ''), '\d+')[1] AS dur FROM p0),
+p AS (SELECT *, regexp_extract_all(coalesce(parts0[1], ''), '\\d+')[1] AS dur FROM p0),
 q AS (SELECT *, CASE WHEN fn = 'wait' AND len(parts0) = 1 THEN [dur] ELSE parts0 END AS parts FROM p),
 e AS (SELECT *, CASE WHEN fn IS NULL THEN 'invalid_action' WHEN len(parts) > len(arg_names) THEN 'too_many_args'
                      WHEN fn = 'wait' AND len(parts0) = 1 AND dur IS NULL THEN 'no_duration' END AS error FROM q),

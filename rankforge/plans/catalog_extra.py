@@ -13,7 +13,7 @@ from rankforge.operators import results as R
 from rankforge.plans import catalog as C
 from rankforge.plans import oracle as OR
 from rankforge.plans import scoring as P
-from rankforge.plans.catalog_text import NL, _dhash, _hash
+from rankforge.plans.catalog_text import _dhash, _hash
 
 Q: dict = {}
 

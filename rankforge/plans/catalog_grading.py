@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from rankforge import fixtures as fx
 from rankforge.functions import text as X
 from rankforge.operators import grading as G
-from rankforge.plans.catalog_text import (_DHOLES, _HOLES, _HPAT, NL, _dhash, _hash, d_join,
-                                          d_rstrip, d_rstrip_lines, d_splitlines, d_strip)
+from rankforge.plans.catalog_text import (_DHOLES, _HOLES, _HPAT, NL, d_join, d_rstrip, d_rstrip_lines,
+                                          d_splitlines, d_strip)
 from rankforge.session import spread
 
 Q: dict = {}

@@ -129,5 +129,28 @@ def refresh_join_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).groupBy("participant").agg(F.count(F.lit(1)).alias("rows"))
 
 
+# ---- I2 (size-or-age rule) ------------------------------------------------------------------
+_FLUSH_SIZE, _FLUSH_AGE = 5, 6 * 3600
+
+
+@register("flush_batches_stream_ev", f"""
+WITH RECURSIVE o AS (SELECT user_id, event_id, epoch_us(ts) AS us,
+                            row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+r AS (SELECT user_id, rn, event_id, 0 AS batch, us AS bstart, 1 AS cnt FROM o WHERE rn = 1
+      UNION ALL
+      SELECT o.user_id, o.rn, o.event_id,
+             CASE WHEN r.cnt >= {_FLUSH_SIZE} OR o.us >= r.bstart + {_FLUSH_AGE * 1_000_000} THEN r.batch + 1 ELSE r.batch END,
+             CASE WHEN r.cnt >= {_FLUSH_SIZE} OR o.us >= r.bstart + {_FLUSH_AGE * 1_000_000} THEN o.us ELSE r.bstart END,
+             CASE WHEN r.cnt >= {_FLUSH_SIZE} OR o.us >= r.bstart + {_FLUSH_AGE * 1_000_000} THEN 1 ELSE r.cnt + 1 END
+      FROM r JOIN o ON o.user_id = r.user_id AND o.rn = r.rn + 1)
+SELECT CAST(user_id AS BIGINT) AS producer, event_id, CAST(batch AS BIGINT) AS batch FROM r""")
+def flush_batches_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
+    st = _events_stream(spark, sf)
+    out = scratch_path(spark, "flush")
+    S.run_available_now(S.flush_batches(st, "user_id", _FLUSH_SIZE, _FLUSH_AGE),
+                        S.batch_writer(out), "flush")
+    return spark.read.parquet(out).select("producer", "event_id", "batch")
+
+
 QUERIES = {k: v[0] for k, v in Q.items()}
 ORACLE = {k: v[1] for k, v in Q.items() if v[1] is not None}

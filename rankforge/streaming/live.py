@@ -1,7 +1,7 @@
 """Structured Streaming counterparts.
 
 * I1  sink: micro-batches written with ``foreachBatch``; each batch lands
-      in its own ``batch=<id>`` folder written with overwrite, so a batch
+      in its own ``microbatch=<id>`` folder written with overwrite, so a batch
       replayed from the checkpoint after a failure replaces itself instead
       of duplicating rows (at-least-once delivery, idempotent result).
 * I3  sliding windowed grid with a watermark.
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from rankforge.sources.results_log import scratch_path, window_bucket, write_results
+from rankforge.sources.results_log import scratch_path, write_results
 
 
 # ---- plumbing ------------------------------------------------------------------------------
@@ -65,10 +65,10 @@ def run_available_now(stream: DataFrame, on_batch: Callable[[DataFrame, int], No
 
 def batch_writer(path: str, fn: Callable[[DataFrame], DataFrame] | None = None):
     """foreachBatch body: write the batch (optionally transformed) to
-    ``path/batch=<id>`` with overwrite: replays are idempotent."""
+    ``path/microbatch=<id>`` with overwrite: replays are idempotent."""
     def write(df: DataFrame, batch_id: int) -> None:
         out = fn(df) if fn else df
-        out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        out.write.mode("overwrite").parquet(f"{path}/microbatch={batch_id}")
     return write
 
 
@@ -76,7 +76,7 @@ def batch_writer(path: str, fn: Callable[[DataFrame], DataFrame] | None = None):
 def sink_stream(stream: DataFrame, path: str, name: str = "sink") -> None:
     """Results stream -> window-bucketed Parquet log, batch-idempotent."""
     def write(df: DataFrame, batch_id: int) -> None:
-        write_results(df, f"{path}/batch={batch_id}")
+        write_results(df, f"{path}/microbatch={batch_id}")
     run_available_now(stream, write, name)
 
 
@@ -106,8 +106,12 @@ RUN_OUT = T.StructType([
 
 
 def _us(ts: pd.Series) -> np.ndarray:
-    return ts.to_numpy().astype("datetime64[us]").astype("int64") if ts.dtype.kind == "M" \
-        else ts.to_numpy().astype("int64")
+    """Microseconds since the epoch of a timestamp column (naive or tz-aware)."""
+    if ts.dtype.kind == "M":
+        if getattr(ts.dt, "tz", None) is not None:
+            ts = ts.dt.tz_convert("UTC").dt.tz_localize(None)
+        return ts.to_numpy().astype("datetime64[us]").astype("int64")
+    return ts.to_numpy().astype("int64")
 
 
 def _eq(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -227,12 +231,48 @@ def refreshed_members(loader: Callable[[SparkSession], DataFrame], path: str, ke
     between refreshes) and keep the batch's rows of current members."""
     def write(df: DataFrame, batch_id: int) -> None:
         reg = loader(df.sparkSession).select(F.col(reg_key).alias(key)).distinct()
-        df.join(reg, key, "left_semi").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        df.join(reg, key, "left_semi").write.mode("overwrite").parquet(f"{path}/microbatch={batch_id}")
     return write
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], batch: str = "batch") -> DataFrame:
+def latest_per_key(df: DataFrame, keys: Sequence[str], batch: str = "microbatch") -> DataFrame:
     """The last emitted row per key across update-mode batches."""
     cols = [c for c in df.columns if c not in keys and c != batch]
     g = df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col(batch)).alias("_l"))
     return g.select(*keys, "_l.*")
+
+
+# ---- I2 (size-or-age flush batches) ----------------------------------------------------------
+FLUSH_STATE = T.StructType([T.StructField("batch", T.LongType()), T.StructField("start_us", T.LongType()),
+                            T.StructField("count", T.LongType())])
+FLUSH_OUT = T.StructType([T.StructField("producer", T.LongType()), T.StructField("event_id", T.LongType()),
+                          T.StructField("batch", T.LongType())])
+
+
+def flush_fn(size: int, age_s: float):
+    age_us = int(age_s * 1_000_000)
+
+    def fn(key, pdfs, state: GroupState):
+        rows = pd.concat(list(pdfs), ignore_index=True)
+        rows = rows.assign(_us=_us(rows["ts"])).sort_values(["_us", "event_id"], kind="stable")
+        us = rows["_us"].to_numpy()
+        batch, start, cnt = state.get if state.exists else (-1, 0, size)   # no open batch yet
+        out = np.empty(len(us), dtype=np.int64)
+        for i, t in enumerate(us):          # sequential by definition; bounded by one micro-batch
+            if cnt >= size or t >= start + age_us:
+                batch, start, cnt = batch + 1, int(t), 0
+            cnt += 1
+            out[i] = batch
+        state.update((int(batch), int(start), int(cnt)))
+        yield pd.DataFrame({"producer": key[0], "event_id": rows["event_id"].to_numpy(), "batch": out})
+    return fn
+
+
+def flush_batches(stream: DataFrame, producer: str, size: int, age_s: float) -> DataFrame:
+    """Each producer's results cut into flush batches: a batch closes at
+    ``size`` items or when an item arrives ``age_s`` after the batch's first
+    one.  The rule is sequential per producer, so it runs as per-producer
+    streaming state, one bounded micro-batch at a time."""
+    return stream.select(F.col(producer).cast("bigint").alias(producer), "ts", "event_id").groupBy(producer) \
+        .applyInPandasWithState(flush_fn(size, age_s), FLUSH_OUT, FLUSH_STATE, "append",
+                                GroupStateTimeout.NoTimeout)
