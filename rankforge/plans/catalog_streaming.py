@@ -33,19 +33,26 @@ def _staged(spark: SparkSession, sf: str, name: str, df_fn):
     if key not in _STAGED:
         df = df_fn()
         path = scratch_path(spark, f"stage-{name}")
-        S.stage_files(df, "d", path)
+        S.stage_files(df, "part", path)
         _STAGED[key] = (path, df.schema)
     return _STAGED[key]
 
 
+# staged files hold three days each (event-time order kept); four files per
+# micro-batch gives several batches, so the stateful operators carry state
+_DAYS_PER_FILE, _FILES_PER_BATCH = 3, 4
+
+
 def _ev_stream(spark, sf):
-    path, schema = _staged(spark, sf, "ev", lambda: fx.fx_ev(spark, sf))
-    return S.file_stream(spark, path, schema)
+    path, schema = _staged(spark, sf, "ev", lambda: fx.fx_ev(spark, sf).withColumn(
+        "part", F.floor((F.col("d") - 1) / _DAYS_PER_FILE)))
+    return S.file_stream(spark, path, schema, _FILES_PER_BATCH)
 
 
 def _events_stream(spark, sf):
-    path, schema = _staged(spark, sf, "events", lambda: fx.table(spark, sf, "events").withColumn("d", F.dayofmonth("ts")))
-    return S.file_stream(spark, path, schema)
+    path, schema = _staged(spark, sf, "events", lambda: fx.table(spark, sf, "events").withColumn(
+        "part", F.floor((F.dayofmonth("ts") - 1) / _DAYS_PER_FILE)))
+    return S.file_stream(spark, path, schema, _FILES_PER_BATCH)
 
 
 # ---- I4 + I7 (+ B4, B5 stream-static) ------------------------------------------------------
