@@ -216,7 +216,8 @@ def stalls(beats: DataFrame, key: str, ts: str, timeout_s: float, chunk_s: float
     key: ordered windows run inside (key, day) chunks; each chunk's first
     gap is taken from the previous chunk's last heartbeat, and the session
     offset is a running sum, both over the small (key, chunk) table."""
-    t = F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
+    from rankforge.operators.results import epoch_micros
+    t = epoch_micros(ts, dict(beats.dtypes)[ts]) / 1e6
     d = beats.withColumn("_t", t).withColumn("_c", F.floor(F.col("_t") / chunk_s).cast("bigint"))
     order = ["_t"] + ([tie] if tie else [])
     w = Window.partitionBy(key, "_c").orderBy(*order)

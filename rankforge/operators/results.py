@@ -79,11 +79,7 @@ def order_key(df: DataFrame, seq: Sequence[str]) -> Column:
     if len(seq) == 1 and (t[0] in _INTS or t[0] in _TIME or t[0] == "double"):
         return F.col(seq[0])
     if len(seq) == 2 and t[0] in _TIME + _INTS and t[1] in _INTS:
-        hi = F.col(seq[0])
-        if t[0] == "timestamp_ntz":
-            hi = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{seq[0]}`)")
-        elif t[0] == "timestamp":
-            hi = F.unix_micros(hi)
+        hi = epoch_micros(seq[0], t[0]) if t[0] in _TIME else F.col(seq[0])
         return pack_pair(hi, F.col(seq[1]))
     return F.struct(*[F.col(c) for c in seq])
 
@@ -92,6 +88,15 @@ _SHIFT = 10 ** 20
 _HALF = 1 << 63
 
 
+def epoch_micros(col: str, dtype: str) -> Column:
+    """Microseconds since the epoch, independent of the session time zone:
+    a TIMESTAMP_NTZ is read as wall-clock time (what DuckDB's naive
+    TIMESTAMP does), a TIMESTAMP as its instant."""
+    if dtype == "timestamp_ntz":
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
+    return F.unix_micros(F.col(col).cast("timestamp"))
+
+
 def pack_pair(hi: Column, lo: Column) -> Column:
     """(hi, lo) of two longs -> one DECIMAL(38,0) with the same order, so
     min/max over it stays a hash aggregate.  ``unpack_lo`` reverses lo."""

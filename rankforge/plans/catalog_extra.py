@@ -57,6 +57,8 @@ _W_MODEL = ("concat('lab', CAST(o_custkey % 4 AS STRING), '/', CASE WHEN o_order
             "ELSE 'Other-' END, substr(o_orderpriority, 1, 1))")
 _D_MODEL = _W_MODEL.replace("AS STRING", "AS VARCHAR")
 _TTL = 6 * 3600.0
+# wall-clock seconds of the (time-zone-less) order date
+_EPOCH_S = "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', o_orderdate)"
 
 
 @register("ttl_lookup_world", f"""
@@ -73,10 +75,10 @@ FROM r ASOF LEFT JOIN f ON r.model = f.model AND r.now >= f.ts""")
 def ttl_lookup_world(spark: SparkSession, sf: str) -> DataFrame:
     o = fx.table(spark, sf, "orders")
     req = o.selectExpr("o_orderkey", f"{_W_MODEL} AS model",
-                       "CAST(unix_timestamp(o_orderdate) + o_orderkey % 86400 AS DOUBLE) AS now")
+                       f"CAST({_EPOCH_S} + o_orderkey % 86400 AS DOUBLE) AS now")
     li = fx.table(spark, sf, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     fet = li.selectExpr(f"{_W_MODEL} AS model",
-                        "CAST(unix_timestamp(o_orderdate) + (l_orderkey * 7 + l_linenumber * 1000) % 86400 AS DOUBLE)"
+                        f"CAST({_EPOCH_S} + (l_orderkey * 7 + l_linenumber * 1000) % 86400 AS DOUBLE)"
                         " AS ts",
                         "CASE WHEN l_linenumber = 2 THEN NULL ELSE CAST((l_partkey % 3 = 0) AS STRING) END AS value")
     res = PT.ttl_lookup(req.select("model", "now").distinct(), fet, _TTL)

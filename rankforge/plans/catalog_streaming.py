@@ -80,16 +80,16 @@ def live_runs_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
 @register("window_grid_stream_ev", fx.duck_with("fx_ev") + """,
 w AS (SELECT *, time_bucket(INTERVAL 6 HOUR, ts) - k * INTERVAL 6 HOUR AS ws
       FROM fx_ev CROSS JOIN (SELECT unnest(range(0, 4)) AS k))
-SELECT CAST(ws AS VARCHAR) AS window_start, participant, env,
+SELECT epoch_us(ws) AS window_start_us, participant, env,
        count(*) FILTER (WHERE success) AS n, coalesce(sum(score) FILTER (WHERE success), 0.0) AS succ
 FROM w GROUP BY ALL""")
 def window_grid_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
     st = _ev_stream(spark, sf)
     out = scratch_path(spark, "window-grid")
     g = S.windowed_grid(st, "ts", "1 day", "6 hours", "1 day")
-    g = g.select(F.col("w.start").cast("string").alias("window_start"), "participant", "env", "n", "succ")
+    g = g.select(F.unix_micros(F.col("w.start")).alias("window_start_us"), "participant", "env", "n", "succ")
     S.run_available_now(g, S.batch_writer(out), "window-grid", mode="update")
-    return S.latest_per_key(spark.read.parquet(out), ["window_start", "participant", "env"])
+    return S.latest_per_key(spark.read.parquet(out), ["window_start_us", "participant", "env"])
 
 
 # ---- I5 ----------------------------------------------------------------------------------

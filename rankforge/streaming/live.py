@@ -48,9 +48,12 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files:
 
 
 def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
-    """Watermarks need TIMESTAMP (with time zone semantics); the log's
-    TIMESTAMP_NTZ is read in the session time zone."""
-    return df.withColumn(ts, F.col(ts).cast("timestamp"))
+    """Watermarks need TIMESTAMP; the log's TIMESTAMP_NTZ wall-clock time is
+    taken as UTC, so windows do not depend on the session time zone."""
+    from rankforge.operators.results import epoch_micros
+    if dict(df.dtypes)[ts] != "timestamp_ntz":
+        return df
+    return df.withColumn(ts, F.timestamp_micros(epoch_micros(ts, "timestamp_ntz")))
 
 
 def run_available_now(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], name: str,
