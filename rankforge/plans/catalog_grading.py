@@ -90,8 +90,8 @@ k AS (SELECT item_id, type IN ('stdin_stdout', 'function_call') AS known,
              {d_strip("coalesce(stderr, '')")} = ''
              AND (exp IS NULL OR {_d_norm("coalesce(got, '')")} = {_d_norm('exp')}) AS correct FROM e)
 SELECT item_id, count(*) FILTER (WHERE known AND correct) AS passed, count(*) FILTER (WHERE known) AS total,
-       CASE WHEN count(*) FILTER (WHERE known AND correct) = count(*) FILTER (WHERE known) THEN 1.0 ELSE 0.0 END
-       AS score
+       CAST(CASE WHEN count(*) FILTER (WHERE known AND correct) = count(*) FILTER (WHERE known) THEN 1.0 ELSE 0.0 END
+            AS DOUBLE) AS score
 FROM k GROUP BY item_id"""
 
 
@@ -133,7 +133,7 @@ r AS (SELECT o_orderkey,
              len(list_filter(range(1, 3), lambda i: {_d_canon("[concat('out', CAST(o_custkey % 100 AS VARCHAR)), 'x' || chr(13) || chr(10)][i]")}
                  <> {_d_canon("[concat('out', CAST(o_custkey % 100 AS VARCHAR), '  ' || chr(10)), CASE WHEN o_orderkey % 3 = 0 THEN 'y' ELSE 'x' END][i]")})) = 0
                AS outputs_ok FROM v)
-SELECT o_orderkey AS item_id, CASE WHEN reason IS NULL AND outputs_ok THEN 1.0 ELSE 0.0 END AS score,
+SELECT o_orderkey AS item_id, CAST(CASE WHEN reason IS NULL AND outputs_ok THEN 1.0 ELSE 0.0 END AS DOUBLE) AS score,
        coalesce(reason, CASE WHEN outputs_ok THEN 'ok' ELSE 'mismatch' END) AS reason FROM r""")
 def holes_grade_orders(spark: SparkSession, sf: str) -> DataFrame:
     d = _tbl(spark, sf, "orders").selectExpr(*_HVM_ITEM)
@@ -202,7 +202,7 @@ r AS (SELECT item_id,
                   WHEN NOT (n_lines >= calls) THEN 'invalid_input'
                   WHEN {d_strip('run_error')} <> '' THEN 'error'
                   WHEN NOT {eq} THEN 'mismatch' ELSE 'ok' END AS reason FROM n)
-SELECT item_id, CASE WHEN reason = 'ok' THEN 1.0 ELSE 0.0 END AS score, reason FROM r"""
+SELECT item_id, CAST(CASE WHEN reason = 'ok' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS score, reason FROM r"""
 
 
 @register("abduction_docs", _abd_sql())
@@ -343,10 +343,10 @@ def _registry() -> G.EnvRegistry:
 @register("grade_all_mixed", f"""
 WITH elr AS (SELECT 'affine:ELR' AS env, o_orderkey AS item_id,
                     CASE WHEN {d_strip("coalesce(regexp_extract_all(concat('<answer> ', CAST(o_custkey % 10 AS VARCHAR), ' </answer>', CASE WHEN o_orderkey % 4 = 0 THEN '<Answer>7</Answer>' ELSE '' END), '(?is)<Answer>(.*?)</Answer>', 1)[-1], '')")}
-                              = CAST(o_custkey % 10 AS VARCHAR) THEN 1.0 ELSE 0.0 END AS score,
+                              = CAST(o_custkey % 10 AS VARCHAR) THEN 1.0 ELSE 0.0 END::DOUBLE AS score,
                     NULL::VARCHAR AS reason FROM orders),
 abd AS ({_abd_sql()}),
-oth AS (SELECT 'other:zzz' AS env, c_custkey AS item_id, 0.0 AS score, 'unknown_env' AS reason FROM customer)
+oth AS (SELECT 'other:zzz' AS env, c_custkey AS item_id, 0.0::DOUBLE AS score, 'unknown_env' AS reason FROM customer)
 SELECT * FROM elr UNION ALL SELECT 'affine:abd', item_id, score, reason FROM abd UNION ALL SELECT * FROM oth""")
 def grade_all_mixed(spark: SparkSession, sf: str) -> DataFrame:
     o = _tbl(spark, sf, "orders").selectExpr(

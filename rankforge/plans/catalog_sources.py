@@ -153,7 +153,7 @@ run AS (SELECT *, coalesce(sum(size) OVER (ORDER BY cycle, fi ROWS BETWEEN UNBOU
               AS before FROM ch),
 kept AS (SELECT * FROM run WHERE before < {_BUF}),
 r AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS rn FROM documents)
-SELECT r.source, r.doc_id, k.cycle, CAST(k.before + r.rn - k.start AS BIGINT) AS buffer_pos
+SELECT r.source, r.doc_id, CAST(k.cycle AS INTEGER) AS cycle, CAST(k.before + r.rn - k.start AS BIGINT) AS buffer_pos
 FROM r JOIN kept k ON r.source = k.source AND r.rn >= k.start AND r.rn < k.start + k.size""")
 def chunk_sample_docs(spark: SparkSession, sf: str) -> DataFrame:
     d = fx.table(spark, sf, "documents").select("doc_id", "source")
