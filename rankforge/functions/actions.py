@@ -70,6 +70,61 @@ CODE_PROMPT_HINT = (
     "• contains no additional prompts or debug text, and\n"
     "• is returned as a single ```python … ``` fenced block.\n"
 )
+ABDUCTION_PROMPT = """You are a programming expert. Given a Python program and its expected output, you need to determine the exact input that would produce this output.
+
+Program:
+```python
+{program}
+```
+
+Expected Output:
+```
+{output}
+```
+
+Task: Analyze the program to understand what input format it expects from stdin, then provide the input data that would produce the expected output.
+
+You can provide any explanations, analysis, or reasoning you want. However, you MUST include the input data within <INPUT> </INPUT> tags.
+
+Format the input data like this:
+<INPUT>
+[input data here - each line on a separate line as the program expects]
+</INPUT>
+
+I will extract only the content between these tags.
+
+Requirements for the input data within the tags:
+1. Each line of input should be on a separate line
+2. Use the exact format the program expects  
+3. Provide the raw input values that should be fed to stdin
+4. Do not include any prefixes or extra formatting within the INPUT tags
+
+Please analyze the program and provide the required input:"""
+HOLE_PROMPT_HEAD = """You are given a small stack-based Virtual Machine program with UNKNOWN constants (holes).
+Instruction set:
+  PUSH n       ; push integer n (n can also be a hole like ?a)
+  LOAD i       ; push i-th input integer (0-based)
+  ADD SUB MUL DIV MOD
+  DUP SWAP POP
+  JMP k        ; absolute jump
+  JMPZ k       ; jump if top==0
+  JMPNZ k      ; jump if top!=0
+  PRINT
+  HALT
+
+Program:
+"""
+HOLE_PROMPT_TAIL = """
+
+Return ONLY the hole mapping in this exact format:
+
+<HOLES>
+?a=3
+?b=-1
+?c=42
+</HOLES>
+"""
+HOLE_DOMAIN_LIST_MAX = 15
 # -------------------------------------------------------------------------------------------
 
 
@@ -284,6 +339,37 @@ def code_prompt(prompt) -> Column:
     return F.concat(F.regexp_replace(_c(prompt), f"{PY_WS}+\\z", ""), F.lit(CODE_PROMPT_HINT))
 
 
+def abduction_prompt(program, output) -> Column:
+    head, rest = ABDUCTION_PROMPT.split("{program}")
+    mid, tail = rest.split("{output}")
+    return F.concat(F.lit(head), _c(program), F.lit(mid), _c(output), F.lit(tail))
+
+
+def hole_prompt(code, holes, domains, inputs, expected) -> Column:
+    """Hole-program prompt: numbered code lines, each hole's domain (a range
+    when it has more than 15 values, else the set), and the test cases.
+    ``code`` array<struct<op,arg>>, ``domains`` map<string,array<bigint>>,
+    ``inputs`` array<array<bigint>>, ``expected`` array<string>."""
+    prog = F.array_join(F.transform(_c(code), lambda x, i: F.concat(
+        F.lpad(i.cast("string"), 3, "0"), F.lit(": "), x["op"],
+        F.when(x["arg"].isNotNull(), F.concat(F.lit(" "), x["arg"])).otherwise(F.lit("")))), "\n")
+
+    def dom_line(h):
+        d = F.element_at(_c(domains), h)
+        rng = F.concat(h, F.lit(" ∈ ["), F.array_min(d).cast("string"), F.lit(", "),
+                       F.array_max(d).cast("string"), F.lit("] (integers)"))
+        st = F.concat(h, F.lit(" ∈ {"), F.array_join(F.transform(d, lambda v: v.cast("string")), ", "), F.lit("}"))
+        return F.when(F.size(d) > HOLE_DOMAIN_LIST_MAX, rng).otherwise(st)
+
+    holes_txt = F.array_join(F.transform(_c(holes), dom_line), "\n- ")
+    cases = F.array_join(F.transform(F.arrays_zip(_c(inputs).alias("i"), _c(expected).alias("o")), lambda z, k: F.concat(
+        F.lit("Case #"), k.cast("string"), F.lit(": input=["),
+        F.array_join(F.transform(z["i"], lambda v: v.cast("string")), ", "), F.lit("]  expected stdout=\n---\n"),
+        z["o"], F.lit("\n---"))), "\n")
+    return F.concat(F.lit(HOLE_PROMPT_HEAD), prog, F.lit("\n\nHoles and domains:\n- "), holes_txt,
+                    F.lit("\n\nTest cases:\n"), cases, F.lit(HOLE_PROMPT_TAIL))
+
+
 # ---- T22 -----------------------------------------------------------------------------------
 def function_signature(name, description, params, required) -> Column:
     """``def name(a, b='b'):`` and the docstring lines; ``params`` is an

@@ -194,6 +194,49 @@ def prompts_docs(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("doc_id", *_hash(A.answer_prompt("text"), "ans"), *_hash(A.code_prompt("text"), "code"))
 
 
+@register("abduction_prompts_bench", f"""
+SELECT item_id, {_dhash(_d_lit(A.ABDUCTION_PROMPT.split('{program}')[0]) + " || text || " + _d_lit(A.ABDUCTION_PROMPT.split('{program}')[1].split('{output}')[0]) + " || 'len=' || CAST(length(text) AS VARCHAR) || " + _d_lit(A.ABDUCTION_PROMPT.split('{output}')[1]), 'p')}
+FROM benchmark""")
+def abduction_prompts_bench(spark: SparkSession, sf: str) -> DataFrame:
+    b = fx.table(spark, sf, "benchmark")
+    out = F.concat(F.lit("len="), F.length("text").cast("string"))
+    return b.select("item_id", *_hash(A.abduction_prompt(F.col("text"), out), "p"))
+
+
+_HOLE_ITEM = [
+    "o_orderkey",
+    "array(named_struct('op', 'PUSH', 'arg', '?a'), named_struct('op', 'LOAD', 'arg', CAST(o_orderkey % 3 AS STRING)), "
+    "named_struct('op', 'ADD', 'arg', CAST(NULL AS STRING)), named_struct('op', 'PUSH', 'arg', '?b'), "
+    "named_struct('op', 'MUL', 'arg', CAST(NULL AS STRING)), named_struct('op', 'PRINT', 'arg', CAST(NULL AS STRING)), "
+    "named_struct('op', 'HALT', 'arg', CAST(NULL AS STRING))) AS code",
+    "array('?a', '?b') AS holes",
+    "map('?a', sequence(CAST(0 AS BIGINT), CAST(o_custkey % 30 AS BIGINT)), '?b', array(CAST(-1 AS BIGINT), 0, 1)) AS domains",
+    "array(array(CAST(o_orderkey % 10 AS BIGINT), 3), array(CAST(o_custkey % 7 AS BIGINT))) AS inputs",
+    "array(CAST(o_orderkey % 97 AS STRING), concat('x', CAST(o_custkey AS STRING))) AS expected",
+]
+
+
+def _d_hole_prompt():
+    code = ("'000: PUSH ?a' || chr(10) || '001: LOAD ' || CAST(o_orderkey % 3 AS VARCHAR) || chr(10) || '002: ADD' "
+            "|| chr(10) || '003: PUSH ?b' || chr(10) || '004: MUL' || chr(10) || '005: PRINT' || chr(10) || '006: HALT'")
+    dom_a = ("CASE WHEN o_custkey % 30 + 1 > 15 THEN '?a ∈ [0, ' || CAST(o_custkey % 30 AS VARCHAR) || '] (integers)' "
+             "ELSE '?a ∈ {' || array_to_string(list_transform(range(0, o_custkey % 30 + 1), lambda v: CAST(v AS VARCHAR)), ', ') || '}' END")
+    dom_b = "'?b ∈ {-1, 0, 1}'"
+    cases = ("'Case #0: input=[' || CAST(o_orderkey % 10 AS VARCHAR) || ', 3]  expected stdout=' || chr(10) || '---' || chr(10) "
+             "|| CAST(o_orderkey % 97 AS VARCHAR) || chr(10) || '---' || chr(10) || 'Case #1: input=[' || CAST(o_custkey % 7 AS VARCHAR) "
+             "|| ']  expected stdout=' || chr(10) || '---' || chr(10) || 'x' || CAST(o_custkey AS VARCHAR) || chr(10) || '---'")
+    return (_d_lit(A.HOLE_PROMPT_HEAD) + " || " + code + " || " + _d_lit("\n\nHoles and domains:\n- ") + " || " + dom_a
+            + " || " + _d_lit("\n- ") + " || " + dom_b + " || " + _d_lit("\n\nTest cases:\n") + " || " + cases
+            + " || " + _d_lit(A.HOLE_PROMPT_TAIL))
+
+
+@register("hole_prompts_orders", f"""
+SELECT o_orderkey, {_dhash(_d_hole_prompt(), 'p')} FROM orders""")
+def hole_prompts_orders(spark: SparkSession, sf: str) -> DataFrame:
+    o = fx.table(spark, sf, "orders").selectExpr(*_HOLE_ITEM)
+    return o.select("o_orderkey", *_hash(A.hole_prompt("code", "holes", "domains", "inputs", "expected"), "p"))
+
+
 # ---- T22 ------------------------------------------------------------------------------------
 @register("signatures_part", f"""
 WITH p AS (SELECT p_partkey, concat('fn_', CAST(p_partkey AS VARCHAR)) AS name, p_name AS description,

@@ -122,6 +122,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# ---- A13 -----------------------------------------------------------------------------
+def write_report(report: DataFrame, path: str, order: str = "rank") -> None:
+    """Leaderboard sink: the report as CSV with a header, in report order.
+    The report has one row per active participant (bounded by the
+    registry), so one ordered file is cheap."""
+    report.orderBy(order).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
 # ---- A3 / A4 / A5 / A6 ------------------------------------------------------------------
 def read_shards(spark: SparkSession, path: str, ignore_missing: bool = True,
                 envs=ACTIVE_ENVS) -> tuple[DataFrame, DataFrame]:

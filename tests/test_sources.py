@@ -63,3 +63,11 @@ def test_chunk_sample_round_robin(spark):
     # whole chunks of 3 in file order, cycling, until at least 10 rows
     assert [g[0] for g in got] == list(range(12))
     assert [(g[1], g[2]) for g in got[::3]] == [(0, "f0"), (0, "f1"), (0, "f2"), (1, "f0")]
+
+
+def test_write_report_csv(spark):
+    d = tempfile.mkdtemp(prefix="rf-report-")
+    rep = spark.createDataFrame([(2, "b", 2), (1, "a", 1)], "uid long, model string, rank int")
+    L.write_report(rep, d + "/r")
+    back = spark.read.option("header", True).csv(d + "/r").collect()
+    assert [r.model for r in back] == ["a", "b"]
