@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from rankforge.config import ScoringConfig
 from rankforge.functions.scoring import layer_weight, np_masks
-from rankforge.operators.results import fb_infinite
+from rankforge.operators.results import argmax_id, argmax_key, fb_infinite
 
 # pairs evaluated per numpy block (bounds kernel memory per task)
 _BLOCK_ELEMS = 4_000_000
@@ -152,8 +152,9 @@ def subset_winners(pool: DataFrame, dom: DataFrame, n_envs: int, scale: float,
                        F.explode(F.sequence(F.lit(1).cast("bigint"),
                                             F.lit((1 << n_envs) - 1).cast("bigint"))).alias("S"))
     c = cand.join(dom, ["participant", "S"], "left").withColumn("dom", F.coalesce("dom", F.lit(0)))
-    w = c.groupBy("S").agg(F.max_by("participant", F.struct(
-        F.col("dom"), -F.col("fb"), -F.col("participant"))).alias("winner"))
+    # argmax of (dom, -first_block, -id) as a packed decimal: a hash aggregate
+    w = c.groupBy("S").agg(F.max(argmax_key(F.col("dom"), F.col("fb"), F.col("participant"))).alias("_k")) \
+        .select("S", argmax_id(F.col("_k")).alias("winner"))
     size = F.bit_count("S")
     return w.select("S", size.alias("size"), "winner",
                     layer_weight(size, scale).alias("points"))

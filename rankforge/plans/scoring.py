@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rankforge.config import ScoringConfig
 from rankforge.operators import dominance as D
-from rankforge.operators.results import fb_infinite, with_accuracy
+from rankforge.operators.results import argmax_id, argmax_key, fb_infinite, with_accuracy
 from rankforge.functions.text import report_cell
 from rankforge.session import materialize
 
@@ -38,8 +38,9 @@ def best_participant(flagged: DataFrame, dom: DataFrame, n_envs: int) -> "F.Colu
          .select("participant", level.alias("lvl"),
                  F.coalesce("_df", F.lit(0)).alias("d"),
                  fb_infinite(F.col("first_block")).alias("fb")))
-    return c.agg(F.max_by("participant", F.struct(
-        -F.col("lvl"), F.col("d"), -F.col("fb"), -F.col("participant")))).scalar()
+    # lowest ladder level first: (2 - lvl) leads the packed score
+    key = argmax_key((F.lit(2) - F.col("lvl")) * F.lit(10 ** 8) + F.col("d"), F.col("fb"), F.col("participant"))
+    return c.agg(argmax_id(F.max(key))).scalar()
 
 
 def weights(spark: SparkSession, flagged: DataFrame, winners: DataFrame, dom: DataFrame,
