@@ -35,6 +35,7 @@ def flatten_results(results: DataFrame) -> DataFrame:
         F.coalesce(F.col("response.success"), F.lit(False)).alias("success"),
         F.col("evaluation.score").alias("score"),
         F.col("response.latency_seconds").alias("latency"),
+        F.col("challenge.challenge_id").alias("challenge_id"),
         F.col("seq"))
 
 

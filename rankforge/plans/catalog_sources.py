@@ -75,10 +75,9 @@ def shards_roundtrip_ev(spark: SparkSession, sf: str) -> DataFrame:
     n = L.upload_batches(_nested_ev(spark, sf), "hotkey", ["ts", "seq_id"], F.col("d"))
     L.write_shards(n, path)
     good, bad = L.read_shards(spark, path, envs=EV_ENVS)
-    g = flatten_results(good).select(F.col("seq").alias("s"), "uid", "score")
-    g = g.join(good.select(F.col("seq").alias("s"), F.col("challenge.challenge_id").alias("cid")), "s")
-    ok = g.select(F.col("cid").cast("bigint").alias("seq_id"), F.lit(None).cast("string").alias("reason"),
-                  F.col("uid").cast("bigint").alias("uid"), "score")
+    ok = flatten_results(good).select(F.col("challenge_id").cast("bigint").alias("seq_id"),
+                                      F.lit(None).cast("string").alias("reason"),
+                                      F.col("uid").cast("bigint").alias("uid"), "score")
     b = bad.select(F.get_json_object("item", "$.challenge.challenge_id").cast("bigint").alias("seq_id"),
                    "reason", F.lit(None).cast("bigint").alias("uid"), F.lit(None).cast("double").alias("score"))
     return ok.unionByName(b)
