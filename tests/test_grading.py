@@ -65,3 +65,27 @@ def test_registry_dispatch_unknown_env(spark):
     got = {r.item_id: r.reason for r in reg.grade_all(df).collect()}
     assert got == {1: "ok", 2: "unknown_env"}
     assert reg.get("a:B").name == "A:B"
+
+
+def test_holes_verdict_and_answers(spark):
+    from rankforge.functions.text import parse_holes
+    rows = [("<HOLES>?a=1\n?b=-1</HOLES>", ["?a", "?b"]), ("<HOLES>?a=1</HOLES>", ["?a", "?b"]),
+            ("<HOLES>?a=99\n?b=0</HOLES>", ["?a", "?b"]), ("none", ["?a"])]
+    df = spark.createDataFrame(rows, "t string, holes array<string>")
+    dom = F.create_map(F.lit("?a"), F.array(F.lit(1).cast("bigint"), F.lit(2).cast("bigint")),
+                       F.lit("?b"), F.array(F.lit(-1).cast("bigint"), F.lit(0).cast("bigint")))
+    got = [r.v.reason for r in df.select(G.holes_verdict(parse_holes("t"), F.col("holes"), dom).alias("v")).collect()]
+    assert got == [None, "not_all", "domain", "missing"]
+    ans = spark.createDataFrame([("<answer> 42 </answer>", 42), ("<Answer>1</Answer><Answer>2</Answer>", 1),
+                                 (None, 0)], "r string, e long")
+    assert [r.ok for r in ans.select(G.answer_match("r", "e").alias("ok")).collect()] == [True, False, False]
+
+
+def test_abduction_reasons(spark):
+    prog = "a = input()\nb = input()"
+    rows = [("no tags here", "x", "x", ""), ("<INPUT></INPUT>", "x", "x", ""), ("<INPUT>1\n2</INPUT>", "x", "x", "Err"),
+            ("<INPUT>1\n2</INPUT>", "x", "y", ""), ("<think><INPUT>z</INPUT></think><INPUT>1\n2\n</INPUT>", "x\n", "x", "")]
+    df = spark.createDataFrame([(prog,) + r for r in rows], "program string, response string, expected string, "
+                                                            "got string, run_error string")
+    got = [(r.reason, r.score) for r in G.grade_abduction(df).collect()]
+    assert got == [("no_input", 0.0), ("invalid_input", 0.0), ("error", 0.0), ("mismatch", 0.0), ("ok", 1.0)]
