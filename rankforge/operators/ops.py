@@ -113,16 +113,18 @@ def fan_out(participants: DataFrame, envs: Sequence[str], inflight: DataFrame |
     return t.withColumn("task_id", task_id(seed, F.col("env"), round_col))
 
 
-def challenge_tasks(challenges: DataFrame, participants: DataFrame, max_participants: int) -> DataFrame:
+def challenge_tasks(challenges: DataFrame, participants: DataFrame, max_challenges: int,
+                    key: str = "item_id") -> DataFrame:
     """Every challenge of a run is posed to every participant with a
-    model.  The participant list of one run is the registry (bounded;
-    ``max_participants`` is asserted in-plan), carried to the challenge rows
-    as one array by a scalar subquery and exploded."""
+    model.  A run's challenge set is small (one per env round; the bound is
+    asserted in-plan), so it travels as one array (a scalar subquery) and
+    is exploded on each participant row: no cross join, and the registry
+    is never gathered."""
     p = participants.filter(F.col("model").isNotNull() & (F.col("model") != ""))
-    plist = p.agg(F.collect_list(F.struct("uid", "model")).alias("ps"))
-    ps = plist.select(F.when(F.size("ps") <= max_participants, F.col("ps"))
-                      .otherwise(F.raise_error(F.lit("participant list above its bound")))).scalar()
-    return challenges.select("*", F.explode(ps).alias("_p")).select("*", "_p.uid", "_p.model").drop("_p")
+    clist = challenges.agg(F.collect_list(F.col(key)).alias("cs"))
+    cs = clist.select(F.when(F.size("cs") <= max_challenges, F.col("cs"))
+                      .otherwise(F.raise_error(F.lit("challenge set above its bound")))).scalar()
+    return p.select("uid", "model", F.explode(cs).alias(key))
 
 
 # ---- D19 ------------------------------------------------------------------------------

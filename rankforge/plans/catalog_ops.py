@@ -171,7 +171,7 @@ FROM benchmark b CROSS JOIN latest l WHERE l.model IS NOT NULL AND l.model <> ''
 def challenge_tasks_world(spark: SparkSession, sf: str) -> DataFrame:
     lat = PT.latest_commitment(fx.world_registry(spark, sf), fx.world_commits(spark, sf))
     ch = fx.table(spark, sf, "benchmark").select("item_id")
-    t = O.challenge_tasks(ch, lat, max_participants=1_000_000)
+    t = O.challenge_tasks(ch, lat, max_challenges=100_000)
     return t.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_tasks"), F.sum("uid").alias("uid_sum"))
 
 
