@@ -69,7 +69,9 @@ def li_summary(spark, sf):
 
 
 def li_flagged(spark, sf, cfg: ScoringConfig = LI_CFG):
-    summ = li_summary(spark, sf)
+    # the summary (one row per participant) is read three times by the
+    # eligibility plan and its scalar subqueries: cut it once, scan the log once
+    summ = materialize(li_summary(spark, sf))
     attrs = fx.fx_li_attrs(fx.fx_li(spark, sf))
     summ = summ.join(attrs.select("participant", "first_block"), "participant", "left")
     q = attrs.filter("queryable").select("participant")
@@ -199,7 +201,7 @@ EV_CFG = ScoringConfig(scale=0.5, burn=0.9)
 
 
 def _ev_scored(spark, sf, cfg: ScoringConfig = EV_CFG):
-    summ = ev_summary(spark, sf)
+    summ = materialize(ev_summary(spark, sf))    # one pass over the log, reused below
     queryable = fx.registry(spark, sf).filter("uid % 7 <> 0").select(F.col("uid").alias("participant"))
     fl = materialize(D.eligibility(summ, queryable, len(EV_ENVS), cfg))
     winners, dom = P.score(fl, len(EV_ENVS), cfg)
