@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from rankforge.llm import exact_dedup
+from rankforge.llm import exact_dedup, mixing
 
 QUERIES = {
+    "op1_mix_sources": mixing.op1_mix_sources,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
 }
 
 ORACLE = {
+    "op1_mix_sources": mixing.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
 }
