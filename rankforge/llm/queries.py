@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from rankforge.llm import exact_dedup, mixing
+from rankforge.llm import exact_dedup, mixing, packing
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op10_pack_sequences": packing.op10_pack_sequences,
 }
 
 ORACLE = {
