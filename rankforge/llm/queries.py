@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from rankforge.llm import exact_dedup, mixing, packing
+from rankforge.llm import embeddings, exact_dedup, mixing, packing
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op7_embedding_near_dedup": embeddings.op7_embedding_near_dedup,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op10_pack_sequences": packing.op10_pack_sequences,
 }
 
 ORACLE = {
     "op1_mix_sources": mixing.SQL,
+    "op7_embedding_near_dedup": embeddings.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
 }
