@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from rankforge.llm import embeddings, exact_dedup, mixing, packing
+from rankforge.llm import embeddings, exact_dedup, mixing, packing, substring_dedup
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op4_substring_dedup": substring_dedup.op4_substring_dedup,
     "op7_embedding_near_dedup": embeddings.op7_embedding_near_dedup,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op10_pack_sequences": packing.op10_pack_sequences,
@@ -13,6 +14,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_mix_sources": mixing.SQL,
+    "op4_substring_dedup": substring_dedup.SQL,
     "op7_embedding_near_dedup": embeddings.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
 }
