@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from rankforge.llm import embeddings, exact_dedup, mixing, packing, substring_dedup
+from rankforge.llm import embeddings, exact_dedup, mixing, packing, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_suffix_array_dedup": suffix_dedup.op2_suffix_array_dedup,
     "op4_substring_dedup": substring_dedup.op4_substring_dedup,
     "op7_embedding_near_dedup": embeddings.op7_embedding_near_dedup,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
