@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rankforge.llm import embeddings, exact_dedup, mixing, packing, substring_dedup, suffix_dedup
+from rankforge.llm import embeddings, exact_dedup, licenses, mixing, packing, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_substring_dedup": substring_dedup.op4_substring_dedup,
     "op7_embedding_near_dedup": embeddings.op7_embedding_near_dedup,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op9_license_scan": licenses.op9_license_scan,
     "op10_pack_sequences": packing.op10_pack_sequences,
 }
 
@@ -18,4 +19,5 @@ ORACLE = {
     "op4_substring_dedup": substring_dedup.SQL,
     "op7_embedding_near_dedup": embeddings.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
+    "op9_license_scan": licenses.SQL,
 }
