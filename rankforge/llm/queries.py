@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from rankforge.llm import embeddings, exact_dedup, licenses, mixing, packing, substring_dedup, suffix_dedup
+from rankforge.llm import embeddings, exact_dedup, jaccard_join, licenses, mixing, packing, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_suffix_array_dedup": suffix_dedup.op2_suffix_array_dedup,
+    "op3_ngram_jaccard_join": jaccard_join.op3_ngram_jaccard_join,
     "op4_substring_dedup": substring_dedup.op4_substring_dedup,
     "op7_embedding_near_dedup": embeddings.op7_embedding_near_dedup,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
@@ -16,6 +17,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_mix_sources": mixing.SQL,
+    "op3_ngram_jaccard_join": jaccard_join.SQL,
     "op4_substring_dedup": substring_dedup.SQL,
     "op7_embedding_near_dedup": embeddings.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
