@@ -354,12 +354,12 @@ p AS (SELECT DISTINCT x.k AS x, y.k AS y FROM f x JOIN f y ON x.s = y.s AND x.k
       JOIN c cx ON cx.k = x.k JOIN c cy ON cy.k = y.k
       WHERE x.r <= cx.n - ceil(0.8 * cx.n) + 1 AND y.r <= cy.n - ceil(0.8 * cy.n) + 1
         AND least(cx.n, cy.n) >= 0.8 * greatest(cx.n, cy.n)),
-v AS (SELECT p.x, p.y, count(*) AS both FROM p JOIN q a ON a.k = p.x JOIN q b ON b.k = p.y AND b.s = a.s GROUP BY p.x, p.y),
+v AS (SELECT p.x, p.y, count(*) AS common FROM p JOIN q a ON a.k = p.x JOIN q b ON b.k = p.y AND b.s = a.s GROUP BY p.x, p.y),
 l AS MATERIALIZED (
   SELECT x, y FROM (SELECT v.x, v.y FROM v JOIN c a ON a.k = v.x JOIN c b ON b.k = v.y
-                    WHERE 5 * both >= 4 * (a.n + b.n - both)) t
+                    WHERE 5 * common >= 4 * (a.n + b.n - common)) t
   UNION ALL SELECT y, x FROM (SELECT v.x, v.y FROM v JOIN c a ON a.k = v.x JOIN c b ON b.k = v.y
-                    WHERE 5 * both >= 4 * (a.n + b.n - both)) t),
+                    WHERE 5 * common >= 4 * (a.n + b.n - common)) t),
 r AS (
   WITH RECURSIVE reach(x, y) AS (SELECT k, k FROM c UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x)
   SELECT reach.x, min(c.class_id) AS component_id FROM reach JOIN c ON c.k = reach.y GROUP BY reach.x),
