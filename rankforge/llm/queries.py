@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from rankforge.llm import embeddings, exact_dedup, jaccard_join, licenses, mixing, packing, substring_dedup, suffix_dedup
+from rankforge.llm import embeddings, exact_dedup, jaccard_join, licenses, mixing, packing, quality, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_suffix_array_dedup": suffix_dedup.op2_suffix_array_dedup,
     "op3_ngram_jaccard_join": jaccard_join.op3_ngram_jaccard_join,
     "op4_substring_dedup": substring_dedup.op4_substring_dedup,
+    "op5_quality_classifier": quality.op5_quality_classifier,
     "op7_embedding_near_dedup": embeddings.op7_embedding_near_dedup,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_license_scan": licenses.op9_license_scan,
