@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.shared import cut_lineage, mix, slices, sliding_argmin, span_hash, utf8, window_hash
+from rankforge.llm.shared import cut_lineage, mix, partitions, slices, sliding_argmin, span_hash, utf8, window_hash
 
 #: Stands for a null id, which sorts last.
 NULL_ID = (1 << 63) - 1
@@ -69,10 +69,11 @@ def chains(units: Callable, k: int, m: int):
                 codes, off = units(*utf8(part.column(1)))
                 if len(codes) < k:
                     continue
-                doc = np.repeat(np.arange(len(ids)), np.diff(off))
                 size = np.diff(off)
+                doc = np.repeat(np.arange(len(ids)), size)
+                second = mix(codes ^ other)
                 # whole documents that repeat an earlier one of this slice
-                name = span_hash(mix(codes ^ other), off[:-1], off[1:])
+                name = span_hash(second, off[:-1], off[1:])
                 order = np.lexsort((ids, name))
                 same = np.zeros(len(ids), dtype=bool)
                 same[1:] = name[order][1:] == name[order][:-1]
@@ -85,8 +86,8 @@ def chains(units: Callable, k: int, m: int):
                     yield _table(_CHAIN, mix(ids[whole].astype(np.uint64)).view(np.int64), np.zeros(len(whole)),
                                  ids[whole], np.zeros(len(whole)), size[whole] - k + 1, ids[first[whole]],
                                  np.zeros(len(whole)))
-                anchor = sliding_argmin(window_hash(codes, m), k - m + 1)
                 gram = window_hash(codes, m)
+                anchor = sliding_argmin(gram, k - m + 1)
                 good = (doc[:len(anchor)] == doc[k - 1:k - 1 + len(anchor)]) & ~copy[doc[:len(anchor)]]
                 at = np.flatnonzero(good)
                 if not len(at):
@@ -97,7 +98,7 @@ def chains(units: Callable, k: int, m: int):
                 head = np.flatnonzero(new)
                 n = np.diff(np.append(head, len(at)))
                 at, h = at[head], gram[anchor[head]]
-                key = span_hash(mix(codes ^ other), at, at + n + k - 1)
+                key = span_hash(second, at, at + n + k - 1)
                 own, start = ids[doc[at]], at - off[doc[at]]
                 yield from _local(h.view(np.int64), key.view(np.int64), own, start, n)
     return run
@@ -187,8 +188,9 @@ def find_repeats(docs: DataFrame, units: Callable, k: int, m: int) -> DataFrame:
 
 
 def n_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
+    """Blocks of about ``block_bytes`` of text, at least one per shuffle partition."""
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    return 1 + total // block_bytes
+    return max(1 + total // block_bytes, partitions(docs.sparkSession))
 
 
 def block_of(blocks: int):

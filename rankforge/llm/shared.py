@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rankforge.session import ensure_checkpoint_dir
 
 #: Bytes of text handled at once inside a task; bounds the numpy temporaries.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -100,12 +100,13 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    """64-bit finaliser (xor-shift and multiply), bijective."""
+    """64-bit finaliser (xor-shift and multiply), bijective; arrays only."""
     x = x ^ (x >> _U(33))
-    x = x * _U(0xFF51AFD7ED558CCD)
-    x = x ^ (x >> _U(33))
-    x = x * _U(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> _U(33))
+    x *= _U(0xFF51AFD7ED558CCD)
+    x ^= x >> _U(33)
+    x *= _U(0xC4CEB9FE1A85EC53)
+    x ^= x >> _U(33)
+    return x
 
 
 def byte_codes(seed: int) -> np.ndarray:
@@ -123,28 +124,33 @@ def span_hash(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
 
 
 def window_hash(codes: np.ndarray, width: int) -> np.ndarray:
-    """Hash of every window of ``width`` consecutive codes."""
+    """``span_hash`` of every window of ``width`` consecutive codes."""
     n = len(codes) - width + 1
     if n <= 0:
         return np.zeros(0, dtype=_U)
-    at = np.arange(n)
-    return span_hash(codes, at, at + width)
+    up, down = powers(len(codes) + 1)
+    total = np.zeros(len(codes) + 1, dtype=_U)
+    np.cumsum(codes * up[:len(codes)], out=total[1:])
+    got = total[width:] - total[:n]
+    got *= down[:n]
+    got += _U(width * 0x9FB21C651E98DF25 & (1 << 64) - 1)
+    return mix(got)
 
 
 def sliding_argmin(x: np.ndarray, width: int) -> np.ndarray:
-    """Index of the leftmost smallest value in every window of ``width``."""
+    """Index of the smallest value in every window of ``width``, the leftmost
+    of equal ones.  Values count by their high 40 bits; the low bits carry the
+    index through the minima."""
     n = len(x) - width + 1
     if n <= 0:
         return np.zeros(0, dtype=np.int64)
-    at = np.arange(len(x), dtype=np.int64)
-    val, size = x, 1
-    while size * 2 <= width:                # leftmost minimum over 2, 4, 8 ... values
-        right = val[size:] < val[:-size]
-        at = np.where(right, at[size:], at[:-size])
-        val = np.where(right, val[size:], val[:-size])
+    low = _U((1 << max(24, int(len(x)).bit_length())) - 1)
+    val = (x & ~low) | np.arange(len(x), dtype=_U)
+    size = 1
+    while size * 2 <= width:
+        val = np.minimum(val[:-size], val[size:])
         size *= 2
     rest = width - size
     if rest:
-        right = val[rest:] < val[:len(val) - rest]
-        at = np.where(right, at[rest:], at[:len(at) - rest])
-    return at[:n]
+        val = np.minimum(val[:len(val) - rest], val[rest:])
+    return (val[:n] & low).astype(np.int64)

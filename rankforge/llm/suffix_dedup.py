@@ -135,6 +135,13 @@ def longest_previous_factor(text: np.ndarray, depth: int, at: np.ndarray | None
 
 # ---- Spark stages ----------------------------------------------------------
 
+def _windows(off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(context, position) of every window of ``k`` bytes inside a context."""
+    n = np.maximum(np.diff(off) - k + 1, 0)
+    own = np.repeat(np.arange(len(n)), n)
+    return own, np.arange(n.sum()) + np.repeat(off[:-1] - (np.cumsum(n) - n), n)
+
+
 def _contexts(k: int):
     def work(ids, texts, rows):
         lo, hi = repeats.rows_of(ids, rows["doc"])
@@ -162,37 +169,49 @@ def _match(k: int):
         order = np.lexsort((cols["start"], cols["doc"]))         # text order is document order
         h, part, doc, start = (cols[c][order] for c in ("h", "part", "doc", "start"))
         raw, off = utf8(table.column("body").take(pa.array(order)))
-        size = np.diff(off)
-        # each context, then a mark of its own group so that groups don't match each other
-        n = len(raw) + len(size)
-        row = np.repeat(np.arange(len(size)), size)
-        text = np.zeros(n, dtype=np.uint64)
-        text[np.arange(len(raw)) + row] = raw.astype(np.uint64) + np.uint64(1)
-        base = off[:-1] + np.arange(len(size))
-        wins = size - k + 1
-        end = np.cumsum(wins)
-        own = np.repeat(np.arange(len(size)), wins)
-        shift = np.arange(end[-1]) - np.repeat(end - wins, wins)
-        at = base[own] + shift
-        again = longest_previous_factor(text, k, at) >= k
-        # positions of one document may meet in two overlapping contexts: not a repeat of itself
-        place = doc[own], start[own] + shift
+        large = _oversized(h, part)
+        codes = _CODES[raw]
+        whole = window_hash(codes, k)
+
+        own, at = _windows(off, k)
+        # a window whose hash is alone in this buffer has no long earlier factor here
+        seen = np.sort(whole[at])
+        twice = seen[1:][seen[1:] == seen[:-1]]
+        hit = np.zeros(len(at), dtype=bool)
+        if len(twice):
+            hit = twice[np.minimum(np.searchsorted(twice, whole[at]), len(twice) - 1)] == whole[at]
+        again = np.zeros(len(at), dtype=bool)
+        if hit.any():
+            # the parts of the contexts that hold such windows, each followed by a mark
+            which, shift = own[hit], at[hit] - off[own[hit]]
+            first = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
+            lo = off[which[first]] + shift[first]
+            hi = off[which[first]] + shift[np.append(first[1:], len(which)) - 1] + k
+            size = hi - lo
+            base = np.cumsum(size + 1) - (size + 1)
+            src = np.arange(size.sum()) + np.repeat(lo - (np.cumsum(size) - size), size)
+            text = np.zeros(int((size + 1).sum()), dtype=np.uint64)
+            text[np.arange(len(src)) + np.repeat(np.arange(len(size)), size)] = raw[src].astype(np.uint64) + np.uint64(1)
+            block = np.searchsorted(first, np.arange(len(which)), side="right") - 1
+            again[hit] = longest_previous_factor(text, k, base[block] + at[hit] - lo[block]) >= k
+        place = start[own] + at - off[own]
         if again.any():
-            key = np.lexsort((place[1], place[0]))
+            # rows that repeat an id bring the same window twice: not a repeat of itself
+            key = np.lexsort((place, doc[own]))
             twin = np.zeros(len(at), dtype=bool)
-            twin[key[1:]] = (place[0][key[1:]] == place[0][key[:-1]]) & (place[1][key[1:]] == place[1][key[:-1]])
-            if twin.any():
-                again &= ~twin
-        open_ = np.flatnonzero(~again & _oversized(h, part)[own])
-        z = np.zeros(int(again.sum()))
-        yield repeats._table(repeats._CHAIN, mix((place[1][again] + h[own][again]).view(np.uint64)).view(np.int64), z,
-                             place[0][again], place[1][again], z + 1, z, z)
-        if len(open_):
-            codes = _CODES[raw]
-            p = off[:-1][own[open_]] + shift[open_]
-            yield from repeats._local(window_hash(codes, k)[p].view(np.int64),
-                                      span_hash(mix(codes ^ other), p, p + k).view(np.int64),
-                                      place[0][open_], place[1][open_], np.ones(len(open_), dtype=np.int64))
+            twin[key[1:]] = (doc[own][key[1:]] == doc[own][key[:-1]]) & (place[key[1:]] == place[key[:-1]])
+            again &= ~twin
+            got = np.flatnonzero(again)                           # runs of neighbouring windows become one row
+            head = np.flatnonzero(np.append(True, (own[got][1:] != own[got][:-1]) | (got[1:] != got[:-1] + 1)))
+            n, z = np.diff(np.append(head, len(got))), np.zeros(len(head))
+            got = got[head]
+            yield repeats._table(repeats._CHAIN, mix((place[got] + h[own[got]]).view(np.uint64)).view(np.int64), z,
+                                 doc[own[got]], place[got], n, z, z)
+        rest = np.flatnonzero(~again & large[own])
+        if len(rest):
+            p = at[rest]
+            yield from repeats._local(whole[p].view(np.int64), span_hash(mix(codes ^ other), p, p + k).view(np.int64),
+                                      doc[own[rest]], place[rest], np.ones(len(rest), dtype=np.int64))
 
     def _oversized(h, part):
         """Rows of an anchor that may have several parts."""
