@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rankforge.llm import embeddings, exact_dedup, jaccard_join, licenses, mixing, packing, quality, substring_dedup, suffix_dedup
+from rankforge.llm import embeddings, exact_dedup, jaccard_join, licenses, mixing, packing, pitman_yor, quality, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_ngram_jaccard_join": jaccard_join.op3_ngram_jaccard_join,
     "op4_substring_dedup": substring_dedup.op4_substring_dedup,
     "op5_quality_classifier": quality.op5_quality_classifier,
+    "op6_pitman_yor_scores": pitman_yor.op6_pitman_yor_scores,
     "op7_embedding_near_dedup": embeddings.op7_embedding_near_dedup,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_license_scan": licenses.op9_license_scan,

@@ -187,10 +187,11 @@ def find_repeats(docs: DataFrame, units: Callable, k: int, m: int) -> DataFrame:
     return cut_lineage(resolve(docs.mapInArrow(chains(units, k, m), _CHAIN), check=True))
 
 
-def n_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
-    """Blocks of about ``block_bytes`` of text, at least one per shuffle partition."""
+def n_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, least: int | None = None) -> int:
+    """Blocks of about ``block_bytes`` of text, at least one per shuffle partition
+    or ``least``."""
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    return max(1 + total // block_bytes, partitions(docs.sparkSession))
+    return max(1 + total // block_bytes, least or partitions(docs.sparkSession))
 
 
 def block_of(blocks: int):
