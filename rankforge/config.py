@@ -33,16 +33,16 @@ MAX_ROUND = 10
 TEMPO = 100                 # blocks between recomputes
 EPOCH_BLOCKS = 7200         # one day of 12-second blocks: the at-rest partition
 TERMINAL_STATUS = (400, 404, 410)
-ENV_PREFIXES = ("agentgym", "affine")
+ENV_PREFIXES = ("arena", "vector")
 ACTIVE_ENVS = (
-    "agentgym:webshop",
-    "agentgym:alfworld",
-    "agentgym:babyai",
-    "agentgym:sciworld",
-    "agentgym:textcraft",
-    "affine:sat",
-    "affine:ded",
-    "affine:abd",
+    "arena:webshop",
+    "arena:alfworld",
+    "arena:babyai",
+    "arena:sciworld",
+    "arena:textcraft",
+    "vector:sat",
+    "vector:ded",
+    "vector:abd",
 )
 HEAVY_DEPLOYMENT_FIELDS = ("readme", "cords", "tagline", "instances")
 MAX_BLOCK = (1 << 63) - 1   # null block sorts as +infinity

@@ -91,7 +91,7 @@ def fx_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
 # registry = customer; commitments = orders; repo files = lineitem x orders;
 # gating and deployments are derived per model / per order.
 _W_MODEL = ("concat('lab', CAST(o_custkey % 4 AS STRING), '/', "
-            "CASE WHEN o_orderstatus = 'F' THEN 'Affine-' ELSE 'Other-' END, "
+            "CASE WHEN o_orderstatus = 'F' THEN 'Vector-' ELSE 'Other-' END, "
             "substr(o_orderpriority, 1, 1))")
 _W_REV = "concat('rev', CAST(o_orderkey % 3 AS STRING))"
 _W_CHUTE = "concat('ch', CAST(o_orderkey AS STRING))"

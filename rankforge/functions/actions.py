@@ -351,7 +351,7 @@ def hole_prompt(code, holes, domains, inputs, expected) -> Column:
     ``code`` array<struct<op,arg>>, ``domains`` map<string,array<bigint>>,
     ``inputs`` array<array<bigint>>, ``expected`` array<string>."""
     prog = F.array_join(F.transform(_c(code), lambda x, i: F.concat(
-        F.lpad(i.cast("string"), 3, "0"), F.lit(": "), x["op"],
+        F.format_string("%03d", i), F.lit(": "), x["op"],
         F.when(x["arg"].isNotNull(), F.concat(F.lit(" "), x["arg"])).otherwise(F.lit("")))), "\n")
 
     def dom_line(h):

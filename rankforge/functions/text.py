@@ -196,10 +196,10 @@ def to_react(thought, action) -> Column:
 # ---- T13 / T14 / T15 / T16 / T17 -------------------------------------------------------
 def single_action(c) -> Column:
     """All 'Action:' lines; more than one -> error; none -> ''; keep
-    [A-Za-z0-9, ] and squeeze spaces.  struct(action, error)."""
+    [A-Za-z0-9, ], squeeze and trim spaces.  struct(action, error)."""
     acts = F.regexp_extract_all(_c(c), F.lit(r"Action:\s*([^\n]*)"), 1)
     first = F.coalesce(F.try_element_at(acts, F.lit(1)), F.lit(""))
-    clean = F.regexp_replace(F.regexp_replace(first, r"[^A-Za-z0-9, ]+", ""), r" +", " ")
+    clean = F.trim(F.regexp_replace(F.regexp_replace(first, r"[^A-Za-z0-9, ]+", ""), r" +", " "))
     return F.struct(F.when(F.size(acts) > 1, F.lit(None)).otherwise(clean).alias("action"),
                     (F.size(acts) > 1).alias("error"))
 
@@ -242,11 +242,19 @@ def code_comments(c) -> Column:
 
 
 # ---- T23 ---------------------------------------------------------------------------
+#: Where a line may end: before a blank; after the hyphen of a hyphenated
+#: word; before and after a run of hyphens between words.
+_LETTER, _WORD_MARK = r"[^\d\W]", r"[\w!\"'&.,?]"
+_LINE_END = (rf"(?:(?= )|(?<={_LETTER}{{2}}-)(?={_LETTER}-?{_LETTER})|(?<={_LETTER}-{_LETTER}-)(?={_LETTER}-?{_LETTER})"
+             rf"|(?<={_WORD_MARK})(?=-{{2,}}\w)|(?<={_WORD_MARK}-{{2,80}})(?=\w))")
+
+
 def shorten(c, width: int = SHORTEN_WIDTH) -> Column:
-    """Collapse whitespace; if longer than ``width`` keep the longest word
-    prefix that leaves room for the ellipsis.  null/empty -> ''."""
+    """Collapse whitespace; if longer than ``width`` keep the longest prefix
+    that ends where a line may and leaves room for the ellipsis.  null/empty
+    -> ''."""
     t = F.regexp_replace(py_strip(F.coalesce(_c(c), F.lit(""))), f"{PY_WS}+", " ")
-    head = F.regexp_extract(t, f"^(.{{0,{width - 1}}})(?= )", 1)
+    head = F.regexp_extract(t, f"(?U)^(.{{0,{width - 1}}}){_LINE_END}", 1)
     return F.when(F.length(t) <= width, t).otherwise(F.concat(head, F.lit(ELLIPSIS)))
 
 

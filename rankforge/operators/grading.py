@@ -40,7 +40,7 @@ def json_ascii_escape(s: pd.Series) -> pd.Series:
         out = []
         for ch in t:
             o = ord(ch)
-            if o < 0x80:
+            if o < 0x7F:
                 out.append(ch)
             elif o < 0x10000:
                 out.append(f"\\u{o:04x}")
@@ -51,21 +51,31 @@ def json_ascii_escape(s: pd.Series) -> pd.Series:
     return s.map(esc)
 
 
+def lower_escapes(j: Column) -> Column:
+    """JSON text with the escapes of control characters in lower-case hex.
+    A pair of backslashes is an escaped backslash and shields what follows."""
+    out = j
+    for code in (0x0B, 0x0E, 0x0F, *range(0x1A, 0x20)):       # those whose hex digits have letters
+        out = F.regexp_replace(out, r"(?<!\\)((?:\\\\)*)\\u%04X" % code, "$1\\\\u%04x" % code)
+    return F.when(F.contains(j, F.lit("\\u00")), out).otherwise(j)
+
+
 def canonical_challenge(env, extra_json, prompt) -> Column:
     """Sorted-key, no-space JSON of {env, extra, prompt} (variant objects
     keep keys sorted at every depth)."""
-    extra = F.coalesce(F.parse_json(extra_json), F.parse_json(F.lit("{}")))
-    return F.to_json(F.struct(F.col(env).alias("env") if isinstance(env, str) else env.alias("env"),
+    extra = F.coalesce(F.try_parse_json(extra_json), F.parse_json(F.lit("{}")))
+    return lower_escapes(F.to_json(F.struct(F.col(env).alias("env") if isinstance(env, str) else env.alias("env"),
                               extra.alias("extra"),
-                              (F.col(prompt) if isinstance(prompt, str) else prompt).alias("prompt")))
+                              (F.col(prompt) if isinstance(prompt, str) else prompt).alias("prompt"))))
 
 
 def challenge_id(env, extra_json, prompt, ascii_escape: bool = False) -> Column:
     """sha256 hex of the canonical challenge JSON.  UTF-8 text is the
     default; ``ascii_escape`` reproduces Python's \\uXXXX escaping."""
     j = canonical_challenge(env, extra_json, prompt)
-    if ascii_escape:
-        j = json_ascii_escape(j)
+    if ascii_escape:      # only rows with other characters go through Python
+        odd = j.rlike(r"[^\x00-\x7E]")
+        j = F.coalesce(json_ascii_escape(F.when(odd, j)), j)
     return F.sha2(j, 256)
 
 
@@ -77,35 +87,53 @@ def verify_integrity(df: DataFrame, stored: str = "challenge_id", **kw) -> DataF
 
 
 # ---- J4 / J5 / D15 ---------------------------------------------------------------
+def _as_text(value) -> str:
+    if isinstance(value, list):
+        return "\n".join(map(_as_text, value))
+    return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+
+
+@F.pandas_udf(T.StringType())
+def _nested_text(s: pd.Series) -> pd.Series:
+    return s.map(lambda j: None if j is None else _as_text(json.loads(j)))
+
+
 def payload_to_text(j) -> Column:
-    """J4 over JSON text: a string as is; a list joined by newlines (nested
-    lists flattened, which is what the recursive join gives); anything else
-    as its JSON text.  Null stays null."""
+    """J4 over JSON text: a string as is; a list joined by newlines, at any
+    depth; anything else as its JSON text, so null and a missing payload are
+    ``null``.  Text that isn't JSON gives SQL null.  Strings and lists of
+    strings stay in the JVM; only other values go through Arrow."""
     j = F.col(j) if isinstance(j, str) else j
-    v = F.parse_json(j)
+    j = F.coalesce(j, F.lit("null"))
+    v = F.try_parse_json(j)
     kind = F.schema_of_variant(v)
-    as_list = F.from_json(j, "array<string>")
-    flat = F.transform(as_list, lambda e: F.when(F.startswith(e, F.lit("[")),
-                                                 F.array_join(F.from_json(e, "array<string>"), "\n"))
-                       .otherwise(e))
-    return (F.when(j.isNull(), F.lit(None))
-            .when(kind == "STRING", F.get_json_object(j, "$"))
-            .when(F.startswith(kind, F.lit("ARRAY")), F.array_join(flat, "\n"))
-            .otherwise(F.to_json(v)))
+    plain = F.when(kind == "STRING", F.get_json_object(j, "$")) \
+        .when(kind == "ARRAY<STRING>", F.array_join(F.from_json(j, "array<string>"), "\n", "null"))
+    return F.coalesce(plain, _nested_text(F.when(v.isNotNull() & ~kind.isin("STRING", "ARRAY<STRING>"), j)))
 
 
 def case_expectation(ctype, output_json) -> Column:
     """Expected text of one case: stdin_stdout -> J4(output);
-    function_call -> J4(first element when a non-empty list); null output ->
-    null (any clean run passes)."""
+    function_call -> J4(first element of a non-empty list, else output).  A
+    missing output is expected as the text ``null``; null for other types and
+    for output text that isn't JSON."""
     ctype = F.col(ctype) if isinstance(ctype, str) else ctype
     o = F.col(output_json) if isinstance(output_json, str) else output_json
-    first = F.get_json_object(o, "$[0]")
-    is_list = F.startswith(F.schema_of_variant(F.parse_json(o)), F.lit("ARRAY"))
-    fc = F.when(is_list & first.isNotNull(),
-                payload_to_text(F.to_json(F.variant_get(F.parse_json(o), "$[0]", "variant"))))\
-        .otherwise(payload_to_text(o))
-    return F.when(ctype == "stdin_stdout", payload_to_text(o)).when(ctype == "function_call", fc)
+    o = F.coalesce(o, F.lit("null"))
+    v = F.try_parse_json(o)
+    is_list = F.startswith(F.schema_of_variant(v), F.lit("ARRAY"))
+    first = F.to_json(F.try_variant_get(v, "$[0]", "variant"))
+    take = (ctype == "function_call") & F.coalesce(is_list, F.lit(False)) & first.isNotNull()
+    return payload_to_text(F.when(take, first).when(ctype.isin("stdin_stdout", "function_call"), o)
+                           .otherwise(F.lit("{")))
+
+
+def case_passes(expected: Column, got: Column, stderr: Column) -> Column:
+    """A clean run whose output equals the expectation, line ends trimmed;
+    without an expectation nothing passes."""
+    clean = X.py_strip(F.coalesce(stderr, F.lit(""))) == ""
+    same = X.normalise_output(F.coalesce(got, F.lit(""))) == X.normalise_output(expected)
+    return clean & F.coalesce(same, F.lit(False))
 
 
 def grade_cases(cases: DataFrame, item: str = "item_id") -> DataFrame:
@@ -115,66 +143,62 @@ def grade_cases(cases: DataFrame, item: str = "item_id") -> DataFrame:
 
     ``cases``: item, type, output (JSON text or null), got, stderr."""
     known = F.col("type").isin("stdin_stdout", "function_call")
-    exp = case_expectation("type", "output")
-    clean = X.py_strip(F.coalesce(F.col("stderr"), F.lit(""))) == ""
-    correct = clean & (exp.isNull() | (X.normalise_output(F.coalesce("got", F.lit(""))) ==
-                                       X.normalise_output(exp)))
-    g = cases.groupBy(item).agg(F.count_if(known & correct).alias("passed"),
-                                F.count_if(known).alias("total"))
+    c = cases.withColumn("_exp", case_expectation("type", "output"))
+    correct = case_passes(F.col("_exp"), F.col("got"), F.col("stderr"))
+    g = c.groupBy(item).agg(F.count_if(known & correct).alias("passed"), F.count_if(known).alias("total"))
     return g.withColumn("score", F.when(F.col("passed") == F.col("total"), 1.0).otherwise(0.0))
 
 
 def grade_items_with_cases(items: DataFrame, cases: DataFrame, item: str = "item_id") -> DataFrame:
-    """J3 tail: items without any case score 0 with a reason."""
+    """J3 tail: items without any case score 0 with a reason, the item's own
+    (``reason`` of ``parse_verification``) when it has one."""
     g = grade_cases(cases, item)
-    j = items.select(item).join(g, item, "left")
+    own = F.col("reason") if "reason" in items.columns else F.lit(None).cast("string")
+    j = items.select(item, own.alias("_why")).join(g, item, "left")
     return j.select(item, F.coalesce("passed", F.lit(0)).alias("passed"),
                     F.coalesce("total", F.lit(0)).alias("total"),
                     F.coalesce("score", F.lit(0.0)).alias("score"),
-                    F.when(F.col("score").isNull(), F.lit("no_cases")).alias("reason"))
+                    F.when(F.col("score").isNull(), F.coalesce("_why", F.lit("no_cases"))).alias("reason"))
 
 
 # ---- J3 --------------------------------------------------------------------------
-_CASES_SCHEMA = "array<struct<type:string,input:string,output:string,fn_name:string>>"
-
-
-def _literal_to_json(it):
-    for pdf in it:
-        def conv(t):
-            if t is None:
-                return None
-            try:
-                json.loads(t)
-                return t
-            except ValueError:
-                pass
-            try:
-                return json.dumps(ast.literal_eval(t))
-            except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
-                return None
-        pdf = pdf.copy()
-        pdf["_ver"] = pdf["_ver"].map(conv)
-        yield pdf
+_CASES_SCHEMA = "array<struct<type:string,input:variant,output:variant,fn_name:string>>"
+
+
+@F.pandas_udf(T.StringType())
+def _literal_to_json(s: pd.Series) -> pd.Series:
+    """Python data literals as JSON text; null where it is none."""
+    def conv(t):
+        if t is None:
+            return None
+        try:
+            return json.dumps(ast.literal_eval(t))
+        except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+            return None
+    return s.map(conv)
 
 
 def parse_verification(df: DataFrame, col_info: str = "verification_info",
                        col_cases: str = "test_cases") -> DataFrame:
-    """Verification payload -> ``cases`` array.  ``verification_info``
-    else ``test_cases``; JSON first, Python literals as fallback (data
-    literals only, via ``ast.literal_eval`` in an Arrow batch).  Rows with
-    no cases get ``reason`` = 'no_cases', unparsable ones 'invalid'."""
-    d = df.withColumn("_ver", F.coalesce(F.col(col_info), F.col(col_cases)))
-    ok_json = F.try_parse_json(F.col("_ver")).isNotNull()
-    needs_py = d.filter(F.col("_ver").isNotNull() & ~ok_json)
-    good = d.filter(F.col("_ver").isNull() | ok_json)
-    fixed = needs_py.mapInPandas(_literal_to_json, d.schema)
-    d = good.unionByName(fixed)
-    cases = F.from_json(F.get_json_object(F.col("_ver"), "$.test_cases"), _CASES_SCHEMA)
+    """Verification payload -> ``cases``, an array of (type, input,
+    output, fn_name) whose output and input are JSON text, as J4 and J5 read
+    them.  ``verification_info``, or ``test_cases`` when that is null or
+    empty; JSON first, Python literals as fallback (data only, in an Arrow
+    batch that gets just those rows).  ``reason``: 'invalid' for a payload
+    that is neither or no object, 'no_cases' without payload or cases."""
+    raw = F.coalesce(F.nullif(F.col(col_info), F.lit("")), F.nullif(F.col(col_cases), F.lit("")))
+    d = df.withColumn("_raw", raw).withColumn("_json", F.try_parse_json("_raw").isNotNull())
+    d = d.withColumn("_ver", F.when(F.col("_json"), F.col("_raw")).otherwise(
+        _literal_to_json(F.when(~F.col("_json"), F.col("_raw")))))
+    is_object = F.coalesce(F.startswith(F.schema_of_variant(F.try_parse_json("_ver")), F.lit("OBJECT")), F.lit(False))
+    items = F.from_json(F.get_json_object(F.col("_ver"), "$.test_cases"), _CASES_SCHEMA)
+    cases = F.transform(items, lambda c: F.struct(
+        c["type"].alias("type"), F.to_json(c["input"]).alias("input"), F.to_json(c["output"]).alias("output"),
+        c["fn_name"].alias("fn_name")))
     d = d.withColumn("cases", cases)
-    reason = (F.when(F.col("_ver").isNull() & F.col(col_info).isNotNull(), "invalid")
-              .when(F.col("_ver").isNull(), "no_cases")
+    reason = (F.when(F.col("_raw").isNull(), "no_cases").when(F.col("_ver").isNull() | ~is_object, "invalid")
               .when(F.coalesce(F.size("cases"), F.lit(0)) <= 0, "no_cases"))
-    return d.withColumn("reason", reason).drop("_ver")
+    return d.withColumn("reason", reason).drop("_raw", "_json", "_ver")
 
 
 # ---- J6 / J7 / S5 / HVM all-pass ------------------------------------------------------
@@ -192,11 +216,15 @@ def holes_verdict(answers, holes, domains) -> Column:
     return F.struct(reason.isNull().alias("ok"), reason.alias("reason"))
 
 
-def all_outputs_pass(expected, got) -> Column:
-    """HVM all-pass: every case's canonical output equals the expected one;
-    a missing run output counts as ''."""
-    pairs = F.arrays_zip(F.col(expected).alias("e"), F.col(got).alias("g"))
-    return F.forall(pairs, lambda p: X.canon_output(p["e"]) == X.canon_output(F.coalesce(p["g"], F.lit(""))))
+def all_outputs_pass(expected, got, inputs: str | None = None) -> Column:
+    """HVM all-pass: every input has a run that ended well (a missing run is
+    null in ``got``) and whose canonical output equals the expected one.
+    ``inputs`` names the inputs' array when it may be longer than
+    ``expected``; an input without an expectation never passes."""
+    n = F.size(inputs) if inputs else F.size(expected)
+    pairs = F.slice(F.arrays_zip(F.col(expected).alias("e"), F.col(got).alias("g")), 1, F.greatest(n, F.lit(1)))
+    hit = F.filter(pairs, lambda p: p["e"].isNotNull() & p["g"].isNotNull() & (X.canon_output(p["e"]) == X.canon_output(p["g"])))
+    return F.when(n == 0, F.lit(True)).otherwise(F.size(hit) == n)
 
 
 # ---- J8 ------------------------------------------------------------------------------
@@ -217,7 +245,7 @@ def grade_abduction(df: DataFrame, program: str = "program", response: str = "re
     d = df.withColumn("_in", X.extract_tagged_input(resp, "INPUT")).withColumn(
         "_tags", X.has_tag_block(resp, "INPUT"))
     d = d.withColumn("_enough", X.enough_input_lines(F.col(program), F.col("_in")))
-    clean = X.py_strip(F.coalesce(F.col(run_error), F.lit(""))) == ""
+    clean = F.coalesce(F.col(run_error), F.lit("")) == ""        # any error text counts, blank ones too
     reason = (F.when((F.col("_in") == "") & ~F.col("_tags"), "no_input")
               .when(~F.col("_enough"), "invalid_input")
               .when(~clean, "error")
@@ -290,13 +318,80 @@ def drop_heavy_fields(c: Column, fields=HEAVY_FIELDS, image: str = "image") -> C
     return c.dropFields(*fields, f"{image}.readme")
 
 
+# ---- graders as columns ------------------------------------------------------------------
+def _verdict(ok: Column, reason: Column) -> Column:
+    return F.struct(F.when(ok, 1.0).otherwise(0.0).alias("score"), reason.alias("reason"))
+
+
+def grade_answer(response: str = "response", expected: str = "expected") -> Column:
+    """ELR verdict."""
+    return _verdict(answer_match(response, expected), F.lit(None).cast("string"))
+
+
+def grade_sat(response: str = "response", clauses: str = "clauses") -> Column:
+    """SAT verdict: the assignments named in the response satisfy every clause."""
+    ok = F.coalesce(X.sat_satisfied(clauses, X.parse_assignments(response)), F.lit(False))
+    return _verdict(ok, F.when(ok, "ok").otherwise("unsatisfied"))
+
+
+def grade_holes(response: str = "response", holes: str = "holes", domains: str = "domains",
+                expected: str = "expected_runs", got: str = "got_runs") -> Column:
+    """HVM verdict over recorded runs."""
+    v = holes_verdict(X.parse_holes(response), F.col(holes), F.col(domains))
+    same = all_outputs_pass(expected, got)
+    return _verdict(v["ok"] & same, F.coalesce(v["reason"], F.when(same, "ok").otherwise("mismatch")))
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _expectations(types: pd.Series, outputs: pd.Series) -> pd.Series:
+    """J5 of all cases of an item; null for other types and invalid JSON."""
+    def one(kind, text):
+        if kind not in ("stdin_stdout", "function_call"):
+            return None
+        try:
+            value = json.loads("null" if text is None else text)
+        except ValueError:
+            return None
+        if kind == "function_call" and isinstance(value, list) and value:
+            value = value[0]
+        return _as_text(value)
+    return pd.Series([None if t is None else [one(a, b) for a, b in zip(t, o)] for t, o in zip(types, outputs)])
+
+
+def grade_deduction(cases: str = "cases", when: Column | None = None) -> Column:
+    """DED verdict of an item that carries its cases, an array of (type,
+    output, got, stderr); ``when`` says which rows need one."""
+    c = F.col(cases) if when is None else F.when(when, F.col(cases))
+    exp = _expectations(c["type"], c["output"])
+    known = F.filter(F.arrays_zip(c.alias("c"), exp.alias("e")),
+                     lambda x: x["c"]["type"].isin("stdin_stdout", "function_call"))
+    passed = F.filter(known, lambda x: case_passes(x["e"], x["c"]["got"], x["c"]["stderr"]))
+    none = F.coalesce(F.size(c), F.lit(0)) <= 0
+    ok = ~none & (F.size(passed) == F.size(known))
+    return _verdict(ok, F.when(none, "no_cases").when(ok, "ok").otherwise("mismatch"))
+
+
+def grade_abduction_row(program: str = "program", response: str = "response", expected: str = "expected",
+                        got: str = "got", run_error: str = "run_error") -> Column:
+    """ABD verdict (the rules of ``grade_abduction``) as one column."""
+    resp = F.coalesce(F.col(response), F.lit(""))
+    text = X.extract_tagged_input(resp, "INPUT")
+    program = F.col(program) if isinstance(program, str) else program
+    reason = (F.when((text == "") & ~X.has_tag_block(resp, "INPUT"), "no_input")
+              .when(~X.enough_input_lines(program, text), "invalid_input")
+              .when(F.coalesce(F.col(run_error), F.lit("")) != "", "error")
+              .when(~X.outputs_equal(F.col(expected), F.coalesce(F.col(got), F.lit(""))), "mismatch")
+              .otherwise("ok"))
+    return _verdict(reason == "ok", reason)
+
+
 # ---- U1-U3 ------------------------------------------------------------------------------
 @dataclass(frozen=True)
 class EnvSpec:
-    """A scored environment: a grade function from the env's rows to rows
-    with ``score`` and ``reason``."""
+    """A scored environment: ``grade`` gives the verdict column, a struct of
+    score and reason, of the env's rows."""
     name: str
-    grade: Callable[[DataFrame], DataFrame]
+    grade: Callable[[], Column]
     defaults: dict = field(default_factory=dict)
 
 
@@ -322,14 +417,26 @@ class EnvRegistry:
     def names(self) -> list[str]:
         return sorted(s.name for s in self._specs.values())
 
-    def grade_all(self, df: DataFrame, env_col: str = "env") -> DataFrame:
-        """Dispatch each env's rows to its grader (filter + unionByName);
-        rows of an unknown env come out with reason 'unknown_env'."""
-        outs = []
+    def grade_all(self, df: DataFrame, env_col: str = "env", item: str = "item_id") -> DataFrame:
+        """Dispatch each row to its env's grader in one pass over the table:
+        one ordered ``when`` over the env column.  Rows of an unknown or null
+        env come out with reason 'unknown_env'."""
+        verdict = None
         for key, spec in self._specs.items():
-            part = df.filter(F.lower(F.col(env_col)) == F.lit(key))
-            outs.append(spec.grade(part).select(env_col, "item_id", "score", "reason"))
-        known = F.lower(F.col(env_col)).isin(list(self._specs))
-        outs.append(df.filter(~known).select(env_col, "item_id", F.lit(0.0).alias("score"),
-                                             F.lit("unknown_env").alias("reason")))
-        return reduce(DataFrame.unionByName, outs)
+            mine = F.lower(F.col(env_col)) == F.lit(key)
+            verdict = F.when(mine, spec.grade()) if verdict is None else verdict.when(mine, spec.grade())
+        other = _verdict(F.lit(False), F.lit("unknown_env"))
+        v = df.withColumn("_v", other if verdict is None else verdict.otherwise(other))
+        return v.select(env_col, item, F.col("_v.score").alias("score"), F.col("_v.reason").alias("reason"))
+
+
+# ---- U2 -----------------------------------------------------------------------------------
+def evaluate_rows(tasks: DataFrame, responses: DataFrame, grade: Column, keys: list[str]) -> DataFrame:
+    """A user's grading column over the recorded responses of planned
+    tasks (C8 or C7 rows): every task keeps a row, graded when its response
+    is there, else failed with reason 'no_response'."""
+    r = responses.withColumn("_there", F.lit(True))
+    j = tasks.join(r, keys, "left")
+    there = F.coalesce("_there", F.lit(False))
+    v = F.when(there, grade).otherwise(_verdict(F.lit(False), F.lit("no_response")))
+    return j.withColumn("_v", v).select(*keys, F.col("_v.score").alias("score"), F.col("_v.reason").alias("reason"))

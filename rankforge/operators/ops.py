@@ -23,11 +23,11 @@ def _c(x) -> Column:
 # ---- B2 -----------------------------------------------------------------------------
 def parse_env(c, active: Sequence[str] = ACTIVE_ENVS) -> Column:
     """Strip; the name must be an active env; ``prefix:name`` splits on the
-    first ':' and the prefix must be known; a bare name is an agentgym env.
+    first ':' and the prefix must be known; a bare name is an arena env.
     struct(valid, prefix, name)."""
     s = F.regexp_replace(_c(c), r"^\s+|\s+\z", "")
     has = F.contains(s, F.lit(":"))
-    prefix = F.when(has, F.substring_index(s, ":", 1)).otherwise(F.lit("agentgym"))
+    prefix = F.when(has, F.substring_index(s, ":", 1)).otherwise(F.lit("arena"))
     name = F.when(has, F.regexp_replace(s, r"^[^:]*:", "")).otherwise(s)
     valid = s.isin(list(active)) & prefix.isin(list(ENV_PREFIXES))
     return F.struct(valid.alias("valid"), F.when(valid, prefix).alias("prefix"),
@@ -37,12 +37,12 @@ def parse_env(c, active: Sequence[str] = ACTIVE_ENVS) -> Column:
 # ---- B3 -----------------------------------------------------------------------------
 def parse_env_list(spec) -> Column:
     """Comma list -> array<struct<prefix,name>>: blanks dropped, a bare token
-    gets the agentgym prefix, unknown prefixes are skipped.  An empty result
+    gets the arena prefix, unknown prefixes are skipped.  An empty result
     is an error for the caller (``size == 0``)."""
     toks = F.filter(F.transform(F.split(F.coalesce(_c(spec), F.lit("")), ","),
                                 lambda t: F.regexp_replace(t, r"^\s+|\s+\z", "")), lambda t: t != "")
     parsed = F.transform(toks, lambda t: F.struct(
-        F.when(F.contains(t, F.lit(":")), F.substring_index(t, ":", 1)).otherwise(F.lit("agentgym")).alias("prefix"),
+        F.when(F.contains(t, F.lit(":")), F.substring_index(t, ":", 1)).otherwise(F.lit("arena")).alias("prefix"),
         F.when(F.contains(t, F.lit(":")), F.regexp_replace(t, r"^[^:]*:", "")).otherwise(t).alias("name")))
     return F.filter(parsed, lambda p: p["prefix"].isin(list(ENV_PREFIXES)))
 

@@ -85,14 +85,14 @@ def weights_shas(files: DataFrame) -> DataFrame:
 
 
 # ---- C2 + B9 + B6 ------------------------------------------------------------
-def family_ok(name, prefix: str = "affine") -> "F.Column":
+def family_ok(name, prefix: str = "vector") -> "F.Column":
     """Second '/'-part, first 6 characters lower-cased equal to prefix;
     no '/' is invalid."""
     part = F.try_element_at(F.split(name, "/"), F.lit(2))
     return F.coalesce(F.substring(F.lower(part), 1, 6) == F.lit(prefix[:6]), F.lit(False))
 
 
-def deployment_filter(df: DataFrame, deployments: DataFrame, family: str = "affine") -> DataFrame:
+def deployment_filter(df: DataFrame, deployments: DataFrame, family: str = "vector") -> DataFrame:
     """Left join the deployment by chute_id (missing -> invalid), then: hot,
     name equals model, family check (uid 0 exempt), revision equal unless
     the deployed revision is null."""
@@ -162,7 +162,7 @@ def select_uids(df: DataFrame, uids=None, col: str = "uid") -> DataFrame:
 def participants(spark: SparkSession, registry: DataFrame, commits: DataFrame,
                  gating: DataFrame, files: DataFrame, deployments: DataFrame | None = None,
                  blacklist: Iterable[str] = (), uids=None, check_validity: bool = True,
-                 family: str = "affine") -> DataFrame:
+                 family: str = "vector") -> DataFrame:
     """Valid participants: B17 B7 C1 B10 B8 J15 [C2 B9 B6] E4 E5."""
     r = select_uids(registry, uids)
     r = drop_blacklisted(spark, r, blacklist)

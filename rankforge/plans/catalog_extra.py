@@ -27,11 +27,11 @@ def register(name: str, sql: str | None):
 
 # ---- fixed values: the SDK env registry (type, name, class) ---------------------------------
 ENV_REGISTRY = (
-    ("affine", "sat", "SAT"), ("affine", "abd", "ABD"), ("affine", "ded", "DED"),
-    ("affine", "hvm", "HVM"), ("affine", "elr", "ELR"),
-    ("agentgym", "alfworld", "ALFWORLD"), ("agentgym", "webshop", "WEBSHOP"),
-    ("agentgym", "babyai", "BABYAI"), ("agentgym", "sciworld", "SCIWORLD"),
-    ("agentgym", "textcraft", "TEXTCRAFT"),
+    ("vector", "sat", "SAT"), ("vector", "abd", "ABD"), ("vector", "ded", "DED"),
+    ("vector", "hvm", "HVM"), ("vector", "elr", "ELR"),
+    ("arena", "alfworld", "ALFWORLD"), ("arena", "webshop", "WEBSHOP"),
+    ("arena", "babyai", "BABYAI"), ("arena", "sciworld", "SCIWORLD"),
+    ("arena", "textcraft", "TEXTCRAFT"),
 )
 
 
@@ -53,7 +53,7 @@ def first_block_fallback_ev(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---- C9 -----------------------------------------------------------------------------------
-_W_MODEL = ("concat('lab', CAST(o_custkey % 4 AS STRING), '/', CASE WHEN o_orderstatus = 'F' THEN 'Affine-' "
+_W_MODEL = ("concat('lab', CAST(o_custkey % 4 AS STRING), '/', CASE WHEN o_orderstatus = 'F' THEN 'Vector-' "
             "ELSE 'Other-' END, substr(o_orderpriority, 1, 1))")
 _D_MODEL = _W_MODEL.replace("AS STRING", "AS VARCHAR")
 _TTL = 6 * 3600.0

@@ -42,24 +42,25 @@ def _d_canon(x):
     return d_join(d_rstrip_lines(f"string_split({y}, {NL})"))
 
 
-def _d_j4(j):
-    """DuckDB J4 for strings, scalars and (nested) lists of scalars."""
-    return (f"(CASE WHEN {j} IS NULL THEN NULL WHEN json_type({j}) = 'VARCHAR' THEN json_extract_string({j}, '$') "
+def _d_j4(j, depth=3):
+    """DuckDB J4 over valid JSON: strings, scalars and lists nested to ``depth``."""
+    item = f"coalesce(json_extract_string(e{depth}, '$'), 'null')" if depth == 1 else _d_j4(f"e{depth}", depth - 1)
+    return (f"(CASE WHEN json_type({j}) = 'VARCHAR' THEN json_extract_string({j}, '$') "
             f"WHEN json_type({j}) = 'ARRAY' THEN array_to_string(list_transform(json_extract({j}, '$[*]'), "
-            f"lambda e: CASE WHEN json_type(e) = 'ARRAY' THEN array_to_string(json_extract_string(e, '$[*]'), {NL}) "
-            f"WHEN json_type(e) = 'VARCHAR' THEN json_extract_string(e, '$') ELSE CAST(e AS VARCHAR) END), {NL}) "
-            f"ELSE CAST(json({j}) AS VARCHAR) END)")
+            f"lambda e{depth}: {item}), {NL}) ELSE coalesce(CAST(json({j}) AS VARCHAR), 'null') END)")
 
 
 # ---- D15 + J4 + J5 (deduction cases over lineitem) ------------------------------------
 _CASES = [
     "l_orderkey AS item_id",
     "CASE l_returnflag WHEN 'N' THEN 'stdin_stdout' WHEN 'A' THEN 'function_call' ELSE 'other' END AS type",
-    "CASE WHEN l_linenumber = 4 THEN NULL "
+    "CASE WHEN l_linenumber = 4 THEN NULL WHEN l_linenumber = 5 THEN '[null,[\"[a\",[\"b\"]]]' "
+    "WHEN l_linenumber = 6 THEN '{bad' "
     "WHEN l_returnflag = 'A' THEN concat('[', CAST(CAST(l_quantity AS INT) AS STRING), ', \"x\"]') "
     "WHEN l_linenumber % 2 = 0 THEN concat('\"', CAST(CAST(l_quantity AS INT) AS STRING), '\"') "
     "ELSE concat('[\"', CAST(CAST(l_quantity AS INT) AS STRING), '\", \"ok\"]') END AS output",
-    "CASE WHEN l_discount < 0.02 THEN 'wrong' "
+    "CASE WHEN l_discount < 0.02 THEN 'wrong' WHEN l_linenumber = 4 THEN 'null' "
+    "WHEN l_linenumber = 5 THEN 'null\\n[a\\nb' "
     "WHEN l_returnflag = 'A' THEN concat(CAST(CAST(l_quantity AS INT) AS STRING), '\\n') "
     "WHEN l_linenumber % 2 = 0 THEN concat(CAST(CAST(l_quantity AS INT) AS STRING), '   \\n\\n') "
     "ELSE concat(CAST(CAST(l_quantity AS INT) AS STRING), '  \\nok\\n') END AS got",
@@ -68,11 +69,13 @@ _CASES = [
 _D_CASES = (
     "SELECT l_orderkey AS item_id, "
     "CASE l_returnflag WHEN 'N' THEN 'stdin_stdout' WHEN 'A' THEN 'function_call' ELSE 'other' END AS type, "
-    "CASE WHEN l_linenumber = 4 THEN NULL "
+    "CASE WHEN l_linenumber = 4 THEN NULL WHEN l_linenumber = 5 THEN '[null,[\"[a\",[\"b\"]]]' "
+    "WHEN l_linenumber = 6 THEN '{bad' "
     "WHEN l_returnflag = 'A' THEN concat('[', CAST(CAST(l_quantity AS INT) AS VARCHAR), ', \"x\"]') "
     "WHEN l_linenumber % 2 = 0 THEN concat('\"', CAST(CAST(l_quantity AS INT) AS VARCHAR), '\"') "
     "ELSE concat('[\"', CAST(CAST(l_quantity AS INT) AS VARCHAR), '\", \"ok\"]') END AS output, "
-    "CASE WHEN l_discount < 0.02 THEN 'wrong' "
+    "CASE WHEN l_discount < 0.02 THEN 'wrong' WHEN l_linenumber = 4 THEN 'null' "
+    f"WHEN l_linenumber = 5 THEN concat('null', {NL}, '[a', {NL}, 'b') "
     f"WHEN l_returnflag = 'A' THEN concat(CAST(CAST(l_quantity AS INT) AS VARCHAR), {NL}) "
     f"WHEN l_linenumber % 2 = 0 THEN concat(CAST(CAST(l_quantity AS INT) AS VARCHAR), '   ', {NL}, {NL}) "
     f"ELSE concat(CAST(CAST(l_quantity AS INT) AS VARCHAR), '  ', {NL}, 'ok', {NL}) END AS got, "
@@ -80,15 +83,16 @@ _D_CASES = (
     "FROM lineitem")
 
 _DED_SQL = f"""
-WITH c AS ({_D_CASES}),
-e AS (SELECT *, CASE WHEN type = 'stdin_stdout' THEN {_d_j4('output')}
+WITH r AS ({_D_CASES}),
+c AS (SELECT * EXCLUDE (output), CASE WHEN output IS NULL THEN 'null' WHEN json_valid(output) THEN output END AS output FROM r),
+e AS (SELECT *, CASE WHEN output IS NULL THEN NULL WHEN type = 'stdin_stdout' THEN {_d_j4('output')}
                      WHEN type = 'function_call' THEN
                           CASE WHEN json_type(output) = 'ARRAY' AND json_array_length(output) > 0
                                THEN {_d_j4("json_extract(output, '$[0]')")} ELSE {_d_j4('output')} END
                 END AS exp FROM c),
 k AS (SELECT item_id, type IN ('stdin_stdout', 'function_call') AS known,
              {d_strip("coalesce(stderr, '')")} = ''
-             AND (exp IS NULL OR {_d_norm("coalesce(got, '')")} = {_d_norm('exp')}) AS correct FROM e)
+             AND coalesce({_d_norm("coalesce(got, '')")} = {_d_norm('exp')}, false) AS correct FROM e)
 SELECT item_id, count(*) FILTER (WHERE known AND correct) AS passed, count(*) FILTER (WHERE known) AS total,
        CAST(CASE WHEN count(*) FILTER (WHERE known AND correct) = count(*) FILTER (WHERE known) THEN 1.0 ELSE 0.0 END
             AS DOUBLE) AS score
@@ -108,9 +112,10 @@ _HVM_ITEM = [
     "CASE WHEN o_orderkey % 17 = 0 THEN array('?a', '?b', '?c') ELSE array('?a', '?b') END AS holes",
     "map('?a', sequence(CAST(0 AS BIGINT), CAST(60 AS BIGINT)), '?b', sequence(CAST(-6 AS BIGINT), CAST(0 AS BIGINT)))"
     " AS domains",
-    "array(concat('out', CAST(o_custkey % 100 AS STRING)), 'x\\r\\n') AS expected",
+    "array(concat('out', CAST(o_custkey % 100 AS STRING)), CASE WHEN o_orderkey % 19 = 0 THEN '' ELSE 'x\\r\\n' END)"
+    " AS expected",
     "array(concat('out', CAST(o_custkey % 100 AS STRING), '  \\n'), "
-    "CASE WHEN o_orderkey % 3 = 0 THEN 'y' ELSE 'x' END) AS got",
+    "CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 'y' ELSE 'x' END) AS got",
 ]
 
 
@@ -132,6 +137,7 @@ r AS (SELECT o_orderkey,
                   WHEN NOT (va BETWEEN 0 AND 60 AND vb BETWEEN -6 AND 0) THEN 'domain' END AS reason,
              len(list_filter(range(1, 3), lambda i: {_d_canon("[concat('out', CAST(o_custkey % 100 AS VARCHAR)), 'x' || chr(13) || chr(10)][i]")}
                  <> {_d_canon("[concat('out', CAST(o_custkey % 100 AS VARCHAR), '  ' || chr(10)), CASE WHEN o_orderkey % 3 = 0 THEN 'y' ELSE 'x' END][i]")})) = 0
+               AND o_orderkey % 19 <> 0
                AS outputs_ok FROM v)
 SELECT o_orderkey AS item_id, CAST(CASE WHEN reason IS NULL AND outputs_ok THEN 1.0 ELSE 0.0 END AS DOUBLE) AS score,
        coalesce(reason, CASE WHEN outputs_ok THEN 'ok' ELSE 'mismatch' END) AS reason FROM r""")
@@ -173,7 +179,7 @@ _ABD = [
     "ELSE concat('<think>scratch</think><INPUT>\\n', text, '\\n</INPUT>') END AS response",
     "source AS expected",
     "CASE WHEN doc_id % 3 = 0 THEN concat(source, '  \\n') ELSE lang END AS got",
-    "CASE WHEN doc_id % 11 = 0 THEN 'Traceback' ELSE '' END AS run_error",
+    "CASE WHEN doc_id % 11 = 0 THEN 'Traceback' WHEN doc_id % 13 = 0 THEN ' ' ELSE '' END AS run_error",
 ]
 
 
@@ -190,7 +196,8 @@ WITH d AS (SELECT doc_id AS item_id, 'a = input()' || chr(10) || 'b = input()' A
                   AS response,
                   source AS expected,
                   CASE WHEN doc_id % 3 = 0 THEN concat(source, '  ', chr(10)) ELSE lang END AS got,
-                  CASE WHEN doc_id % 11 = 0 THEN 'Traceback' ELSE '' END AS run_error FROM documents),
+                  CASE WHEN doc_id % 11 = 0 THEN 'Traceback' WHEN doc_id % 13 = 0 THEN ' ' ELSE '' END AS run_error
+           FROM documents),
 t AS (SELECT *, coalesce(regexp_extract_all(regexp_replace(response, '(?s)<think>.*?</think>', '', 'g'),
                                             '(?is)<INPUT>(.*?)</INPUT>', 1)[-1], '') AS b,
              regexp_matches(response, '(?is)<INPUT>.*?</INPUT>') AS tags FROM d),
@@ -200,7 +207,7 @@ n AS (SELECT *, len({d_splitlines('gen_in')}) AS n_lines,
 r AS (SELECT item_id,
              CASE WHEN gen_in = '' AND NOT tags THEN 'no_input'
                   WHEN NOT (n_lines >= calls) THEN 'invalid_input'
-                  WHEN {d_strip('run_error')} <> '' THEN 'error'
+                  WHEN run_error <> '' THEN 'error'
                   WHEN NOT {eq} THEN 'mismatch' ELSE 'ok' END AS reason FROM n)
 SELECT item_id, CAST(CASE WHEN reason = 'ok' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS score, reason FROM r"""
 
@@ -276,7 +283,7 @@ def eval_records_ev(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---- J1 / J2 -----------------------------------------------------------------------------
-_D_CANON = ("CAST(json_object('env', concat('affine:', lang), "
+_D_CANON = ("CAST(json_object('env', concat('vector:', lang), "
             "'extra', json_object('n', n_chars, 'source', source), 'prompt', {p}) AS VARCHAR)")
 
 
@@ -284,7 +291,7 @@ _D_CANON = ("CAST(json_object('env', concat('affine:', lang), "
 SELECT doc_id, sha256({_D_CANON.format(p='text')}) AS challenge_id FROM documents""")
 def challenge_ids_docs(spark: SparkSession, sf: str) -> DataFrame:
     d = _tbl(spark, sf, "documents").selectExpr(
-        "doc_id", "concat('affine:', lang) AS env",
+        "doc_id", "concat('vector:', lang) AS env",
         "to_json(named_struct('source', source, 'n', n_chars)) AS extra", "text AS prompt")
     return d.select("doc_id", G.challenge_id("env", "extra", "prompt").alias("challenge_id"))
 
@@ -297,69 +304,107 @@ WITH d AS (SELECT doc_id, lang,
 SELECT lang, count(*) AS verified FROM d WHERE stored = recomputed GROUP BY lang""")
 def verified_docs(spark: SparkSession, sf: str) -> DataFrame:
     d = _tbl(spark, sf, "documents").selectExpr(
-        "doc_id", "lang", "concat('affine:', lang) AS env",
+        "doc_id", "lang", "concat('vector:', lang) AS env",
         "to_json(named_struct('source', source, 'n', n_chars)) AS extra", "text AS prompt")
     tampered = F.when(F.col("doc_id") % 9 == 0, F.concat("prompt", F.lit("!"))).otherwise(F.col("prompt"))
     d = d.withColumn("challenge_id", G.challenge_id(F.col("env"), F.col("extra"), tampered))
     return G.verify_integrity(d).groupBy("lang").agg(F.count(F.lit(1)).alias("verified"))
 
 
-# ---- J3 ------------------------------------------------------------------------------
-_VER = ("CASE doc_id % 5 "
-        "WHEN 0 THEN '{\"test_cases\": [{\"type\": \"stdin_stdout\", \"input\": \"1\", \"output\": \"2\"}]}' "
-        "WHEN 1 THEN \"{'test_cases': [{'type': 'function_call', 'input': '[1]', 'output': 'x'}, "
-        "{'type': 'stdin_stdout', 'input': 'a', 'output': 'b'}]}\" "
-        "WHEN 2 THEN '{\"test_cases\": []}' WHEN 3 THEN '{not json' ELSE NULL END")
-
-
-@register("verification_docs", None)
+# ---- J3 -> J5 -> D15 ---------------------------------------------------------------
+_VER = ("CASE doc_id % 8 "
+        "WHEN 0 THEN to_json(named_struct('test_cases', array(named_struct('type', 'stdin_stdout', 'input', text, "
+        "'output', source)))) "
+        "WHEN 1 THEN concat(\"{'test_cases': [{'type': 'function_call', 'input': [1], 'output': ['\", source, \"', 'x']}, "
+        "{'type': 'other'}]}\") "
+        "WHEN 2 THEN concat('{\"test_cases\": [{\"type\": \"stdin_stdout\", \"output\": [\"', lang, "
+        "'\", [null, [\"[', source, '\"]]]}]}') "
+        "WHEN 3 THEN '{\"test_cases\": []}' WHEN 4 THEN '{not json' WHEN 5 THEN '' WHEN 6 THEN '[1]' ELSE NULL END")
+_VER_GOT = ("CASE WHEN doc_id % 3 = 0 THEN 'wrong' WHEN doc_id % 8 IN (0, 1) THEN concat(source, ' \\n') "
+            "WHEN doc_id % 8 = 2 THEN concat(lang, '\\nnull\\n[', source) ELSE 'null' END")
+
+
+@register("verification_docs", """
+SELECT doc_id,
+       CASE WHEN doc_id % 8 IN (0, 2, 5) THEN 1 WHEN doc_id % 8 = 1 THEN 2 ELSE 0 END AS n_cases,
+       CASE WHEN doc_id % 8 = 0 THEN length(text) END AS input_chars,
+       CAST(CASE WHEN doc_id % 8 IN (0, 1, 2, 5) AND doc_id % 3 <> 0 THEN 1 ELSE 0 END AS BIGINT) AS passed,
+       CAST(CASE WHEN doc_id % 8 IN (0, 1, 2, 5) THEN 1 ELSE 0 END AS BIGINT) AS total,
+       CAST(CASE WHEN doc_id % 8 IN (0, 1, 2, 5) AND doc_id % 3 <> 0 THEN 1 ELSE 0 END AS DOUBLE) AS score,
+       CASE WHEN doc_id % 8 IN (4, 6) THEN 'invalid' WHEN doc_id % 8 IN (3, 7) THEN 'no_cases' END AS reason
+FROM documents""")
 def verification_docs(spark: SparkSession, sf: str) -> DataFrame:
-    """J3 with Python-literal fallback (mapInPandas): no SQL oracle."""
+    """Payloads parsed (J3), expectations (J5) held against recorded outputs."""
     d = _tbl(spark, sf, "documents").selectExpr(
         "doc_id", f"{_VER} AS verification_info",
-        "CASE WHEN doc_id % 5 = 4 THEN '{\"test_cases\": [{\"type\": \"x\"}]}' END AS test_cases")
-    v = G.parse_verification(d)
-    return v.select("doc_id", F.coalesce(F.size("cases"), F.lit(0)).alias("n_cases"), "reason")
+        "CASE WHEN doc_id % 8 = 5 THEN '{\"test_cases\": [{\"type\": \"stdin_stdout\"}]}' END AS test_cases",
+        f"{_VER_GOT} AS got")
+    v = G.parse_verification(d).select(
+        F.col("doc_id").alias("item_id"), "cases", "reason", "got", F.coalesce(F.size("cases"), F.lit(0)).alias("n_cases"),
+        F.char_length(F.get_json_object(F.get("cases", F.lit(0))["input"], "$")).alias("input_chars"))
+    c = v.select("item_id", "got", F.explode("cases").alias("c")).select(
+        "item_id", "c.type", "c.output", "got", F.lit("").alias("stderr"))
+    g = G.grade_items_with_cases(v, c)
+    return g.join(v.select("item_id", "n_cases", F.when(F.col("item_id") % 8 == 0, F.col("input_chars")).cast("bigint")
+                           .alias("input_chars")), "item_id").withColumnRenamed("item_id", "doc_id")
 
 
 # ---- U1 - U3: registry dispatch over a mixed item table --------------------------------
 def _registry() -> G.EnvRegistry:
     reg = G.EnvRegistry()
+    reg.register("vector:elr")(G.grade_answer)
+    reg.register("vector:sat")(G.grade_sat)
+    reg.register("vector:hvm")(G.grade_holes)
 
-    @reg.register("affine:elr")
-    def _elr(df):
-        return df.select("env", "item_id",
-                         F.when(G.answer_match("response", "expected"), 1.0).otherwise(0.0).alias("score"),
-                         F.lit(None).cast("string").alias("reason"))
+    @reg.register("vector:abd", program="a = input()\nb = input()")
+    def _abd(program):
+        return G.grade_abduction_row(F.lit(program))
 
-    @reg.register("affine:abd", program="a = input()\nb = input()")
-    def _abd(df, program):
-        return G.grade_abduction(df.withColumn("program", F.lit(program))).select(
-            "env", "item_id", "score", "reason")
+    @reg.register("vector:ded")
+    def _ded():
+        return G.grade_deduction("cases", F.lower(F.col("env")) == "vector:ded")
 
     return reg
 
 
+_SAT_RESP = ("concat('x1=', CASE WHEN c_custkey % 2 = 0 THEN 'True' ELSE '0' END, ' x2=', "
+             "CASE WHEN c_custkey % 3 = 0 THEN 'False' ELSE '1' END, CASE WHEN c_custkey % 5 = 0 THEN ' x1=False' ELSE '' END)")
+_HVM_SQL = Q["holes_grade_orders"][1]
+
+
 @register("grade_all_mixed", f"""
-WITH elr AS (SELECT 'affine:ELR' AS env, o_orderkey AS item_id,
+WITH elr AS (SELECT 'vector:ELR' AS env, o_orderkey AS item_id,
                     CASE WHEN {d_strip("coalesce(regexp_extract_all(concat('<answer> ', CAST(o_custkey % 10 AS VARCHAR), ' </answer>', CASE WHEN o_orderkey % 4 = 0 THEN '<Answer>7</Answer>' ELSE '' END), '(?is)<Answer>(.*?)</Answer>', 1)[-1], '')")}
                               = CAST(o_custkey % 10 AS VARCHAR) THEN 1.0 ELSE 0.0 END::DOUBLE AS score,
                     NULL::VARCHAR AS reason FROM orders),
 abd AS ({_abd_sql()}),
+hvm AS ({_HVM_SQL}),
+sat AS (SELECT c_custkey AS item_id, (c_custkey % 2 = 0 AND c_custkey % 5 <> 0) OR c_custkey % 3 = 0 AS ok FROM customer),
+ded AS (SELECT doc_id AS item_id, CASE WHEN doc_id % 6 = 0 THEN 'no_cases' WHEN doc_id % 4 = 1 THEN 'mismatch' ELSE 'ok' END
+          AS reason FROM documents),
 oth AS (SELECT 'other:zzz' AS env, c_custkey AS item_id, 0.0::DOUBLE AS score, 'unknown_env' AS reason FROM customer)
-SELECT * FROM elr UNION ALL SELECT 'affine:abd', item_id, score, reason FROM abd UNION ALL SELECT * FROM oth""")
+SELECT * FROM elr UNION ALL SELECT 'vector:abd', item_id, score, reason FROM abd UNION ALL SELECT * FROM oth
+UNION ALL SELECT 'vector:HVM', item_id, score, reason FROM hvm
+UNION ALL SELECT 'vector:sat', item_id, CASE WHEN ok THEN 1.0 ELSE 0.0 END::DOUBLE,
+                 CASE WHEN ok THEN 'ok' ELSE 'unsatisfied' END FROM sat
+UNION ALL SELECT 'vector:ded', item_id, CASE WHEN reason = 'ok' THEN 1.0 ELSE 0.0 END::DOUBLE, reason FROM ded""")
 def grade_all_mixed(spark: SparkSession, sf: str) -> DataFrame:
-    o = _tbl(spark, sf, "orders").selectExpr(
-        "'affine:ELR' AS env", "o_orderkey AS item_id", "o_custkey % 10 AS expected",
-        f"{_ELR_RESP} AS response", "CAST(NULL AS STRING) AS got", "CAST(NULL AS STRING) AS run_error")
-    a = _tbl(spark, sf, "documents").selectExpr(*_ABD).selectExpr(
-        "'affine:abd' AS env", "item_id", "CAST(NULL AS BIGINT) AS expected_n", "response", "got", "run_error",
-        "expected")
-    o = o.withColumn("expected", F.col("expected").cast("string"))
-    c = _tbl(spark, sf, "customer").selectExpr(
-        "'other:zzz' AS env", "c_custkey AS item_id", "CAST(NULL AS STRING) AS expected",
-        "CAST(NULL AS STRING) AS response", "CAST(NULL AS STRING) AS got", "CAST(NULL AS STRING) AS run_error")
-    mixed = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [o, a.drop("expected_n"), c])
+    orders, docs, cust = (_tbl(spark, sf, t) for t in ("orders", "documents", "customer"))
+    elr = orders.selectExpr("'vector:ELR' AS env", "o_orderkey AS item_id", "CAST(o_custkey % 10 AS STRING) AS expected",
+                            f"{_ELR_RESP} AS response")
+    abd = docs.selectExpr(*_ABD).selectExpr("'vector:abd' AS env", "item_id", "response", "got", "run_error", "expected")
+    hvm = orders.selectExpr(*_HVM_ITEM).selectExpr("'vector:HVM' AS env", "item_id", "response", "holes", "domains",
+                                                   "expected AS expected_runs", "got AS got_runs")
+    sat = cust.selectExpr("'vector:sat' AS env", "c_custkey AS item_id", f"{_SAT_RESP} AS response",
+                          "array(array(1, -2)) AS clauses")
+    ded = docs.selectExpr(
+        "'vector:ded' AS env", "doc_id AS item_id",
+        "CASE WHEN doc_id % 6 <> 0 THEN array("
+        "named_struct('type', 'stdin_stdout', 'output', to_json(array(text)), 'got', "
+        "CASE WHEN doc_id % 4 = 1 THEN concat('not ', text) ELSE text END, 'stderr', ''), "
+        "named_struct('type', 'function_call', 'output', CAST(NULL AS STRING), 'got', 'null', 'stderr', ' ')) END AS cases")
+    other = cust.selectExpr("'other:zzz' AS env", "c_custkey AS item_id")
+    mixed = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [elr, abd, hvm, sat, ded, other])
     return _registry().grade_all(mixed)
 
 

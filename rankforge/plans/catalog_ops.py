@@ -28,19 +28,19 @@ def register(name: str, sql: str | None):
 _ENVS_SQL = ", ".join(f"'{e}'" for e in ACTIVE_ENVS)
 
 # ---- B2 -------------------------------------------------------------------------------
-_RAW_ENV = ("CASE event_type WHEN 'click' THEN ' agentgym:webshop ' WHEN 'view' THEN 'affine:sat' "
-            "WHEN 'error' THEN 'foo:bar' WHEN 'signup' THEN 'webshop' ELSE '  affine:ded\\n' END")
+_RAW_ENV = ("CASE event_type WHEN 'click' THEN ' arena:webshop ' WHEN 'view' THEN 'vector:sat' "
+            "WHEN 'error' THEN 'foo:bar' WHEN 'signup' THEN 'webshop' ELSE '  vector:ded\\n' END")
 
 
 @register("env_parse_ev", f"""
-WITH d AS (SELECT event_id, regexp_replace(CASE event_type WHEN 'click' THEN ' agentgym:webshop '
-              WHEN 'view' THEN 'affine:sat' WHEN 'error' THEN 'foo:bar' WHEN 'signup' THEN 'webshop'
-              ELSE '  affine:ded' || chr(10) END, '^\\s+|\\s+$', '', 'g') AS s FROM events),
+WITH d AS (SELECT event_id, regexp_replace(CASE event_type WHEN 'click' THEN ' arena:webshop '
+              WHEN 'view' THEN 'vector:sat' WHEN 'error' THEN 'foo:bar' WHEN 'signup' THEN 'webshop'
+              ELSE '  vector:ded' || chr(10) END, '^\\s+|\\s+$', '', 'g') AS s FROM events),
 v AS (SELECT event_id, s, s IN ({_ENVS_SQL})
-             AND (CASE WHEN contains(s, ':') THEN split_part(s, ':', 1) ELSE 'agentgym' END)
-                 IN ('agentgym', 'affine') AS valid FROM d)
+             AND (CASE WHEN contains(s, ':') THEN split_part(s, ':', 1) ELSE 'arena' END)
+                 IN ('arena', 'vector') AS valid FROM d)
 SELECT event_id, valid,
-       CASE WHEN valid THEN CASE WHEN contains(s, ':') THEN split_part(s, ':', 1) ELSE 'agentgym' END END AS prefix,
+       CASE WHEN valid THEN CASE WHEN contains(s, ':') THEN split_part(s, ':', 1) ELSE 'arena' END END AS prefix,
        CASE WHEN valid THEN CASE WHEN contains(s, ':') THEN regexp_replace(s, '^[^:]*:', '') ELSE s END END AS name
 FROM v""")
 def env_parse_ev(spark: SparkSession, sf: str) -> DataFrame:
@@ -50,18 +50,18 @@ def env_parse_ev(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---- B3 -------------------------------------------------------------------------------
-_SPEC = ("concat(' ', lower(c_mktsegment), ', affine:sat,,', "
-         "CASE WHEN c_custkey % 3 = 0 THEN 'zzz:q' ELSE ' agentgym:alfworld ' END)")
+_SPEC = ("concat(' ', lower(c_mktsegment), ', vector:sat,,', "
+         "CASE WHEN c_custkey % 3 = 0 THEN 'zzz:q' ELSE ' arena:alfworld ' END)")
 
 
 @register("env_list_customer", f"""
-WITH d AS (SELECT c_custkey, concat(' ', lower(c_mktsegment), ', affine:sat,,',
-                  CASE WHEN c_custkey % 3 = 0 THEN 'zzz:q' ELSE ' agentgym:alfworld ' END) AS spec FROM customer),
+WITH d AS (SELECT c_custkey, concat(' ', lower(c_mktsegment), ', vector:sat,,',
+                  CASE WHEN c_custkey % 3 = 0 THEN 'zzz:q' ELSE ' arena:alfworld ' END) AS spec FROM customer),
 t AS (SELECT c_custkey, list_filter(list_transform(string_split(spec, ','),
              lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') AS toks FROM d),
 p AS (SELECT c_custkey, list_filter(list_transform(toks, lambda x: CASE WHEN contains(x, ':')
-             THEN split_part(x, ':', 1) || ':' || regexp_replace(x, '^[^:]*:', '') ELSE 'agentgym:' || x END),
-             lambda x: split_part(x, ':', 1) IN ('agentgym', 'affine')) AS envs FROM t)
+             THEN split_part(x, ':', 1) || ':' || regexp_replace(x, '^[^:]*:', '') ELSE 'arena:' || x END),
+             lambda x: split_part(x, ':', 1) IN ('arena', 'vector')) AS envs FROM t)
 SELECT c_custkey, array_to_string(envs, ',') AS envs, CAST(len(envs) AS INTEGER) AS n_envs FROM p""")
 def env_list_customer(spark: SparkSession, sf: str) -> DataFrame:
     c = fx.table(spark, sf, "customer").selectExpr("c_custkey", f"{_SPEC} AS spec")
@@ -144,7 +144,7 @@ def orphan_leases_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---- C7 / C8 --------------------------------------------------------------------------
-_INFLIGHT = ("affine:sat", "agentgym:babyai")
+_INFLIGHT = ("vector:sat", "arena:babyai")
 
 
 @register("fan_out_world", fx.duck_with("world_registry", "world_commits") + f""",

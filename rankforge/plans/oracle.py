@@ -221,7 +221,7 @@ shas AS (SELECT model, revision, list_sort(list_distinct(list(sha256))) AS weigh
          FROM world_files WHERE suffix(path, '.safetensors') AND sha256 IS NOT NULL GROUP BY ALL),
 deployed AS (SELECT l.*, d.slug FROM latest l LEFT JOIN world_deployments d USING (chute_id)
              WHERE coalesce(d.hot AND d.name = l.model
-                            AND (l.uid = 0 OR left(lower(split_part(d.name, '/', 2)), 6) = 'affine')
+                            AND (l.uid = 0 OR left(lower(split_part(d.name, '/', 2)), 6) = 'vector')
                             AND (d.revision IS NULL OR l.revision = d.revision), false))"""
 
 

@@ -15,13 +15,13 @@ def _env_py(v):
         return (False, None, None)
     if ":" in name:
         prefix, env = name.split(":", 1)
-        return (prefix in ("agentgym", "affine"), prefix, env) if prefix in ("agentgym", "affine") \
+        return (prefix in ("arena", "vector"), prefix, env) if prefix in ("arena", "vector") \
             else (False, None, None)
-    return (True, "agentgym", name)
+    return (True, "arena", name)
 
 
 def test_parse_env(spark):
-    vals = [" agentgym:webshop ", "webshop", "foo:bar", "affine:sat", "affine:ded\n", "affine:nope", ""]
+    vals = [" arena:webshop ", "webshop", "foo:bar", "vector:sat", "vector:ded\n", "vector:nope", ""]
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     for r in df.select("v", O.parse_env("v").alias("p")).collect():
         assert (r.p.valid, r.p.prefix, r.p.name) == _env_py(r.v), r.v
@@ -32,15 +32,15 @@ def _env_list_py(spec):
     for tok in [t.strip() for t in spec.split(",") if t.strip()]:
         if ":" in tok:
             prefix, name = tok.split(":", 1)
-            if prefix in ("agentgym", "affine"):
+            if prefix in ("arena", "vector"):
                 out.append(f"{prefix}:{name}")
         else:
-            out.append(f"agentgym:{tok}")
+            out.append(f"arena:{tok}")
     return out
 
 
 def test_parse_env_list(spark):
-    specs = ["webshop,agentgym:alfworld,affine:sat", " , ,", "zzz:q, affine:ded ,babyai", "a:b:c,affine:x:y"]
+    specs = ["webshop,arena:alfworld,vector:sat", " , ,", "zzz:q, vector:ded ,babyai", "a:b:c,vector:x:y"]
     df = spark.createDataFrame([(s,) for s in specs], "s string")
     got = df.select("s", F.transform(O.parse_env_list("s"),
                                      lambda p: F.concat(p["prefix"], F.lit(":"), p["name"])).alias("e")).collect()

@@ -65,12 +65,12 @@ def test_earliest_claims_and_best_model(spark):
 def test_latest_commitment_and_gate(spark):
     reg = spark.createDataFrame([(0, "h0"), (1, "h1"), (2, "h2")], "uid long, hotkey string")
     commits = spark.createDataFrame([
-        ("h0", 1, 100, '{"model": "a/affine-x", "revision": "r1", "chute_id": "c0"}'),
-        ("h1", 1, 100, '{"model": "a/affine-y", "revision": "r1", "chute_id": "c1"}'),
-        ("h1", 2, 200, '{"model": "a/affine-z", "revision": "r2", "chute_id": "c2"}')],
+        ("h0", 1, 100, '{"model": "a/vector-x", "revision": "r1", "chute_id": "c0"}'),
+        ("h1", 1, 100, '{"model": "a/vector-y", "revision": "r1", "chute_id": "c1"}'),
+        ("h1", 2, 200, '{"model": "a/vector-z", "revision": "r2", "chute_id": "c2"}')],
         "hotkey string, pos long, block long, data string")
     lat = {r.uid: (r.block, r.model, r.chute_id) for r in PT.latest_commitment(reg, commits).collect()}
-    assert lat == {0: (0, "a/affine-x", "c0"), 1: (200, "a/affine-z", "c2")}   # uid 0 -> block 0, last wins
-    gating = spark.createDataFrame([("a/affine-x", False), ("a/affine-z", None)], "model string, gated boolean")
+    assert lat == {0: (0, "a/vector-x", "c0"), 1: (200, "a/vector-z", "c2")}   # uid 0 -> block 0, last wins
+    gating = spark.createDataFrame([("a/vector-x", False), ("a/vector-z", None)], "model string, gated boolean")
     kept = {r.uid for r in PT.gate_filter(PT.latest_commitment(reg, commits), gating).collect()}
     assert kept == {0}                                                           # null gate = unknown = out

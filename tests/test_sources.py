@@ -8,7 +8,7 @@ from rankforge.sources import results_log as L
 
 
 def _result(hk, env, score, uid=1, block=100):
-    return {"version": "1", "hotkey": "up", "miner": {"uid": uid, "hotkey": hk, "model": "m/affine-x",
+    return {"version": "1", "hotkey": "up", "miner": {"uid": uid, "hotkey": hk, "model": "m/vector-x",
                                                        "revision": "r", "block": block},
             "challenge": {"env": env, "prompt": "p", "challenge_id": "c"},
             "response": {"response": "r", "latency_seconds": 0.1, "success": True},
@@ -18,11 +18,11 @@ def _result(hk, env, score, uid=1, block=100):
 def test_read_reference_shards(spark):
     d = tempfile.mkdtemp(prefix="rf-shards-")
     with open(os.path.join(d, "000000100-upA-5.json"), "w") as f:
-        json.dump([_result("h1", "affine:sat", 1.0), {"broken": True}, _result("h2", "nope", 0.0)], f)
+        json.dump([_result("h1", "vector:sat", 1.0), {"broken": True}, _result("h2", "nope", 0.0)], f)
     with open(os.path.join(d, "000000120-up-B-7.json"), "w") as f:
-        json.dump([_result("h3", " affine:ded ", 0.5)], f)
+        json.dump([_result("h3", " vector:ded ", 0.5)], f)
     with open(os.path.join(d, "index-not-a-shard.json"), "w") as f:
-        json.dump([_result("h9", "affine:sat", 1.0)], f)
+        json.dump([_result("h9", "vector:sat", 1.0)], f)
     good, bad = L.read_shards(spark, d)
     g = sorted((r.miner.hotkey, r.seq.window, r.seq.uploader, r.seq.upload_ns, r.seq.pos) for r in good.collect())
     assert g == [("h1", 100, "upA", 5, 0), ("h3", 120, "up-B", 7, 0)]
