@@ -52,7 +52,7 @@ def fx_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id AS seq_id", "ts", "user_id AS participant", "event_type AS env", "value",
         "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
         "timestampdiff(SECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts) AS sec",
-        "day(ts) AS d")
+        "day(ts) AS d", "unix_date(to_date(ts)) AS epoch_day")
     return evt.selectExpr(
         "seq_id", "ts", "participant", "env",
         "concat('org', CAST(participant % 7 AS STRING), '/', "
@@ -61,7 +61,7 @@ def fx_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('r', CAST(((d + participant) div 10) % 2 AS STRING)) AS revision",
         "CASE WHEN participant % 11 = 0 THEN NULL "
         "ELSE (participant*37) % 1000 + 1000*((d + participant) div 10) END AS commit_block",
-        "sec div 12 AS block", "(k % 10 <> 0) AS success", "(k % 5) / CAST(4 AS DOUBLE) AS score", "d")
+        "sec div 12 AS block", "(k % 10 <> 0) AS success", "(k % 5) / CAST(4 AS DOUBLE) AS score", "d", "epoch_day")
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +157,8 @@ DUCK = {
     "fx_ev": """fx_evt AS (
   SELECT event_id AS seq_id, ts, user_id AS participant, event_type AS env, value,
          CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k,
-         date_diff('second', TIMESTAMP '2024-01-01 00:00:00', ts) AS sec, day(ts) AS d
+         date_diff('second', TIMESTAMP '2024-01-01 00:00:00', ts) AS sec, day(ts) AS d,
+         date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS epoch_day
   FROM events),
 fx_ev AS (
   SELECT seq_id, ts, participant, env,
@@ -168,7 +169,7 @@ fx_ev AS (
          CASE WHEN participant % 11 = 0 THEN NULL
               ELSE (participant*37) % 1000 + 1000*((d + participant) // 10) END AS commit_block,
          sec // 12 AS block, (k % 10 <> 0) AS success,
-         (k % 5) / CAST(4 AS DOUBLE) AS score, d
+         (k % 5) / CAST(4 AS DOUBLE) AS score, d, epoch_day
   FROM fx_evt)""",
     "registry": """registry AS (
   SELECT CAST(s_suppkey AS BIGINT) AS uid, s_name AS hotkey FROM supplier)""",

@@ -4,8 +4,8 @@ The pairwise test is all-pairs over the pool by definition (n(n-1) ordered
 pairs); the pool is the eligible participants, bounded by the registry, not
 by the size of the result log.  No pair row is ever materialised:
 
-* the pool is hashed into T tiles, T chosen in-plan from the pool size by a
-  scalar subquery (no driver round trip);
+* the pool is hashed into T tiles; T grows with the pool up to what keeps all
+  tasks busy, and beyond that only to bound a tile's rows (a scalar subquery);
 * each pool row is sent to the 2T tile-pair groups it belongs to (as the
   "a" side of (tile, *) and the "b" side of (*, tile)): a 1-bucket theta
   join, replication 2T;
@@ -18,6 +18,7 @@ Thresholds are therefore computed once per pair for all 2^E - 1 subsets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -31,9 +32,8 @@ from rankforge.operators.results import argmax_id, argmax_key, fb_infinite
 
 # pairs evaluated per numpy block (bounds kernel memory per task)
 _BLOCK_ELEMS = 4_000_000
-# target pool rows per tile
-_TILE_ROWS = 128
-_MAX_TILES = 256
+# pool rows per tile: at least / at most
+_TILE_ROWS, _TILE_MOST = 128, 50_000
 
 
 # ---- D3 / D4 ----------------------------------------------------------------
@@ -122,8 +122,10 @@ def dominance_counts(pool: DataFrame, n_envs: int, cfg: ScoringConfig,
     p = pool.select(F.col(key).cast("bigint").alias("participant"), "acc", "n",
                     fb_infinite(F.col("first_block")).alias("fb"))
     n_pool = pool.agg(F.count(F.lit(1))).scalar()
-    tiles = F.least(F.lit(_MAX_TILES),
-                    F.greatest(F.lit(1), F.ceil(n_pool / F.lit(_TILE_ROWS)).cast("int")))
+    # enough tile pairs to keep every task busy; more only where a tile would get too large
+    busy = math.ceil(math.sqrt(2 * int(pool.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    tiles = F.greatest(F.lit(1), F.ceil(n_pool / F.lit(_TILE_MOST)),
+                       F.least(F.lit(busy), F.ceil(n_pool / F.lit(_TILE_ROWS)))).cast("int")
     p = p.withColumn("_t", F.pmod(F.xxhash64("participant"), tiles).cast("int"))
     others = F.explode(F.sequence(F.lit(0), tiles - 1))
     a_side = p.select("*", others.alias("_u")).select(
@@ -152,7 +154,7 @@ def subset_winners(pool: DataFrame, dom: DataFrame, n_envs: int, scale: float,
                        F.explode(F.sequence(F.lit(1).cast("bigint"),
                                             F.lit((1 << n_envs) - 1).cast("bigint"))).alias("S"))
     c = cand.join(dom, ["participant", "S"], "left").withColumn("dom", F.coalesce("dom", F.lit(0)))
-    # argmax of (dom, -first_block, -id) as a packed decimal: a hash aggregate
+    # argmax of (dom, -first_block, -id) over registry-sized rows
     w = c.groupBy("S").agg(F.max(argmax_key(F.col("dom"), F.col("fb"), F.col("participant"))).alias("_k")) \
         .select("S", argmax_id(F.col("_k")).alias("winner"))
     size = F.bit_count("S")

@@ -113,18 +113,17 @@ def fan_out(participants: DataFrame, envs: Sequence[str], inflight: DataFrame |
     return t.withColumn("task_id", task_id(seed, F.col("env"), round_col))
 
 
-def challenge_tasks(challenges: DataFrame, participants: DataFrame, max_challenges: int,
-                    key: str = "item_id") -> DataFrame:
+def challenge_tasks(challenges: DataFrame, participants: DataFrame, key: str = "item_id",
+                    bucket_rows: int = 1000) -> DataFrame:
     """Every challenge of a run is posed to every participant with a
-    model.  A run's challenge set is small (one per env round; the bound is
-    asserted in-plan), so it travels as one array (a scalar subquery) and
-    is exploded on each participant row: no cross join, and the registry
-    is never gathered."""
-    p = participants.filter(F.col("model").isNotNull() & (F.col("model") != ""))
-    clist = challenges.agg(F.collect_list(F.col(key)).alias("cs"))
-    cs = clist.select(F.when(F.size("cs") <= max_challenges, F.col("cs"))
-                      .otherwise(F.raise_error(F.lit("challenge set above its bound")))).scalar()
-    return p.select("uid", "model", F.explode(cs).alias(key))
+    model.  Challenges are dealt into buckets of about ``bucket_rows`` by
+    hash; each participant is sent to every bucket and meets each challenge
+    once, in the equi-join on the bucket.  Neither side is ever gathered,
+    whatever its size."""
+    p = participants.filter(F.col("model").isNotNull() & (F.col("model") != "")).select("uid", "model")
+    buckets = challenges.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(bucket_rows))).cast("int")).scalar()
+    c = challenges.select(key, F.pmod(F.xxhash64(key), buckets).cast("int").alias("_b"))
+    return p.select("*", F.explode(F.sequence(F.lit(0), buckets - 1)).alias("_b")).join(c, "_b").select("uid", "model", key)
 
 
 # ---- D19 ------------------------------------------------------------------------------

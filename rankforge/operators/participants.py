@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.config import MAX_BLOCK
-from rankforge.operators.results import last_rows, pack_pair, unpack_lo
+from rankforge.operators.results import last_rows
+from rankforge.session import materialize
 
 COMMIT_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()),
@@ -111,29 +112,19 @@ def block_norm(col) -> "F.Column":
     return F.coalesce(col.cast("bigint"), F.lit(MAX_BLOCK).cast("bigint"))
 
 
-# null block sorts as +infinity; packed keys use a sentinel above every chain
-# block (asserted in-plan) so that (block, uid) fits one DECIMAL(38,0)
-_PACK_INF = 10 ** 17
-
-
-def _block_key(col) -> "F.Column":
-    b = col.cast("bigint")
-    return (F.when(b.isNull(), F.lit(_PACK_INF).cast("bigint"))
-            .when(b < _PACK_INF, b)
-            .otherwise(F.raise_error(F.lit("block above the packed-key range")).cast("bigint")))
-
-
 def earliest_claims(df: DataFrame, uid: str = "uid", block: str = "block",
                     hashes: str = "weights_shas") -> DataFrame:
     """Drop a participant if any of its hashes was first claimed (lowest
     (block, uid), null block = +inf) by someone else.  Rows without hashes
-    are kept."""
-    claims = df.select(F.col(uid).alias("_u"), _block_key(F.col(block)).alias("_b"),
-                       F.explode(F.col(hashes)).alias("_h")).distinct()
-    # (block, uid) packed into one decimal: min stays a hash aggregate
-    first = claims.groupBy("_h").agg(F.min(pack_pair(F.col("_b"), F.col("_u"))).alias("_w"))
-    losers = (claims.join(first, "_h").filter(unpack_lo(F.col("_w")) != F.col("_u"))
-              .select(F.col("_u").alias(uid)).distinct())
+    are kept.  The input is read twice: for the claims of each hash and for
+    the rows that stay."""
+    claims = df.select(F.explode(F.col(hashes)).alias("_h"),
+                       F.struct(block_norm(F.col(block)).alias("b"), F.col(uid).alias("u")).alias("_c"))
+    # a hash's claimants other than the first lose; a hot hash is aggregated before it moves
+    g = claims.groupBy("_h").agg(F.min("_c").alias("_w"), F.max(F.col("_c.u")).alias("_hi"), F.min(F.col("_c.u")).alias("_lo"))
+    disputed = g.filter(F.col("_hi") != F.col("_lo")).select("_h", F.col("_w.u").alias("_first"))
+    losers = (claims.join(disputed, "_h").filter(F.col("_c.u") != F.col("_first"))
+              .select(F.col("_c.u").alias(uid)).distinct())
     return df.join(losers, uid, "left_anti")
 
 
@@ -143,8 +134,8 @@ def best_per_model(df: DataFrame, uid: str = "uid", block: str = "block",
     """Keep the earliest participant (lowest (block, uid)) of each model;
     rows with a null or empty model are dropped."""
     m = df.filter(F.col(model).isNotNull() & (F.col(model) != ""))
-    best = (m.groupBy(model).agg(F.min(pack_pair(_block_key(F.col(block)), F.col(uid))).alias("_w"))
-            .select(unpack_lo(F.col("_w")).alias(uid)))
+    best = (m.groupBy(model).agg(F.min(F.struct(block_norm(F.col(block)).alias("b"), F.col(uid).alias("u"))).alias("_w"))
+            .select(F.col("_w.u").alias(uid)))
     return df.join(best, uid, "left_semi")
 
 
@@ -171,7 +162,8 @@ def participants(spark: SparkSession, registry: DataFrame, commits: DataFrame,
     c = c.join(weights_shas(files), ["model", "revision"], "left")
     if check_validity and deployments is not None:
         c = deployment_filter(c, deployments, family)
-    c = earliest_claims(c)
+    # one row per participant from here on: read the sources once, not once per claim step
+    c = materialize(earliest_claims(materialize(c)))
     return best_per_model(c)
 
 

@@ -123,27 +123,16 @@ def last_rows(df: DataFrame, keys: Sequence[str], order: str, first: bool = Fals
     return df.join(best, [*keys], "inner").filter(F.col(order) == F.col("_best")).drop("_best")
 
 
-_ARG_DIGITS = 12          # participant ids below 10^12
-_FB_DIGITS = 17           # first blocks below 10^17 (null / +inf -> the top value)
+def argmax_key(score: Column, fb: Column, pid: Column) -> Column:
+    """Orders like (score desc, fb asc, id asc) under ``max``, for any 64-bit
+    score, block and id; a null block sorts as +infinity."""
+    return F.struct(score.cast("bigint").alias("score"),
+                    F.coalesce(F.bitwise_not(fb.cast("bigint")), F.bitwise_not(F.lit(MAX_BLOCK))).alias("fb"),
+                    F.bitwise_not(pid.cast("bigint")).alias("id"))       # ~x reverses the order of all longs
 
 
-def argmax_key(score: Column, fb: Column, pid: Column) -> Column:
-    """One DECIMAL(38,0) ordering like (score desc, fb asc, id asc) under
-    ``max``: score * 10^29 + (10^17-1 - fb) * 10^12 + (10^12-1 - id).  Keeps
-    the winner choice a hash aggregate; ids and blocks are range-checked
-    in-plan."""
-    top_fb = F.lit(10 ** _FB_DIGITS - 1).cast("bigint")
-    f = F.when(fb.isNull() | (fb >= top_fb), top_fb).otherwise(fb)
-    p = F.when((pid >= 0) & (pid < F.lit(10 ** _ARG_DIGITS)), pid).otherwise(
-        F.raise_error(F.lit("participant id outside the packed-key range")).cast("bigint"))
-    return (score.cast("decimal(9,0)") * F.lit("1" + "0" * (_FB_DIGITS + _ARG_DIGITS)).cast("decimal(30,0)")
-            + (top_fb - f).cast("decimal(17,0)") * F.lit(str(10 ** _ARG_DIGITS)).cast("decimal(13,0)")
-            + (F.lit(10 ** _ARG_DIGITS - 1).cast("bigint") - p).cast("decimal(12,0)")).cast("decimal(38,0)")
-
-
-def argmax_id(packed: Column) -> Column:
-    return (F.lit(10 ** _ARG_DIGITS - 1) - F.pmod(packed, F.lit(str(10 ** _ARG_DIGITS)).cast("decimal(13,0)"))
-            ).cast("bigint")
+def argmax_id(key: Column) -> Column:
+    return F.bitwise_not(key["id"])
 
 
 def version_runs(d: DataFrame, key: str, version: Sequence[str]) -> DataFrame:

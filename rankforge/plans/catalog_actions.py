@@ -2,7 +2,7 @@
 
 Function calls and action texts are built by fixed rules from the
 conversations table (whole texts are the thoughts); prompts from whole
-documents; planted k-SAT items from orders.
+documents; SAT prompts over recorded clauses of orders.
 """
 
 from __future__ import annotations
@@ -13,9 +13,7 @@ from pyspark.sql import functions as F
 from rankforge import fixtures as fx
 from rankforge.functions import actions as A
 from rankforge.functions.text import sat_satisfied
-from rankforge.operators.items import planted_sat
 from rankforge.plans.catalog_text import NL, _dhash, _hash, d_strip
-from rankforge.session import spread
 
 Q: dict = {}
 
@@ -357,14 +355,26 @@ def science_actions_conv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---- J10 + J6 + T21 (seeded hash generator: no SQL twin) ----------------------------------------
-@register("planted_sat_orders", None)
-def planted_sat_orders(spark: SparkSession, sf: str) -> DataFrame:
-    orders = spread(fx.table(spark, sf, "orders")).select(F.col("o_orderkey").alias("item_id"))
-    items = planted_sat(orders, "item_id")
-    # clauses and solution are each read twice, so Catalyst keeps them materialised
-    return items.select("item_id", F.size("clauses").alias("n_clauses"), F.size("solution").alias("n_vars"),
-                        sat_satisfied(F.col("clauses"), F.col("solution")).alias("satisfied"),
-                        *_hash(A.sat_prompt(F.col("clauses"), 15, 10), "prompt"))
+# ---- J6 + SAT prompt over recorded clauses -------------------------------------------------
+@register("sat_prompt_orders", f"""
+WITH c AS (SELECT o_orderkey AS item_id,
+                  [[o_custkey % 15 + 1, -(o_orderkey % 15 + 1)], [-(o_custkey % 7 + 1), 15]] AS cl FROM orders),
+p AS (SELECT item_id, cl, concat('Find a satisfying assignment for the following 2-SAT formula over variables x1..x15:', {NL},
+        array_to_string(list_transform(cl, lambda x: '(' || array_to_string(list_transform(x, lambda l:
+          CASE WHEN l > 0 THEN 'x' || l ELSE '¬x' || (-l) END), ' ∨ ') || ')'), ' ∧ '), {NL},
+        'Provide your answer as comma-separated assignments like `x1=True, x2=False, ...`, '
+        || 'or respond `UNSAT` if it has no solution.') AS prompt FROM c)
+SELECT item_id, list_bool_and(list_transform(cl, lambda x: list_bool_or(list_transform(x, lambda l:
+         ((abs(l) % 2 = 1) = (l > 0)))))) AS satisfied, {_dhash('prompt', 'prompt')} FROM p""")
+def sat_prompt_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Recorded clauses, held against the assignment that sets the odd variables."""
+    o = fx.table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS item_id",
+        "array(array(CAST(o_custkey % 15 + 1 AS INT), CAST(-(o_orderkey % 15 + 1) AS INT)), "
+        "array(CAST(-(o_custkey % 7 + 1) AS INT), 15)) AS clauses")
+    odd = F.create_map(*[F.lit(x).cast("bigint") if j == 0 else F.lit(x % 2 == 1) for x in range(1, 16) for j in (0, 1)])
+    return o.select("item_id", sat_satisfied(F.col("clauses"), odd).alias("satisfied"),
+                    *_hash(A.sat_prompt(F.col("clauses"), 15, 2), "prompt"))
 
 
 QUERIES = {k: v[0] for k, v in Q.items()}

@@ -88,15 +88,15 @@ def ttl_lookup_world(spark: SparkSession, sf: str) -> DataFrame:
 # ---- C10 ----------------------------------------------------------------------------------
 @register("update_confirm_orders", """
 WITH a AS (SELECT l_orderkey AS uid, l_linenumber AS attempt, l_partkey % 1000 AS ref_block FROM lineitem),
-u AS (SELECT o_orderkey AS uid, o_custkey % 1000 AS last_update FROM orders WHERE o_orderkey % 6 <> 0)
+u AS (SELECT o_orderkey AS uid, CASE WHEN o_orderkey % 6 <> 0 THEN o_custkey % 1000 END AS last_update FROM orders)
 SELECT a.uid, min(a.attempt) FILTER (WHERE coalesce(u.last_update >= a.ref_block, false)) AS confirmed_at,
        count(*) AS attempts
 FROM a LEFT JOIN u ON a.uid = u.uid GROUP BY a.uid""")
 def update_confirm_orders(spark: SparkSession, sf: str) -> DataFrame:
     a = fx.table(spark, sf, "lineitem").selectExpr("l_orderkey AS uid", "l_linenumber AS attempt",
                                                    "l_partkey % 1000 AS ref_block")
-    u = fx.table(spark, sf, "orders").filter("o_orderkey % 6 <> 0").selectExpr(
-        "o_orderkey AS uid", "o_custkey % 1000 AS last_update")
+    u = fx.table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS uid", "CASE WHEN o_orderkey % 6 <> 0 THEN o_custkey % 1000 END AS last_update")
     return PT.update_confirmation(a, u)
 
 
@@ -126,7 +126,7 @@ WITH l AS (SELECT o_orderkey AS pos, concat('ch', CAST(o_orderkey AS VARCHAR)) A
                   CASE WHEN o_orderkey % 3 = 0 THEN {_D_MODEL} END AS model_name,
                   CASE WHEN o_orderkey % 3 = 1 THEN {_D_MODEL} END AS name,
                   CASE WHEN o_orderkey % 7 = 0 THEN {_D_MODEL} ELSE 'readme text' END AS readme FROM orders),
-n AS (SELECT DISTINCT {_D_MODEL} AS model FROM orders WHERE o_orderkey % 2 = 0)
+n AS (SELECT DISTINCT {_D_MODEL} AS model FROM orders)
 SELECT n.model, arg_max(l.chute_id, l.pos) AS chute_id FROM n JOIN l
   ON l.model_name = n.model OR l.name = n.model OR l.readme = n.model GROUP BY n.model""")
 def latest_deployment_world(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,7 +135,7 @@ def latest_deployment_world(spark: SparkSession, sf: str) -> DataFrame:
                            f"CASE WHEN o_orderkey % 3 = 0 THEN {_W_MODEL} END AS model_name",
                            f"CASE WHEN o_orderkey % 3 = 1 THEN {_W_MODEL} END AS name",
                            f"CASE WHEN o_orderkey % 7 = 0 THEN {_W_MODEL} ELSE 'readme text' END AS readme")
-    names = o.filter("o_orderkey % 2 = 0").selectExpr(f"{_W_MODEL} AS model").distinct()
+    names = o.selectExpr(f"{_W_MODEL} AS model").distinct()
     return PT.latest_matching_deployment(listing, names)
 
 
@@ -233,7 +233,7 @@ vecw AS (SELECT participant, weight FROM vec WHERE (SELECT e FROM anyel)
          UNION ALL SELECT 0, 1.0 WHERE NOT (SELECT e FROM anyel)),
 grid AS (SELECT participant, list(acc ORDER BY i) AS acc, list(n ORDER BY i) AS n FROM dense GROUP BY participant),
 wn AS (SELECT winner AS participant, list(CAST(log2(S) AS INTEGER)) AS won FROM wins WHERE size = 1 GROUP BY winner),
-rep AS (SELECT f.participant AS uid, f.eligible,
+rep AS (SELECT f.participant AS uid, f.eligible OR (f.participant = 0 AND (SELECT e FROM anyel)) AS eligible,
                substr(concat('org/model-', CAST(f.participant % 13 AS VARCHAR)), 1, 30) AS model, 'main' AS rev,
                coalesce(wn.won, []) AS won, g.acc, g.n, pts.L1, pts.L2, pts.L3, pts.L4, pts.L5, pts.L6,
                coalesce(pts.points, 0.0) AS p, coalesce(vecw.weight, 0.0) AS w
@@ -253,7 +253,7 @@ def leaderboard_li(spark: SparkSession, sf: str) -> DataFrame:
     fl = fl.withColumn("latest", F.struct(
         F.concat(F.lit("org/model-"), (F.col("participant") % 13).cast("string")).alias("model"),
         F.lit("main").alias("revision")))
-    return P.leaderboard(fl, w, wt, C.LI_ENVS)
+    return P.leaderboard(fl, w, wt, C.LI_ENVS, burn=C.LI_CFG.burn, base=0)
 
 
 QUERIES = {k: v[0] for k, v in Q.items()}

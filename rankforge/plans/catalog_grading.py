@@ -16,7 +16,6 @@ from rankforge.functions import text as X
 from rankforge.operators import grading as G
 from rankforge.plans.catalog_text import (_DHOLES, _HOLES, _HPAT, NL, d_join, d_rstrip, d_rstrip_lines,
                                           d_splitlines, d_strip)
-from rankforge.session import spread
 
 Q: dict = {}
 
@@ -29,7 +28,7 @@ def register(name: str, sql: str | None):
 
 
 def _tbl(spark, sf, name):
-    return spread(fx.table(spark, sf, name))
+    return fx.table(spark, sf, name)
 
 
 def _d_norm(x):

@@ -171,7 +171,7 @@ FROM benchmark b CROSS JOIN latest l WHERE l.model IS NOT NULL AND l.model <> ''
 def challenge_tasks_world(spark: SparkSession, sf: str) -> DataFrame:
     lat = PT.latest_commitment(fx.world_registry(spark, sf), fx.world_commits(spark, sf))
     ch = fx.table(spark, sf, "benchmark").select("item_id")
-    t = O.challenge_tasks(ch, lat, max_challenges=100_000)
+    t = O.challenge_tasks(ch, lat)
     return t.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_tasks"), F.sum("uid").alias("uid_sum"))
 
 
@@ -242,7 +242,7 @@ SELECT seq_id, ordinal, CAST(floor((ordinal - 1) / 30) AS BIGINT) AS generation,
 FROM o""")
 def challenge_gen_ev(spark: SparkSession, sf: str) -> DataFrame:
     e = fx.fx_ev(spark, sf)
-    o = O.ordinal_within(e, "env", ["ts", "seq_id"], F.col("d") if "d" in e.columns else F.to_date("ts"))
+    o = O.ordinal_within(e, "env", ["ts", "seq_id"], F.col("epoch_day"))
     dl = F.when(F.col("env") == "click", 0).when(F.col("env") == "view", None).otherwise(7)
     return o.select("seq_id", "ordinal", O.challenge_generation(F.col("ordinal")).cast("bigint").alias("generation"),
                     O.round_counter(F.col("ordinal"), dl).alias("round"))

@@ -62,7 +62,7 @@ def _nested_ev(spark, sf):
                  F.col("seq_id").cast("string").alias("challenge_id")).alias("challenge"),
         F.struct(F.col("success").alias("success"), F.lit(0.5).alias("latency_seconds")).alias("response"),
         F.struct(env.alias("env"), F.col("score").alias("score")).alias("evaluation"),
-        F.struct("ts", "seq_id").alias("seq_key"), "ts", "seq_id", "d")
+        F.struct("ts", "seq_id").alias("seq_key"), "ts", "seq_id", "epoch_day")
 
 
 @register("shards_roundtrip_ev", fx.duck_with("fx_ev") + """
@@ -72,7 +72,7 @@ SELECT seq_id, CASE WHEN seq_id % 50 = 0 THEN 'inactive_env' END AS reason,
 FROM fx_ev WHERE success""")
 def shards_roundtrip_ev(spark: SparkSession, sf: str) -> DataFrame:
     path = L.scratch_path(spark, "shards")
-    n = L.upload_batches(_nested_ev(spark, sf), "hotkey", ["ts", "seq_id"], F.col("d"))
+    n = L.upload_batches(_nested_ev(spark, sf), "hotkey", ["ts", "seq_id"], F.col("epoch_day"))
     L.write_shards(n, path)
     good, bad = L.read_shards(spark, path, envs=EV_ENVS)
     ok = flatten_results(good).select(F.col("challenge_id").cast("bigint").alias("seq_id"),
@@ -108,10 +108,10 @@ def changed_shards_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("index_add_docs", """
-SELECT DISTINCT key FROM (SELECT doc_id AS key FROM documents WHERE doc_id % 2 = 0
+SELECT DISTINCT key FROM (SELECT doc_id AS key FROM documents
                           UNION ALL SELECT doc_id FROM labels)""")
 def index_add_docs(spark: SparkSession, sf: str) -> DataFrame:
-    idx = fx.table(spark, sf, "documents").filter("doc_id % 2 = 0").selectExpr("doc_id AS key")
+    idx = fx.table(spark, sf, "documents").selectExpr("doc_id AS key")
     new = fx.table(spark, sf, "labels").selectExpr("doc_id AS key")
     return L.index_add(idx, new)
 

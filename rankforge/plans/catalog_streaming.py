@@ -1,5 +1,5 @@
-"""Registered streaming queries (I1, I3-I8): each stages FX-EV / events as
-one Parquet file per day under the shared checkpoint dir, runs the stream
+"""Registered streaming queries (I1, I3-I8): each plays FX-EV / events as
+arrivals in event-time order under the shared checkpoint dir, runs the stream
 with ``availableNow`` through ``foreachBatch``, and returns the written
 result as a batch DataFrame.  Oracles are the batch twins in SQL.
 """
@@ -17,7 +17,6 @@ from rankforge.sources.results_log import scratch_path
 from rankforge.streaming import live as S
 
 Q: dict = {}
-_STAGED: dict = {}
 
 
 def register(name: str, sql: str | None):
@@ -27,32 +26,15 @@ def register(name: str, sql: str | None):
     return deco
 
 
-def _staged(spark: SparkSession, sf: str, name: str, df_fn):
-    """Stage a fixture once per session and scale factor."""
-    key = (id(spark), sf, name)
-    if key not in _STAGED:
-        df = df_fn()
-        path = scratch_path(spark, f"stage-{name}")
-        S.stage_files(df, "part", path)
-        _STAGED[key] = (path, df.schema)
-    return _STAGED[key]
+_SLOTS = 3      # arrivals: each one or more micro-batches, so the stateful operators carry state
 
 
-# staged files hold three days each (event-time order kept); four files per
-# micro-batch gives several batches, so the stateful operators carry state
-_DAYS_PER_FILE, _FILES_PER_BATCH = 3, 4
+def _ev(spark, sf):
+    return fx.fx_ev(spark, sf).withColumn("part", F.col("epoch_day"))
 
 
-def _ev_stream(spark, sf):
-    path, schema = _staged(spark, sf, "ev", lambda: fx.fx_ev(spark, sf).withColumn(
-        "part", F.floor((F.col("d") - 1) / _DAYS_PER_FILE)))
-    return S.file_stream(spark, path, schema, _FILES_PER_BATCH)
-
-
-def _events_stream(spark, sf):
-    path, schema = _staged(spark, sf, "events", lambda: fx.table(spark, sf, "events").withColumn(
-        "part", F.floor((F.dayofmonth("ts") - 1) / _DAYS_PER_FILE)))
-    return S.file_stream(spark, path, schema, _FILES_PER_BATCH)
+def _events(spark, sf):
+    return fx.table(spark, sf, "events").withColumn("part", F.unix_date(F.to_date("ts")))
 
 
 # ---- I4 + I7 (+ B4, B5 stream-static) ------------------------------------------------------
@@ -63,11 +45,13 @@ p AS (SELECT participant, min(block) AS first_block FROM cur GROUP BY participan
 SELECT p.participant, e.env, CAST(coalesce(s.n, 0) AS BIGINT) AS n, coalesce(s.succ, 0.0) AS succ, p.first_block
 FROM p CROSS JOIN envs e LEFT JOIN s ON s.participant = p.participant AND s.env = e.env""")
 def live_runs_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
-    st = _ev_stream(spark, sf)
-    st = R.family_filter(R.member_filter(st, fx.registry(spark, sf)), EV_FAMILY, 0)
+    reg = fx.registry(spark, sf)
     out = scratch_path(spark, "live-runs")
-    S.run_available_now(S.live_runs(st, EV_ENVS, tail_seconds=40 * 86400),
-                        S.batch_writer(out), "live-runs", mode="update")
+
+    def build(st):
+        return S.live_runs(R.family_filter(R.member_filter(st, reg), EV_FAMILY, 0), EV_ENVS, tail_seconds=40 * 86400)
+
+    S.replay(_ev(spark, sf), "part", build, S.batch_writer(out), "live-runs", _SLOTS, mode="update")
     res = spark.read.parquet(out)
     last = S.latest_per_key(res, ["participant"])
     z = last.select("participant", "first_block", F.posexplode(F.arrays_zip("n", "succ")).alias("i", "z"))
@@ -84,33 +68,43 @@ SELECT epoch_us(ws) AS window_start_us, participant, env,
        count(*) FILTER (WHERE success) AS n, coalesce(sum(score) FILTER (WHERE success), 0.0) AS succ
 FROM w GROUP BY ALL""")
 def window_grid_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
-    st = _ev_stream(spark, sf)
     out = scratch_path(spark, "window-grid")
-    g = S.windowed_grid(st, "ts", "1 day", "6 hours", "1 day")
-    g = g.select(F.unix_micros(F.col("w.start")).alias("window_start_us"), "participant", "env", "n", "succ")
-    S.run_available_now(g, S.batch_writer(out), "window-grid", mode="update")
+
+    def build(st):
+        g = S.windowed_grid(st, "ts", "1 day", "6 hours", "1 day")
+        return g.select(F.unix_micros(F.col("w.start")).alias("window_start_us"), "participant", "env", "n", "succ")
+
+    S.replay(_ev(spark, sf), "part", build, S.batch_writer(out), "window-grid", _SLOTS, mode="update")
     return S.latest_per_key(spark.read.parquet(out), ["window_start_us", "participant", "env"])
 
 
 # ---- I5 ----------------------------------------------------------------------------------
 @register("stall_alarms_stream_ev", """
-WITH g AS (SELECT user_id, event_id, (epoch_us(ts) - lag(epoch_us(ts)) OVER w) / 1e6 AS gap
-           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
-SELECT user_id AS key, event_id, gap FROM g WHERE gap > 14400""")
+WITH g AS (SELECT user_id, event_id, epoch_us(ts) AS us, (epoch_us(ts) - lag(epoch_us(ts)) OVER w) / 1e6 AS gap
+           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT user_id, max(us) AS us FROM g GROUP BY user_id)
+SELECT user_id AS key, event_id, gap, CAST(NULL AS BIGINT) AS silent_since_us FROM g WHERE gap > 14400
+UNION ALL
+SELECT user_id, NULL, NULL, us FROM s WHERE us // 1000 + 14400000 < (SELECT max(us) // 1000 FROM s)""")
 def stall_alarms_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
-    st = _events_stream(spark, sf)
+    """Ended gaps, and the alarms still open at the end of the stream."""
+    ev = _events(spark, sf)
     out = scratch_path(spark, "stalls")
-    S.run_available_now(S.stall_alarms(st, "user_id", 14400.0), S.batch_writer(out), "stalls")
-    return spark.read.parquet(out).select("key", "event_id", "gap")
+    S.replay(ev, "part", lambda st: S.stall_alarms(st, "user_id", 14400.0), S.batch_writer(out), "stalls", _SLOTS)
+    a = spark.read.parquet(out).select("key", "event_id", "gap", "silent_since_us")
+    last = ev.groupBy(F.col("user_id").cast("bigint").alias("key")).agg(
+        F.max(R.epoch_micros("ts", dict(ev.dtypes)["ts"])).alias("silent_since_us"))
+    still = a.where("silent_since_us is not null").join(last, ["key", "silent_since_us"], "left_semi")
+    ended = a.where("silent_since_us is null").withColumn("gap", F.nanvl("gap", F.lit(None).cast("double")))
+    return ended.unionByName(still.withColumn("gap", F.lit(None).cast("double")))
 
 
 # ---- I6 ----------------------------------------------------------------------------------
 @register("tempo_gate_stream_ev", fx.duck_with("fx_ev") + """
 SELECT DISTINCT block FROM fx_ev WHERE block % 100 = 0""")
 def tempo_gate_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
-    st = _ev_stream(spark, sf)
     out = scratch_path(spark, "tempo")
-    S.run_available_now(S.tempo_gate_stream(st), S.batch_writer(out), "tempo")
+    S.replay(_ev(spark, sf), "part", S.tempo_gate_stream, S.batch_writer(out), "tempo", _SLOTS)
     return spark.read.parquet(out).select("block")
 
 
@@ -118,9 +112,8 @@ def tempo_gate_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
 @register("sink_stream_ev", fx.duck_with("fx_ev") + """
 SELECT participant, count(*) AS rows, sum(score) AS score_sum FROM fx_ev WHERE success GROUP BY participant""")
 def sink_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
-    st = _ev_stream(spark, sf)
     out = scratch_path(spark, "sink")
-    S.sink_stream(st, out, "sink")
+    S.replay(_ev(spark, sf), "part", lambda st: st, S.results_writer(out), "sink", _SLOTS)
     return spark.read.parquet(out).groupBy("participant").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("score").alias("score_sum"))
 
@@ -130,9 +123,9 @@ def sink_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
 SELECT participant, count(*) AS rows FROM fx_ev WHERE participant IN (SELECT uid FROM registry)
 GROUP BY participant""")
 def refresh_join_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
-    st = _ev_stream(spark, sf)
     out = scratch_path(spark, "refresh")
-    S.run_available_now(st, S.refreshed_members(lambda s: fx.registry(s, sf), out), "refresh")
+    S.replay(_ev(spark, sf), "part", lambda st: st, S.refreshed_members(lambda s: fx.registry(s, sf), out), "refresh",
+             _SLOTS)
     return spark.read.parquet(out).groupBy("participant").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -152,10 +145,9 @@ r AS (SELECT user_id, rn, event_id, 0 AS batch, us AS bstart, 1 AS cnt FROM o WH
       FROM r JOIN o ON o.user_id = r.user_id AND o.rn = r.rn + 1)
 SELECT CAST(user_id AS BIGINT) AS producer, event_id, CAST(batch AS BIGINT) AS batch FROM r""")
 def flush_batches_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
-    st = _events_stream(spark, sf)
     out = scratch_path(spark, "flush")
-    S.run_available_now(S.flush_batches(st, "user_id", _FLUSH_SIZE, _FLUSH_AGE),
-                        S.batch_writer(out), "flush")
+    S.replay(_events(spark, sf), "part", lambda st: S.flush_batches(st, "user_id", _FLUSH_SIZE, _FLUSH_AGE),
+             S.batch_writer(out), "flush", _SLOTS)
     return spark.read.parquet(out).select("producer", "event_id", "batch")
 
 

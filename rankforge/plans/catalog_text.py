@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from rankforge import fixtures as fx
 from rankforge.functions import text as T
-from rankforge.session import spread
 
 NL = "chr(10)"
 
@@ -53,7 +52,7 @@ Q: dict = {}
 
 
 def _tbl(spark, sf, name):
-    return spread(fx.table(spark, sf, name))
+    return fx.table(spark, sf, name)
 
 
 def register(name: str, sql: str):
@@ -298,12 +297,12 @@ _DWRAP = (f"CASE WHEN turn % 7 = 0 THEN concat('Thought:', {NL}, text) "
 
 
 def _conv_wrapped(spark, sf):
-    return (_tbl(spark, sf, "conversations").filter(F.col("role") == "assistant")
+    return (_tbl(spark, sf, "conversations")
             .selectExpr("conv_id", "turn", f"{_WRAP} AS x"))
 
 
 @register("react_conv", f"""
-WITH d AS (SELECT conv_id, turn, {_DWRAP} AS x FROM conversations WHERE role = 'assistant'),
+WITH d AS (SELECT conv_id, turn, {_DWRAP} AS x FROM conversations),
 s AS (SELECT *, contains(x, 'Action:') AS has_a,
              string_split(x, 'Action:') AS parts FROM d),
 r AS (SELECT *, CASE WHEN has_a THEN array_to_string(parts[1:len(parts) - 1], 'Action:')
@@ -324,7 +323,7 @@ def react_conv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("single_action_conv", f"""
-WITH d AS (SELECT conv_id, turn, {_DWRAP} AS x FROM conversations WHERE role = 'assistant'),
+WITH d AS (SELECT conv_id, turn, {_DWRAP} AS x FROM conversations),
 a AS (SELECT conv_id, turn, regexp_extract_all(x, 'Action:\\s*([^\\n]*)', 1) AS acts FROM d)
 SELECT conv_id, turn,
        CASE WHEN len(acts) > 1 THEN NULL
@@ -338,7 +337,7 @@ def single_action_conv(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("first_action_conv", f"""
 WITH d AS (SELECT conv_id, turn, regexp_replace({_DWRAP}, '</s>$', '') AS x FROM conversations
-           WHERE role = 'assistant'),
+          ),
 p AS (SELECT conv_id, turn, x, string_split(x, 'Action:') AS parts FROM d)
 SELECT conv_id, turn, {d_strip("CASE WHEN len(parts) > 1 THEN parts[2] ELSE x END")} AS action FROM p""")
 def first_action_conv(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Composite scoring plans: X3 score, X4 weights, X5 leaderboard.
 
-Everything stays one lazy plan.  Global facts (is anyone eligible? total
+Steps whose tables are small and read again (one row per participant or env
+subset) are checkpointed; the rest stays one lazy plan.  Global facts (is anyone eligible? total
 points? who is best?) are scalar subqueries, evaluated once by Spark, never
 collected by the driver.  All tables past the grid have one row per
 participant (or per env subset), so their size is bounded by the registry.
@@ -27,10 +28,12 @@ def score(flagged: DataFrame, n_envs: int, cfg: ScoringConfig) -> tuple[DataFram
     return materialize(D.subset_winners(pool, dom, n_envs, cfg.scale)), dom
 
 
-def best_participant(flagged: DataFrame, dom: DataFrame, n_envs: int) -> "F.Column":
+def best_participant(flagged: DataFrame, dom: DataFrame, n_envs: int,
+                     idle: DataFrame | None = None) -> "F.Column":
     """C6 + F4 as a scalar column: ladder pool -> queryable -> active; within
     the lowest non-empty level, max by (full-set dominance, -first_block),
-    ties to the lowest id."""
+    ties to the lowest id.  ``idle``: queryable participants without results
+    (participant, first_block), who stand on the second rung."""
     full = (1 << n_envs) - 1
     d_full = dom.filter(F.col("S") == full).select("participant", F.col("dom").alias("_df"))
     level = (F.when(F.col("in_pool"), 0).when(F.col("queryable"), 1).otherwise(2))
@@ -38,6 +41,9 @@ def best_participant(flagged: DataFrame, dom: DataFrame, n_envs: int) -> "F.Colu
          .select("participant", level.alias("lvl"),
                  F.coalesce("_df", F.lit(0)).alias("d"),
                  fb_infinite(F.col("first_block")).alias("fb")))
+    if idle is not None:
+        c = c.unionByName(idle.select("participant", F.lit(1).alias("lvl"), F.lit(0).cast("bigint").alias("d"),
+                                      fb_infinite(F.col("first_block")).alias("fb")))
     # lowest ladder level first: (2 - lvl) leads the packed score
     key = argmax_key((F.lit(2) - F.col("lvl")) * F.lit(10 ** 8) + F.col("d"), F.col("fb"), F.col("participant"))
     return c.agg(argmax_id(F.max(key))).scalar()
@@ -85,22 +91,28 @@ def weights(spark: SparkSession, flagged: DataFrame, winners: DataFrame, dom: Da
     return out.unionByName(one.filter(~any_elig))
 
 
-def report_weights(spark: SparkSession, flagged: DataFrame, dom: DataFrame, n_envs: int) -> DataFrame:
+def report_weights(spark: SparkSession, flagged: DataFrame, dom: DataFrame, n_envs: int,
+                   idle: DataFrame | None = None) -> DataFrame:
     """Weights shown in the report when nobody is eligible: 1.0 for the
     best candidate, 0.0 for everyone else."""
-    best = best_participant(flagged, dom, n_envs)
+    best = best_participant(flagged, dom, n_envs, idle)
     return spark.range(1).select(best.cast("bigint").alias("uid"), F.lit(1.0).alias("weight"))
 
 
 def leaderboard(flagged: DataFrame, winners: DataFrame, weights_df: DataFrame,
-                envs: Sequence[str], string_sort: bool = False, model_width: int = 30) -> DataFrame:
+                envs: Sequence[str], string_sort: bool = False, model_width: int = 30,
+                burn: float = 0.0, base: int = 0) -> DataFrame:
     """One report row per active participant.
 
     Env cells "{100*acc:.2f}/{n}", starred for the env winner; L1..LE,
     points, eligibility, weight.  Eligible rows first, then by points
     descending (``string_sort`` reproduces the nobody-eligible ordering on
-    the formatted points, uid descending)."""
+    the formatted points, uid descending).  A burn makes the base eligible,
+    as it gets weight."""
     k = len(envs)
+    if burn > 0:
+        any_elig = flagged.agg(F.coalesce(F.bool_or("eligible"), F.lit(False))).scalar()
+        flagged = flagged.withColumn("eligible", F.col("eligible") | (any_elig & (F.col("participant") == base)))
     pts = D.layer_points(winners, k)
     won = (winners.filter(F.col("size") == 1)
            .groupBy(F.col("winner").alias("participant"))

@@ -42,13 +42,17 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; we only create a scratch folder
-    when the setting is missing (local tests).
+    A cluster names a shared folder there.  Only a session whose tasks run in
+    this process may fall back to a scratch folder; anywhere else a folder of
+    this machine would be lost on the others, so the setting is required.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="rankforge-ckpt-")
         try:      # informational: some deployments reject core confs at runtime
             spark.conf.set("spark.checkpoint.dir", d)
@@ -65,16 +69,3 @@ def materialize(df):
     and a lost executor does not force a recompute from the raw log."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df):
-    """Give CPU-heavy per-row work at least one partition per core.
-
-    A scan of a file with one row group yields one task however many cores
-    there are; only then is a round-robin repartition worth its shuffle.
-    Scans that already have enough splits (any real table) are untouched,
-    so this is a no-op at cluster scale."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df

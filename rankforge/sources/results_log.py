@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.config import ACTIVE_ENVS, EPOCH_BLOCKS, SINK_BATCH, WINDOW
+from rankforge.functions.text import shard_key
 
 # ---- schemas ---------------------------------------------------------------------------
 MINER = T.StructType([
@@ -78,15 +79,15 @@ def read_tail(spark: SparkSession, path: str, cur: int, tail: int, w: int = WIND
 
 
 # ---- A8 ------------------------------------------------------------------------------
-def write_results(df: DataFrame, path: str, block_col: str = "block") -> None:
-    """Append successful results (a missing flag counts as failure),
+def write_results(df: DataFrame, path: str, block_col: str = "block", mode: str = "append") -> None:
+    """Append (or, by ``mode``, replace) successful results (a missing flag counts as failure),
     bucketed by window; each write adds new, uniquely named files; an empty
     batch writes nothing."""
     ok = df.filter(F.coalesce(F.col("success"), F.lit(False)))
     (ok.withColumn("window", window_bucket(block_col))
        .withColumn("epoch", F.floor(F.col("window") / EPOCH_BLOCKS).cast("bigint"))
        .sortWithinPartitions("epoch", "window")
-       .write.mode("append").partitionBy("epoch").parquet(path))
+       .write.mode(mode).partitionBy("epoch").parquet(path))
 
 
 def upload_batches(results: DataFrame, uploader: str, order: list[str], chunk, size: int = SINK_BATCH):
@@ -101,18 +102,21 @@ def upload_batches(results: DataFrame, uploader: str, order: list[str], chunk, s
 def write_shards(results: DataFrame, path: str, uploader: str = "hotkey", batch: str = "batch",
                  block_col: str = "miner.block", order: str = "seq_key") -> None:
     """Interchange sink: each upload batch of an uploader becomes one JSON
-    array of its successful results (in ``order``), keyed by the window of
-    the batch's last block (the block at flush).  A batch is bounded by the
-    sink size, so gathering it into one row is bounded too."""
+    array of its successful results (in ``order``) in a folder of its own,
+    named by its shard key (T25): the window of the batch's last block (the
+    block at flush), the uploader and the batch number, which grows with
+    every flush of the uploader.  A batch is bounded by the sink size, so
+    gathering it into one row is bounded too."""
     ok = results.filter(F.coalesce(F.col("response.success"), F.lit(False)))
     body = [c for c in RESULT.fieldNames() if c in ok.columns]
     g = ok.groupBy(F.col(uploader).alias("uploader"), batch).agg(
         window_bucket(F.max(F.col(block_col))).alias("window"),
         F.array_sort(F.collect_list(F.struct(F.col(order).alias("k"),
                                              F.to_json(F.struct(*body)).alias("j")))).alias("_items"))
-    g = g.select("window", "uploader", F.concat(F.lit("["), F.array_join(F.transform(
-        "_items", lambda x: x["j"]), ","), F.lit("]")).alias("value"))
-    g.write.mode("append").partitionBy("window", "uploader").text(path)
+    g = g.select(F.concat(shard_key(F.col("window"), F.col("uploader"), F.col(batch)), F.lit(".json")).alias("shard"),
+                 F.concat(F.lit("["), F.array_join(F.transform("_items", lambda x: x["j"]), ","), F.lit("]"))
+                 .alias("value"))
+    g.write.mode("append").partitionBy("shard").text(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -132,31 +136,27 @@ def write_report(report: DataFrame, path: str, order: str = "rank") -> None:
 
 # ---- A3 / A4 / A5 / A6 ------------------------------------------------------------------
 def read_shards(spark: SparkSession, path: str, ignore_missing: bool = True,
-                envs=ACTIVE_ENVS) -> tuple[DataFrame, DataFrame]:
+                envs=ACTIVE_ENVS, windows: tuple[int, int] | None = None) -> tuple[DataFrame, DataFrame]:
     """(results, quarantine) from JSON-array shards under ``path``.
 
-    Files whose name does not start with digits then '-' are ignored (A3);
+    Files whose name does not start with digits then '-' are ignored, and with
+    ``windows`` those outside the tail (A3);
     each element is parsed alone (A4); elements that are not valid results
     (unparsable, missing fields, inactive env) go to the quarantine with a
     reason instead of being dropped silently (A5); files that vanish or are
     corrupt are skipped (A6).  Every row carries the total order
     ``seq = (window, uploader, upload_ns, pos)``."""
-    raw = (spark.read.option("wholetext", True)
-           .option("ignoreMissingFiles", ignore_missing).option("ignoreCorruptFiles", True)
-           .text(path))
-    if "window" in raw.columns and "uploader" in raw.columns:
-        # layout written by write_shards: window=/uploader=/part-*.txt
-        named = raw.select(F.col("window").cast("bigint").alias("window"),
-                           F.col("uploader").cast("string").alias("uploader"),
-                           (F.unix_micros(F.col("_metadata.file_modification_time")) * 1000).alias("upload_ns"),
-                           F.from_json("value", "array<string>").alias("items"))
-    else:
-        raw = raw.select("value", F.col("_metadata.file_name").alias("file"))
-        named = raw.filter(F.col("file").rlike(SHARD_NAME)).select(
-            F.regexp_extract("file", SHARD_NAME, 1).cast("bigint").alias("window"),
-            F.regexp_extract("file", SHARD_NAME, 2).alias("uploader"),
-            F.regexp_extract("file", SHARD_NAME, 3).cast("bigint").alias("upload_ns"),
-            F.from_json("value", "array<string>").alias("items"))
+    raw = (spark.read.option("ignoreMissingFiles", ignore_missing).option("ignoreCorruptFiles", True)
+           .text(path, wholetext=True))
+    # the key names the file, or its folder in the layout of write_shards
+    file = F.col("shard") if "shard" in raw.columns else F.col("_metadata.file_name")
+    raw = raw.select("value", file.alias("file")).filter(F.col("file").rlike(SHARD_NAME))
+    raw = raw.withColumn("window", F.regexp_extract("file", SHARD_NAME, 1).cast("bigint"))
+    if windows is not None:      # keys are selected before any content is parsed
+        raw = raw.filter(F.col("window").between(*windows))
+    named = raw.select("window", F.regexp_extract("file", SHARD_NAME, 2).alias("uploader"),
+                       F.regexp_extract("file", SHARD_NAME, 3).cast("bigint").alias("upload_ns"),
+                       F.from_json("value", "array<string>").alias("items"))
     el = named.select("window", "uploader", "upload_ns",
                       F.posexplode_outer("items").alias("pos", "item"))
     parsed = el.withColumn("r", F.from_json("item", RESULT)).withColumn(

@@ -9,7 +9,7 @@
       (state = version, first block, last seq, per-env counts); I7 expires
       a participant's state once the watermark passes its last result plus
       the tail.
-* I5  stall alarms: per-process state keeps the last heartbeat.
+* I5  stall alarms: per-process state keeps the last heartbeat and a timer.
 * I6  tempo gate: streaming de-duplication of gate blocks.
 * I8  registry refresh: the static registry is re-read in every batch.
 
@@ -32,17 +32,33 @@ from rankforge.sources.results_log import scratch_path, write_results
 
 
 # ---- plumbing ------------------------------------------------------------------------------
-def stage_files(df: DataFrame, part_col: str, path: str) -> None:
-    """Fixture staging: one Parquet file per value of ``part_col``, written
-    in value order so file modification times follow event time."""
-    src = df.persist()          # staged once, written day by day
-    vals = [r[0] for r in src.select(part_col).distinct().orderBy(part_col).collect()]
-    for v in vals:   # one small write per staged file: the count is the number of days
-        src.filter(F.col(part_col) == v).coalesce(1).write.mode("append").parquet(f"{path}/{part_col}={v}")
-    src.unpersist()
-
-
-def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int = 10) -> DataFrame:
+def stage_files(df: DataFrame, part_col: str, path: str, slots: int) -> list[str]:
+    """Fixture staging: up to ``slots`` folders that follow each other in
+    ``part_col`` (a day number), cut at equal parts of its range; returns
+    their paths in order.  Every task writes; only the range is collected."""
+    lo, hi = df.agg(F.min(part_col), F.max(part_col)).first()
+    if lo is None:
+        return []
+    step = max(1, -(-(hi - lo + 1) // slots))
+    df.withColumn("_slot", F.floor((F.col(part_col) - lo) / step).cast("int")) \
+        .write.partitionBy("_slot").parquet(path)
+    return [f"{path}/_slot={i}" for i in range(-(-(hi - lo + 1) // step))]
+
+
+def replay(df: DataFrame, part_col: str, build: Callable[[DataFrame], DataFrame],
+           on_batch: Callable[[DataFrame, int], None], name: str, slots: int = 3, mode: str = "append") -> None:
+    """Play a table as arrivals: slot after slot lands in an inbox folder, and
+    after each the streaming query takes what is there, going on from its
+    checkpoint.  So the order of slots is the order of event time, and all
+    writes are parallel."""
+    spark = df.sparkSession
+    inbox, checkpoint = scratch_path(spark, f"in-{name}"), scratch_path(spark, f"ckpt-{name}")
+    for path in stage_files(df, part_col, scratch_path(spark, f"stage-{name}"), slots):
+        spark.read.schema(df.schema).parquet(path).write.mode("append").parquet(inbox)
+        run_available_now(build(file_stream(spark, inbox, df.schema)), on_batch, name, mode, checkpoint)
+
+
+def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int = 1000) -> DataFrame:
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
             .option("recursiveFileLookup", "true").parquet(path))
 
@@ -57,11 +73,11 @@ def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def run_available_now(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], name: str,
-                      mode: str = "append") -> None:
+                      mode: str = "append", checkpoint: str | None = None) -> None:
     """Run a streaming query over everything available, then stop."""
     spark = stream.sparkSession
     q = (stream.writeStream.outputMode(mode).foreachBatch(on_batch)
-         .option("checkpointLocation", scratch_path(spark, f"ckpt-{name}"))
+         .option("checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-{name}"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
@@ -76,11 +92,17 @@ def batch_writer(path: str, fn: Callable[[DataFrame], DataFrame] | None = None):
 
 
 # ---- I1 ------------------------------------------------------------------------------------
+def results_writer(path: str):
+    """foreachBatch body: a batch's successful results become its part of the
+    window-bucketed Parquet log; a replayed batch replaces its part."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        write_results(df, f"{path}/microbatch={batch_id}", mode="overwrite")
+    return write
+
+
 def sink_stream(stream: DataFrame, path: str, name: str = "sink") -> None:
     """Results stream -> window-bucketed Parquet log, batch-idempotent."""
-    def write(df: DataFrame, batch_id: int) -> None:
-        write_results(df, f"{path}/microbatch={batch_id}")
-    run_available_now(stream, write, name)
+    run_available_now(stream, results_writer(path), name)
 
 
 # ---- I3 ------------------------------------------------------------------------------------
@@ -192,11 +214,19 @@ def live_runs(stream: DataFrame, envs: Sequence[str], tail_seconds: int, waterma
 # ---- I5 ------------------------------------------------------------------------------------
 STALL_STATE = T.StructType([T.StructField("last_us", T.LongType())])
 STALL_OUT = T.StructType([T.StructField("key", T.LongType()), T.StructField("event_id", T.LongType()),
-                          T.StructField("gap", T.DoubleType())])
+                          T.StructField("gap", T.DoubleType()), T.StructField("silent_since_us", T.LongType())])
 
 
 def stall_fn(timeout_s: float):
+    wait_ms = int(timeout_s * 1000)
+
     def fn(key, pdfs, state: GroupState):
+        if state.hasTimedOut:               # nothing came: alarm now, keep the state for the gap
+            last = state.get[0]
+            state.update((last,))
+            yield pd.DataFrame({"key": [key[0]], "event_id": pd.array([None], dtype="Int64"), "gap": [np.nan],
+                                "silent_since_us": pd.array([last], dtype="Int64")})
+            return
         rows = pd.concat(list(pdfs), ignore_index=True)
         rows = rows.assign(_us=_us(rows["ts"])).sort_values(["_us", "event_id"], kind="stable")
         prev = state.get[0] if state.exists else None
@@ -207,16 +237,20 @@ def stall_fn(timeout_s: float):
             gap[0] = np.nan
         hit = gap > timeout_s
         state.update((int(us[-1]),))
-        out = pd.DataFrame({"key": key[0], "event_id": rows["event_id"].to_numpy()[hit], "gap": gap[hit]})
-        yield out
+        state.setTimeoutTimestamp(max(int(us[-1]) // 1000 + wait_ms, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"key": key[0], "event_id": pd.array(rows["event_id"].to_numpy()[hit], dtype="Int64"),
+                            "gap": gap[hit], "silent_since_us": pd.array([None] * int(hit.sum()), dtype="Int64")})
     return fn
 
 
-def stall_alarms(stream: DataFrame, key: str, timeout_s: float) -> DataFrame:
-    """One alarm row per heartbeat that follows a gap > timeout."""
-    return stream.select(F.col(key).cast("bigint").alias(key), "ts", "event_id").groupBy(key) \
+def stall_alarms(stream: DataFrame, key: str, timeout_s: float, watermark: str = "0 seconds") -> DataFrame:
+    """An alarm when a process falls silent for longer than the timeout
+    (``silent_since_us``, by an event-time timer, so also when it never comes
+    back), and a row for the heartbeat that ends such a gap."""
+    s = event_time(stream).withWatermark("ts", watermark)
+    return s.select(F.col(key).cast("bigint").alias(key), "ts", "event_id").groupBy(key) \
         .applyInPandasWithState(stall_fn(timeout_s), STALL_OUT, STALL_STATE, "append",
-                                GroupStateTimeout.NoTimeout)
+                                GroupStateTimeout.EventTimeTimeout)
 
 
 # ---- I6 ------------------------------------------------------------------------------------
@@ -239,10 +273,12 @@ def refreshed_members(loader: Callable[[SparkSession], DataFrame], path: str, ke
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], batch: str = "microbatch") -> DataFrame:
-    """The last emitted row per key across update-mode batches."""
+    """The last emitted row per key across update-mode batches; a key whose
+    last row says that its state expired is gone."""
     cols = [c for c in df.columns if c not in keys and c != batch]
     g = df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col(batch)).alias("_l"))
-    return g.select(*keys, "_l.*")
+    out = g.select(*keys, "_l.*")
+    return out.where("not expired") if "expired" in cols else out
 
 
 # ---- I2 (size-or-age flush batches) ----------------------------------------------------------
@@ -261,11 +297,13 @@ def flush_fn(size: int, age_s: float):
         us = rows["_us"].to_numpy()
         batch, start, cnt = state.get if state.exists else (-1, 0, size)   # no open batch yet
         out = np.empty(len(us), dtype=np.int64)
-        for i, t in enumerate(us):          # sequential by definition; bounded by one micro-batch
-            if cnt >= size or t >= start + age_us:
-                batch, start, cnt = batch + 1, int(t), 0
-            cnt += 1
-            out[i] = batch
+        i = 0
+        while i < len(us):                  # one step per flush, not per row
+            if cnt >= size or us[i] >= start + age_us:
+                batch, start, cnt = batch + 1, int(us[i]), 0
+            end = min(i + size - cnt, int(np.searchsorted(us, start + age_us, side="left")))
+            out[i:end] = batch
+            cnt, i = cnt + end - i, end
         state.update((int(batch), int(start), int(cnt)))
         yield pd.DataFrame({"producer": key[0], "event_id": rows["event_id"].to_numpy(), "batch": out})
     return fn

@@ -1,5 +1,7 @@
 """Driver contract, and stream results equal to their batch twins."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -18,7 +20,8 @@ def test_entry_runs(spark):
 def test_every_query_has_oracle_or_is_declared():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == {"verification_docs", "task_ids_ev", "planted_sat_orders"}
+    own = {n for n in set(qs) - set(sql) if not re.match(r"op\d+_|pipeline$", n)}     # the corpus operators say theirs
+    assert own == {"task_ids_ev"}
     assert len(qs) >= 110
 
 
@@ -32,7 +35,8 @@ def duck():
 
 @pytest.mark.parametrize("name", ["grid_ev", "winners_li", "weights_li", "participants_world",
                                   "ded_cases_li", "live_runs_stream_ev", "stall_alarms_stream_ev",
-                                  "shards_roundtrip_ev", "chunk_sample_docs", "react_conv"])
+                                  "shards_roundtrip_ev", "chunk_sample_docs", "react_conv", "verification_docs",
+                                  "grade_all_mixed", "sink_stream_ev"])
 def test_oracle_small(spark, duck, name):
     df = E.queries()[name](spark, SF)
     a = rows_of(df.columns, [tuple(r) for r in df.collect()])

@@ -115,11 +115,9 @@ def test_reassemble_lines(spark):
         assert [have[k] for k in sorted(have)] == want
 
 
-def test_challenge_fan_out_and_bound(spark):
-    import pytest
+def test_challenge_fan_out(spark):
     ch = spark.createDataFrame([(1,), (2,), (3,)], "item_id long")
     ps = spark.createDataFrame([(10, "m/a"), (11, None), (12, "m/b")], "uid long, model string")
-    got = sorted((r.uid, r.item_id) for r in O.challenge_tasks(ch, ps, max_challenges=3).collect())
-    assert got == [(10, 1), (10, 2), (10, 3), (12, 1), (12, 2), (12, 3)]
-    with pytest.raises(Exception, match="challenge set above its bound"):
-        O.challenge_tasks(ch, ps, max_challenges=2).collect()
+    for rows in (1000, 1):
+        got = sorted((r.uid, r.item_id) for r in O.challenge_tasks(ch, ps, bucket_rows=rows).collect())
+        assert got == [(10, 1), (10, 2), (10, 3), (12, 1), (12, 2), (12, 3)]
