@@ -17,6 +17,7 @@ Z_NOT_WORSE = 1.28          # z of the not-worse tolerance
 EPS_WIN = 0.015             # floor of the better margin
 Z_WIN = 0.5                 # z of the better margin
 ELIG = 0.10                 # share of the busiest participant's samples required
+SAMPLE_SLACK = 10           # added to that share
 MIN_SAMPLES_PER_ENV = 100
 MAX_SAMPLES_CAP = 2000
 SAMPLE_COUNT_CAP = 1000
@@ -58,6 +59,7 @@ class ScoringConfig:
     eps_win: float = EPS_WIN
     z_win: float = Z_WIN
     elig: float = ELIG
+    sample_slack: int = SAMPLE_SLACK
     min_samples: int = MIN_SAMPLES_PER_ENV
     max_samples_cap: int = MAX_SAMPLES_CAP
     sample_count_cap: int = SAMPLE_COUNT_CAP

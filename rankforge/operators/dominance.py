@@ -45,7 +45,7 @@ def required_samples(summary: DataFrame, n_envs: int, cfg: ScoringConfig) -> Dat
         mx = F.coalesce(F.max(F.col("n")[i]), F.lit(0))
         mx = F.least(mx, F.lit(cfg.max_samples_cap))
         cols.append(F.greatest(F.lit(cfg.min_samples),
-                               F.lit(10) + (F.lit(cfg.elig) * mx).cast("int")))
+                               F.lit(cfg.sample_slack) + (F.lit(cfg.elig) * mx).cast("int")))
     return summary.agg(F.array(*cols).alias("required"))
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankforge import fixtures as fx
+from rankforge.config import ScoringConfig
+from rankforge.operators import dominance as D
 from rankforge.operators import grading as G
 from rankforge.operators import participants as PT
 from rankforge.operators import results as R
@@ -14,6 +16,8 @@ from rankforge.plans import catalog as C
 from rankforge.plans import oracle as OR
 from rankforge.plans import scoring as P
 from rankforge.plans.catalog_text import _dhash, _hash
+from rankforge.session import materialize
+from rankforge.sources import results_log as L
 
 Q: dict = {}
 
@@ -256,5 +260,77 @@ def leaderboard_li(spark: SparkSession, sf: str) -> DataFrame:
     return P.leaderboard(fl, w, wt, C.LI_ENVS, burn=C.LI_CFG.burn, base=0)
 
 
+# ---- X4 / X5 end to end ------------------------------------------------------------------------
+# log -> tail (A2) -> participants (X1) -> current run and first block (E1, E2, C3) -> eligibility
+# (C5, C6) -> score -> weights with burn, and the report.  The sample rule is scaled to the fixture.
+FULL_CUR, FULL_TAIL = 216_000, 150_000
+FULL_CFG = ScoringConfig(scale=0.5, burn=0.9, min_samples=1, sample_slack=0)
+
+
+def full_scores(spark: SparkSession, sf: str, check: bool):
+    path = L.scratch_path(spark, "full-log")
+    L.write_results(fx.fx_ev(spark, sf), path)
+    tail = L.read_tail(spark, path, FULL_CUR, FULL_TAIL)
+    known = materialize(C._participants_world(spark, sf, check).select("uid", "block"))
+    registry = fx.world_registry(spark, sf)
+    summ = materialize(R.sample_grid(tail, registry, C.EV_ENVS, base=0, family=C.EV_FAMILY))
+    queryable = known.select(F.col("uid").alias("participant"))
+    fl = materialize(D.eligibility(summ, queryable, len(C.EV_ENVS), FULL_CFG))
+    with_block = PT.first_block_fallback(summ, known)
+    idle = with_block.filter("n is null").select("participant", "first_block")
+    w, dom = P.score(fl, len(C.EV_ENVS), FULL_CFG)
+    return fl, w, dom, idle
+
+
+def _full_sql(check: bool) -> str:
+    lo = (FULL_CUR - FULL_TAIL) - (FULL_CUR - FULL_TAIL) % 20
+    hi = FULL_CUR - FULL_CUR % 20
+    core = OR._ev_core().replace("SELECT * FROM fx_ev\n", "SELECT * FROM tail_ev\n") \
+        .replace("participant IN (SELECT uid FROM registry)", "participant IN (SELECT c_custkey FROM customer)") \
+        .replace("(el.participant % 7 <> 0)", "(el.participant IN (SELECT uid FROM x1))") \
+        .replace("greatest(100, 10 + ", "greatest(1, 0 + ")
+    head, rest = core.split(",\nf AS", 1)
+    return head + f""",
+x1 AS ({OR._x1(check)}),
+tail_ev AS (SELECT * FROM fx_ev WHERE success AND block - block % 20 BETWEEN {lo} AND {hi}),
+f AS""" + rest
+
+
+_FULL_LB = ", ".join(f"{OR._cell(i)} AS {e}" for i, e in enumerate(C.EV_ENVS))
+_FULL_L = range(1, len(C.EV_ENVS) + 1)
+
+
+@register("weights_full_ev", _full_sql(False) + """
+SELECT CAST(participant AS BIGINT) AS uid, weight,
+       CAST(row_number() OVER (ORDER BY participant = (SELECT participant FROM best), participant) - 1
+            AS INTEGER) AS ord
+FROM vec WHERE (SELECT e FROM anyel)
+UNION ALL SELECT CAST(0 AS BIGINT), 1.0, 0 WHERE NOT (SELECT e FROM anyel)""")
+def weights_full_ev(spark: SparkSession, sf: str) -> DataFrame:
+    fl, w, dom, _ = full_scores(spark, sf, check=False)
+    return P.weights(spark, fl, w, dom, len(C.EV_ENVS), FULL_CFG, base=0)
+
+
+@register("leaderboard_full_ev", _full_sql(False) + f""",
+vecw AS (SELECT participant, weight FROM vec WHERE (SELECT e FROM anyel)
+         UNION ALL SELECT 0, 1.0 WHERE NOT (SELECT e FROM anyel)),
+grid AS (SELECT participant, list(acc ORDER BY i) AS acc, list(n ORDER BY i) AS n FROM dense GROUP BY participant),
+wn AS (SELECT winner AS participant, list(CAST(log2(S) AS INTEGER)) AS won FROM wins WHERE size = 1 GROUP BY winner),
+rep AS (SELECT f.participant AS uid, f.eligible OR (f.participant = 0 AND (SELECT e FROM anyel)) AS eligible,
+               substr(CAST(l.model AS VARCHAR), 1, 30) AS model,
+               substr(coalesce(l.revision, 'None'), 1, 5) AS rev, coalesce(wn.won, []) AS won, g.acc, g.n,
+               {", ".join(f"pts.L{s}" for s in _FULL_L)}, coalesce(pts.points, 0.0) AS p, coalesce(v.weight, 0.0) AS w
+        FROM fl f JOIN grid g USING (participant) JOIN lat l USING (participant)
+        LEFT JOIN pts USING (participant) LEFT JOIN wn USING (participant) LEFT JOIN vecw v USING (participant))
+SELECT uid, model, rev, {_FULL_LB}, {", ".join(f"printf('%.1f', coalesce(L{s}, 0.0)) AS L{s}" for s in _FULL_L)},
+       printf('%.2f', p) AS pts, CASE WHEN eligible THEN 'Y' ELSE 'N' END AS elig, printf('%.4f', w) AS wgt,
+       CAST(row_number() OVER (ORDER BY eligible DESC, p DESC, uid) AS INTEGER) AS rank
+FROM rep""")
+def leaderboard_full_ev(spark: SparkSession, sf: str) -> DataFrame:
+    fl, w, dom, _ = full_scores(spark, sf, check=False)
+    wt = P.weights(spark, fl, w, dom, len(C.EV_ENVS), FULL_CFG, base=0)
+    return P.leaderboard(fl, w, wt, C.EV_ENVS, burn=FULL_CFG.burn, base=0)
+
+
 QUERIES = {k: v[0] for k, v in Q.items()}
 ORACLE = {k: v[1] for k, v in Q.items() if v[1] is not None}
