@@ -5,6 +5,8 @@ ordinals, stalls, tempo gate, retry schedule, task ids, fingerprints.
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -135,6 +137,28 @@ def status_rollup(events: DataFrame, ts: str = "ts", every: str = "30 seconds",
                     (F.col("requests") / F.lit(float(seconds))).alias("rps"))
 
 
+def flow_rollup(requests: DataFrame, started: str = "started", done: str = "done", flushed: str = "flushed",
+                seconds: int = 30, chunk_s: int = 86400) -> DataFrame:
+    """Per tumbling window the requests started and, at its end, those in
+    flight (started, not done) and queued (done, not flushed).  Times are in
+    seconds; null: not yet.  Each step changes a count by one; the changes are
+    summed per window, and the running sums go over days first and inside a
+    day then, so no task orders the whole log."""
+    steps = F.array(*[F.struct(F.col(c).cast("double").alias("t"), F.lit(a).alias("r"), F.lit(b).alias("f"), F.lit(q).alias("q"))
+                      for c, a, b, q in ((started, 1, 1, 0), (done, 0, -1, 1), (flushed, 0, 0, -1))])
+    s = requests.select(F.explode(steps).alias("s")).select("s.*").filter("t is not null")
+    w = s.groupBy((F.floor(F.col("t") / seconds) * seconds).cast("bigint").alias("window_start")).agg(
+        F.sum("r").alias("requests"), F.sum("f").alias("_f"), F.sum("q").alias("_q"))
+    w = w.withColumn("_c", F.floor(F.col("window_start") / chunk_s))
+    days = w.groupBy("_c").agg(F.sum("_f").alias("_df"), F.sum("_q").alias("_dq"))
+    before = Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)       # one row per day
+    days = days.select("_c", *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(x) for x in ("_df", "_dq")])
+    run = Window.partitionBy("_c").orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
+    return w.join(days, "_c").select(
+        "window_start", "requests", (F.col("requests") / F.lit(float(seconds))).alias("rps"),
+        (F.col("_df") + F.sum("_f").over(run)).alias("in_flight"), (F.col("_dq") + F.sum("_q").over(run)).alias("queued"))
+
+
 # ---- D20 / M6 ------------------------------------------------------------------------
 def resolve_attempts(attempts: DataFrame, req: str = "request_id") -> DataFrame:
     """The first success ends a request; a terminal status (400/404/410)
@@ -162,22 +186,70 @@ def listing_by_type(df: DataFrame, type_col: str = "type", name_col: str = "name
     return df.groupBy(type_col).agg(F.array_sort(F.collect_set(name_col)).alias("names"))
 
 
-def content_fingerprint(files: DataFrame, set_col: str, path: str = "path",
-                        content: str = "content") -> DataFrame:
+def glob_regex(pattern: str) -> str:
+    """A shell pattern as a regular expression for whole strings: ``*`` any
+    text, ``?`` one character, ``[...]`` one of a set, ``[!...]`` none of it."""
+    out, i = "", 0
+    while i < len(pattern):
+        c, i = pattern[i], i + 1
+        end = pattern.find("]", i + 1 + (pattern[i:i + 1] == "!")) if c == "[" else -1
+        if c == "*":
+            out += ".*"
+        elif c == "?":
+            out += "."
+        elif end >= 0:
+            body = pattern[i:end]
+            neg = body.startswith("!")
+            body = body[neg:].replace("\\", "\\\\").replace("[", "\\[").replace("&&", "&\\&").replace("^", "\\^")
+            out, i = out + f"[{'^' * neg}{body}]", end + 1
+        else:
+            out += re.escape(c)
+    return f"(?s)^(?:{out})\\z"
+
+
+def _whole(regex: str):
+    return lambda x: x.rlike(regex)
+
+
+def exclude_paths(files: DataFrame, patterns: Sequence[str], path: str = "path") -> DataFrame:
+    """Drop manifest rows whose path, or a folder above it, matches a
+    pattern: as a whole, or in any part when the pattern has no ``/``.
+    ``!`` patterns, blank ones and comments are skipped, a trailing ``/`` is
+    dropped; files named ``.git...`` always go.  A null path stays."""
+    parts = F.split(F.col(path), "/", -1)
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+    drop = F.startswith(F.element_at(parts, -1), F.lit(".git"))
+    for p in (x.strip() for x in patterns):
+        if not p or p.startswith(("!", "#")):
+            continue
+        p = p.rstrip("/")
+        drop = drop | F.exists(above, _whole(glob_regex(p)))
+        if "/" not in p:
+            drop = drop | F.exists(parts, _whole(glob_regex(p)))
+    return files.filter(~F.coalesce(drop, F.lit(False)))
+
+
+def content_fingerprint(files: DataFrame, set_col: str, path: str = "path", content: str = "content",
+                        params: dict | None = None) -> DataFrame:
     """Ordered fingerprint of each file set (hash of hashes).  Paths are
     spread over 256 buckets by the first two hex digits of sha256(path); a
     bucket hash is the sha256 of its (path, content hash) lines in path
     order, the set hash the sha256 of the bucket hashes in bucket order.
-    No set is ever gathered whole; only a bucket's hashes are."""
+    No set is ever gathered whole; only a bucket's hashes are.  ``params``
+    (build arguments) are folded in as JSON with sorted keys."""
     f = files.select(set_col, path, F.substring(F.sha2(F.col(path).cast("string"), 256), 1, 2).alias("_b"),
                      F.concat_ws(":", F.col(path).cast("string"), F.sha2(F.col(content), 256)).alias("_l"))
     b = f.groupBy(set_col, "_b").agg(
         F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(path, "_l"))),
                                         lambda x: x["_l"]), "\n"), 256).alias("_h"))
-    return b.groupBy(set_col).agg(
+    out = b.groupBy(set_col).agg(
         F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_b", "_h"))),
                                         lambda x: x["_h"]), "\n"), 256).alias("fingerprint"),
         F.count(F.lit(1)).alias("buckets"))
+    if params:
+        fold = F.concat(F.col("fingerprint"), F.lit(json.dumps(params, sort_keys=True)))
+        out = out.withColumn("fingerprint", F.sha2(fold, 256))
+    return out
 
 
 # ---- ordinals (E9 / E10 / T27) ---------------------------------------------------------------

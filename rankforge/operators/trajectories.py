@@ -79,15 +79,22 @@ def reassemble_lines(chunks: DataFrame, stream: str = "stream", pos: str = "pos"
 
 
 def expand_task_ids(df: DataFrame, tasks_in_order: Sequence[str], max_ids: int = 200,
-                    ids: str = "ids", task: str = "task", data_len: str = "data_len") -> DataFrame:
+                    ids: str = "ids", task: str = "task", data_len: str = "data_len",
+                    flavour: str = "agent") -> DataFrame:
     """Per (request, task) the item ids to run.  ``ids`` is JSON: a
     list of lists gives one list per task (by task position); a flat list
-    goes to the first task only; null runs ``range(min(data_len, 200))``.
+    goes to the first task only; null runs ``range(min(data_len, 200))``.  In
+    the ``item`` flavour a request has one task, and null or an empty list
+    runs item 0.
     One output row per (request, task, idx)."""
     pos = F.array_position(F.array(*[F.lit(t) for t in tasks_in_order]), F.col(task)).cast("int")  # 1-based
     nested = F.startswith(F.coalesce(F.get_json_object(F.col(ids), "$[0]"), F.lit("")), F.lit("["))
     n = F.least(F.col(data_len).cast("bigint"), F.lit(max_ids).cast("bigint"))
     default = F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), n - 1)).otherwise(F.array().cast("array<bigint>"))
+    if flavour == "item":
+        own = F.from_json(F.col(ids), "array<bigint>")
+        zero = F.array(F.lit(0).cast("bigint"))
+        return df.select("*", F.explode(F.when(F.coalesce(F.size(own), F.lit(0)) > 0, own).otherwise(zero)).alias("idx"))
     lst = (F.when(F.col(ids).isNull(), default)
            .when(nested, F.try_element_at(F.from_json(F.col(ids), "array<array<bigint>>"), pos))
            .when(pos == 1, F.from_json(F.col(ids), "array<bigint>")))

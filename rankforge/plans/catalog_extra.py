@@ -10,6 +10,7 @@ from rankforge import fixtures as fx
 from rankforge.config import ScoringConfig
 from rankforge.operators import dominance as D
 from rankforge.operators import grading as G
+from rankforge.operators import ops as O
 from rankforge.operators import participants as PT
 from rankforge.operators import results as R
 from rankforge.plans import catalog as C
@@ -260,6 +261,60 @@ def leaderboard_li(spark: SparkSession, sf: str) -> DataFrame:
     return P.leaderboard(fl, w, wt, C.LI_ENVS, burn=C.LI_CFG.burn, base=0)
 
 
+# ---- C13 item flavour ------------------------------------------------------------------------
+@register("item_ids_conv", """
+WITH t AS (SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN NULL WHEN 1 THEN '[]' ELSE concat('[', length(text), ', 7]') END AS ids
+           FROM conversations)
+SELECT conv_id, turn, unnest(CASE WHEN coalesce(json_array_length(ids), 0) > 0 THEN CAST(ids AS BIGINT[]) ELSE [0] END) AS idx
+FROM t""")
+def item_ids_conv(spark: SparkSession, sf: str) -> DataFrame:
+    from rankforge.operators.trajectories import expand_task_ids
+    t = fx.table(spark, sf, "conversations").selectExpr(
+        "conv_id", "turn", "CASE turn % 3 WHEN 0 THEN NULL WHEN 1 THEN '[]' ELSE concat('[', length(text), ', 7]') END AS ids")
+    return expand_task_ids(t, (), flavour="item").select("conv_id", "turn", "idx")
+
+
+# ---- D19 in flight and queued ----------------------------------------------------------------
+_FLOW = ("{s} AS started", "CASE WHEN event_id % 9 <> 0 THEN {s} + event_id % 97 END AS done",
+         "CASE WHEN event_id % 9 <> 0 AND event_id % 5 <> 0 THEN {s} + event_id % 97 + event_id % 301 END AS flushed")
+
+
+@register("flow_rollup_ev", f"""
+WITH e AS (SELECT {', '.join(_FLOW).format(s='epoch_us(ts) / 1e6')} FROM events),
+s AS (SELECT started AS t, 1 AS r, 1 AS f, 0 AS q FROM e UNION ALL SELECT done, 0, -1, 1 FROM e
+      UNION ALL SELECT flushed, 0, 0, -1 FROM e),
+w AS (SELECT CAST(floor(t / 30) * 30 AS BIGINT) AS window_start, sum(r) AS r, sum(f) AS f, sum(q) AS q
+      FROM s WHERE t IS NOT NULL GROUP BY 1)
+SELECT window_start, CAST(r AS BIGINT) AS requests, CAST(r AS DOUBLE) / 30.0 AS rps,
+       CAST(sum(f) OVER o AS BIGINT) AS in_flight, CAST(sum(q) OVER o AS BIGINT) AS queued
+FROM w WINDOW o AS (ORDER BY window_start ROWS UNBOUNDED PRECEDING)""")
+def flow_rollup_ev(spark: SparkSession, sf: str) -> DataFrame:
+    e = fx.table(spark, sf, "events")
+    t = R.epoch_micros("ts", dict(e.dtypes)["ts"]) / 1e6
+    return O.flow_rollup(e.withColumn("s", t).selectExpr(*[c.format(s="s") for c in _FLOW]))
+
+
+# ---- B18 + D22 -------------------------------------------------------------------------------
+IGNORE = ("# build output", "*.log", "out/", "!keep.log", "src?/tmp", "docs/[a-c]*", "")
+_PATH = ("concat(CASE doc_id % 6 WHEN 0 THEN 'out/x' WHEN 1 THEN 'src1/tmp' WHEN 2 THEN 'docs' WHEN 3 THEN 'a/out' "
+         "ELSE 'src' END, '/', CASE doc_id % 7 WHEN 0 THEN '.gitkeep' WHEN 1 THEN 'run.log' WHEN 2 THEN 'b.txt' ELSE 'z.txt' END, "
+         "CASE WHEN doc_id % 7 = 2 THEN '' ELSE CAST(doc_id AS {s}) END)")
+
+
+@register("build_fingerprint_docs", f"""
+WITH f AS (SELECT source, {_PATH.format(s='VARCHAR')} AS path, text FROM documents),
+k AS (SELECT * FROM f WHERE NOT (regexp_matches(path, '(^|/)\\.git[^/]*$') OR regexp_matches(path, '(^|/)[^/]*\\.log(/|$)')
+      OR regexp_matches(path, '(^|/)out(/|$)') OR regexp_matches(path, '^src./tmp(/|$)') OR regexp_matches(path, '^docs/[a-c]'))),
+l AS (SELECT source, path, substr(sha256(path), 1, 2) AS b, concat(path, ':', sha256(text)) AS l FROM k),
+bh AS (SELECT source, b, sha256(string_agg(l, chr(10) ORDER BY path, l)) AS h FROM l GROUP BY source, b)
+SELECT source, sha256(sha256(string_agg(h, chr(10) ORDER BY b)) || '{{"level": 2, "name": "x"}}') AS fingerprint,
+       count(*) AS buckets FROM bh GROUP BY source""")
+def build_fingerprint_docs(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprint of the files that the ignore patterns leave, folded with build arguments."""
+    d = fx.table(spark, sf, "documents").selectExpr("source", f"{_PATH.format(s='STRING')} AS path", "text AS content")
+    return O.content_fingerprint(O.exclude_paths(d, IGNORE), "source", params={"name": "x", "level": 2})
+
+
 # ---- X4 / X5 end to end ------------------------------------------------------------------------
 # log -> tail (A2) -> participants (X1) -> current run and first block (E1, E2, C3) -> eligibility
 # (C5, C6) -> score -> weights with burn, and the report.  The sample rule is scaled to the fixture.

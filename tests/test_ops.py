@@ -121,3 +121,16 @@ def test_challenge_fan_out(spark):
     for rows in (1000, 1):
         got = sorted((r.uid, r.item_id) for r in O.challenge_tasks(ch, ps, bucket_rows=rows).collect())
         assert got == [(10, 1), (10, 2), (10, 3), (12, 1), (12, 2), (12, 3)]
+
+
+def test_glob_and_path_exclusion(spark):
+    import fnmatch
+    import re
+
+    names = ["a", "a.log", "x/a.log", "[x]", "a]b", "ab", "a\\nb", "^", "a&&b", "a-b", "!", "é", "a.b", "docs/b", ""]
+    for pat in ["*", "*.log", "?", "[ab]*", "[!a]*", "a[-]b", "[", "a]b", "[]x]*", "a.b", "[^]", "[a-c]?", "docs/*"]:
+        rx = O.glob_regex(pat).replace("\\z", "\\Z")
+        assert [bool(re.match(rx, n)) for n in names] == [fnmatch.fnmatchcase(n, pat) for n in names], pat
+    df = spark.createDataFrame([("a/b.log",), ("a/b/c",), ("ab/x",), (".gitignore",), ("q/.git/x",), (None,), ("x.log/y",)], "path string")
+    got = [r.path for r in O.exclude_paths(df, ["*.log", "a/b/", "!ab/x", "# c"]).collect()]
+    assert got == ["ab/x", "q/.git/x", None]
