@@ -205,9 +205,13 @@ def update_confirmation(attempts: DataFrame, registry_updates: DataFrame) -> Dat
 
 # ---- C9 ----------------------------------------------------------------------
 def ttl_lookup(requests: DataFrame, fetches: DataFrame, ttl: float, chunk_seconds: float = 86400.0,
-               key: str = "model") -> DataFrame:
+               key: str = "model", on_failure: str = "ignore") -> DataFrame:
     """As-of lookup with a time-to-live.
 
+    ``on_failure`` says what a failed fetch leaves in the cache: ``ignore``
+    nothing, ``restamp`` the value before it with the failure's time (the
+    gating look-up), ``null`` a null with that time (the weights look-up).
+
     ``fetches`` (key, ts, value): the log of look-up attempts; a failed one
     has null ``value`` and is ignored.  For a request (key, now) the answer
     is the latest successful value fetched at or before ``now``; it is
@@ -221,7 +225,12 @@ def ttl_lookup(requests: DataFrame, fetches: DataFrame, ttl: float, chunk_second
     (key, chunk) only, so a hot key is split by time."""
     from pyspark.sql import Window
     ch = lambda t: F.floor(t / F.lit(chunk_seconds)).cast("bigint")
-    f = (fetches.filter(F.col("value").isNotNull())
+    if on_failure == "restamp":      # what the failed fetch found in the cache, under its own time
+        failed = fetches.filter(F.col("value").isNull()).select(key, F.col("ts").alias("now")).distinct()
+        kept = ttl_lookup(failed, fetches, ttl, chunk_seconds, key)
+        fetches = fetches.select(key, F.col("ts").cast("double").alias("ts"), F.col("value").cast("string").alias("value")) \
+            .unionByName(kept.select(key, F.col("now").alias("ts"), "value"))
+    f = (fetches.filter(F.lit(on_failure == "null") | F.col("value").isNotNull())
          .select(key, F.col("ts").cast("double").alias("_t"), F.col("value").cast("string").alias("_v"))
          .groupBy(key, "_t").agg(F.max("_v").alias("_v")))          # one value per (key, instant)
     f = f.withColumn("_c", ch(F.col("_t")))

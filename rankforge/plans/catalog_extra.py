@@ -78,6 +78,12 @@ SELECT r.o_orderkey, f.value, r.now - f.ts AS age,
        CASE WHEN f.ts IS NULL THEN NULL ELSE r.now - f.ts >= {_TTL} END AS is_stale
 FROM r ASOF LEFT JOIN f ON r.model = f.model AND r.now >= f.ts""")
 def ttl_lookup_world(spark: SparkSession, sf: str) -> DataFrame:
+    req, fet = _ttl_inputs(spark, sf)
+    res = PT.ttl_lookup(req.select("model", "now").distinct(), fet, _TTL)
+    return req.join(res, ["model", "now"]).select("o_orderkey", "value", "age", "is_stale")
+
+
+def _ttl_inputs(spark, sf):
     o = fx.table(spark, sf, "orders")
     req = o.selectExpr("o_orderkey", f"{_W_MODEL} AS model",
                        f"CAST({_EPOCH_S} + o_orderkey % 86400 AS DOUBLE) AS now")
@@ -86,7 +92,39 @@ def ttl_lookup_world(spark: SparkSession, sf: str) -> DataFrame:
                         f"CAST({_EPOCH_S} + (l_orderkey * 7 + l_linenumber * 1000) % 86400 AS DOUBLE)"
                         " AS ts",
                         "CASE WHEN l_linenumber = 2 THEN NULL ELSE CAST((l_partkey % 3 = 0) AS STRING) END AS value")
-    res = PT.ttl_lookup(req.select("model", "now").distinct(), fet, _TTL)
+    return req, fet
+
+
+_TTL_HEAD = f"""
+WITH r AS (SELECT o_orderkey, {_D_MODEL} AS model,
+                  CAST(epoch(o_orderdate) + o_orderkey % 86400 AS DOUBLE) AS now FROM orders),
+f0 AS (SELECT {_D_MODEL} AS model,
+              CAST(epoch(o_orderdate) + (l_orderkey * 7 + l_linenumber * 1000) % 86400 AS DOUBLE) AS ts,
+              CASE WHEN l_linenumber = 2 THEN NULL ELSE CAST((l_partkey % 3 = 0) AS VARCHAR) END AS value
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+g AS (SELECT model, ts, max(value) AS value FROM f0 GROUP BY model, ts),
+"""
+_TTL_TAIL = f"""
+SELECT r.o_orderkey, f.value, r.now - f.ts AS age,
+       CASE WHEN f.ts IS NULL THEN NULL ELSE r.now - f.ts >= {_TTL} END AS is_stale
+FROM r ASOF LEFT JOIN f ON r.model = f.model AND r.now >= f.ts"""
+
+
+@register("ttl_null_cache_world", _TTL_HEAD + "f AS (SELECT * FROM g)" + _TTL_TAIL)
+def ttl_null_cache_world(spark: SparkSession, sf: str) -> DataFrame:
+    """Failed look-ups are cached as null."""
+    req, fet = _ttl_inputs(spark, sf)
+    res = PT.ttl_lookup(req.select("model", "now").distinct(), fet, _TTL, on_failure="null")
+    return req.join(res, ["model", "now"]).select("o_orderkey", "value", "age", "is_stale")
+
+
+@register("ttl_restamp_world", _TTL_HEAD + """f AS (
+  SELECT model, ts, last_value(value IGNORE NULLS) OVER (PARTITION BY model ORDER BY ts) AS value FROM g
+  QUALIFY last_value(value IGNORE NULLS) OVER (PARTITION BY model ORDER BY ts) IS NOT NULL)""" + _TTL_TAIL)
+def ttl_restamp_world(spark: SparkSession, sf: str) -> DataFrame:
+    """A failed look-up keeps the value before it, under a new time."""
+    req, fet = _ttl_inputs(spark, sf)
+    res = PT.ttl_lookup(req.select("model", "now").distinct(), fet, _TTL, on_failure="restamp")
     return req.join(res, ["model", "now"]).select("o_orderkey", "value", "age", "is_stale")
 
 
