@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from rankforge.llm import repeats
 from rankforge.llm.graph import components, forest
 from rankforge.llm.repeats import NULL_ID
-from rankforge.llm.shared import byte_codes, cut_lineage, mix, slices, span_hash, utf8, window_hash, word_bounds
+from rankforge.llm.shared import byte_codes, cut_lineage, frugal, give_back, mix, slices, span_hash, utf8, window_hash, word_bounds
 
 N = 5
 THRESHOLD = 0.8
@@ -273,6 +273,7 @@ def _compare(size: int, threshold: float, tolerance: float):
             out += pairs(pdf, pdf, True)
         else:
             out += pairs(pdf[pdf["block"] == pdf["b1"]], pdf[pdf["block"] == pdf["b2"]], False)
+        give_back()
         return pd.concat(out) if out else pd.DataFrame({"node": [], "links": [], "top": []}, dtype="int64")
     return run
 
@@ -283,13 +284,13 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: id, n_links, component_id, class_id (the smallest
     id with the same shingles), class_size, kept."""
     own = repeats.slim(docs, id_col, text_col)
-    facts = cut_lineage(own.mapInArrow(_describe(n, bands, rows),
+    facts = cut_lineage(own.mapInArrow(frugal(_describe(n, bands, rows)),
                                        "doc long, k1 long, k2 long, n int, bands array<long>"))
     classes = cut_lineage(facts.where("n > 0").groupBy("k1", "k2")
                           .agg(F.min("doc").alias("doc"), F.count("*").alias("size")))
 
-    stars = facts.where("n > 0").select("k1", "bands").mapInArrow(_stars, "h long, a long, b long, edge boolean")
-    edges = stars.repartition("h").sortWithinPartitions("h", "a").mapInArrow(_merge_stars, "a long, b long")
+    stars = facts.where("n > 0").select("k1", "bands").mapInArrow(frugal(_stars), "h long, a long, b long, edge boolean")
+    edges = stars.repartition("h").sortWithinPartitions("h", "a").mapInArrow(frugal(_merge_stars), "a long, b long")
     groups = components(edges).withColumnRenamed("component", "grp")
     wanted = cut_lineage(classes.join(groups, F.col("k1") == F.col("node"))
                          .select("doc", "node", "grp", "size", F.lit(0).alias("start")))

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankforge.llm.shared import cut_lineage, partitions, text_of
+from rankforge.llm.shared import cut_lineage, partitions, small, text_of
 
 #: Fixed values of the mix.
 SOURCE_WEIGHTS = (5, 2, 1)
@@ -105,7 +105,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
         offset.alias("o"), F.col("r.source").eqNullSafe(F.col("o.source")) & (F.col("r.bucket") == F.col("o.bucket")))
     pos = pos.select("r.source", "r.id", "r.key",
                      (F.col("offset") + F.col("upto") - F.col("size") / F.lit(2.0)).alias("middle"))
-    chosen = pos.join(plan.select(F.col("source").alias("s"), "left"), F.col("source").eqNullSafe(F.col("s"))) \
+    chosen = pos.join(small(plan.select(F.col("source").alias("s"), "left")), F.col("source").eqNullSafe(F.col("s"))) \
         .where((F.col("left") > 0) & (F.col("middle") <= F.col("left")))
     cut = chosen.groupBy("source").agg(F.max(_draw("key", "id")).alias("cut"))
     plan = plan.alias("p").join(cut.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")), "left") \
@@ -126,7 +126,7 @@ def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                **options) -> DataFrame:
     """Per document: id, size, source_size, target, taken, copies."""
     rows, plan = mix_plan(docs, id_col, text_col, source_col, **options)
-    out = rows.alias("r").join(plan.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")))
+    out = rows.alias("r").join(small(plan).alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")))
     copies = _copies("key", "id")
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target",
                       (F.col("size") * copies).alias("taken"), copies.alias("copies"))
@@ -142,7 +142,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = docs.withColumn("__key", sample_key(id_col, quality_weight(text) if weight is None else weight, seed)) \
         .where(text.rlike(WORD))
     plan = plan.select(F.col("source").alias("__source"), F.col("epochs").alias("__epochs"), F.col("cut").alias("__cut"))
-    out = keyed.join(plan, F.col(source_col).cast("string").eqNullSafe(F.col("__source")))
+    out = keyed.join(small(plan), F.col(source_col).cast("string").eqNullSafe(F.col("__source")))
     names = [F.col(f"`{c}`") for c in docs.columns]
     return out.withColumn("__n", _copies("__key", id_col, "__cut", "__epochs")).where("__n > 0") \
         .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n")))).select(*names)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.shared import cut_lineage, mix, powers, slices, utf8
+from rankforge.llm.shared import cut_lineage, frugal, mix, powers, slices, utf8
 
 #: Fixed values of the packing.
 MAX_TOKENS = 4096
@@ -209,7 +209,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     rows that repeat an id apart."""
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.monotonically_increasing_id().alias("row"),
                        F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(_cut(path, max_tokens, end_id), _PIECES)
+    return slim.mapInArrow(frugal(_cut(path, max_tokens, end_id)), _PIECES)
 
 
 def best_fit(length: np.ndarray, max_tokens: int, max_docs: int, max_attention: float,

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.shared import cut_lineage, mix, partitions, slices, sliding_argmin, span_hash, utf8, window_hash
+from rankforge.llm.shared import cut_lineage, frugal, give_back, mix, partitions, slices, sliding_argmin, span_hash, utf8, window_hash
 
 #: Stands for a null id, which sorts last.
 NULL_ID = (1 << 63) - 1
@@ -179,12 +179,12 @@ def _resolve(check: bool):
 
 def resolve(rows: DataFrame, check: bool) -> DataFrame:
     """Chain or window rows to FOUND rows; one shuffle by ``h``."""
-    return rows.repartition("h").sortWithinPartitions("h", "key", "doc", "start").mapInArrow(_resolve(check), FOUND)
+    return rows.repartition("h").sortWithinPartitions("h", "key", "doc", "start").mapInArrow(frugal(_resolve(check)), FOUND)
 
 
 def find_repeats(docs: DataFrame, units: Callable, k: int, m: int) -> DataFrame:
     """FOUND rows of slim documents, as a reliable checkpoint."""
-    return cut_lineage(resolve(docs.mapInArrow(chains(units, k, m), _CHAIN), check=True))
+    return cut_lineage(resolve(docs.mapInArrow(frugal(chains(units, k, m)), _CHAIN), check=True))
 
 
 def n_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, least: int | None = None) -> int:
@@ -210,7 +210,7 @@ def _pack(batches):
 
 def text_blocks(docs: DataFrame, blocks: int) -> DataFrame:
     """(block, doc, compressed text): what a shuffle of whole texts carries."""
-    return docs.select(block_of(blocks), "doc", "text").mapInArrow(_pack, "block int, doc long, z binary")
+    return docs.select(block_of(blocks), "doc", "text").mapInArrow(frugal(_pack), "block int, doc long, z binary")
 
 
 def unpack(table: pa.Table) -> list[bytes]:
@@ -226,7 +226,10 @@ def with_texts(docs: DataFrame, rows: DataFrame, blocks: int, work: Callable, sc
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         cols = {c: right.column(c).to_numpy() for c in names}
         order = np.lexsort((cols["start"], cols["doc"]))
-        return work(left.column("doc").to_numpy(), unpack(left), {c: x[order] for c, x in cols.items()})
+        try:
+            return work(left.column("doc").to_numpy(), unpack(left), {c: x[order] for c, x in cols.items()})
+        finally:
+            give_back()
 
     return text_blocks(docs, blocks).groupBy("block").cogroup(
         rows.select(block_of(blocks), *names).groupBy("block")).applyInArrow(run, schema)

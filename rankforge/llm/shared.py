@@ -3,6 +3,8 @@ vectorised scanning of UTF-8 text columns inside Arrow batches."""
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from rankforge.session import ensure_checkpoint_dir
 
 #: Bytes of text handled at once inside a task; bounds the numpy temporaries.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -28,6 +30,33 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def give_back() -> None:
+    """Return freed memory of this worker to the system.  Workers live on
+    between stages, and what the allocators keep counts against the
+    executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass                                   # not glibc: nothing to trim
+
+
+def frugal(fn):
+    """Wrap a task function over batches: give memory back when it ends."""
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+    return run
+
+
+def small(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """Mark a table for broadcast if it has at most ``most`` rows; a larger
+    one is left to be joined by shuffle."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

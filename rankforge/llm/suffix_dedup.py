@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from rankforge.llm import repeats
 from rankforge.llm.repeats import CHECK, DUP, NULL_ID, PART
-from rankforge.llm.shared import byte_codes, mix, span_hash, utf8, window_hash
+from rankforge.llm.shared import byte_codes, frugal, mix, span_hash, utf8, window_hash
 
 K = 100
 GRAM = 16
@@ -246,7 +246,7 @@ def repeated_windows(docs: DataFrame, blocks: int, k: int = K, gram: int = GRAM)
     found = repeats.find_repeats(docs, byte_units, k, gram)
     check = found.where(F.col("kind") == CHECK).select("h", "part", "doc", "start", "n")
     contexts = repeats.with_texts(docs, check, blocks, _contexts(k), _CONTEXT)
-    rows = contexts.repartition("h", "part").sortWithinPartitions("h", "part").mapInArrow(_match(k), repeats._CHAIN)
+    rows = contexts.repartition("h", "part").sortWithinPartitions("h", "part").mapInArrow(frugal(_match(k)), repeats._CHAIN)
     settled = repeats.resolve(rows, check=False)
     return found.where(F.col("kind") == DUP).select("doc", "start", "n").union(settled.select("doc", "start", "n"))
 
