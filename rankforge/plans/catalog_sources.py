@@ -156,7 +156,7 @@ SELECT r.source, r.doc_id, CAST(k.cycle AS INTEGER) AS cycle, CAST(k.before + r.
 FROM r JOIN kept k ON r.source = k.source AND r.rn >= k.start AND r.rn < k.start + k.size""")
 def chunk_sample_docs(spark: SparkSession, sf: str) -> DataFrame:
     d = fx.table(spark, sf, "documents").select("doc_id", "source")
-    s = L.chunk_sample(d, "source", "doc_id", _start, _MB, _BUF)
+    s = L.chunk_sample(d, "source", "doc_id", _start, _MB, _BUF, F.floor(F.col("doc_id") / 1000))
     return s.select("source", "doc_id", "cycle", F.col("buffer_pos").cast("bigint").alias("buffer_pos"))
 
 

@@ -222,7 +222,7 @@ def dataset_manifest(rows: DataFrame, file_key: Column, folder: Column | None =
 
 # ---- A12 ---------------------------------------------------------------------------------
 def chunk_sample(rows: DataFrame, file_col: str, order_col: str, start_fn, max_batch: int,
-                 buffer_size: int) -> DataFrame:
+                 buffer_size: int, chunk: Column | None = None) -> DataFrame:
     """Contiguous chunk sampling.  Files are visited in key order, round
     robin; each visit takes the whole file, or the contiguous rows
     [start, start + max_batch) of it when it is longer, where ``start`` =
@@ -231,8 +231,12 @@ def chunk_sample(rows: DataFrame, file_col: str, order_col: str, start_fn, max_b
 
     Rows: cycle, file, row ordinal, position in the buffer, plus the input
     columns.  The number of cycles is computed in-plan; the chunk-size
-    table (files x cycles) is small, and only it is windowed globally."""
+    table (files x cycles) is small, and only it is windowed globally.
+    ``chunk``, a column that grows with ``order_col``, splits the row
+    numbering of a long file over tasks (``ordinal_within``)."""
     from pyspark.sql import Window
+
+    from rankforge.operators.ops import ordinal_within
     per_file = rows.groupBy(file_col).agg(F.count(F.lit(1)).alias("_n"))
     fidx = per_file.withColumn("_fi", F.dense_rank().over(Window.orderBy(file_col)) - 1)
     take = F.least(F.col("_n"), F.lit(max_batch))
@@ -245,8 +249,8 @@ def chunk_sample(rows: DataFrame, file_col: str, order_col: str, start_fn, max_b
     run = Window.orderBy("cycle", "_fi").rowsBetween(Window.unboundedPreceding, -1)
     chunks = chunks.withColumn("_before", F.coalesce(F.sum("_size").over(run), F.lit(0)))
     chunks = chunks.filter(F.col("_before") < buffer_size)
-    rn = F.row_number().over(Window.partitionBy(file_col).orderBy(order_col)) - 1
-    r = rows.withColumn("_rn", rn)
+    r = ordinal_within(rows, file_col, [order_col], F.lit(0) if chunk is None else chunk)
+    r = r.withColumn("_rn", F.col("ordinal") - 1).drop("ordinal")
     j = r.join(chunks, file_col).filter((F.col("_rn") >= F.col("_start"))
                                         & (F.col("_rn") < F.col("_start") + F.col("_size")))
     return j.withColumn("buffer_pos", F.col("_before") + F.col("_rn") - F.col("_start")).drop(
