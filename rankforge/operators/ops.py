@@ -267,6 +267,18 @@ def ordinal_within(df: DataFrame, key: str, order: Sequence[str], chunk: Column)
     return d.join(offs, [key, "_chunk"]).withColumn("ordinal", F.col("_off") + rn).drop("_chunk", "_off")
 
 
+def running_before(df: DataFrame, key: str, order: Sequence[str], value: str, out: str, chunk: Column) -> DataFrame:
+    """Adds ``out``: the sum of ``value`` over the rows before each row within
+    ``key``, with the same split into chunks as ``ordinal_within``."""
+    d = df.withColumn("_chunk", chunk)
+    sums = d.groupBy(key, "_chunk").agg(F.sum(value).alias("_s"))
+    w = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offs = sums.withColumn("_off", F.coalesce(F.sum("_s").over(w), F.lit(0))).drop("_s")
+    inside = Window.partitionBy(key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(value).over(inside), F.lit(0))
+    return d.join(offs, [key, "_chunk"]).withColumn(out, F.col("_off") + before).drop("_chunk", "_off")
+
+
 def challenge_generation(ordinal: Column, max_uses: int = CHALLENGE_MAX_USES) -> Column:
     """A challenge serves ``max_uses`` requests, then a new one."""
     return F.floor((ordinal - 1) / F.lit(max_uses))

@@ -196,26 +196,28 @@ def participant_summary(run: DataFrame, envs: Sequence[str], key: str = "partici
     ``latest``  struct of the last row's fields (E3)
     Rows whose env is not in ``envs`` are not counted (B2 whitelist).
     With ``failed_col`` set, ``n_failed[i]`` counts rows flagged as failed
-    evaluations (D18); ``exclude_failed`` drops them from ``n``/``succ``.
+    evaluations (D18) and ``n_kept[i]`` the successful others;
+    ``exclude_failed`` drops failed ones from ``n``/``succ`` as well.
     """
     ok = F.col("success")
     if failed_col and exclude_failed:
         ok = ok & ~F.coalesce(F.col(failed_col), F.lit(False))
-    n_cols, s_cols, f_cols = [], [], []
+    n_cols, s_cols, f_cols, k_cols = [], [], [], []
     for e in envs:
         hit = ok & (F.col("env") == F.lit(e))
         n_cols.append(F.count_if(hit))
         s_cols.append(F.coalesce(F.sum(F.when(hit, F.col("score"))), F.lit(0.0)))
         if failed_col:
-            f_cols.append(F.count_if((F.col("env") == F.lit(e))
-                                     & F.coalesce(F.col(failed_col), F.lit(False))))
+            failed = F.coalesce(F.col(failed_col), F.lit(False))
+            f_cols.append(F.count_if((F.col("env") == F.lit(e)) & failed))
+            k_cols.append(F.count_if(hit & ~failed))
     aggs = [F.array(*n_cols).alias("n"), F.array(*s_cols).alias("succ")]
     if "block" in run.columns:
         aggs.append(F.min("block").alias("first_block"))
     if latest and "_seq" in run.columns:
         aggs.append(F.max_by(F.struct(*[F.col(c) for c in latest]), F.col("_seq")).alias("latest"))
     if failed_col:
-        aggs.append(F.array(*f_cols).alias("n_failed"))
+        aggs += [F.array(*f_cols).alias("n_failed"), F.array(*k_cols).alias("n_kept")]
     return run.groupBy(key).agg(*aggs)
 
 

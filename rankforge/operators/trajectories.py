@@ -60,15 +60,16 @@ def assemble_chat(steps: DataFrame, seed: Sequence[tuple[str, str]], episode: st
 
 
 def reassemble_lines(chunks: DataFrame, stream: str = "stream", pos: str = "pos",
-                     chunk: str = "chunk") -> DataFrame:
+                     chunk: str = "chunk", step: int = 1000) -> DataFrame:
     """Ordered chunks of a stream cut into lines (newline kept), the
     final partial line emitted.  A line is rebuilt from the pieces of the
-    chunks it spans; lines are numbered by the running newline count, so no
-    stream is ever concatenated whole.  Rows: stream, line_no, line."""
+    chunks it spans; lines are numbered by the running newline count, which
+    is summed per ``step`` positions first, so no stream is ever concatenated
+    or ordered whole.  Rows: stream, line_no, line."""
+    from rankforge.operators.ops import running_before
     c = chunks.filter(F.col(chunk).isNotNull() & (F.length(chunk) > 0))
     c = c.withColumn("_nl", F.length(chunk) - F.length(F.replace(F.col(chunk), F.lit("\n"), F.lit(""))))
-    w = Window.partitionBy(stream).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
-    c = c.withColumn("_before", F.coalesce(F.sum("_nl").over(w), F.lit(0)))
+    c = running_before(c, stream, [pos], "_nl", "_before", F.floor(F.col(pos) / step))
     pieces = c.select(stream, pos, "_before",
                       F.posexplode(F.split(F.col(chunk), r"(?<=\n)", -1)).alias("_i", "_p"))
     pieces = pieces.filter(F.length("_p") > 0)

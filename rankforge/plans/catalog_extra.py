@@ -215,11 +215,8 @@ def failed_accounting_ev(spark: SparkSession, sf: str) -> DataFrame:
     e = fx.fx_ev(spark, sf).withColumn("failed", F.col("seq_id") % 7 == 0).withColumn(
         "_seq", F.struct("ts", "seq_id"))
     envs = C.EV_ENVS
-    keep = R.participant_summary(e, envs, latest=(), failed_col="failed")
-    excl = R.participant_summary(e, envs, latest=(), failed_col="failed", exclude_failed=True).select(
-        "participant", F.col("n").alias("n_x"))
-    z = keep.join(excl, "participant").select(
-        "participant", F.posexplode(F.arrays_zip("n", "n_failed", "n_x")).alias("i", "z"))
+    one = R.participant_summary(e, envs, latest=(), failed_col="failed")
+    z = one.select("participant", F.posexplode(F.arrays_zip("n", "n_failed", F.col("n_kept").alias("n_x"))).alias("i", "z"))
     names = F.array(*[F.lit(x) for x in envs])
     out = z.select("participant", F.element_at(names, F.col("i") + 1).alias("env"),
                    F.col("z.n").alias("n"), F.col("z.n_failed").alias("n_failed"),

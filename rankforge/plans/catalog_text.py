@@ -438,12 +438,12 @@ SELECT seq_id, printf('[RESULT] %3.0f%% | U%3d │ %-50s │ %-20s │ %s │ %6
                       CASE WHEN success THEN 'RECV' ELSE 'NULL' END, score, CAST(block % 97 AS DOUBLE) / 8)
        AS line FROM r""")
 def result_lines_ev(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql import Window
-    e = fx.fx_ev(spark, sf)
-    # one progress bar per (env, day) round: bounded by the round's size
-    w = Window.partitionBy("env", F.to_date("ts")).orderBy("ts", "seq_id")
-    wa = Window.partitionBy("env", F.to_date("ts"))
-    pct = F.bround(F.row_number().over(w) / F.count(F.lit(1)).over(wa) * 100, 0)
+    from rankforge.operators.ops import ordinal_within
+    # one progress bar per (env, day) round; a hot round is numbered hour by hour
+    e = fx.fx_ev(spark, sf).withColumn("bar", F.concat_ws("|", "env", F.to_date("ts").cast("string")))
+    e = ordinal_within(e, "bar", ["ts", "seq_id"], F.hour("ts")) \
+        .join(e.groupBy("bar").agg(F.count(F.lit(1)).alias("tot")), "bar")
+    pct = F.bround(F.col("ordinal") / F.col("tot") * 100, 0)
     return e.select("seq_id", T.result_line(pct, F.col("participant"), F.col("model"), F.col("env"),
                                             F.col("success"), F.col("score"),
                                             (F.col("block") % 97).cast("double") / 8).alias("line"))
