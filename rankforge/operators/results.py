@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.config import MAX_BLOCK
+from rankforge.session import materialize
 
 
 # ---- B1 ---------------------------------------------------------------------
@@ -140,12 +141,11 @@ def version_runs(d: DataFrame, key: str, version: Sequence[str]) -> DataFrame:
     largest seq of any row whose version differs from the last row's (null
     when there is one version), and ``latest`` = the last row's version."""
     per_version = d.groupBy(key, *version).agg(F.max("_seq").alias("_vmax"))
-    last = per_version.groupBy(key).agg(
-        F.max("_vmax").alias("_last"),
-        F.max_by(F.struct(*[F.col(v) for v in version]), F.col("_vmax")).alias("latest"))
-    cut = (per_version.join(last.select(key, "_last"), key)
-           .groupBy(key).agg(F.max(F.when(F.col("_vmax") < F.col("_last"), F.col("_vmax"))).alias("_cut")))
-    return cut.join(last.select(key, "latest"), key)
+    newest = Window.partitionBy(key).orderBy(F.desc("_vmax"))         # a participant's versions, not its rows
+    top = per_version.withColumn("_rank", F.row_number().over(newest)).filter("_rank <= 2")
+    return top.groupBy(key).agg(
+        F.max(F.when(F.col("_rank") == 2, F.col("_vmax"))).alias("_cut"),
+        F.max_by(F.struct(*[F.col(v) for v in version]), -F.col("_rank")).alias("latest"))
 
 
 def current_run(df: DataFrame, key: str = "participant",
@@ -266,7 +266,7 @@ def sample_grid(results: DataFrame, registry: DataFrame, envs: Sequence[str],
     d = r.withColumn("_seq", order_key(r, seq))
     if not version:      # one version: the run is every row
         return participant_summary(d, envs, key, latest=())
-    runs = version_runs(d, key, version)          # one row per participant
+    runs = materialize(version_runs(d, key, version))          # one row per participant, read twice
     run = (d.join(runs.select(key, "_cut"), key, "left")
            .filter(F.col("_cut").isNull() | (F.col("_seq") > F.col("_cut"))).drop("_cut"))
     summ = participant_summary(run, envs, key, latest=())

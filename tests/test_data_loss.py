@@ -123,3 +123,15 @@ def test_no_tile_cap(spark):
         assert sorted(map(tuple, big.collect())) == sorted(map(tuple, one.collect()))
     finally:
         D._TILE_ROWS, D._TILE_MOST = old
+
+
+def test_scans_of_selection_and_grid(spark):
+    """X1 plans its sources once, E1 and the grid read the log twice."""
+    import re
+
+    from rankforge.plans import catalog as C
+    sf = "/root/testdata/sf0.001"
+    count = lambda df: len(re.findall(r"FileScan|Scan parquet|Relation \[", df._jdf.queryExecution().optimizedPlan().toString()))
+    assert count(C.participants_world(spark, sf)) == 0                  # all behind the checkpoint
+    plan = C.ev_summary(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("event_id") and len(re.findall(r"Relation \[event_id", plan)) == 1
