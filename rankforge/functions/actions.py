@@ -55,8 +55,24 @@ SCIENCE_SPEC = (
     ("task", "task", (), None),
     ("inventory", "inventory", (), None),
 )
-# shopping-task functions: function -> argument name
-SHOP_SPEC = (("search", "keywords"), ("click", "item"))
+TOOL_PROMPT_HEAD = "You have the following functions available:\n\n"
+TOOL_PROMPT_TAIL = (
+    "\n\nIf you want to invoke a provided function or tool, please reply in the following *JSON* format:\n"
+    "```json\n{\n"
+    '    "thought": "I think ...",\n'
+    '    "function_name": "function_name",\n'
+    '    "arguments": <valid json object of args>\n'
+    "}\n```\n"
+    "Only reply the *JSON* object, no other text should be present.\n")
+CODE_TOOL_PROMPT_HEAD = "Here are the signatures and docstrings of these functions:\n\n```python\n"
+CODE_TOOL_PROMPT_TAIL = (
+    "\n```"
+    "\n\nIf you want to call these functions, please reply the python code block:\n"
+    "```python\n"
+    "# Write you thought in the code comment before you call any function.\n"
+    "<write valid python code here.>\n"
+    "```\n"
+    'Only reply the code block with "```python" and "```",  no other text should be present.\n')
 SAT_PROMPT_HEAD = "Find a satisfying assignment for the following {k}-SAT formula over variables x1..x{n}:\n"
 SAT_PROMPT_TAIL = ("Provide your answer as comma-separated assignments like `x1=True, x2=False, ...`, "
                    "or respond `UNSAT` if it has no solution.")
@@ -381,3 +397,46 @@ def function_signature(name, description, params, required) -> Column:
         F.lit("    :param "), p["name"], F.lit(" ("), p["type"], F.lit("): "), p["description"], F.lit("\n"))), "")
     return F.concat(F.lit("def "), _c(name), F.lit("("), sig, F.lit("):\n"), F.lit('    """\n    '),
                     _c(description), F.lit("\n\n"), doc, F.lit('    """\n'))
+
+
+def function_signatures(functions) -> Column:
+    """The signatures of a list of functions, a blank line between them;
+    ``functions`` is an array<struct<name,description,params,required>>."""
+    return F.array_join(F.transform(_c(functions), lambda f: function_signature(
+        f["name"], f["description"], f["params"], f["required"])), "\n")
+
+
+def _quoted(x: Column) -> Column:
+    return F.regexp_replace(F.to_json(F.array(x)), r"^\[|\]\z", "")
+
+
+def _block(items: Column, brackets: str, indent: int) -> Column:
+    """A JSON list or object over lines; an empty one stays on its line."""
+    pad = " " * indent
+    body = F.concat(F.lit(f"{brackets[0]}\n{pad}  "), F.array_join(items, f",\n{pad}  "), F.lit(f"\n{pad}{brackets[1]}"))
+    return F.when(F.size(items) > 0, body).otherwise(F.lit(brackets))
+
+
+def tool_json(functions) -> Column:
+    """The functions as JSON tool descriptions, two spaces a level."""
+    def one(f):
+        props = F.transform(f["params"], lambda p: F.concat(
+            _quoted(p["name"]), F.lit(": {\n          \"type\": "), _quoted(p["type"]),
+            F.lit(",\n          \"description\": "), _quoted(p["description"]), F.lit("\n        }")))
+        return F.concat(
+            F.lit('{\n  "type": "function",\n  "function": {\n    "name": '), _quoted(f["name"]),
+            F.lit(',\n    "description": '), _quoted(f["description"]),
+            F.lit(',\n    "parameters": {\n      "type": "object",\n      "properties": '), _block(props, "{}", 6),
+            F.lit(',\n      "required": '), _block(F.transform(f["required"], _quoted), "[]", 6),
+            F.lit("\n    }\n  }\n}"))
+    return F.array_join(F.transform(_c(functions), one), "\n")
+
+
+def tool_prompt(functions) -> Column:
+    """The prompt that offers functions to be called by JSON."""
+    return F.concat(F.lit(TOOL_PROMPT_HEAD), tool_json(functions), F.lit(TOOL_PROMPT_TAIL))
+
+
+def code_tool_prompt(functions) -> Column:
+    """The prompt that offers functions to be called by code."""
+    return F.concat(F.lit(CODE_TOOL_PROMPT_HEAD), function_signatures(functions), F.lit(CODE_TOOL_PROMPT_TAIL))

@@ -253,6 +253,34 @@ def signatures_part(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("p_partkey", *_hash(A.function_signature("name", "description", "params", "required"), "sig"))
 
 
+_D_TOOL = (
+    "'{' || chr(10) || '  \"type\": \"function\",' || chr(10) || '  \"function\": {' || chr(10) || '    \"name\": ' || to_json(name) "
+    "|| ',' || chr(10) || '    \"description\": ' || to_json(description) || ',' || chr(10) || '    \"parameters\": {' || chr(10) "
+    "|| '      \"type\": \"object\",' || chr(10) || '      \"properties\": {' || chr(10) || '        \"kind\": {' || chr(10) "
+    "|| '          \"type\": \"string\",' || chr(10) || '          \"description\": ' || to_json(p_type) || chr(10) || '        }' "
+    "|| chr(10) || '      },' || chr(10) || '      \"required\": ' || CASE WHEN p_size % 2 = 0 THEN '[]' "
+    "ELSE '[' || chr(10) || '        \"kind\"' || chr(10) || '      ]' END || chr(10) || '    }' || chr(10) || '  }' || chr(10) || '}'")
+
+
+@register("tool_prompts_part", f"""
+WITH p AS (SELECT p_partkey, concat('fn_', CAST(p_partkey AS VARCHAR)) AS name, p_name AS description, p_type, p_size FROM part),
+t AS (SELECT p_partkey, {_D_TOOL} AS one FROM p),
+q AS (SELECT p_partkey, 'You have the following functions available:' || chr(10) || chr(10) || one || chr(10) || one
+             || chr(10) || chr(10) || 'If you want to invoke a provided function or tool, please reply in the following *JSON* format:'
+             || chr(10) || '```json' || chr(10) || '{{' || chr(10) || '    "thought": "I think ...",' || chr(10)
+             || '    "function_name": "function_name",' || chr(10) || '    "arguments": <valid json object of args>' || chr(10)
+             || '}}' || chr(10) || '```' || chr(10) || 'Only reply the *JSON* object, no other text should be present.' || chr(10)
+             AS prompt FROM t)
+SELECT p_partkey, {_dhash('prompt', 'prompt')} FROM q""")
+def tool_prompts_part(spark: SparkSession, sf: str) -> DataFrame:
+    """Two functions a prompt, offered as JSON tools."""
+    p = fx.table(spark, sf, "part").selectExpr(
+        "p_partkey", "named_struct('name', concat('fn_', CAST(p_partkey AS STRING)), 'description', p_name, 'params', "
+        "array(named_struct('name', 'kind', 'type', 'string', 'description', p_type)), 'required', "
+        "CASE WHEN p_size % 2 = 0 THEN CAST(array() AS ARRAY<STRING>) ELSE array('kind') END) AS f")
+    return p.select("p_partkey", *_hash(A.tool_prompt(F.array("f", "f")), "prompt"))
+
+
 # ---- science-task flavour (T18 / T19) -----------------------------------------------------
 _SCI = A.SCIENCE_SPEC
 _SCALLS = [(f, args) for f, _, args, _ in _SCI] + [("fly", ("x",)), ("open", ("obj", "x")), ("use", ("obj", "x"))]

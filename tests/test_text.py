@@ -197,3 +197,20 @@ def test_report_cell_rounds_half_even(spark):
     df = spark.createDataFrame([(0.03125, 32), (0.125, 8), (1 / 3, 3)], "a double, n int")
     got = [r.c for r in df.select(T.report_cell(F.col("a"), F.col("n"), F.lit(False)).alias("c")).collect()]
     assert got == [f"{100 * 0.03125:.2f}/32", f"{100 * 0.125:.2f}/8", f"{100 / 3:.2f}/3"]
+
+
+def test_tool_prompts(spark):
+    import json
+
+    from rankforge.functions import actions as A
+    fns = [("go", 'to "a" place\n', [("where", "string", "é"), ("n", "integer", "x")], ["where"]), ("wait", "", [], [])]
+    df = spark.createDataFrame([(fns,), ([],)], "f array<struct<name:string,description:string,params:array<struct<name:string,"
+                               "type:string,description:string>>,required:array<string>>>")
+    got = df.select("f", A.tool_json("f").alias("j"), A.tool_prompt("f").alias("t"), A.code_tool_prompt("f").alias("c")).collect()
+    for r in got:
+        want = "\n".join(json.dumps({"type": "function", "function": {
+            "name": f.name, "description": f.description, "parameters": {
+                "type": "object", "properties": {p.name: {"type": p.type, "description": p.description} for p in f.params},
+                "required": list(f.required)}}}, ensure_ascii=False, indent=2) for f in r.f)
+        assert r.j == want and r.t == A.TOOL_PROMPT_HEAD + want + A.TOOL_PROMPT_TAIL
+    assert "def go(where, n='n'):" in got[0].c and got[0].c.endswith(A.CODE_TOOL_PROMPT_TAIL)
