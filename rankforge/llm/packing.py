@@ -42,6 +42,8 @@ MAX_TOKENS = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 SHARD_PIECES = 40_000
+#: Bytes of text encoded together; more share more forms.
+SLICE_BYTES = 2_000_000
 #: Most word forms whose ids a worker keeps between batches.
 KEPT_FORMS = 400_000
 
@@ -181,7 +183,7 @@ def _cut(path: str, max_tokens: int, end_id: int) -> Callable:
     def run(batches):
         enc = _encoder(path)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE_BYTES):
                 raw, off = utf8(part.column(2))
                 ids, n = enc.encode(raw, off)
                 at = np.concatenate([[0], np.cumsum(n)])
