@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.shared import cut_lineage, frugal, mix, powers, slices, utf8
+from rankforge.llm.shared import cut_lineage, frugal, keep, mix, powers, slices, utf8
 
 #: Fixed values of the packing.
 MAX_TOKENS = 4096
@@ -167,21 +167,12 @@ class WordEncoder:
         return np.concatenate(out), np.array([len(x) for x in out], dtype=np.int64)
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
-def _encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
-
-
 _PIECES = "id long, row long, piece int, start long, length long, ids_crc32 long"
 
 
 def _cut(path: str, max_tokens: int, end_id: int) -> Callable:
     def run(batches):
-        enc = _encoder(path)
+        enc = keep(path, lambda: WordEncoder(path))
         for batch in batches:
             for part in slices(batch, limit=SLICE_BYTES):
                 raw, off = utf8(part.column(2))

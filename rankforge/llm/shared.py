@@ -41,6 +41,19 @@ def give_back() -> None:
         pass                                   # not glibc: nothing to trim
 
 
+_kept: dict = {}
+
+
+def keep(key, build):
+    """An object that is costly to build, kept by this worker until another
+    one is asked for."""
+    if key not in _kept:
+        _kept.clear()
+        give_back()
+        _kept[key] = build()
+    return _kept[key]
+
+
 def frugal(fn):
     """Wrap a task function over batches: give memory back when it ends."""
     def run(batches):
