@@ -119,13 +119,21 @@ def sink_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---- I8 ----------------------------------------------------------------------------------
-@register("refresh_join_stream_ev", fx.duck_with("fx_ev", "registry") + """
-SELECT participant, count(*) AS rows FROM fx_ev WHERE participant IN (SELECT uid FROM registry)
+@register("refresh_join_stream_ev", fx.duck_with("fx_ev", "registry") + f""",
+t AS (SELECT min(epoch_day) AS lo, CAST(ceil((max(epoch_day) - min(epoch_day) + 1) / {_SLOTS}.0) AS INTEGER) AS step FROM fx_ev),
+s AS (SELECT participant, CAST(floor((epoch_day - lo) / step) AS INTEGER) AS slot FROM fx_ev, t)
+SELECT participant, count(*) AS rows FROM s WHERE participant IN (SELECT uid FROM registry) AND participant % 3 <> slot
 GROUP BY participant""")
 def refresh_join_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
-    out = scratch_path(spark, "refresh")
-    S.replay(_ev(spark, sf), "part", lambda st: st, S.refreshed_members(lambda s: fx.registry(s, sf), out), "refresh",
-             _SLOTS)
+    """The registry changes between arrivals: one third of it is away in each."""
+    out, folder, now = scratch_path(spark, "refresh"), scratch_path(spark, "registry"), {}
+
+    def refresh(slot: int) -> None:
+        now["path"] = f"{folder}/version={slot}"
+        fx.registry(spark, sf).filter(F.col("uid") % 3 != slot).write.parquet(now["path"])
+
+    S.replay(_ev(spark, sf), "part", lambda st: st, S.refreshed_members(lambda s: s.read.parquet(now["path"]), out),
+             "refresh", _SLOTS, before=refresh)
     return spark.read.parquet(out).groupBy("participant").agg(F.count(F.lit(1)).alias("rows"))
 
 

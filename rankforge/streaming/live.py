@@ -46,14 +46,17 @@ def stage_files(df: DataFrame, part_col: str, path: str, slots: int) -> list[str
 
 
 def replay(df: DataFrame, part_col: str, build: Callable[[DataFrame], DataFrame],
-           on_batch: Callable[[DataFrame, int], None], name: str, slots: int = 3, mode: str = "append") -> None:
+           on_batch: Callable[[DataFrame, int], None], name: str, slots: int = 3, mode: str = "append",
+           before: Callable[[int], None] | None = None) -> None:
     """Play a table as arrivals: slot after slot lands in an inbox folder, and
     after each the streaming query takes what is there, going on from its
     checkpoint.  So the order of slots is the order of event time, and all
-    writes are parallel."""
+    writes are parallel.  ``before`` is called with each slot's number first."""
     spark = df.sparkSession
     inbox, checkpoint = scratch_path(spark, f"in-{name}"), scratch_path(spark, f"ckpt-{name}")
-    for path in stage_files(df, part_col, scratch_path(spark, f"stage-{name}"), slots):
+    for number, path in enumerate(stage_files(df, part_col, scratch_path(spark, f"stage-{name}"), slots)):
+        if before:
+            before(number)
         spark.read.schema(df.schema).parquet(path).write.mode("append").parquet(inbox)
         run_available_now(build(file_stream(spark, inbox, df.schema)), on_batch, name, mode, checkpoint)
 
