@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.shared import cut_lineage, frugal, keep, mix, powers, slices, utf8
+from rankforge.llm.shared import cut_lineage, frugal, give_back, keep, mix, powers, slices, utf8
 
 #: Fixed values of the packing.
 MAX_TOKENS = 4096
@@ -74,7 +74,7 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.whole = Tokenizer.from_file(path)
+        self.path, self._whole = path, None
         self.forms = Tokenizer.from_file(path)
         self.forms.normalizer = normalizers.Sequence([])
         self.forms.pre_tokenizer = pre_tokenizers.Sequence([
@@ -83,6 +83,15 @@ class WordEncoder:
         self.classes = _byte_class()
         self._clear()
 
+    @property
+    def whole(self):
+        """The tokenizer as it is in the file, loaded for the first text that needs it."""
+        if self._whole is None:
+            from tokenizers import Tokenizer
+
+            self._whole = Tokenizer.from_file(self.path)
+        return self._whole
+
     def _clear(self) -> None:
         self.index: dict[int, int] = {}
         self.flat, self.start = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
@@ -150,6 +159,7 @@ class WordEncoder:
             total = np.zeros(len(low) + 1, dtype=np.uint64)
             np.cumsum(self.codes[low] * up[:len(low)], out=total[1:])
             key = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+            del total, stop, stops
             uniq, first, inv = np.unique(key, return_index=True, return_inverse=True)
             keys = uniq.tolist()
             new = [i for i, k in enumerate(keys) if k not in self.index]
@@ -193,6 +203,7 @@ def _cut(path: str, max_tokens: int, end_id: int) -> Callable:
                     [part.column(0).take(own), part.column(1).take(own), pa.array(place, pa.int32()),
                      pa.array(first, pa.int64()), pa.array(size, pa.int64()), pa.array(crc, pa.int64())],
                     names=["id", "row", "piece", "start", "length", "ids_crc32"])
+            give_back()
     return run
 
 
