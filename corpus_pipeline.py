@@ -33,7 +33,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: one document of each group of near copies stays."""
-    return jaccard_join.drop_near_copies(docs)
+    return jaccard_join.drop_near_copies(docs, keep_no_id=False)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,8 @@ when their Jaccard similarity is at least ``THRESHOLD``.
 Defined results: a text of 1 to N-1 words has one shingle, all of them; null
 and empty texts have no shingles, link with nothing and stay; the smallest id
 of a component is kept, null ids sort last; rows that repeat an id are
-separate rows; an empty table gives an empty result; other columns are kept by
+separate rows, and ``drop_near_copies`` keeps one row of each component,
+and on demand all without an id; an empty table gives an empty result; other columns are kept by
 ``drop_near_copies`` and not read otherwise.
 """
 
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from rankforge.llm import repeats
 from rankforge.llm.graph import components, forest
 from rankforge.llm.repeats import NULL_ID
-from rankforge.llm.shared import byte_codes, cut_lineage, frugal, give_back, mix, slices, span_hash, utf8, window_hash, word_bounds
+from rankforge.llm.shared import byte_codes, cut_lineage, frugal, give_back, mix, slices, span_hash, utf8, window_hash, with_row_key, word_bounds
 
 N = 5
 THRESHOLD = 0.8
@@ -118,7 +119,8 @@ def _describe(n: int, bands: int, rows: int) -> Callable:
                         band[i] = k
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids), pa.array(a), pa.array(b), pa.array(count.astype(np.int32)),
-                     pa.array(band, pa.list_(pa.int64()))], names=["doc", "k1", "k2", "n", "bands"])
+                     pa.array(band, pa.list_(pa.int64())), *part.columns[2:]],
+                    names=["doc", "k1", "k2", "n", "bands", *part.schema.names[2:]])
     return run
 
 
@@ -168,6 +170,7 @@ def _fetch(n: int):
     def work(ids, texts, rows):
         lo, hi = repeats.rows_of(ids, rows["doc"])
         out: dict = {c: [] for c in names}
+        done = set()                                          # rows that share an id bring a class once
         for i, text in enumerate(texts):
             if lo[i] == hi[i]:
                 continue
@@ -177,7 +180,8 @@ def _fetch(n: int):
                 continue
             name = _class_names(h, np.zeros(1, dtype=np.int64), np.array([len(h)]))[0][0]
             for r in range(lo[i], hi[i]):
-                if rows["node"][r] == name:                   # rows may share an id but not a text
+                if rows["node"][r] == name and r not in done:     # rows may share an id but not a text
+                    done.add(r)
                     for c, x in zip(names, (rows["grp"][r], name, rows["size"][r], h.tobytes())):
                         out[c].append(x)
         return pa.table({c: pa.array(out[c], t) for c, t in zip(names, (pa.int64(),) * 3 + (pa.binary(),))})
@@ -280,14 +284,17 @@ def _compare(size: int, threshold: float, tolerance: float):
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N,
                     threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
-                    tolerance: float = TOLERANCE, block: int = BLOCK) -> DataFrame:
+                    tolerance: float = TOLERANCE, block: int = BLOCK, row_col: str | None = None) -> DataFrame:
     """One row per document: id, n_links, component_id, class_id (the smallest
-    id with the same shingles), class_size, kept."""
-    own = repeats.slim(docs, id_col, text_col)
+    id with the same shingles), class_size, kept.  With ``row_col``, a key of
+    the rows, that too, and kept holds for one row of a component."""
+    more = ["row"] if row_col else []
+    own = repeats.slim(docs, id_col, text_col, *[F.col(row_col).alias(c) for c in more])
     facts = cut_lineage(own.mapInArrow(frugal(_describe(n, bands, rows)),
-                                       "doc long, k1 long, k2 long, n int, bands array<long>"))
+                                       "doc long, k1 long, k2 long, n int, bands array<long>" + ", row long" * len(more)))
+    first = [F.min(F.struct("doc", c)).getField(c).alias(c) for c in more]
     classes = cut_lineage(facts.where("n > 0").groupBy("k1", "k2")
-                          .agg(F.min("doc").alias("doc"), F.count("*").alias("size")))
+                          .agg(F.min("doc").alias("doc"), F.count("*").alias("size"), *first))
 
     stars = facts.where("n > 0").select("k1", "bands").mapInArrow(frugal(_stars), "h long, a long, b long, edge boolean")
     edges = stars.repartition("h").sortWithinPartitions("h", "a").mapInArrow(frugal(_merge_stars), "a long, b long")
@@ -315,25 +322,31 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     result = classes.join(links, F.col("k1") == F.col("node"), "left").drop("node") \
         .join(comp, F.col("k1") == F.col("node"), "left") \
         .select("k1", F.col("doc").alias("class_doc"), "size", F.coalesce("links", F.lit(0)).alias("links"),
-                F.coalesce("component", "k1").alias("component"))
-    least = result.groupBy("component").agg(F.min("class_doc").alias("least"))
+                F.coalesce("component", "k1").alias("component"), *[F.col(c).alias("class_row") for c in more])
+    first = [F.min(F.struct("class_doc", "class_row")).getField("class_row").alias("least_row") for _ in more]
+    least = result.groupBy("component").agg(F.min("class_doc").alias("least"), *first)
     result = result.join(least, "component")
-    out = facts.where("n > 0").select("doc", "k1").join(result, "k1").select(
+    out = facts.where("n > 0").select("doc", "k1", *more).join(result, "k1").select(
         "doc", (F.col("links") + F.col("size") - 1).cast("long").alias("n_links"), F.col("least").alias("component_id"),
-        F.col("class_doc").alias("class_id"), F.col("size").alias("class_size"))
-    alone = facts.where("n = 0").select("doc", F.lit(0).cast("long"), "doc", "doc", F.lit(1).cast("long"))
+        F.col("class_doc").alias("class_id"), F.col("size").alias("class_size"),
+        *more, *[F.col("least_row") for _ in more])
+    alone = facts.where("n = 0").select("doc", F.lit(0).cast("long"), "doc", "doc", F.lit(1).cast("long"), *more, *more)
     out = out.union(alone)
     back = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
     return out.select(back("doc").alias(id_col), "n_links", back("component_id").alias("component_id"),
                       back("class_id").alias("class_id"), "class_size",
-                      (F.col("doc") == F.col("component_id")).alias("kept"))
+                      (F.col("row") == F.col("least_row") if more else F.col("doc") == F.col("component_id")).alias("kept"),
+                      *[F.col(c).alias(row_col) for c in more])
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_no_id: bool = True,
+                     **options) -> DataFrame:
     """One document of each component, with all columns; rows without an id
-    can't be named by a decision, so they are kept."""
-    gone = jaccard_classes(docs, id_col, text_col, **options).where("not kept").select(F.col(id_col).alias("__gone"))
-    return docs.join(gone.distinct(), F.col(id_col) == F.col("__gone"), "left_anti")
+    stay too unless ``keep_no_id`` is false."""
+    own = with_row_key(docs)
+    gone = jaccard_classes(own, id_col, text_col, row_col="__row", **options).where("not kept")
+    gone = (gone.where(F.col(id_col).isNotNull()) if keep_no_id else gone).select("__row")
+    return own.join(gone, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op3_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -45,9 +45,9 @@ FOUND = "kind int, h long, part int, doc long, start int, n int, sdoc long, ssta
 _CHAIN = "h long, key long, doc long, start int, n int, sdoc long, sstart int"
 
 
-def slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def slim(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"),
-                       F.col(text_col).cast("string").alias("text"))
+                       F.col(text_col).cast("string").alias("text"), *more)
 
 
 def _table(schema: str, *arrays) -> pa.RecordBatch:

@@ -30,6 +30,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def with_row_key(docs: DataFrame, name: str = "__row") -> DataFrame:
+    """Add a key of the rows that stays the same whenever the table is read
+    again.  A plain scan of files deals the same rows into the same partitions
+    each time; anything else is written first."""
+    out = docs.withColumn(name, F.monotonically_increasing_id())
+    plan = docs._jdf.queryExecution().optimizedPlan()
+    fixed = plan.getClass().getSimpleName() == "LogicalRelation" \
+        and plan.relation().getClass().getSimpleName() == "HadoopFsRelation"
+    return out if fixed else cut_lineage(out)
+
+
 def give_back() -> None:
     """Return freed memory of this worker to the system.  Workers live on
     between stages, and what the allocators keep counts against the

@@ -44,3 +44,14 @@ def test_native_plan(spark):
     df = exact_dedup(spark.createDataFrame(ROWS, SCHEMA))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_drop_goes_by_row(spark, tmp_path):
+    rows = [(5, "aaa"), (5, "bbb"), (3, "bbb"), (11, "c"), (11, "c"), (None, "d"), (None, "d"), (None, "e"), (7, None), (7, "")]
+    want = sorted([(5, "aaa"), (3, "bbb"), (11, "c"), (None, "d"), (None, "e")], key=str)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    df.write.parquet(str(tmp_path / "docs"))
+    for docs in (df, spark.read.parquet(str(tmp_path / "docs"))):
+        got = sorted((tuple(r) for r in drop_copies(docs).collect() if r.text), key=str)
+        assert got == want
+        assert drop_copies(docs).count() == len(want) + 1                   # one of the empty texts

@@ -77,3 +77,16 @@ def test_posterior_bound():
             return f[x >= 0.8].sum() / f.sum()
 
         assert post(m) >= 1e-4 * 0.99 and post(m - 1) < 1e-4 * 1.01
+
+
+def test_drop_goes_by_row(spark, tmp_path):
+    text = lambda c, w="": " ".join(f"{c}{i}" for i in range(60)) + w
+    rows = [(5, text("a")), (5, text("b")), (3, text("b")), (11, text("c")), (11, text("c")), (12, text("c", " x")),
+            (None, text("d")), (None, text("d")), (None, text("e")), (13, text("f")), (13, text("f", " y")), (1, ""), (1, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, jaccard_classes(df).collect()), key=str) == brute(rows)
+    df.write.parquet(str(tmp_path / "docs"))
+    for docs in (df, spark.read.parquet(str(tmp_path / "docs"))):
+        got = [(r.doc_id, r.text[:2]) for r in drop_near_copies(docs, keep_no_id=False).collect()]
+        assert sorted(got, key=str) == sorted([(5, "a0"), (3, "b0"), (11, "c0"), (None, "d0"), (None, "e0"), (13, "f0"),
+                                               (1, ""), (1, "")], key=str)

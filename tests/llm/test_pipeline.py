@@ -103,3 +103,16 @@ def test_stages_keep_the_columns(spark, sf):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf).count() == 0, name
     assert drop_near_copies(empty).columns == docs.columns
+
+
+def test_repeated_and_null_ids(spark, tmp_path):
+    text = lambda c: " ".join(f"{c}{i}" for i in range(60))
+    rows = [(5, text("a")), (5, text("b")), (3, text("b")), (11, text("c")), (11, text("c")), (11, text("c") + " x"),
+            (None, text("d")), (None, text("d")), (None, text("d") + " x")]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(i, t, "en", "s", len(t), "x") for i, t in rows], COLUMNS).repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    for stage in (corpus_pipeline.exact_stage, corpus_pipeline.near_stage):
+        docs = stage(spark, docs, path)
+    got = [(r.doc_id, r.text[0]) for r in docs.collect()]
+    assert sorted(got, key=str) == sorted([(5, "a"), (3, "b"), (11, "c"), (None, "d")], key=str)
