@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from rankforge.llm import embeddings, exact_dedup, jaccard_join, licenses, mixing, packing, pitman_yor, quality, substring_dedup, suffix_dedup
+from rankforge.llm import (embeddings, exact_dedup, jaccard_join, licenses, mixing, packing, pitman_yor, quality,
+                           resampling, substring_dedup, suffix_dedup)
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_license_scan": licenses.op9_license_scan,
     "op10_pack_sequences": packing.op10_pack_sequences,
+    "op13_importance_resampling": resampling.op13_importance_resampling,
 }
 
 ORACLE = {
@@ -24,4 +26,5 @@ ORACLE = {
     "op7_embedding_near_dedup": embeddings.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
     "op9_license_scan": licenses.SQL,
+    "op13_importance_resampling": resampling.SQL,
 }
