@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from rankforge.llm import (embeddings, exact_dedup, jaccard_join, licenses, mixing, packing, pitman_yor, quality,
-                           resampling, substring_dedup, suffix_dedup)
+from rankforge.llm import (chat_format, embeddings, exact_dedup, jaccard_join, licenses, mixing, packing, pitman_yor,
+                           quality, resampling, substring_dedup, suffix_dedup, whitening)
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_license_scan": licenses.op9_license_scan,
     "op10_pack_sequences": packing.op10_pack_sequences,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
+    "op12_chat_format": chat_format.op12_chat_format,
     "op13_importance_resampling": resampling.op13_importance_resampling,
 }
 
@@ -26,5 +28,6 @@ ORACLE = {
     "op7_embedding_near_dedup": embeddings.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
     "op9_license_scan": licenses.SQL,
+    "op12_chat_format": chat_format.SQL,
     "op13_importance_resampling": resampling.SQL,
 }
