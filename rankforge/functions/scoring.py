@@ -64,27 +64,24 @@ def clip01(x: Column) -> Column:
 def np_masks(acc_a, n_a, acc_b, n_b, cfg: ScoringConfig = _DEF):
     """Bit masks over envs for every (a, b) of two blocks.
 
-    acc_*: float (k, E), n_*: int (k, E).  Returns int64 (ka, kb) masks:
+    acc_*: float (k, E), n_*: int (k, E).  Returns (ka, kb) integer masks:
     not-worse, better, tie (bit e set when the env e verdict holds)."""
-    ai = acc_a[:, None, :]
-    aj = acc_b[None, :, :]
-    ni = np.minimum(n_a, cfg.sample_count_cap)[:, None, :]
-    nj = np.minimum(n_b, cfg.sample_count_cap)[None, :, :]
-    pi = np.minimum(np.maximum(ai, 0.0), 1.0)
-    pj = np.minimum(np.maximum(aj, 0.0), 1.0)
-    var = (pi * (1 - pi)) / np.maximum(ni, 1) + (pj * (1 - pj)) / np.maximum(nj, 1)
-    sd = np.sqrt(np.maximum(var, 0.0))
-    if cfg.z_not_worse <= 0:
-        nw = np.full(var.shape, cfg.eps_floor)
-    else:
-        nw = np.maximum(cfg.eps_floor, cfg.z_not_worse * sd)
-    if cfg.z_win > 0:
-        bet = np.maximum(cfg.eps_win, cfg.z_win * sd)
-    else:
-        bet = np.full(var.shape, cfg.eps_win)
-    bet = np.minimum(bet, nw)
-    bits = (np.int64(1) << np.arange(acc_a.shape[1], dtype=np.int64))[None, None, :]
-    nw_m = ((~(ai < aj - nw)) * bits).sum(axis=2)
-    bet_m = ((ai >= aj + bet) * bits).sum(axis=2)
-    tie_m = ((~(np.abs(ai - aj) > nw)) * bits).sum(axis=2)
+    def spread(acc, n):
+        p = np.minimum(np.maximum(acc, 0.0), 1.0)
+        return (p * (1 - p)) / np.maximum(np.minimum(n, cfg.sample_count_cap), 1)
+
+    var_a, var_b = spread(acc_a, n_a), spread(acc_b, n_b)
+    shape = (len(acc_a), len(acc_b))
+    kind = np.uint8 if acc_a.shape[1] <= 8 else np.int64
+    nw_m, bet_m, tie_m = (np.zeros(shape, dtype=kind) for _ in range(3))
+    for e in range(acc_a.shape[1]):                    # one env at a time: temporaries of pairs, not pairs x envs
+        ai, aj = acc_a[:, e][:, None], acc_b[:, e][None, :]
+        sd = np.sqrt(np.maximum(var_a[:, e][:, None] + var_b[:, e][None, :], 0.0))
+        nw = np.full(shape, cfg.eps_floor) if cfg.z_not_worse <= 0 else np.maximum(cfg.eps_floor, cfg.z_not_worse * sd)
+        bet = np.maximum(cfg.eps_win, cfg.z_win * sd) if cfg.z_win > 0 else np.full(shape, cfg.eps_win)
+        bet = np.minimum(bet, nw)
+        bit = kind(1 << e)
+        nw_m += (~(ai < aj - nw)) * bit
+        bet_m += (ai >= aj + bet) * bit
+        tie_m += (~(np.abs(ai - aj) > nw)) * bit
     return nw_m, bet_m, tie_m

@@ -10,10 +10,12 @@ by the size of the result log.  No pair row is ever materialised:
   "a" side of (tile, *) and the "b" side of (*, tile)): a 1-bucket theta
   join, replication 2T;
 * one vectorised numpy kernel per group computes the env masks of every
-  (a, b) of the group once and emits only per-(a, subset) dominance counts
-  (non-zero ones); Spark then sums them across tiles.
+  (a, b) of the group once, adds them to one histogram of masks per a and
+  turns that into the counts of all subsets by superset sums; only non-zero
+  (a, subset) counts leave the task, and Spark adds them across tiles.
 
-Thresholds are therefore computed once per pair for all 2^E - 1 subsets.
+Thresholds are computed once per pair, and no pair is ever tested against a
+subset.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ from rankforge.config import ScoringConfig
 from rankforge.functions.scoring import layer_weight, np_masks
 from rankforge.operators.results import argmax_id, argmax_key, fb_infinite
 
-# pairs evaluated per numpy block (bounds kernel memory per task)
-_BLOCK_ELEMS = 4_000_000
+# pairs evaluated per numpy block (bounds kernel memory per task), and opponents among them
+_BLOCK_PAIRS, _BLOCK_COLS = 1 << 15, 1 << 12
 # pool rows per tile: at least / at most
 _TILE_ROWS, _TILE_MOST = 128, 50_000
 
@@ -73,42 +75,72 @@ def eligibility(summary: DataFrame, queryable: DataFrame | None, n_envs: int,
 
 
 # ---- C4 + D5/D6 kernel --------------------------------------------------------
+def superset_sums(h: np.ndarray) -> np.ndarray:
+    """``out[:, S]`` = sum of ``h[:, M]`` over all masks M that contain S, for
+    all S at once: one halving addition per env (zeta transform)."""
+    out = h.copy()
+    for bit in range(int(out.shape[1]).bit_length() - 1):
+        v = out.reshape(len(out), -1, 2, 1 << bit)
+        v[:, :, 0] += v[:, :, 1]
+    return out
+
+
+def subset_counts(acc_a, n_a, fb_a, id_a, acc_b, n_b, fb_b, id_b, cfg: ScoringConfig) -> np.ndarray:
+    """(rows of a, 2^E): how many rows of b each row of a dominates on every
+    env subset.
+
+    With the masks nw (not worse), bet (better) and tie of a pair, a dominates
+    b on S when S lies in nw and meets bet, or S lies in tie and a is earlier.
+    By inclusion and exclusion that is, as 0/1 indicators of "M contains S",
+
+        [nw] - [nw & ~bet] + earlier * ([tie] - [tie & nw] + [tie & nw & ~bet])
+
+    so one signed histogram of masks per row of a and one zeta transform
+    replace the test of every pair against every subset; memory per pair does
+    not depend on the number of subsets."""
+    k, masks = len(id_a), 1 << acc_a.shape[1]
+    hist = np.zeros(k * masks, dtype=np.int64)
+    rows = max(1, min(k, _BLOCK_PAIRS // min(len(id_b), _BLOCK_COLS)))
+    for lo in range(0, k, rows):
+        a = slice(lo, min(k, lo + rows))
+        base = (np.arange(a.stop - lo, dtype=np.int64) * masks)[:, None]
+        part = hist[lo * masks:a.stop * masks]
+
+        def add(mask, sign, where=None):
+            at = base + mask
+            part[:] += sign * np.bincount((at if where is None else at[where]).ravel(), minlength=len(part))
+
+        for at in range(0, len(id_b), _BLOCK_COLS):
+            b = slice(at, at + _BLOCK_COLS)
+            nw, bet, tie = np_masks(acc_a[a], n_a[a], acc_b[b], n_b[b], cfg)
+            bet[id_a[a][:, None] == id_b[b][None, :]] = 0        # then a row's terms against itself cancel
+            earlier = fb_a[a][:, None] < fb_b[b][None, :]
+            plain = nw & ~bet
+            add(nw, 1)
+            add(plain, -1)
+            add(tie & plain, 1, earlier)
+            odd = earlier & (tie & ~nw != 0)                     # a tie that rounding calls worse
+            if odd.any():
+                add(tie, 1, odd)
+                add(tie & nw, -1, odd)
+    return superset_sums(hist.reshape(k, masks))
+
+
 def _pair_counts_fn(n_envs: int, cfg: ScoringConfig):
-    subsets = np.arange(1, 1 << n_envs, dtype=np.int64)
+    def side(pdf: pd.DataFrame):
+        return (np.stack(pdf["acc"].to_numpy()).astype(np.float64), np.stack(pdf["n"].to_numpy()).astype(np.int64),
+                pdf["fb"].to_numpy(dtype=np.int64), pdf["participant"].to_numpy(dtype=np.int64))
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         a = pdf[pdf["_role"] == 0]
         b = pdf[pdf["_role"] == 1]
-        empty = pd.DataFrame({"participant": pd.Series([], dtype="int64"),
-                              "S": pd.Series([], dtype="int64"),
-                              "dom": pd.Series([], dtype="int64")})
         if len(a) == 0 or len(b) == 0:
-            return empty
-        acc_b = np.stack(b["acc"].to_numpy()).astype(np.float64)
-        n_b = np.stack(b["n"].to_numpy()).astype(np.int64)
-        fb_b = b["fb"].to_numpy(dtype=np.int64)
-        id_b = b["participant"].to_numpy(dtype=np.int64)
-        out = []
-        step = max(1, _BLOCK_ELEMS // max(1, len(b) * len(subsets)))
-        for lo in range(0, len(a), step):
-            ac = a.iloc[lo:lo + step]
-            acc_a = np.stack(ac["acc"].to_numpy()).astype(np.float64)
-            n_a = np.stack(ac["n"].to_numpy()).astype(np.int64)
-            fb_a = ac["fb"].to_numpy(dtype=np.int64)
-            id_a = ac["participant"].to_numpy(dtype=np.int64)
-            nw_m, bet_m, tie_m = np_masks(acc_a, n_a, acc_b, n_b, cfg)
-            earlier = fb_a[:, None] < fb_b[None, :]
-            other = id_a[:, None] != id_b[None, :]
-            S = subsets[None, None, :]
-            dom = (((nw_m[:, :, None] & S) == S) & ((bet_m[:, :, None] & S) != 0)) | \
-                  (((tie_m[:, :, None] & S) == S) & earlier[:, :, None])
-            dom &= other[:, :, None]
-            cnt = dom.sum(axis=1)                      # (ka, |S|)
-            ia, js = np.nonzero(cnt)
-            if len(ia):
-                out.append(pd.DataFrame({"participant": id_a[ia], "S": subsets[js],
-                                         "dom": cnt[ia, js].astype(np.int64)}))
-        return pd.concat(out, ignore_index=True) if out else empty
+            return pd.DataFrame({c: pd.Series([], dtype="int64") for c in ("participant", "S", "dom")})
+        left, right = side(a), side(b)
+        cnt = subset_counts(*left, *right, cfg)
+        cnt[:, 0] = 0                                  # the empty subset is none
+        ia, js = np.nonzero(cnt)
+        return pd.DataFrame({"participant": left[3][ia], "S": js.astype(np.int64), "dom": cnt[ia, js]})
 
     return fn
 

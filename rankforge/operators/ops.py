@@ -87,12 +87,33 @@ def orphan_leases(leases: DataFrame, containers: DataFrame) -> DataFrame:
 
 
 # ---- C7 / C8 --------------------------------------------------------------------------
+_DRAW_HEX, _DRAW_TRIES = 15, 64
+
+
 def task_id(seed: int, *keys: Column, data_len=None) -> Column:
-    """M7: uniform draw in [0, data_len) from a seeded hash of the keys;
-    data_len null or 0 -> the default."""
+    """M7: unbiased draw in [0, data_len) from a seeded hash of the keys;
+    data_len null or 0 -> the default.
+
+    The k-th number of a draw is the first 60 bits of
+    sha256("seed:key:...:k").  Numbers at or above the largest multiple of the
+    range are rejected, so every result is equally likely; the first accepted
+    one counts.  (The last of 64 tries is taken as it is; all are rejected
+    with a chance below 2^-64.)"""
     n = F.coalesce(F.nullif(_c(data_len), F.lit(0)), F.lit(DATA_LEN)) if data_len is not None \
         else F.lit(DATA_LEN)
-    return F.pmod(F.xxhash64(F.lit(seed), *keys), n.cast("bigint"))
+    n = n.cast("bigint")
+    name = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(k.cast("string"), F.lit("null")) for k in keys], F.lit(""))
+    full = F.expr(f"{1 << 4 * _DRAW_HEX}L")
+    limit = full - F.pmod(full, n)
+
+    def attempt(k: Column) -> Column:
+        return F.conv(F.substring(F.sha2(F.concat(name, k.cast("string")), 256), 1, _DRAW_HEX), 16, 10).cast("bigint")
+
+    def step(found: Column, k: Column) -> Column:
+        x = attempt(k)
+        return F.coalesce(found, F.when((x < limit) | (k == _DRAW_TRIES - 1), F.pmod(x, n)))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(_DRAW_TRIES - 1)), F.lit(None).cast("bigint"), step)
 
 
 def normalise_task_ids(ids, seed: int, *keys: Column) -> Column:

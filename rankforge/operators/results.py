@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.config import MAX_BLOCK
-from rankforge.session import materialize
 
 
 # ---- B1 ---------------------------------------------------------------------
@@ -255,22 +254,21 @@ def dense_grid(summary: DataFrame, registry: DataFrame, envs: Sequence[str],
 def sample_grid(results: DataFrame, registry: DataFrame, envs: Sequence[str],
                 base=0, family: str | None = None, key: str = "participant",
                 version: Sequence[str] = ("model", "revision"),
-                seq: Sequence[str] = ("ts", "seq_id")) -> DataFrame:
+                seq: Sequence[str] = ("ts", "seq_id"), chunk: Column | None = None) -> DataFrame:
     """Member filter, family filter, current run, per-participant summary.
 
     Filters run before E1 on purpose: a filtered row does not break a run.
+    The log is read once (see ``rollup``); ``chunk`` defaults to days of the
+    time or epochs of the block that leads ``seq``.
     """
+    from rankforge.operators.rollup import chunk_runs, merge_runs, time_chunk
     r = member_filter(results, registry, key)
     if family is not None:
         r = family_filter(r, family, base, key)
-    d = r.withColumn("_seq", order_key(r, seq))
     if not version:      # one version: the run is every row
-        return participant_summary(d, envs, key, latest=())
-    runs = materialize(version_runs(d, key, version))          # one row per participant, read twice
-    run = (d.join(runs.select(key, "_cut"), key, "left")
-           .filter(F.col("_cut").isNull() | (F.col("_seq") > F.col("_cut"))).drop("_cut"))
-    summ = participant_summary(run, envs, key, latest=())
-    return summ.join(runs.select(key, "latest"), key, "left")
+        return participant_summary(r, envs, key, latest=())
+    chunks = chunk_runs(r, envs, time_chunk(r, seq) if chunk is None else chunk, key, version, seq)
+    return merge_runs(chunks, len(envs), key)
 
 
 def fb_infinite(col) -> "F.Column":

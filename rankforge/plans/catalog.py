@@ -48,6 +48,22 @@ def grid_ev(spark: SparkSession, sf: str) -> DataFrame:
     return R.dense_grid(ev_summary(spark, sf), fx.registry(spark, sf), EV_ENVS)
 
 
+def grid_rollup_ev(spark: SparkSession, sf: str) -> DataFrame:
+    """The same grid from stored summaries: the log comes in three parts, and
+    each refresh reads the newest stored day and what follows it."""
+    from rankforge.operators import rollup as RU
+    from rankforge.sources.results_log import scratch_path
+    log, path = fx.fx_ev(spark, sf), scratch_path(spark, "rollup")
+    reg = fx.registry(spark, sf)
+    lo, hi = log.agg(F.min("epoch_day"), F.max("epoch_day")).first()
+    for part in (1, 2, 3):
+        there = log.filter(F.col("epoch_day") <= lo + (hi - lo) * part // 3)
+        rows = R.family_filter(there, EV_FAMILY, 0)
+        stored = RU.refresh(rows, path, EV_ENVS, F.col("epoch_day"))
+    summ = RU.merge_runs(R.member_filter(stored, reg), len(EV_ENVS))
+    return R.dense_grid(summ, reg, EV_ENVS)
+
+
 def run_rows_ev(spark: SparkSession, sf: str) -> DataFrame:
     """E1 alone: rows in each participant's current run (no filters)."""
     run = R.current_run(fx.fx_ev(spark, sf))
@@ -229,6 +245,7 @@ def leaderboard_ev(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "grid_or": grid_or,
     "grid_ev": grid_ev,
+    "grid_rollup_ev": grid_rollup_ev,
     "run_rows_ev": run_rows_ev,
     "latest_ev": latest_ev,
     "eligibility_li": eligibility_li,

@@ -267,14 +267,24 @@ def tempo_gate_ev(spark: SparkSession, sf: str) -> DataFrame:
     return O.tempo_gate(fx.fx_ev(spark, sf))
 
 
-# ---- M7 (hash draw: no SQL twin) ----------------------------------------------------------
-@register("task_ids_ev", None)
+# ---- M7 ------------------------------------------------------------------------------------
+@register("task_ids_ev", fx.duck_with("fx_ev") + """,
+k AS (SELECT *, seq_id % 3 AS kind, 1 + seq_id % 997 AS n FROM fx_ev),
+t AS (SELECT *, unnest(range(0, 4)) AS try FROM k WHERE kind < 2),
+h AS (SELECT *, ('0x' || substr(sha256(concat('42:', env, ':', seq_id, ':', try)), 1, 15))::BIGINT AS x200,
+             ('0x' || substr(sha256(concat('7:', env, ':', seq_id, ':', try)), 1, 15))::BIGINT AS xn FROM t),
+d AS (SELECT seq_id, arg_min(x200 % 200, try) FILTER (WHERE x200 < 1152921504606846976 - 1152921504606846976 % 200) AS d200,
+             arg_min(xn % n, try) FILTER (WHERE xn < 1152921504606846976 - 1152921504606846976 % n) AS dn FROM h GROUP BY seq_id)
+SELECT k.seq_id, 1 AS n_ids, CASE WHEN kind < 2 THEN d200 ELSE k.seq_id END AS first_id, dn AS own_range
+FROM k LEFT JOIN d USING (seq_id)""")
 def task_ids_ev(spark: SparkSession, sf: str) -> DataFrame:
     e = fx.fx_ev(spark, sf).withColumn("k", F.col("seq_id") % 3)
     ids = F.when(F.col("k") == 0, F.lit(None).cast("array<bigint>")).when(F.col("k") == 1, F.array().cast(
         "array<bigint>")).otherwise(F.array(F.col("seq_id")))
     t = O.normalise_task_ids(ids, 42, F.col("env"), F.col("seq_id"))
-    return e.select("seq_id", F.size(t).alias("n_ids"), t[0].alias("first_id"))
+    own = O.task_id(7, F.col("env"), F.col("seq_id"), data_len=1 + F.col("seq_id") % 997)
+    return e.select("seq_id", F.size(t).alias("n_ids"), t[0].alias("first_id"),
+                    F.when(F.col("k") < 2, own).alias("own_range"))
 
 
 # ---- E6 / E7 / E8 / J11 (FX-CONV) ---------------------------------------------------------

@@ -68,14 +68,18 @@ SELECT epoch_us(ws) AS window_start_us, participant, env,
        count(*) FILTER (WHERE success) AS n, coalesce(sum(score) FILTER (WHERE success), 0.0) AS succ
 FROM w GROUP BY ALL""")
 def window_grid_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
-    out = scratch_path(spark, "window-grid")
+    """Windows of four panes; the stream keeps one row per pane."""
+    out, pane_us = scratch_path(spark, "window-grid"), 6 * 3600 * 1_000_000
 
     def build(st):
-        g = S.windowed_grid(st, "ts", "1 day", "6 hours", "1 day")
-        return g.select(F.unix_micros(F.col("w.start")).alias("window_start_us"), "participant", "env", "n", "succ")
+        g = S.windowed_grid(st, "ts", "6 hours", "6 hours", "1 day")
+        pane = F.floor(F.unix_micros(F.col("w.start")) / F.lit(pane_us)).cast("bigint")
+        return g.select(pane.alias("pane"), "participant", "env", "n", "succ")
 
     S.replay(_ev(spark, sf), "part", build, S.batch_writer(out), "window-grid", _SLOTS, mode="update")
-    return S.latest_per_key(spark.read.parquet(out), ["window_start_us", "participant", "env"])
+    panes = S.latest_per_key(spark.read.parquet(out), ["pane", "participant", "env"])
+    return S.sliding_sums(panes, ["participant", "env"], "pane", 4, ["n", "succ"]).select(
+        (F.col("pane") * pane_us).alias("window_start_us"), "participant", "env", "n", "succ")
 
 
 # ---- I5 ----------------------------------------------------------------------------------
@@ -100,12 +104,20 @@ def stall_alarms_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---- I6 ----------------------------------------------------------------------------------
-@register("tempo_gate_stream_ev", fx.duck_with("fx_ev") + """
-SELECT DISTINCT block FROM fx_ev WHERE block % 100 = 0""")
+@register("tempo_gate_stream_ev", fx.duck_with("fx_ev") + f""",
+a AS (SELECT block, epoch_day + CASE WHEN seq_id % 7 = 0 THEN 6 ELSE 0 END AS part FROM fx_ev),
+t AS (SELECT min(part) AS lo, CAST(ceil((max(part) - min(part) + 1) / {_SLOTS}.0) AS INTEGER) AS step FROM a),
+g AS (SELECT DISTINCT CAST(floor((part - lo) / step) AS INTEGER) AS slot, block FROM a, t WHERE block % 100 = 0),
+m AS (SELECT slot, max(max(block)) OVER (ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last
+      FROM g GROUP BY slot)
+SELECT g.block, CAST(g.slot AS BIGINT) AS arrival FROM g JOIN m USING (slot) WHERE m.last IS NULL OR g.block > m.last""")
 def tempo_gate_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
+    """One row in seven arrives six days late, so gate blocks come again and
+    come after later ones; neither may fire."""
     out = scratch_path(spark, "tempo")
-    S.replay(_ev(spark, sf), "part", S.tempo_gate_stream, S.batch_writer(out), "tempo", _SLOTS)
-    return spark.read.parquet(out).select("block")
+    ev = fx.fx_ev(spark, sf).withColumn("part", F.col("epoch_day") + F.when(F.col("seq_id") % 7 == 0, 6).otherwise(0))
+    S.replay(ev, "part", lambda st: st.select("block"), S.gate_writer(out), "tempo", _SLOTS)
+    return spark.read.parquet(f"{out}/fired").select("block", F.col("microbatch").cast("bigint").alias("arrival"))
 
 
 # ---- I1 ----------------------------------------------------------------------------------

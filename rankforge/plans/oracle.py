@@ -308,6 +308,7 @@ SELECT *, CAST(row_number() OVER (ORDER BY pts DESC, uid DESC) AS INTEGER) AS ra
 ORACLE = {
     "grid_or": GRID_OR,
     "grid_ev": GRID_EV,
+    "grid_rollup_ev": GRID_EV,
     "run_rows_ev": RUN_ROWS_EV,
     "latest_ev": LATEST_EV,
     "eligibility_li": ELIGIBILITY_LI,

@@ -4,13 +4,13 @@
       in its own ``microbatch=<id>`` folder written with overwrite, so a batch
       replayed from the checkpoint after a failure replaces itself instead
       of duplicating rows (at-least-once delivery, idempotent result).
-* I3  sliding windowed grid with a watermark.
+* I3  tumbling panes with a watermark; sliding windows are sums of panes.
 * I4  current-version run per participant with ``applyInPandasWithState``
       (state = version, first block, last seq, per-env counts); I7 expires
       a participant's state once the watermark passes its last result plus
       the tail.
 * I5  stall alarms: per-process state keeps the last heartbeat and a timer.
-* I6  tempo gate: streaming de-duplication of gate blocks.
+* I6  tempo gate: a durable last-acted block, moved on once a micro-batch.
 * I8  registry refresh: the static registry is re-read in every batch.
 
 Per-key work inside the stateful functions is bounded by one micro-batch
@@ -23,11 +23,13 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from rankforge.config import TEMPO
 from rankforge.sources.results_log import scratch_path, write_results
 
 
@@ -120,6 +122,36 @@ def windowed_grid(df: DataFrame, ts: str, size: str, slide: str, watermark: str,
         F.count_if(ok).alias("n"), F.coalesce(F.sum(F.when(ok, F.col("score"))), F.lit(0.0)).alias("succ"))
 
 
+def sliding_sums(panes: DataFrame, keys: Sequence[str], pane: str, k: int, sums: Sequence[str]) -> DataFrame:
+    """Sums over every run of ``k`` consecutive panes that holds a row of the
+    key: (keys, first pane of the run, sums).  ``pane`` is a whole number.
+
+    Panes are cut into blocks of k.  A run of k panes is the end of one block
+    and the start of the next, so its sum is a suffix sum plus a prefix sum;
+    both are running sums inside one block.  No row is copied per window,
+    nothing is subtracted (no cancellation), and no window orders more than
+    one block of a key."""
+    own = [*keys, "_b"]
+    p = panes.select(*keys, F.floor(F.col(pane) / F.lit(k)).cast("bigint").alias("_b"),
+                     F.pmod(F.col(pane), F.lit(k)).cast("int").alias("_o"),
+                     *[F.col(c) for c in sums], F.lit(1).alias("_here"))
+    slots = p.select(*own).distinct().select(*own, F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_o"))
+    empty = slots.select(*own, "_o", *[F.lit(0).cast(dict(p.dtypes)[c]).alias(c) for c in sums], F.lit(0).alias("_here"),
+                         F.lit(True).alias("_slot"))
+    both = p.withColumn("_slot", F.lit(False)).unionByName(empty)
+    upto = Window.partitionBy(*own).orderBy("_o").rangeBetween(Window.unboundedPreceding, 0)
+    onward = Window.partitionBy(*own).orderBy(F.desc("_o")).rangeBetween(Window.unboundedPreceding, 0)
+    named = [*sums, "_here"]
+    r = both.select(*own, "_o", "_slot", F.struct(*[F.sum(c).over(upto).alias(c) for c in named]).alias("_pre"),
+                    F.struct(*[F.sum(c).over(onward).alias(c) for c in named]).alias("_suf")).filter("_slot")
+    at = F.col("_b") * k + F.col("_o")
+    halves = F.array(F.struct(at.alias("pane"), F.col("_suf").alias("s")),
+                     F.when(F.col("_o") < k - 1, F.struct((at - (k - 1)).alias("pane"), F.col("_pre").alias("s"))))
+    w = r.select(*keys, F.explode(halves).alias("_h")).filter("_h is not null")
+    out = w.groupBy(*keys, F.col("_h.pane").alias(pane)).agg(*[F.sum(F.col(f"_h.s.{c}")).alias(c) for c in named])
+    return out.filter("_here > 0").drop("_here")
+
+
 # ---- I4 + I7 --------------------------------------------------------------------------------
 RUN_STATE = T.StructType([
     T.StructField("model", T.StringType()), T.StructField("revision", T.StringType()),
@@ -257,11 +289,35 @@ def stall_alarms(stream: DataFrame, key: str, timeout_s: float, watermark: str =
 
 
 # ---- I6 ------------------------------------------------------------------------------------
-def tempo_gate_stream(stream: DataFrame, block: str = "block", tempo: int = 100,
-                      watermark: str = "1 day") -> DataFrame:
-    """Fire once per gate block (block % tempo == 0), in arrival order."""
-    s = event_time(stream).withWatermark("ts", watermark).filter(F.pmod(F.col(block), F.lit(tempo)) == 0)
-    return s.dropDuplicatesWithinWatermark([block]).select(block)
+def last_acted(spark: SparkSession, path: str, batch_id: int) -> int | None:
+    """The block last acted on before this micro-batch, None at the start."""
+    if batch_id <= 0:
+        return None
+    try:
+        return spark.read.parquet(f"{path}/last/slot={(batch_id - 1) % 2}").first()["block"]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def gate_writer(path: str, block: str = "block", tempo: int = TEMPO):
+    """foreachBatch body of the tempo gate: a block fires when it is a multiple
+    of ``tempo`` and above the block last acted on; late and repeated blocks
+    don't fire.  A micro-batch's blocks go to ``path/fired``, and the value moves
+    on once a micro-batch, to one of two slots by turns: a replayed batch still
+    finds the value before it and replaces what it wrote."""
+    def act(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        before = last_acted(spark, path, batch_id)
+        due = df.filter(F.pmod(F.col(block), F.lit(tempo)) == 0).select(F.col(block).cast("bigint").alias("block")).distinct()
+        if before is not None:
+            due = due.filter(F.col("block") > before)
+        folder = f"{path}/fired/microbatch={batch_id}"
+        due.write.mode("overwrite").parquet(folder)
+        now = spark.read.parquet(folder).agg(F.coalesce(F.max("block"), F.lit(before).cast("bigint")).alias("block"))
+        now.write.mode("overwrite").parquet(f"{path}/last/slot={batch_id % 2}")
+    return act
 
 
 # ---- I8 ------------------------------------------------------------------------------------

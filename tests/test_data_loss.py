@@ -126,7 +126,7 @@ def test_no_tile_cap(spark):
 
 
 def test_scans_of_selection_and_grid(spark):
-    """X1 plans its sources once, E1 and the grid read the log twice."""
+    """X1 plans its sources once, and so do E1 and the grid."""
     import re
 
     from rankforge.plans import catalog as C
