@@ -18,9 +18,9 @@ Only DataFrame functions are used.
 
 Defined results: null text counts as empty; empty texts are equal to each
 other; ties go to the smallest id and null ids sort last; rows that repeat an
-id are separate rows and all get the same decision by ``exact_dedup``, while
-``drop_copies`` keeps one row of each group, whatever its id; an empty table gives an
-empty result; other columns are not read.
+id are separate rows, and among those that are equal in all of this the first
+of the table stays, so exactly one row of a group is kept; an empty table
+gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.shared import cut_lineage, partitions, text_of, with_row_key
+from rankforge.llm.shared import cut_lineage, partitions, text_of, unused, with_row_key
 
 #: Fixed by the definition of equality: the characters that don't count.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -47,24 +47,23 @@ def _merge(level: DataFrame, run: Column) -> DataFrame:
             .agg(F.min("best").alias("best"), F.sum("n").alias("n")))
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str, fan_in: int = FAN_IN, runs: int | None = None,
-             row_col: str | None = None) -> DataFrame:
+def _grouped(docs: DataFrame, id_col: str, text_col: str, row_col: str, fan_in: int = FAN_IN,
+             runs: int | None = None) -> DataFrame:
     """The digest records with their group's ``best`` and ``size``, null for a
-    text that is there once.  With ``row_col`` it decides between equal ids."""
+    text that is there once.  ``row_col`` decides between equal ids."""
     spark = docs.sparkSession
     rounds = 1
     while fan_in ** rounds < (runs or partitions(spark)):
         rounds += 1
     text = text_of(text_col)
-    more = ["row"] if row_col else []
-    norm = docs.select(*[F.col(row_col).alias(c) for c in more], F.col(id_col).alias("id"), F.char_length(text).cast("long").alias("chars"),
+    norm = docs.select(F.col(row_col).alias("row"), F.col(id_col).alias("id"), F.char_length(text).cast("long").alias("chars"),
                        normalised(text).alias("norm"))
     rows = cut_lineage(norm.select(
-        *more, "id", F.unhex(F.sha2("norm", 256)).alias("digest"), F.octet_length("norm").cast("long").alias("n_bytes"),
+        "row", "id", F.unhex(F.sha2("norm", 256)).alias("digest"), F.octet_length("norm").cast("long").alias("n_bytes"),
         F.xxhash64("norm").alias("check"), (-F.col("chars")).alias("order"),
-        F.pmod(F.xxhash64("id", "chars"), F.lit(fan_in ** rounds)).cast("int").alias("run")))
+        F.pmod(F.xxhash64("row"), F.lit(fan_in ** rounds)).cast("int").alias("run")))
 
-    best = F.struct(F.col("order"), F.col("id").isNull().alias("no_id"), F.col("id"), *more)
+    best = F.struct(F.col("order"), F.col("id").isNull().alias("no_id"), F.col("id"), F.col("row"))
     first = _merge(rows.select(*_KEY, "run", best.alias("best"), F.lit(1).cast("long").alias("n")), F.col("run"))
     level = first
     for _ in range(rounds):
@@ -78,19 +77,21 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, fan_in: int = FAN_IN,
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 fan_in: int = FAN_IN, runs: int | None = None) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256."""
-    out = _grouped(docs, id_col, text_col, fan_in, runs)
-    keep = F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("best.id"))
-    return out.select(F.col("id").alias(id_col), keep.alias("keep_id"),
+    row = unused(docs, "__row")
+    out = _grouped(with_row_key(docs, row), id_col, text_col, row, fan_in, runs)
+    alone = F.col("size").isNull()
+    return out.select(F.col("id").alias(id_col), F.when(alone, F.col("id")).otherwise(F.col("best.id")).alias("keep_id"),
                       F.coalesce("size", F.lit(1).cast("long")).alias("group_size"),
-                      keep.eqNullSafe(F.col("id")).alias("kept"),
+                      (alone | (F.col("row") == F.col("best.row"))).alias("kept"),
                       F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, one row of each group, with all their columns."""
-    own = with_row_key(docs)
-    gone = _grouped(own, id_col, text_col, row_col="__row").where("row <> best.row").select(F.col("row").alias("__row"))
-    return own.join(gone, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = unused(docs, "__row")
+    own = with_row_key(docs, row)
+    gone = _grouped(own, id_col, text_col, row).where("row <> best.row").select(F.col("row").alias(row))
+    return own.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op8_exact_dedup(spark, sf_dir: str) -> DataFrame:

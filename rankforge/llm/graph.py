@@ -14,7 +14,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.shared import cut_lineage
+from rankforge.llm.shared import cut_lineage, partitions, sweep
+
+#: Edges that a partition of the edge table holds at least.
+_EDGES = 100_000
 
 
 def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -56,6 +59,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return e.select(F.col("hi").alias("node"), F.col("lo").alias("component")) \
                 .union(e.select("lo", "lo").distinct())
         before = now
+        sweep(e.sparkSession)                               # the files of the round before
+        e = e.coalesce(max(1, min(partitions(e.sparkSession), now[0] // _EDGES)))
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(e.select("lo", "hi"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from rankforge.llm import repeats
 from rankforge.llm.graph import components, forest
 from rankforge.llm.repeats import NULL_ID
-from rankforge.llm.shared import byte_codes, cut_lineage, frugal, give_back, mix, slices, span_hash, utf8, window_hash, with_row_key, word_bounds
+from rankforge.llm.shared import byte_codes, cut_lineage, frugal, give_back, mix, slices, span_hash, unused, utf8, window_hash, with_row_key, word_bounds
 
 N = 5
 THRESHOLD = 0.8
@@ -291,7 +291,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = ["row"] if row_col else []
     own = repeats.slim(docs, id_col, text_col, *[F.col(row_col).alias(c) for c in more])
     facts = cut_lineage(own.mapInArrow(frugal(_describe(n, bands, rows)),
-                                       "doc long, k1 long, k2 long, n int, bands array<long>" + ", row long" * len(more)))
+                                       "doc long, k1 long, k2 long, n int, bands array<long>" + ", row string" * len(more)))
     first = [F.min(F.struct("doc", c)).getField(c).alias(c) for c in more]
     classes = cut_lineage(facts.where("n > 0").groupBy("k1", "k2")
                           .agg(F.min("doc").alias("doc"), F.count("*").alias("size"), *first))
@@ -343,10 +343,11 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      **options) -> DataFrame:
     """One document of each component, with all columns; rows without an id
     stay too unless ``keep_no_id`` is false."""
-    own = with_row_key(docs)
-    gone = jaccard_classes(own, id_col, text_col, row_col="__row", **options).where("not kept")
-    gone = (gone.where(F.col(id_col).isNotNull()) if keep_no_id else gone).select("__row")
-    return own.join(gone, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = unused(docs, "__row")
+    own = with_row_key(docs, row)
+    gone = jaccard_classes(own, id_col, text_col, row_col=row, **options).where("not kept")
+    gone = (gone.where(F.col(id_col).isNotNull()) if keep_no_id else gone).select(row)
+    return own.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op3_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

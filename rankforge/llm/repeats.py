@@ -18,8 +18,8 @@ whole chain under other codes.  Copies inside one slice of a task, whole
 documents or chains, name their source at once and never meet others, which
 keeps groups of copies from growing with the number of copies.
 
-Order: by document id, then by start; a null id sorts last.  Rows that repeat
-an id are the same document and aren't repeats of each other.
+Order: by document, then by start.  ``in_order`` names every row by a number
+that sorts like the ids, null last.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.shared import cut_lineage, frugal, give_back, mix, partitions, slices, sliding_argmin, span_hash, utf8, window_hash
+from rankforge.llm.shared import cut_lineage, frugal, give_back, mix, numbered, partitions, slices, sliding_argmin, span_hash, unused, utf8, window_hash, with_row_key
 
 #: Stands for a null id, which sorts last.
 NULL_ID = (1 << 63) - 1
@@ -50,6 +50,27 @@ def slim(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
                        F.col(text_col).cast("string").alias("text"), *more)
 
 
+def in_order(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """(slim, ids): ``doc`` names one row and sorts like the ids, null last.
+    Where ids are unique they are the names.  Otherwise rows are numbered by id
+    and then by their place in the table, and ``ids`` gives the id of a ``doc``."""
+    ids = docs.select(F.col(id_col).cast("long").alias("id")).groupBy("id").agg(F.count("*").alias("n"))
+    if not ids.where((F.col("n") > 1) | (F.col("id") == NULL_ID)).limit(1).count():
+        return slim(docs, id_col, text_col), None
+    keyed = with_row_key(docs, unused(docs, "__row"))
+    keyed = keyed.select(F.col(keyed.columns[-1]).alias("row"), F.col(id_col).cast("long").alias("id"),
+                         F.col(text_col).cast("string").alias("text"))
+    names = cut_lineage(numbered(keyed.select("row", "id"), F.col("id").asc_nulls_last(), "row", name="doc"))
+    return cut_lineage(keyed.join(names.select("row", "doc"), "row").select("doc", "text")), names.select("doc", "id")
+
+
+def with_ids(out: DataFrame, ids: DataFrame | None, id_col: str) -> DataFrame:
+    """``doc`` as the id it stands for, under its name."""
+    if ids is None:
+        return out.select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias(id_col), *out.columns[1:])
+    return out.join(ids, "doc").select(F.col("id").alias(id_col), *out.columns[1:])
+
+
 def _table(schema: str, *arrays) -> pa.RecordBatch:
     kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64()}
     names = [c.split() for c in schema.split(", ")]

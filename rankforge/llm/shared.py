@@ -4,10 +4,11 @@ vectorised scanning of UTF-8 text columns inside Arrow batches."""
 from __future__ import annotations
 
 import ctypes
+import gc
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankforge.session import ensure_checkpoint_dir
@@ -24,21 +25,52 @@ _BASE_INV = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder named by ``spark.checkpoint.dir``."""
+def cut_lineage(df: DataFrame, parts: int | None = None) -> DataFrame:
+    """Reliable checkpoint in the folder named by ``spark.checkpoint.dir``;
+    ``parts`` bounds the number of its partitions for tables of bounded size."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return (df.coalesce(parts) if parts else df).checkpoint(eager=True)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files and, where it is set to, the
+    checkpoints that nothing refers to any more.  It does so when the driver's
+    garbage is collected, which small jobs in a row may never cause."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have, whatever its case."""
+    there = {c.lower() for c in df.columns}
+    while name.lower() in there:
+        name += "_"
+    return name
 
 
 def with_row_key(docs: DataFrame, name: str = "__row") -> DataFrame:
-    """Add a key of the rows that stays the same whenever the table is read
-    again.  A plain scan of files deals the same rows into the same partitions
-    each time; anything else is written first."""
-    out = docs.withColumn(name, F.monotonically_increasing_id())
+    """Add a key of the rows, a string, that stays the same whenever the table
+    is read again, however its files are split: a row of a file is named by the
+    file and its place there.  Anything but a plain scan of Parquet files is
+    written first and its rows are named by their place in that."""
     plan = docs._jdf.queryExecution().optimizedPlan()
-    fixed = plan.getClass().getSimpleName() == "LogicalRelation" \
-        and plan.relation().getClass().getSimpleName() == "HadoopFsRelation"
-    return out if fixed else cut_lineage(out)
+    if plan.getClass().getSimpleName() == "LogicalRelation" and plan.relation().getClass().getSimpleName() == "HadoopFsRelation" \
+            and plan.relation().fileFormat().getClass().getSimpleName() == "ParquetFileFormat":
+        place = docs.metadataColumn("_metadata")
+        return docs.withColumn(name, F.concat(F.md5(place["file_path"]), F.lit(":"), F.lpad(place["row_index"].cast("string"), 12, "0")))
+    return cut_lineage(docs).withColumn(name, F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0"))
+
+
+def numbered(df: DataFrame, *order, name: str = "number") -> DataFrame:
+    """Number the rows from 0 in ``order``: sorted by range, a row's number is
+    its place in its partition plus the rows of the partitions before."""
+    best = cut_lineage(df.orderBy(*order)).withColumn("__at", F.monotonically_increasing_id()) \
+        .withColumn("__part", F.shiftright("__at", 33))
+    per_part = best.groupBy("__part").agg(F.count("*").alias("__n"))              # one row per partition
+    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = per_part.select("__part", F.coalesce(before, F.lit(0)).alias("__before"))
+    return best.join(F.broadcast(offsets), "__part") \
+        .withColumn(name, F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).drop("__at", "__part", "__before")
 
 
 def give_back() -> None:

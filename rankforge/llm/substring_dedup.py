@@ -15,8 +15,8 @@ its edges, occurs there.
 
 Defined results: null and empty texts have no words and remove nothing; texts
 of fewer than ``k`` words neither; the order is by id, null last; rows that
-repeat an id are the same document, each gets its row and they don't remove
-each other; an empty table gives an empty result; other columns are not read.
+repeat an id, or have none, are documents of their own, in the order of the
+table; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -100,8 +100,11 @@ def repeated_paths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    gram: int = GRAM) -> DataFrame:
     """Maximal repeated spans with the coordinates of an earlier occurrence:
     id, start, end (words), source_id, source_start."""
-    own = repeats.slim(docs, id_col, text_col)
+    own, ids = repeats.in_order(docs, id_col, text_col)
     spans = compact(repeated_edges(own, repeats.n_blocks(own), k, gram), k)
+    if ids is not None:
+        spans = spans.join(ids, "doc").drop("doc").withColumnRenamed("id", "doc") \
+            .join(ids.select(F.col("doc").alias("sdoc"), "id"), "sdoc").drop("sdoc").withColumnRenamed("id", "sdoc")
     back = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
     return spans.select(back("doc").alias(id_col), "start", "end", back("sdoc").alias("source_id"),
                         F.col("sstart").alias("source_start"))
@@ -133,12 +136,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    with_text: bool = False) -> DataFrame:
     """One row per document: id, n_words, n_removed, kept_sha256 and, on
     demand, kept_text (the kept words joined by one space)."""
-    own = repeats.slim(docs, id_col, text_col)
+    own, ids = repeats.in_order(docs, id_col, text_col)
     blocks = repeats.n_blocks(own)
     spans = cut_lineage(compact(repeated_edges(own, blocks, k, gram), k)).select("doc", "start", "end")
     schema = "doc long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     out = repeats.with_texts(own, spans, blocks, _remove(with_text), schema)
-    return out.select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias(id_col), *out.columns[1:])
+    return repeats.with_ids(out, ids, id_col)
 
 
 def op4_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -22,9 +22,9 @@ first copy stays and later ones go.
 
 Defined results: null and empty texts have no bytes and remove nothing; texts
 below ``k`` bytes neither; matches never cross documents; the order is by id,
-null last; rows that repeat an id are the same document, each gets its row and
-they don't remove each other; an empty table gives an empty result; other
-columns are not read.
+null last; rows that repeat an id, or have none, are documents of their own, in
+the order of the table; an empty table gives an empty result; other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -283,12 +283,12 @@ def remove_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       with_text: bool = False) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256 and,
     on demand, the kept bytes (cuts may fall inside a character)."""
-    own = repeats.slim(docs, id_col, text_col)
+    own, ids = repeats.in_order(docs, id_col, text_col)
     blocks = repeats.n_blocks(own)
     rows = repeated_windows(own, blocks, k, gram)
     schema = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     out = repeats.with_texts(own, rows, blocks, _remove(k, with_text), schema)
-    return out.select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias(id_col), *out.columns[1:])
+    return repeats.with_ids(out, ids, id_col)
 
 
 def op2_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:

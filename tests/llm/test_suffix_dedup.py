@@ -36,8 +36,8 @@ def test_nearest_smaller(values):
 
 
 def brute(rows, k):
-    docs = sorted({(r[0] is None, r[0], r[1]) for r in rows}, key=lambda r: (r[0], r[1] or 0))
-    seen, out = set(), {}
+    docs = sorted(((r[0] is None, r[0], r[1]) for r in rows), key=lambda r: (r[0], r[1] or 0))
+    seen, out = set(), []
     for _, i, text in docs:
         b = (text or "").encode()
         gone = np.zeros(len(b), dtype=bool)
@@ -47,8 +47,8 @@ def brute(rows, k):
             seen.add(b[p:p + k])
         left = bytes(np.frombuffer(b, dtype=np.uint8)[~gone])
         spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
-        out[i] = (i, len(b), int(gone.sum()), spans, hashlib.sha256(left).hexdigest())
-    return sorted((out[r[0]] for r in rows), key=str)
+        out.append((i, len(b), int(gone.sum()), spans, hashlib.sha256(left).hexdigest()))
+    return sorted(out, key=str)
 
 
 def make(seed):
@@ -92,3 +92,16 @@ def test_many_parts_of_one_anchor(spark):
 def test_empty(spark):
     assert remove_substrings(spark.createDataFrame([], SCHEMA)).count() == 0
     assert remove_substrings(spark.createDataFrame([(1, "a b", "x", 1)], SCHEMA), with_text=True).first().kept == b"a b"
+
+
+@pytest.mark.parametrize("files", [True, False])
+def test_rows_that_share_an_id(spark, tmp_path, files):
+    rng = random.Random(8)
+    text = lambda: "".join(rng.choice("abcdefgh ") for _ in range(260))
+    a, b, c = text(), text(), text()
+    rows = [(1, a), (5, a), (5, b), (None, c), (None, text() + c), (None, text()), (5, b[:150]), (5, None), (2, a + "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    if files:
+        df.write.parquet(str(tmp_path / "docs"))
+        df = spark.read.parquet(str(tmp_path / "docs"))
+    assert sorted(map(tuple, remove_substrings(df).collect()), key=str) == brute(rows, 100)
