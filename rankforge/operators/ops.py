@@ -252,21 +252,11 @@ def exclude_paths(files: DataFrame, patterns: Sequence[str], path: str = "path")
 
 def content_fingerprint(files: DataFrame, set_col: str, path: str = "path", content: str = "content",
                         params: dict | None = None) -> DataFrame:
-    """Ordered fingerprint of each file set (hash of hashes).  Paths are
-    spread over 256 buckets by the first two hex digits of sha256(path); a
-    bucket hash is the sha256 of its (path, content hash) lines in path
-    order, the set hash the sha256 of the bucket hashes in bucket order.
-    No set is ever gathered whole; only a bucket's hashes are.  ``params``
-    (build arguments) are folded in as JSON with sorted keys."""
-    f = files.select(set_col, path, F.substring(F.sha2(F.col(path).cast("string"), 256), 1, 2).alias("_b"),
-                     F.concat_ws(":", F.col(path).cast("string"), F.sha2(F.col(content), 256)).alias("_l"))
-    b = f.groupBy(set_col, "_b").agg(
-        F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(path, "_l"))),
-                                        lambda x: x["_l"]), "\n"), 256).alias("_h"))
-    out = b.groupBy(set_col).agg(
-        F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_b", "_h"))),
-                                        lambda x: x["_h"]), "\n"), 256).alias("fingerprint"),
-        F.count(F.lit(1)).alias("buckets"))
+    """(set, fingerprint, files): the root of each file set's hash tree
+    (``merkle``).  ``params`` (build arguments) are folded in as JSON with
+    sorted keys."""
+    from rankforge.operators import merkle
+    out = merkle.roots(merkle.tree(merkle.leaves(files, set_col, path, content), set_col), set_col)
     if params:
         fold = F.concat(F.col("fingerprint"), F.lit(json.dumps(params, sort_keys=True)))
         out = out.withColumn("fingerprint", F.sha2(fold, 256))

@@ -60,12 +60,14 @@ def assemble_chat(steps: DataFrame, seed: Sequence[tuple[str, str]], episode: st
 
 
 def reassemble_lines(chunks: DataFrame, stream: str = "stream", pos: str = "pos",
-                     chunk: str = "chunk", step: int = 1000) -> DataFrame:
+                     chunk: str = "chunk", step: int = 1000, span: int = 1000) -> DataFrame:
     """Ordered chunks of a stream cut into lines (newline kept), the
     final partial line emitted.  A line is rebuilt from the pieces of the
     chunks it spans; lines are numbered by the running newline count, which
     is summed per ``step`` positions first, so no stream is ever concatenated
-    or ordered whole.  Rows: stream, line_no, line."""
+    or ordered whole.  A line that reaches over more than ``span`` positions
+    comes in parts of so many positions, numbered from 0, so a line without an
+    end is never gathered in one row.  Rows: stream, line_no, part, line."""
     from rankforge.operators.ops import running_before
     c = chunks.filter(F.col(chunk).isNotNull() & (F.length(chunk) > 0))
     c = c.withColumn("_nl", F.length(chunk) - F.length(F.replace(F.col(chunk), F.lit("\n"), F.lit(""))))
@@ -73,9 +75,14 @@ def reassemble_lines(chunks: DataFrame, stream: str = "stream", pos: str = "pos"
     pieces = c.select(stream, pos, "_before",
                       F.posexplode(F.split(F.col(chunk), r"(?<=\n)", -1)).alias("_i", "_p"))
     pieces = pieces.filter(F.length("_p") > 0)
-    lines = pieces.groupBy(stream, (F.col("_before") + F.col("_i")).alias("_line")).agg(
+    pieces = pieces.withColumn("_line", F.col("_before") + F.col("_i"))
+    long = pieces.groupBy(stream, "_line").agg(F.min(pos).alias("_from"), F.max(pos).alias("_to")) \
+        .filter(F.col("_to") - F.col("_from") >= span).drop("_to")
+    pieces = pieces.join(long, [stream, "_line"], "left") \
+        .withColumn("part", F.coalesce(F.floor((F.col(pos) - F.col("_from")) / span), F.lit(0)).cast("int"))
+    lines = pieces.groupBy(stream, "_line", "part").agg(
         F.array_sort(F.collect_list(F.struct(F.col(pos).alias("k"), F.col("_p").alias("p")))).alias("_ps"))
-    return lines.select(stream, (F.col("_line") + 1).cast("int").alias("line_no"),
+    return lines.select(stream, (F.col("_line") + 1).cast("int").alias("line_no"), "part",
                         F.array_join(F.transform("_ps", lambda x: x["p"]), "").alias("line"))
 
 

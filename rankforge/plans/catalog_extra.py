@@ -16,6 +16,7 @@ from rankforge.operators import results as R
 from rankforge.plans import catalog as C
 from rankforge.plans import oracle as OR
 from rankforge.plans import scoring as P
+from rankforge.plans.catalog_ops import merkle_sql
 from rankforge.plans.catalog_text import _dhash, _hash
 from rankforge.session import materialize
 from rankforge.sources import results_log as L
@@ -340,10 +341,9 @@ _PATH = ("concat(CASE doc_id % 6 WHEN 0 THEN 'out/x' WHEN 1 THEN 'src1/tmp' WHEN
 WITH f AS (SELECT source, {_PATH.format(s='VARCHAR')} AS path, text FROM documents),
 k AS (SELECT * FROM f WHERE NOT (regexp_matches(path, '(^|/)\\.git[^/]*$') OR regexp_matches(path, '(^|/)[^/]*\\.log(/|$)')
       OR regexp_matches(path, '(^|/)out(/|$)') OR regexp_matches(path, '^src./tmp(/|$)') OR regexp_matches(path, '^docs/[a-c]'))),
-l AS (SELECT source, path, substr(sha256(path), 1, 2) AS b, concat(path, ':', sha256(text)) AS l FROM k),
-bh AS (SELECT source, b, sha256(string_agg(l, chr(10) ORDER BY path, l)) AS h FROM l GROUP BY source, b)
-SELECT source, sha256(sha256(string_agg(h, chr(10) ORDER BY b)) || '{{"level": 2, "name": "x"}}') AS fingerprint,
-       count(*) AS buckets FROM bh GROUP BY source""")
+g AS (SELECT source AS s, path, text FROM k),
+{merkle_sql('g')}
+SELECT s AS source, sha256(h || '{{"level": 2, "name": "x"}}') AS fingerprint, files FROM root""")
 def build_fingerprint_docs(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprint of the files that the ignore patterns leave, folded with build arguments."""
     d = fx.table(spark, sf, "documents").selectExpr("source", f"{_PATH.format(s='STRING')} AS path", "text AS content")

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from rankforge import fixtures as fx
 from rankforge.config import ACTIVE_ENVS
+from rankforge.operators import merkle as MK
 from rankforge.operators import ops as O
 from rankforge.operators import participants as PT
 from rankforge.operators import trajectories as TR
 from rankforge.plans.catalog_text import NL, _dhash, _hash
+from rankforge.session import materialize
 
 Q: dict = {}
 
@@ -222,18 +224,46 @@ def listing_part(spark: SparkSession, sf: str) -> DataFrame:
     return O.listing_by_type(p).select("type", F.array_join("names", ",").alias("names"))
 
 
+def merkle_sql(files: str, levels: int = 5) -> str:
+    """CTEs from ``files`` (a CTE with set, path, text) to ``root`` (set, hash, files):
+    16 nodes are hashed to one, level by level, up to 16^levels files."""
+    out = f"""n0 AS (SELECT s, row_number() OVER (PARTITION BY s ORDER BY path, h) - 1 AS i, h, count(*) OVER (PARTITION BY s) AS files
+      FROM (SELECT s, path, sha256(concat(CAST(path AS VARCHAR), ':', sha256(coalesce(text, '')))) AS h FROM {files}))"""
+    for k in range(1, levels + 1):
+        out += f""",
+n{k} AS (SELECT s, i // 16 AS i, CASE WHEN max(files) <= {16 ** (k - 1)} THEN any_value(h)
+         ELSE sha256(string_agg(h, chr(10) ORDER BY i)) END AS h, max(files) AS files FROM n{k - 1} GROUP BY s, i // 16)"""
+    return out + f""",
+root AS (SELECT s, h, files FROM n{levels})"""
+
+
 @register("fingerprint_docs", f"""
-WITH f AS (SELECT source, doc_id, substr(sha256(CAST(doc_id AS VARCHAR)), 1, 2) AS b,
-                  concat(CAST(doc_id AS VARCHAR), ':', sha256(text)) AS l FROM documents),
-bh AS (SELECT source, b, sha256(string_agg(l, {NL} ORDER BY doc_id)) AS h FROM f GROUP BY source, b)
-SELECT source, sha256(string_agg(h, {NL} ORDER BY b)) AS fingerprint, count(*) AS buckets
-FROM bh GROUP BY source""")
+WITH f AS (SELECT source AS s, doc_id AS path, text FROM documents),
+{merkle_sql('f')}
+SELECT s AS source, h AS fingerprint, files FROM root""")
 def fingerprint_docs(spark: SparkSession, sf: str) -> DataFrame:
     d = fx.table(spark, sf, "documents").select("source", F.col("doc_id").alias("path"),
                                                 F.col("text").alias("content"))
     return O.content_fingerprint(d, "source")
 
 
+@register("fingerprint_update_docs", f"""
+WITH f AS (SELECT source AS s, doc_id AS path, CASE WHEN doc_id % 997 = 5 THEN text || '!' ELSE text END AS text FROM documents),
+{merkle_sql('f')}
+SELECT s AS source, h AS fingerprint, files FROM root""")
+def fingerprint_update_docs(spark: SparkSession, sf: str) -> DataFrame:
+    """Some files change; only the nodes above them are hashed again."""
+    d = fx.table(spark, sf, "documents").select("source", F.col("doc_id").alias("path"), F.col("text").alias("content"))
+    leaf = materialize(MK.leaves(d, "source"))
+    nodes = MK.tree(leaf, "source")
+    new = d.filter(F.col("path") % 997 == 5).select(
+        "source", "path", MK.leaf_hash(F.col("path"), F.concat("content", F.lit("!"))).alias("hash"))
+    changed = leaf.select("source", "path", "idx").join(new, ["source", "path"])
+    fresh = MK.update(nodes, changed, "source")
+    kept = nodes.join(fresh.select("source", "level", "idx"), ["source", "level", "idx"], "left_anti")
+    return MK.roots(kept.unionByName(fresh.select(*kept.columns)), "source")
+
+
 # ---- E9 / E10 ---------------------------------------------------------------------------
 @register("challenge_gen_ev", fx.duck_with("fx_ev") + """,
 o AS (SELECT seq_id, env, row_number() OVER (PARTITION BY env ORDER BY ts, seq_id) AS ordinal FROM fx_ev)

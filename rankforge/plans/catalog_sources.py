@@ -83,6 +83,49 @@ def shards_roundtrip_ev(spark: SparkSession, sf: str) -> DataFrame:
     return ok.unionByName(b)
 
 
+_ORD = fx.duck_with("fx_ev") + """,
+o AS (SELECT *, participant % 3 AS up, row_number() OVER (PARTITION BY participant % 3 ORDER BY ts, seq_id) AS ord FROM fx_ev),
+s AS (SELECT up, (ord - 1) // 300 AS batch, max(block) AS last, count(*) FILTER (WHERE seq_id % 50 <> 0) AS good
+      FROM o WHERE success GROUP BY 1, 2),
+k AS (SELECT printf('%09d-up%d-%d.json', last - last % 20, up, batch) AS key, last - last % 20 AS win, batch, good FROM s)
+"""
+
+
+@register("shard_faults_ev", _ORD + f"""
+SELECT key, CASE WHEN batch % 5 = 1 THEN 'missing' WHEN batch % 5 = 2 THEN 'corrupt' ELSE 'read' END AS state,
+       CASE WHEN batch % 5 IN (1, 2) THEN 0 ELSE good END AS rows
+FROM k WHERE win BETWEEN {_LO} AND {_HI}""")
+def shard_faults_ev(spark: SparkSession, sf: str) -> DataFrame:
+    """A tail read where one shard in five is gone and one in five is cut off."""
+    whole, path = L.scratch_path(spark, "shards"), L.scratch_path(spark, "shards-faulty")
+    L.write_shards(L.upload_batches(_nested_ev(spark, sf), "hotkey", ["ts", "seq_id"], F.col("epoch_day")), whole)
+    text = spark.read.text(whole, wholetext=True)
+    number = F.regexp_extract("shard", L.SHARD_NAME, 3).cast("bigint") % 5
+    text.filter(number != 1).withColumn("value", F.when(number == 2, F.expr("substring(value, 1, length(value) - 9)"))
+                                        .otherwise(F.col("value"))).write.partitionBy("shard").text(path)
+    index = spark.read.format("binaryFile").load(whole).select(F.col("shard").alias("key")).distinct()
+    good, _, faults = L.read_tail_shards(spark, path, index, CUR_BLOCK, TAIL_BLOCKS, envs=EV_ENVS)
+    seq = F.col("seq")
+    name = F.concat(shard_key(seq["window"], seq["uploader"], seq["upload_ns"]), F.lit(".json"))
+    read = good.groupBy(name.alias("key")).agg(F.lit("read").alias("state"), F.count(F.lit(1)).alias("rows"))
+    return read.unionByName(faults.select("key", F.col("reason").alias("state"), F.lit(0).cast("bigint").alias("rows")))
+
+
+@register("index_log_ev", _ORD + f"""
+SELECT DISTINCT key, CAST(win AS BIGINT) AS window FROM k WHERE win >= {CUR_BLOCK - TAIL_BLOCKS}""")
+def index_log_ev(spark: SparkSession, sf: str) -> DataFrame:
+    """The shard index kept by small adds that overlap, then merged and pruned."""
+    from rankforge.sources import index_log as I
+    n = L.upload_batches(_nested_ev(spark, sf), "hotkey", ["ts", "seq_id"], F.col("epoch_day"))
+    ok = n.filter("response.success").groupBy("hotkey", "batch").agg(L.window_bucket(F.max("miner.block")).alias("window"))
+    keys = ok.select(F.concat(shard_key(F.col("window"), F.col("hotkey"), F.col("batch")), F.lit(".json")).alias("key"), "batch")
+    path = L.scratch_path(spark, "index")
+    for part in range(4):
+        I.add_keys(spark, path, keys.filter((F.col("batch") % 4 <= part)), most=2)
+    I.prune(spark, path, CUR_BLOCK, TAIL_BLOCKS)
+    return I.read_index(spark, path).select("key", "window")
+
+
 @register("log_roundtrip_ev", fx.duck_with("fx_ev") + f"""
 SELECT participant, env, count(*) AS rows, sum(score) AS score_sum FROM fx_ev
 WHERE success AND block - block % 20 BETWEEN {_LO} AND {_HI} GROUP BY ALL""")

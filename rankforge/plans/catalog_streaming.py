@@ -15,6 +15,8 @@ from rankforge.plans.catalog import EV_ENVS, EV_FAMILY
 from rankforge.plans.oracle import _EV_RUN
 from rankforge.sources.results_log import scratch_path
 from rankforge.streaming import live as S
+from rankforge.streaming import tail as T
+from rankforge.streaming import upload as U
 
 Q: dict = {}
 
@@ -130,6 +132,89 @@ def sink_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("rows"), F.sum("score").alias("score_sum"))
 
 
+# ---- I1 (two buffers) ---------------------------------------------------------------------
+_UP_SIZE, _UP_AGE, _UP_LEAST = 5, 6 * 3600, 12
+
+
+@register("upload_stream_ev", f"""
+WITH RECURSIVE o AS (SELECT user_id, event_id, epoch_us(ts) AS us,
+                            row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+r AS (SELECT user_id, rn, event_id, 0 AS batch, us AS bstart, 1 AS cnt FROM o WHERE rn = 1
+      UNION ALL
+      SELECT o.user_id, o.rn, o.event_id,
+             CASE WHEN r.cnt >= {_UP_SIZE} OR o.us >= r.bstart + {_UP_AGE * 1_000_000} THEN r.batch + 1 ELSE r.batch END,
+             CASE WHEN r.cnt >= {_UP_SIZE} OR o.us >= r.bstart + {_UP_AGE * 1_000_000} THEN o.us ELSE r.bstart END,
+             CASE WHEN r.cnt >= {_UP_SIZE} OR o.us >= r.bstart + {_UP_AGE * 1_000_000} THEN 1 ELSE r.cnt + 1 END
+      FROM r JOIN o ON o.user_id = r.user_id AND o.rn = r.rn + 1),
+b AS (SELECT user_id, batch, min(bstart) AS bstart, count(*) AS n FROM r GROUP BY user_id, batch),
+l AS (SELECT *, max(batch) OVER (PARTITION BY user_id) AS last FROM b),
+c AS (SELECT user_id, batch, n FROM l WHERE batch < last OR n >= {_UP_SIZE}
+      OR (bstart + {_UP_AGE * 1_000_000}) // 1000 < (SELECT max(epoch_us(ts)) // 1000 FROM events)),
+x AS (SELECT user_id, batch, 0 AS upload, n AS buffered FROM c WHERE batch = 0
+      UNION ALL
+      SELECT c.user_id, c.batch, CASE WHEN x.buffered >= {_UP_LEAST} THEN x.upload + 1 ELSE x.upload END,
+             CASE WHEN x.buffered >= {_UP_LEAST} THEN c.n ELSE x.buffered + c.n END
+      FROM x JOIN c ON c.user_id = x.user_id AND c.batch = x.batch + 1),
+d AS (SELECT user_id, upload FROM x GROUP BY user_id, upload HAVING max(buffered) >= {_UP_LEAST})
+SELECT CAST(r.user_id AS BIGINT) AS producer, r.event_id, CAST(r.batch AS BIGINT) AS batch, CAST(x.upload AS BIGINT) AS upload
+FROM r JOIN x ON x.user_id = r.user_id AND x.batch = r.batch JOIN d ON d.user_id = x.user_id AND d.upload = x.upload""")
+def upload_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
+    """The results of complete uploads; open batches and short buffers stay back."""
+    out = scratch_path(spark, "upload")
+    S.replay(_events(spark, sf), "part", lambda st: U.uploads(st, "user_id", _UP_SIZE, _UP_AGE, _UP_LEAST),
+             S.batch_writer(out), "upload", _SLOTS)
+    return U.uploaded(spark, out)
+
+
+# ---- I4 + I7 (late rows, expiry) -------------------------------------------------------------
+_LATE_DAYS, _TAIL_DAYS = 5, 12
+_ARRIVALS = f"""a AS (SELECT *, epoch_day + CASE WHEN seq_id % 5 = 0 THEN {_LATE_DAYS} ELSE 0 END AS part FROM f),
+t AS (SELECT min(part) AS lo, CAST(ceil((max(part) - min(part) + 1) / {_SLOTS}.0) AS INTEGER) AS step FROM a),
+s AS (SELECT a.*, CAST(floor((part - lo) / step) AS INTEGER) AS slot FROM a, t),
+h AS (SELECT slot, max(max(epoch_day)) OVER (ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+      FROM s GROUP BY slot)"""
+
+
+def _live_tail(spark: SparkSession, sf: str, name: str) -> str:
+    """Play the log with one row in five days late; the folder of the live tail."""
+    path, reg = scratch_path(spark, name), fx.registry(spark, sf)
+    rows = R.family_filter(R.member_filter(fx.fx_ev(spark, sf), reg), EV_FAMILY, 0)
+    rows = rows.withColumn("part", F.col("epoch_day") + F.when(F.col("seq_id") % 5 == 0, _LATE_DAYS).otherwise(0))
+    S.replay(rows, "part", lambda st: st, T.tail_writer(path, EV_ENVS, F.col("epoch_day"), 1), name, _SLOTS)
+    return path
+
+
+@register("live_tail_stream_ev", fx.duck_with("fx_ev") + _EV_RUN.replace(
+    "FROM f WINDOW", f"FROM (SELECT * FROM f WHERE epoch_day > (SELECT max(epoch_day) - {_TAIL_DAYS} FROM f)) f WINDOW") + """,
+s AS (SELECT participant, env, count(*) FILTER (WHERE success) AS n,
+             coalesce(sum(score) FILTER (WHERE success), 0.0) AS succ FROM cur GROUP BY ALL),
+p AS (SELECT participant, min(block) AS first_block FROM cur GROUP BY participant)
+SELECT p.participant, e.env, CAST(coalesce(s.n, 0) AS BIGINT) AS n, coalesce(s.succ, 0.0) AS succ, p.first_block
+FROM p CROSS JOIN envs e LEFT JOIN s ON s.participant = p.participant AND s.env = e.env""")
+def live_tail_stream_ev(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows arrive out of order; the live result is the batch result."""
+    got = T.tail_summary(spark, _live_tail(spark, sf, "live-tail"), EV_ENVS, _TAIL_DAYS)
+    z = got.select("participant", "first_block", F.posexplode(F.arrays_zip("n", "succ")).alias("i", "z"))
+    envs = F.array(*[F.lit(e) for e in EV_ENVS])
+    return z.select("participant", F.element_at(envs, F.col("i") + 1).alias("env"),
+                    F.col("z.n").cast("bigint").alias("n"), F.col("z.succ").alias("succ"), "first_block")
+
+
+@register("live_tail_late_ev", fx.duck_with("fx_ev") + _EV_RUN + f""",
+{_ARRIVALS}
+SELECT participant, 'late' AS kind, CAST(count(*) AS BIGINT) AS value
+FROM s JOIN h USING (slot) WHERE epoch_day < h.seen - 1 GROUP BY participant
+UNION ALL
+SELECT participant, 'expired', CAST(max(epoch_day) AS BIGINT) FROM f GROUP BY participant
+HAVING max(epoch_day) <= (SELECT max(epoch_day) FROM f) - 1""")
+def live_tail_late_ev(spark: SparkSession, sf: str) -> DataFrame:
+    """How many rows came late, and who has no result on the newest day."""
+    path = _live_tail(spark, sf, "live-late")
+    late = T.late_rows(spark, path).select("participant", F.lit("late").alias("kind"), F.col("rows").alias("value"))
+    gone = T.expired(spark, path, 1).select("participant", F.lit("expired").alias("kind"), F.col("last_chunk").alias("value"))
+    return late.unionByName(gone)
+
+
 # ---- I8 ----------------------------------------------------------------------------------
 @register("refresh_join_stream_ev", fx.duck_with("fx_ev", "registry") + f""",
 t AS (SELECT min(epoch_day) AS lo, CAST(ceil((max(epoch_day) - min(epoch_day) + 1) / {_SLOTS}.0) AS INTEGER) AS step FROM fx_ev),

@@ -174,6 +174,27 @@ def read_shards(spark: SparkSession, path: str, ignore_missing: bool = True,
     return good, bad
 
 
+def read_tail_shards(spark: SparkSession, path: str, index: DataFrame, cur: int, tail: int, w: int = WINDOW,
+                     envs=ACTIVE_ENVS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(results, quarantine, faults) of the tail of a shard folder as
+    ``write_shards`` lays it out, for the shards that ``index`` (key) names.
+
+    The window bounds prune the folder listing, so shards outside the tail are
+    not opened.  A shard that the index names and that isn't there, and one whose
+    content is no JSON array, is skipped and reported in ``faults`` (key,
+    reason) instead of ending the read (A6)."""
+    lo, hi = (cur - tail) - ((cur - tail) % w), cur - (cur % w)
+    due = index.select(F.col("key").cast("string").alias("key")).distinct() \
+        .filter(F.regexp_extract("key", SHARD_NAME, 1).try_cast("bigint").between(lo, hi))
+    there = spark.read.format("binaryFile").load(path).select(F.col("shard").alias("key")).distinct()   # names only, no content
+    good, bad = read_shards(spark, path, envs=envs, windows=(lo, hi))
+    broken = bad.filter(F.col("reason") == "not_an_array").select(
+        F.concat(shard_key(F.col("window"), F.col("uploader"), F.col("upload_ns")), F.lit(".json")).alias("key"),
+        F.lit("corrupt").alias("reason"))
+    missing = due.join(there, "key", "left_anti").select("key", F.lit("missing").alias("reason"))
+    return good, bad, missing.unionByName(broken)
+
+
 def shard_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The listing of shards under ``path``: key, window, uploader,
     upload_ns, modified (from file metadata; no file content is read)."""
@@ -230,24 +251,23 @@ def chunk_sample(rows: DataFrame, file_col: str, order_col: str, start_fn, max_b
     Whole chunks are appended until the buffer holds ``buffer_size`` rows.
 
     Rows: cycle, file, row ordinal, position in the buffer, plus the input
-    columns.  The number of cycles is computed in-plan; the chunk-size
-    table (files x cycles) is small, and only it is windowed globally.
+    columns.  The number of cycles is computed in-plan.
+    Every cycle takes the same rows of each file, so a chunk's place follows
+    from its cycle and the sum over the files before its own, which is a
+    running sum over range-sorted files: nothing is windowed globally.
     ``chunk``, a column that grows with ``order_col``, splits the row
     numbering of a long file over tasks (``ordinal_within``)."""
-    from pyspark.sql import Window
-
     from rankforge.operators.ops import ordinal_within
+    from rankforge.operators.ordered import numbered, summed_before
     per_file = rows.groupBy(file_col).agg(F.count(F.lit(1)).alias("_n"))
-    fidx = per_file.withColumn("_fi", F.dense_rank().over(Window.orderBy(file_col)) - 1)
-    take = F.least(F.col("_n"), F.lit(max_batch))
-    per_cycle = fidx.agg(F.sum(take)).scalar()
+    per_file = per_file.withColumn("_size", F.least(F.col("_n"), F.lit(max_batch)).cast("bigint"))
+    fidx = summed_before(numbered(per_file, file_col, name="_fi"), "_size", "_fi", name="_ahead")
+    per_cycle = fidx.agg(F.sum("_size")).scalar()
     cycles = F.greatest(F.lit(1), F.ceil(F.lit(float(buffer_size)) / per_cycle).cast("int"))
-    chunks = fidx.select(file_col, "_fi", "_n", F.explode(F.sequence(F.lit(0), cycles - 1)).alias("cycle"))
-    chunks = chunks.withColumn("_size", take).withColumn(
+    chunks = fidx.select(file_col, "_fi", "_n", "_size", "_ahead", F.explode(F.sequence(F.lit(0), cycles - 1)).alias("cycle"))
+    chunks = chunks.withColumn("_before", F.col("cycle") * per_cycle + F.col("_ahead")).drop("_ahead").withColumn(
         "_start", F.when(F.col("_n") > max_batch, start_fn(F.col("_fi"), F.col("cycle"), F.col("_n")))
         .otherwise(F.lit(0)))
-    run = Window.orderBy("cycle", "_fi").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = chunks.withColumn("_before", F.coalesce(F.sum("_size").over(run), F.lit(0)))
     chunks = chunks.filter(F.col("_before") < buffer_size)
     r = ordinal_within(rows, file_col, [order_col], F.lit(0) if chunk is None else chunk)
     r = r.withColumn("_rn", F.col("ordinal") - 1).drop("ordinal")
