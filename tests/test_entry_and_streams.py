@@ -21,7 +21,7 @@ def test_every_query_has_oracle_or_is_declared():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     own = {n for n in set(qs) - set(sql) if not re.match(r"op\d+_|pipeline$", n)}     # the corpus operators say theirs
-    assert own == {"task_ids_ev"}
+    assert own == set()
     assert len(qs) >= 110
 
 
