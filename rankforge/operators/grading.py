@@ -418,16 +418,18 @@ class EnvRegistry:
         return sorted(s.name for s in self._specs.values())
 
     def grade_all(self, df: DataFrame, env_col: str = "env", item: str = "item_id") -> DataFrame:
-        """Dispatch each row to its env's grader in one pass over the table:
-        one ordered ``when`` over the env column.  Rows of an unknown or null
-        env come out with reason 'unknown_env'."""
-        verdict = None
+        """Each row goes to its env's grader.  There is a branch per env, so a
+        grader's plan holds that grader alone and compiles to code of its own
+        size, and the filter on the env prunes partitions and row groups, so a
+        branch reads its env's rows.  Rows of an unknown or null env come out
+        with reason 'unknown_env'."""
+        name = F.lower(F.col(env_col))
+        other = ~F.coalesce(name.isin(*self._specs), F.lit(False)) if self._specs else F.lit(True)
+        out = df.filter(other).select(env_col, item, F.lit(0.0).alias("score"), F.lit("unknown_env").alias("reason"))
         for key, spec in self._specs.items():
-            mine = F.lower(F.col(env_col)) == F.lit(key)
-            verdict = F.when(mine, spec.grade()) if verdict is None else verdict.when(mine, spec.grade())
-        other = _verdict(F.lit(False), F.lit("unknown_env"))
-        v = df.withColumn("_v", other if verdict is None else verdict.otherwise(other))
-        return v.select(env_col, item, F.col("_v.score").alias("score"), F.col("_v.reason").alias("reason"))
+            # a generator gives both fields of the verdict, so it is computed once a row
+            out = out.unionByName(df.filter(name == F.lit(key)).select(env_col, item, F.inline(F.array(spec.grade()))))
+        return out
 
 
 # ---- U2 -----------------------------------------------------------------------------------
