@@ -1,40 +1,44 @@
 """Language-model scoring with a hierarchical Pitman-Yor model (operator 6).
 
-A text is its words, lower-cased (A-Z), and one end token.  The restaurant of
-a token's context, the last two bytes of the word before it, has the
-restaurant of the last byte as parent, and all of those share one root, the
-restaurant of all words.  The root's base is diffuse: what it serves at a new
-table is a word that training has not seen, so the root's new-table mass is
-the probability of the unknown word (which word it is isn't scored, as in the
-base score), and each of its dishes has one table.  For every context the
+A text is its words, lower-cased (A-Z), and one end token.  A token's context
+is the whole word before it, or the end token at the start of a text.  Every
+context has a restaurant of its own, as many as the corpus has words, and all
+of them share one parent, the restaurant of all words.  The parent's base is
+diffuse: what it serves at a new table is a word that training has not seen, so
+the parent's new-table mass is the probability of the unknown word (which word
+it is isn't scored, as in the base score), and each of its dishes has one
+table, which is the only seating such a base allows.  For every context the
 probabilities of all known words, the end and the unknown word sum to one.
 
 1. Texts are dealt into blocks.  A block reports its distinct (word, context)
-   pairs with their counts in training documents, packed by word shard: this
-   is what is gathered from the corpus, and it grows with it.
-2. All pairs of a word meet in one shard, and the shards are written once.
-   Seating is sampled there by Gibbs sweeps: the customers of each dish in a
-   two-byte context are reseated given the restaurant's tables and the
-   parent's prediction, its tables are the parent's customers, and so on to
-   the root.  What restaurants share across shards are their sums of customers
-   and tables, 65,536 and 256 contexts at most whatever the corpus; they are
-   summed after each pass over the shards and given to the next.
-3. Tables are averaged over the sweeps after burn-in.  The last pass repeats
-   the one before with the same seed, so its averages belong to the sums it is
-   given, and predicts each reported pair.
-4. The predictions go back to the blocks that reported them, where whole texts
-   are scored.
-
-Customers of one dish are reseated in steps that grow with the number already
-seated (an eighth), which keeps a sweep linear in the number of dishes.  A hot
-word costs one entry a block, a hot context two sums.
+   pairs with their counts in training documents: this is what is gathered from
+   the corpus, and it grows with it.
+2. Pairs lie on a grid: a cell holds the pairs of a range of words and a range
+   of contexts, so neither a hot word nor a hot context meets in one task, and
+   a hot pair costs one entry a block.  A cell sums the reports of the blocks.
+3. Seating is sampled by Gibbs sweeps.  In a sweep a cell reseats the customers
+   of its dishes, given the tables of each context's restaurant and the
+   parent's prediction of each word.  Both are sums over a column or a row of
+   the grid: every cell sends its shares to the column and to the row, which
+   add them up and send the totals back.  No table of all words or contexts
+   is held anywhere.
+4. After each sweep that counts, every pair is predicted under that sample;
+   these predictive probabilities are averaged over the sweeps.
+5. The averages go back to the blocks that reported the pairs, where whole
+   texts are scored.
+
+Departures: totals are those of the sweep before while a sweep runs, and
+customers of one dish are reseated in steps that grow with the number already
+seated (an eighth, one by one up to eight), which keeps a sweep linear in the
+number of dishes.  A block holds about ``BLOCK_BYTES`` of text; one longer text
+is one block, with some 80 bytes of memory a token.
 
 Defined results: null and empty texts are the end alone; the id's text decides
 whether a document is held out, a null id counts as the empty text; without
 training documents only the unknown word has a probability, one; rows that
 repeat an id are separate documents; an empty table gives an empty result;
-other columns are not read.  Draws depend on sorted pairs and the number of
-shards only, so reruns agree.
+other columns are not read.  Draws depend on sorted pairs and the size of the
+grid only, so reruns agree.
 """
 
 from __future__ import annotations
@@ -49,19 +53,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.llm import repeats
-from rankforge.llm.ngrams import Table
 from rankforge.llm.repeats import NULL_ID
-from rankforge.llm.shared import byte_codes, cut_lineage, frugal, give_back, mix, partitions, span_hash, utf8, word_bounds
+from rankforge.llm.shared import byte_codes, cut_lineage, give_back, mix, partitions, span_hash, sweep, utf8, word_bounds
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
+#: Cells of the grid for each block of text, at least.
+CELLS_PER_BLOCK = 2
 STRENGTH = 1.0
-BURN_IN, KEPT_SWEEPS, ROUNDS = 1, 2, 2
+BURN_IN, KEPT_SWEEPS = 1, 2
 SEED = 11
 _CODES = byte_codes(5)
-#: Key of the end token among words.
+#: Key of the end token among words; it also is the context of a text's start.
 END_KEY = np.uint64(0)
 _SLICE = 1 << 20
-CONTEXTS = 1 << 16
 
 
 def held_out(doc: int) -> bool:
@@ -72,26 +76,15 @@ def held_out(doc: int) -> bool:
 # ---- texts -----------------------------------------------------------------
 
 def tokens(raw: np.ndarray, off: np.ndarray):
-    """(document, word key, context) of all tokens in text order, the end of
-    each document included."""
+    """(document, word key) of all tokens in text order, the end of each
+    document included."""
     n = len(off) - 1
     raw = raw + np.where((raw >= 65) & (raw <= 90), 32, 0).astype(np.uint8)
     start, end, doc = word_bounds(raw, off)
     word = mix(span_hash(_CODES[raw], start, end)) | np.uint64(1)
-    tail = raw[end - 1].astype(np.int64)
-    tail += np.where(end - start > 1, raw[np.maximum(end - 2, 0)], 0).astype(np.int64) << 8
     own = np.concatenate([doc, np.arange(n)])
     order = np.argsort(own, kind="stable")
-    own = own[order]
-    word = np.concatenate([word, np.full(n, END_KEY)])[order]
-    tail = np.concatenate([tail, np.zeros(n, dtype=np.int64)])[order]
-    ctx = np.zeros(len(own), dtype=np.int64)
-    ctx[1:] = np.where(own[1:] == own[:-1], tail[:-1], 0)
-    return own, word, ctx
-
-
-def pair_hash(word: np.ndarray, ctx: np.ndarray) -> np.ndarray:
-    return mix(word + mix(ctx.astype(np.uint64) + np.uint64(1)))
+    return own[order].astype(np.int32), np.concatenate([word, np.full(n, END_KEY)])[order]
 
 
 def _slices(texts: list[bytes]):
@@ -107,26 +100,38 @@ def _slices(texts: list[bytes]):
         at = end
 
 
-def block_pairs(ids: np.ndarray, texts: list[bytes], shards: int):
-    """(word, context, training count) of a block's distinct pairs, ordered by
-    (shard, word, context)."""
-    held = np.array([held_out(int(i)) for i in ids], dtype=bool)
-    parts = []
-    for first, raw, off in _slices(texts):
-        own, word, ctx = tokens(raw, off)
-        parts.append(_sum_pairs(word, ctx, (~held[first + own]).astype(np.int64)))
-        if len(parts) > 8:
-            parts = [_sum_pairs(*(np.concatenate(x) for x in zip(*parts)))]
-    word, ctx, n = _sum_pairs(*(np.concatenate(x) for x in zip(*parts)))
-    order = np.lexsort((ctx, word, word % np.uint64(shards)))
-    return word[order], ctx[order], n[order]
-
-
-def _sum_pairs(word, ctx, n):
-    name = pair_hash(word, ctx)
-    order = np.argsort(name)
-    head = np.flatnonzero(np.append(True, name[order][1:] != name[order][:-1]))
-    return word[order][head], ctx[order][head], np.add.reduceat(n[order], head)
+def along(keys: np.ndarray, n: int) -> np.ndarray:
+    """Place of sorted or unsorted keys on a side of ``n`` cells, by range."""
+    return (((keys >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
+
+
+class Block:
+    """Tokens of some documents and their distinct pairs, ordered by (cell,
+    word, context).  Words and contexts are places in the sorted ``keys``."""
+
+    def __init__(self, texts: list[bytes], side: int):
+        parts = [(first, *tokens(raw, off)) for first, raw, off in _slices(texts)]
+        self.doc = np.concatenate([doc + first for first, doc, _ in parts])
+        self.keys, word = np.unique(np.concatenate([w for *_, w in parts]), return_inverse=True)
+        del parts
+        self.word = word.astype(np.int32)
+        code = word * len(self.keys)
+        code[1:] += word[:-1]              # every document ends with the end token, which has place 0
+        del word
+        pairs, pair = np.unique(code, return_inverse=True)
+        w, c = pairs // len(self.keys), pairs % len(self.keys)
+        place = along(self.keys, side)
+        cell = place[w] * side + place[c]
+        order = np.argsort(cell, kind="stable")
+        to = np.empty(len(order), dtype=np.int32)
+        to[order] = np.arange(len(order))
+        self.pair = to[pair]               # of each token
+        self.w, self.c, cell = w[order], c[order], cell[order]
+        head = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+        self.cells, self.cut = cell[head], np.append(head, len(cell))
+
+    def counts(self, held: np.ndarray) -> np.ndarray:
+        return np.bincount(self.pair[~held[self.doc]], minlength=len(self.w))
 
 
 def _pack(*arrays) -> bytes:
@@ -144,33 +149,46 @@ def _unpack(body: bytes, *kinds) -> list[np.ndarray]:
     return out
 
 
-def _word_heads(word: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+def _heads(x: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+
+
+def _steps(keys: np.ndarray) -> np.ndarray:
+    return np.diff(keys, prepend=np.uint64(0))
 
 
-def _report(shards: int):
-    """A row per word shard that a block has words of."""
+#: What cells, columns and rows of the grid send each other: ``seat`` is the
+#: receiver, ``back`` the cell or block that an answer goes to.
+_MAIL = "seat int, kind int, back int, body binary, s0 double, s1 double, s2 double, s3 double, s4 double"
+PAIRS, STATE, TOTALS, PLACES, LINKS, SHARES, STATS = range(7)
+#: Receivers: cells are named by their number, rows and columns of the grid below zero.
+_ROW, _COLUMN = 0, 1
+
+
+def _mail(rows: list[tuple]) -> pa.Table:
+    cols = list(zip(*[r + (0.0,) * (9 - len(r)) for r in rows])) or [()] * 9
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), *[pa.float64()] * 5]
+    return pa.table([pa.array(c, k) for c, k in zip(cols, kinds)], names=[x.split()[0] for x in _MAIL.split(", ")])
+
+
+def _report(side: int):
+    """A letter to each cell that a block has pairs of."""
     def work(table: pa.Table) -> pa.Table:
-        word, ctx, n = block_pairs(table.column("doc").to_numpy(), repeats.unpack(table), shards)
+        ids = table.column("doc").to_numpy()
+        block = Block(repeats.unpack(table), side)
+        n = block.counts(np.array([held_out(int(i)) for i in ids], dtype=bool))
+        number, rows = table.column("block")[0].as_py(), []
+        for cell, a, b in zip(block.cells.tolist(), block.cut[:-1], block.cut[1:]):
+            head = _heads(block.w[a:b])
+            own, at = np.unique(block.c[a:b], return_inverse=True)
+            rows.append((cell, PAIRS, number, _pack(
+                _steps(block.keys[block.w[a:b][head]]), np.diff(np.append(head, b - a)).astype("<u4"),
+                _steps(block.keys[own]), at.astype("<u4"), n[a:b].astype("<u4"))))
         give_back()
-        shard = (word % np.uint64(shards)).astype(np.int64)
-        cut = np.append(_word_heads(shard), len(word))
-        body = []
-        for a, b in zip(cut[:-1], cut[1:]):
-            head = _word_heads(word[a:b])
-            keys = word[a:b][head]
-            body.append(_pack(np.diff(keys, prepend=np.uint64(0)), np.diff(np.append(head, b - a)).astype("<u4"),
-                              ctx[a:b].astype("<u2"), n[a:b].astype("<u4")))
-        return pa.table({"block": pa.array(np.full(len(body), table.column("block")[0].as_py()), pa.int32()),
-                         "shard": pa.array(shard[cut[:-1]], pa.int32()), "body": pa.array(body, pa.binary())})
+        return _mail(rows)
     return work
 
 
-def _pairs_of(body: bytes):
-    step, size, ctx, n = _unpack(body, "<u8", "<u4", "<u2", "<u4")
-    return np.repeat(np.cumsum(step, dtype=np.uint64), size), ctx.astype(np.int64), n.astype(np.int64)
-
-
 # ---- restaurants -----------------------------------------------------------
 
 def seat(customers: np.ndarray, mass: np.ndarray, discount: float, rng) -> np.ndarray:
@@ -192,218 +210,209 @@ def seat(customers: np.ndarray, mass: np.ndarray, discount: float, rng) -> np.nd
     return out
 
 
-class Sums:
-    """What restaurants share across shards: customers and tables of the
-    two-byte contexts, tables of the one-byte contexts, words, discounts."""
+class Cell:
+    """Distinct pairs of a range of words and a range of contexts: ``w`` and
+    ``c`` are places among the cell's own words and contexts."""
+
+    def __init__(self, w, c, n):
+        self.w, self.c, self.n = w, c, n.astype(np.float64)
+        self.words, self.contexts = int(w.max()) + 1, int(c.max()) + 1
+
+    def start(self) -> np.ndarray:
+        return (self.n > 0).astype(np.float64)
+
+    def shares(self, tables) -> tuple:
+        """(tables, customers) of the words, then of the contexts."""
+        return tuple(np.bincount(at, weights=x, minlength=size) for at, size in
+                     ((self.w, self.words), (self.c, self.contexts)) for x in (tables, self.n))
+
+    def parent(self, model: dict, word_tables) -> np.ndarray:
+        """The parent's prediction of each pair's word; the unknown word's
+        where training has none of it."""
+        known = np.where(word_tables > 0, word_tables - model["d0"], STRENGTH + model["d0"] * model["words"])
+        return (known / (STRENGTH + model["tables"]))[self.w]
+
+    def mass(self, model: dict, context_tables, p0) -> np.ndarray:
+        return (STRENGTH + model["d1"] * context_tables)[self.c] * p0
+
+    def predict(self, model: dict, tables, word_tables, context_tables, context_guests) -> np.ndarray:
+        mass = self.mass(model, context_tables, self.parent(model, word_tables))
+        return (self.n - model["d1"] * tables + mass) / (STRENGTH + context_guests)[self.c]
+
+    def reseat(self, model: dict, word_tables, context_tables, rng) -> np.ndarray:
+        return seat(self.n, self.mass(model, context_tables, self.parent(model, word_tables)), model["d1"], rng)
+
+
+def discount(n1: float, n2: float) -> float:
+    return min(max(n1 / max(1.0, n1 + 2 * n2), 0.05), 0.95)
+
+
+def _letters(table: pa.Table) -> dict:
+    out: dict = {}
+    for kind, back, body in zip(*(table.column(i).to_pylist() for i in (1, 2, 3))):
+        out.setdefault(kind, []).append((back, body))
+    return {k: sorted(v, key=lambda x: x[0]) for k, v in out.items()}
 
-    def __init__(self, guests2, tables2, tables1, words: int, discounts):
-        self.g2, self.t2, self.t1, self.words = guests2, tables2, tables1, words
-        self.d2, self.d1, self.d0 = discounts
-        self.g1 = np.bincount(np.arange(CONTEXTS) & 255, weights=tables2, minlength=256)
-        self.g0 = float(tables1.sum())
 
-    def fresh2(self, ctx):
-        return (STRENGTH + self.d2 * self.t2[ctx]) / (STRENGTH + self.g2[ctx])
+def _shares(cell_no: int, side: int, cell: Cell, tables) -> list[tuple]:
+    got = [x.astype("<f4" if i % 2 == 0 else "<f8") for i, x in enumerate(cell.shares(tables))]
+    row, column = -1 - cell_no // side, -1 - side - cell_no % side
+    return [(row, SHARES, cell_no, _pack(*got[:2])), (column, SHARES, cell_no, _pack(*got[2:]))]
 
-    def fresh1(self, ctx):
-        return (STRENGTH + self.d1 * self.t1[ctx]) / (STRENGTH + self.g1[ctx])
-
-    def root(self, customers):
-        """Known words by their customers; the unknown word otherwise."""
-        return np.where(customers > 0, customers - self.d0, STRENGTH + self.d0 * self.words) / (STRENGTH + self.g0)
+
+def _found(side: int):
+    """Sum the reports of a cell and seat every dish at one table."""
+    def work(table: pa.Table) -> pa.Table:
+        number = table.column("seat")[0].as_py()
+        blocks, words, sizes, contexts, at, n = [], [], [], [], [], []
+        for back, body in _letters(table)[PAIRS]:
+            step, size, cstep, c, count = _unpack(body, "<u8", "<u4", "<u8", "<u4", "<u4")
+            blocks.append(back)
+            words.append(np.cumsum(step, dtype=np.uint64))
+            contexts.append(np.cumsum(cstep, dtype=np.uint64))
+            sizes.append(size)
+            at.append(c)
+            n.append(count)
+        every_word, wi = np.unique(np.concatenate(words), return_inverse=True)
+        every_ctx, ci = np.unique(np.concatenate(contexts), return_inverse=True)
+        w = np.repeat(wi, np.concatenate(sizes))
+        first = np.cumsum([0] + [len(x) for x in contexts[:-1]])
+        c = ci[np.concatenate([x.astype(np.int64) + f for x, f in zip(at, first)])]
+        pairs, place = np.unique(w * len(every_ctx) + c, return_inverse=True)
+        total = np.bincount(place, weights=np.concatenate(n))
+        cell = Cell(pairs // len(every_ctx), pairs % len(every_ctx), total)
+        tables = cell.start()
+        size = np.bincount(cell.w, minlength=cell.words)
+        rows = [(number, PAIRS, 0, _pack(size.astype("<u4"), cell.c.astype("<u4"), total.astype("<u4")),
+                 float((total == 1).sum()), float((total == 2).sum())),
+                (number, STATE, 0, _pack(tables.astype("<u4"), np.zeros(0, dtype="<f8"))),
+                (-1 - number // side, LINKS, number, _pack(_steps(every_word))),
+                (-1 - side - number % side, LINKS, number, _pack(_steps(every_ctx)))]
+        a = b = 0
+        for block, size, own in zip(blocks, sizes, words):
+            k = int(size.sum())
+            rows.append((number, PLACES, block, _pack(place[a:a + k].astype("<u4"), wi[b:b + len(own)].astype("<u4"))))
+            a, b = a + k, b + len(own)
+        rows += _shares(number, side, cell, tables)
+        give_back()
+        return _mail(rows)
+    return work
+
+
+def _linked(table: pa.Table) -> pa.Table:
+    """Place of each cell's words or contexts among those of its row or column."""
+    line = table.column("seat")[0].as_py()
+    cells = [(cell, np.cumsum(_unpack(body, "<u8")[0], dtype=np.uint64)) for cell, body in _letters(table)[LINKS]]
+    at = np.unique(np.concatenate([k for _, k in cells]), return_inverse=True)[1]
+    cut = np.cumsum([len(k) for _, k in cells])[:-1]
+    return _mail([(line, LINKS, cell, _pack(x.astype("<u4"))) for (cell, _), x in zip(cells, np.split(at, cut))])
+
+
+def _totals(side: int):
+    """Add up the shares of a row or column; each cell gets its totals."""
+    def work(table: pa.Table) -> pa.Table:
+        line, got = table.column("seat")[0].as_py(), _letters(table)
+        at = [_unpack(body, "<u4")[0] for _, body in got[LINKS]]
+        shares = [_unpack(body, "<f4", "<f8") for _, body in got[SHARES]]       # in the order of the links
+        every = np.concatenate(at)
+        tables, guests = (np.bincount(every, weights=np.concatenate([x[i] for x in shares])) for i in (0, 1))
+        rows = [(cell, TOTALS, _ROW if line >= -side else _COLUMN,
+                 _pack(tables[x].astype("<f4"), guests[x].astype("<f8"))) for (cell, _), x in zip(got[LINKS], at)]
+        if line >= -side:
+            rows.append((0, STATS, 0, None, float(tables.sum()), float((guests > 0).sum()), float(guests.sum()),
+                         float((tables == 1).sum()), float((tables == 2).sum())))
+        give_back()
+        return _mail(rows)
+    return work
+
+
+def _opened(got: dict):
+    size, c, n = _unpack(got[PAIRS][0][1], "<u4", "<u4", "<u4")
+    cell = Cell(np.repeat(np.arange(len(size)), size), c.astype(np.int64), n)
+    tables, total = _unpack(got[STATE][0][1], "<u4", "<f8")
+    (word_tables, word_guests), (ctx_tables, ctx_guests) = (_unpack(body, "<f4", "<f8") for _, body in got[TOTALS])
+    return cell, tables.astype(np.float64), total, word_tables.astype(np.float64), word_guests, ctx_tables.astype(np.float64), ctx_guests
+
+
+def _sweep(side: int, model: dict, number: int, counts: bool):
+    """One Gibbs sweep over a cell; ``counts`` says whether the sample of the
+    sweep before is one whose predictions are averaged."""
+    def work(table: pa.Table) -> pa.Table:
+        name = table.column("seat")[0].as_py()
+        cell, tables, total, wt, _, ct, cg = _opened(_letters(table))
+        if counts:
+            p = cell.predict(model, tables, wt, ct, cg)
+            total = p if not len(total) else total + p
+        tables = cell.reseat(model, wt, ct, np.random.default_rng([SEED, number, name]))
+        rows = [(name, STATE, 0, _pack(tables.astype("<u4"), total)), *_shares(name, side, cell, tables)]
+        give_back()
+        return _mail(rows)
+    return work
+
+
+def _answers(model: dict, kept: int):
+    """Averages over the kept samples, the last one included, for each block."""
+    def work(table: pa.Table) -> pa.Table:
+        name, got = table.column("seat")[0].as_py(), _letters(table)
+        cell, tables, total, wt, wg, ct, cg = _opened(got)
+        p = cell.predict(model, tables, wt, ct, cg)
+        lp = np.log10((p if not len(total) else total + p) / kept).astype("<f4")
+        rows = []
+        for block, body in got[PLACES]:
+            pair, word = _unpack(body, "<u4", "<u4")
+            rows.append((block, STATE, name, _pack(lp[pair], wg[word].astype("<u8"))))
+        give_back()
+        return _mail(rows)
+    return work
 
 
-class Shard:
-    """All pairs of some words, ordered by (word, context)."""
-
-    def __init__(self, word, ctx, n):
-        order = np.lexsort((ctx, word))
-        word, ctx, n = word[order], ctx[order], n[order]
-        head = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (ctx[1:] != ctx[:-1])))
-        self.place = np.empty(len(order), dtype=np.int64)       # of each given pair
-        self.place[order] = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(order))))
-        self.word, self.ctx, self.n = word[head], ctx[head], np.add.reduceat(n, head).astype(np.float64)
-        self.w = np.cumsum(np.append(True, self.word[1:] != self.word[:-1])) - 1
-        mid, self.up = np.unique(self.w * 256 + (self.ctx & 255), return_inverse=True)
-        self.ctx1, self.w1 = mid & 255, mid >> 8
-        self.size = int(self.w[-1]) + 1
-
-    def customers(self, t2, t1):
-        return (np.bincount(self.up, weights=t2, minlength=len(self.w1)),
-                np.bincount(self.w1, weights=t1, minlength=self.size))
-
-    def start(self):
-        t2 = (self.n > 0).astype(np.float64)
-        c1 = np.bincount(self.up, weights=t2, minlength=len(self.w1))
-        return t2, (c1 > 0).astype(np.float64)
-
-    def predict1(self, sums: Sums, t2, t1) -> np.ndarray:
-        c1, c0 = self.customers(t2, t1)
-        seen = (c1 - sums.d1 * t1) / (STRENGTH + sums.g1[self.ctx1])
-        return seen + sums.fresh1(self.ctx1) * sums.root(c0)[self.w1]
-
-    def predict(self, sums: Sums, t2, t1) -> np.ndarray:
-        seen = (self.n - sums.d2 * t2) / (STRENGTH + sums.g2[self.ctx])
-        return seen + sums.fresh2(self.ctx) * self.predict1(sums, t2, t1)[self.up]
-
-    def gibbs(self, sums: Sums, rng, burn_in: int, kept: int):
-        """Tables of both context levels averaged over the kept sweeps."""
-        t2, t1 = self.start()
-        m2, m1 = np.zeros(len(t2)), np.zeros(len(t1))
-        for sweep in range(burn_in + kept):
-            p1 = self.predict1(sums, t2, t1)
-            t2 = seat(self.n, (STRENGTH + sums.d2 * sums.t2[self.ctx]) * p1[self.up], sums.d2, rng)
-            c1, c0 = self.customers(t2, t1)
-            p0 = sums.root(c0)[self.w1]
-            t1 = seat(c1, (STRENGTH + sums.d1 * sums.t1[self.ctx1]) * p0, sums.d1, rng)
-            if sweep >= burn_in:
-                m2 += t2 / kept
-                m1 += t1 / kept
-        return m2, m1
-
-
-def _shard(rows: list):
-    parts = [_pairs_of(body) for body in rows]
-    return Shard(*(np.concatenate(x) for x in zip(*parts))), [len(p[0]) for p in parts]
-
-
-def _draws(shard: Shard, round_: int):
-    return np.random.default_rng([SEED, round_, int(shard.word[0] >> np.uint64(32)), int(shard.word[-1] >> np.uint64(32))])
-
-
-def _rows(batches):
-    """All rows of a partition, which holds whole shards, in block order."""
-    got = [(b, s, x) for batch in batches for b, s, x in zip(*(batch.column(i).to_pylist() for i in range(3)))]
-    return sorted(got, key=lambda r: (r[1], r[0]))
-
-
-_SUMS = "what int, item int, n double"
-
-
-def _sum_rows(*items):
-    what, item, n = [], [], []
-    for k, at, value in items:
-        what.append(np.full(len(at), k))
-        item.append(at)
-        n.append(value)
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(what), pa.int32()), pa.array(np.concatenate(item), pa.int32()),
-                                       pa.array(np.concatenate(n).astype(np.float64))], names=["what", "item", "n"])
-
-
-def _hit(weights, at, size):
-    n = np.bincount(at, weights=weights, minlength=size)
-    hit = np.flatnonzero(n)
-    return hit, n[hit]
-
-
-def _first_pass(batches):
-    """Sums with one table per dish, counts of counts, words and tokens."""
-    rows = _rows(batches)
-    if not rows:
-        return
-    shard, _ = _shard([r[2] for r in rows])
-    t2, t1 = shard.start()
-    c1, c0 = shard.customers(t2, t1)
-    known = np.bincount(shard.w, weights=shard.n) > 0
-    few = lambda c: np.array([(c == 1).sum(), (c == 2).sum()])
-    yield _sum_rows((0, *_hit(shard.n, shard.ctx, CONTEXTS)), (1, *_hit(t2, shard.ctx, CONTEXTS)),
-                    (2, *_hit(t1, shard.ctx1, 256)), (3, np.arange(2), np.array([known.sum(), shard.n.sum()])),
-                    (4, np.arange(2), few(shard.n)), (5, np.arange(2), few(c1)), (6, np.arange(2), few(c0)))
-
-
-def _sampling_pass(shared, round_: int, burn_in: int, kept: int):
-    def run(batches):
-        rows = _rows(batches)
-        if not rows:
-            return
-        shard, _ = _shard([r[2] for r in rows])
-        m2, m1 = shard.gibbs(shared.value, _draws(shard, round_), burn_in, kept)
-        yield _sum_rows((1, *_hit(m2, shard.ctx, CONTEXTS)), (2, *_hit(m1, shard.ctx1, 256)))
-    return run
-
-
-def _answers(shared, round_: int, burn_in: int, kept: int):
-    """The last sampling pass again, then predictions under its sums."""
-    def run(batches):
-        rows = _rows(batches)
-        if not rows:
-            return
-        before, sums = shared.value
-        shard, size = _shard([r[2] for r in rows])
-        m2, m1 = shard.gibbs(before, _draws(shard, round_), burn_in, kept)
-        lp = np.log10(shard.predict(sums, m2, m1)).astype("<f4")
-        count = np.bincount(shard.w, weights=shard.n).astype("<u8")
-        at = np.concatenate([[0], np.cumsum(size)])
-        for i, (block, number, _) in enumerate(rows):
-            place = shard.place[at[i]:at[i + 1]]
-            words = shard.w[place]
-            body = _pack(lp[place], count[words[_word_heads(words)]])
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([number], pa.int32()),
-                                              pa.array([body], pa.binary())], names=["block", "shard", "body"])
-    return run
-
-
-def train(reports: DataFrame, rounds: int = ROUNDS, burn_in: int = BURN_IN, kept: int = KEPT_SWEEPS):
-    """(answers, training tokens, distinct training words) for report rows
-    that are partitioned by shard."""
-    def collected(fn) -> dict:
-        out: dict = {}
-        for r in reports.mapInArrow(frugal(fn), _SUMS).groupBy("what", "item").agg(F.sum("n").alias("n")).collect():
-            out.setdefault(r.what, {})[r.item] = r.n                  # two sums per context at most
-        return out
-
-    def dense(values: dict, size: int) -> np.ndarray:
-        a = np.zeros(size)
-        a[list(values)] = list(values.values())
-        return a
-
-    got = collected(_first_pass)
-    guests, words = dense(got.get(0, {}), CONTEXTS), int(got.get(3, {}).get(0, 0))
-    discounts = []
-    for k in (4, 5, 6):
-        n1, n2 = got.get(k, {}).get(0, 0.0), got.get(k, {}).get(1, 0.0)
-        discounts.append(min(max(n1 / max(1.0, n1 + 2 * n2), 0.05), 0.95))
-    sums = Sums(guests, dense(got.get(1, {}), CONTEXTS), dense(got.get(2, {}), 256), words, discounts)
-    context = reports.sparkSession.sparkContext
-    for r in range(rounds):
-        before = sums
-        got = collected(_sampling_pass(context.broadcast(before), r, burn_in, kept))
-        sums = Sums(guests, dense(got.get(1, {}), CONTEXTS), dense(got.get(2, {}), 256), words, discounts)
-    answers = reports.mapInArrow(frugal(_answers(context.broadcast((before, sums)), rounds - 1, burn_in, kept)),
-                                 "block int, shard int, body binary")
-    return answers, int(guests.sum()), words
+def train(reports: DataFrame, side: int, burn_in: int = BURN_IN, kept: int = KEPT_SWEEPS):
+    """(answers, training tokens, distinct training words) for the reports of
+    all blocks to a grid of ``side`` times ``side`` cells."""
+    spark = reports.sparkSession
+    by_seat = lambda letters, work: letters.groupBy("seat").applyInArrow(work, _MAIL)
+    of = lambda letters, *kinds: letters.where(F.col("kind").isin(*kinds))
+    found = cut_lineage(by_seat(reports, _found(side)))
+    links = cut_lineage(by_seat(of(found, LINKS), _linked))
+    ones = of(found, PAIRS).agg(F.sum("s0"), F.sum("s1")).first()
+    model: dict = {"d1": discount(ones[0] or 0.0, ones[1] or 0.0)}
+    state, tokens_, words = found, 0, 0
+    for number in range(burn_in + kept + 1):
+        totals = cut_lineage(by_seat(links.union(of(state, SHARES)), _totals(side)))
+        sweep(spark)
+        t, words, tokens_, n1, n2 = (x or 0.0 for x in of(totals, STATS).agg(*[F.sum(f"s{i}") for i in range(5)]).first())
+        model = {**model, "tables": t, "words": words, **({} if "d0" in model else {"d0": discount(n1, n2)})}
+        mail = of(found, PAIRS).union(of(state, STATE)).union(of(totals, TOTALS))
+        if number < burn_in + kept:
+            state = cut_lineage(by_seat(mail, _sweep(side, dict(model), number, number > burn_in)))
+    answers = by_seat(mail.union(of(found, PLACES)), _answers(model, kept))
+    return answers.select(F.col("seat").alias("block"), F.col("back").alias("cell"), "body"), int(tokens_), int(words)
 
 
 # ---- scores ----------------------------------------------------------------
 
-def _score(shards: int, total: int, distinct: int):
+def _score(side: int, total: int, distinct: int):
     names = {"doc": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(),
              "base_score": pa.float64(), "score": pa.float64()}
     floor = math.log10(total + 0.5 * (distinct + 1))
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids, texts = left.column("doc").to_numpy(), repeats.unpack(left)
+        ids = left.column("doc").to_numpy()
         if not len(ids):
             return pa.table([pa.array([], t) for t in names.values()], names=list(names))
-        order = np.argsort(right.column("shard").to_numpy())
-        bodies = right.column("body").to_pylist()
-        lp, count = (np.concatenate(x) for x in zip(*[_unpack(bodies[i], "<f4", "<u8") for i in order]))
-        word, ctx, _ = block_pairs(ids, texts, shards)               # the pairs in the order of the report
-        pairs = Table(pair_hash(word, ctx), lp.astype(np.float64))
-        words = Table(word[_word_heads(word)], count.astype(np.float64))
-        out: list = [[], [], [], []]
-        for _, raw, off in _slices(texts):
-            n = len(off) - 1
-            own, word, ctx = tokens(raw, off)
-            c = words.find(word)[1]
-            out[0].append(np.bincount(own, minlength=n))
-            out[1].append(np.bincount(own, weights=c > 0, minlength=n).astype(np.int64))
-            out[2].append(np.bincount(own, weights=np.log10(c + 0.5) - floor, minlength=n))
-            out[3].append(np.bincount(own, weights=pairs.find(pair_hash(word, ctx))[1], minlength=n))
-        held = [held_out(int(i)) for i in ids]
+        block = Block(repeats.unpack(left), side)                     # the pairs in the order of the report
+        lp, count = np.zeros(len(block.w)), np.zeros(len(block.keys))
+        bodies = dict(zip(right.column("cell").to_pylist(), right.column("body").to_pylist()))
+        for cell, a, b in zip(block.cells.tolist(), block.cut[:-1], block.cut[1:]):
+            p, n = _unpack(bodies[cell], "<f4", "<u8")
+            lp[a:b] = p
+            count[block.w[a:b][_heads(block.w[a:b])]] = n
+        c = count[block.word]
+        add = lambda x: np.bincount(block.doc, weights=x, minlength=len(ids))
+        out = (ids, [held_out(int(i)) for i in ids], np.bincount(block.doc, minlength=len(ids)), add(c > 0).astype(np.int64),
+               add(np.log10(c + 0.5) - floor), add(lp[block.pair]))
         give_back()
-        return pa.table([pa.array(x, t) for x, t in zip((ids, held, *[np.concatenate(x) for x in out]), names.values())],
-                        names=list(names))
+        return pa.table([pa.array(x, t) for x, t in zip(out, names.values())], names=list(names))
     return work
 
 
@@ -413,13 +422,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base_score, score (log10 probabilities)."""
     own = repeats.slim(docs, id_col, text_col)
     blocks = repeats.n_blocks(own, block_bytes, least=1)
-    shards = max(blocks, partitions(docs.sparkSession))
-    text = repeats.text_blocks(own, blocks)
-    reports = cut_lineage(text.groupBy("block").applyInArrow(_report(shards), "block int, shard int, body binary")
-                          .repartition(shards, "shard"))
-    answers, total, distinct = train(reports, **options)
+    side = math.ceil(math.sqrt(max(CELLS_PER_BLOCK * blocks, partitions(docs.sparkSession))))
+    text = repeats.text_blocks(own, blocks, "doc", "text")         # rows without an id are spread, too
+    reports = cut_lineage(text.groupBy("block").applyInArrow(_report(side), _MAIL))
+    answers, total, distinct = train(reports, side, **options)
     out = text.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _score(shards, total, distinct),
+        _score(side, total, distinct),
         "doc long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias(id_col), "held_out", "n_tokens", "n_known",
                       F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

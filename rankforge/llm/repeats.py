@@ -215,8 +215,8 @@ def n_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, least: int | None
     return max(1 + total // block_bytes, least or partitions(docs.sparkSession))
 
 
-def block_of(blocks: int):
-    return F.pmod(F.xxhash64("doc"), F.lit(blocks)).cast("int").alias("block")
+def block_of(blocks: int, *by: str):
+    return F.pmod(F.xxhash64(*by or ["doc"]), F.lit(blocks)).cast("int").alias("block")
 
 
 def _pack(batches):
@@ -229,9 +229,10 @@ def _pack(batches):
                                          names=["block", "doc", "z"])
 
 
-def text_blocks(docs: DataFrame, blocks: int) -> DataFrame:
-    """(block, doc, compressed text): what a shuffle of whole texts carries."""
-    return docs.select(block_of(blocks), "doc", "text").mapInArrow(frugal(_pack), "block int, doc long, z binary")
+def text_blocks(docs: DataFrame, blocks: int, *by: str) -> DataFrame:
+    """(block, doc, compressed text): what a shuffle of whole texts carries.
+    Blocks are dealt by the columns ``by``, the document's number if none."""
+    return docs.select(block_of(blocks, *by), "doc", "text").mapInArrow(frugal(_pack), "block int, doc long, z binary")
 
 
 def unpack(table: pa.Table) -> list[bytes]:

@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 
-from rankforge.llm.pitman_yor import CONTEXTS, Shard, Sums, held_out, score_texts, seat, tokens
+from rankforge.llm.pitman_yor import Block, Cell, discount, held_out, score_texts, seat, tokens
 
 SCHEMA = "doc_id long, text string, kind string, block int"
 
@@ -51,34 +51,96 @@ def test_scores(spark):
     assert all(a[0] == b[0] and abs(a[1] - b[1]) < 1e-5 * max(1, abs(a[1])) for a, b in zip(f(got), f(again)))
 
 
-def corpus(seed, n=4000):
-    rng = np.random.default_rng(seed)
-    word = rng.zipf(1.4, n).astype(np.uint64)
-    ctx = rng.choice([0x6162, 0x6262, 0x6163, 0x0061], n)
-    word, ctx = word[word < 500], ctx[word < 500]
-    return word, ctx, rng.integers(0, 3, len(word))
-
-
 def test_predictions_sum_to_one():
     """Over all known words and the unknown one, in seen and unseen contexts."""
-    word, ctx, n = corpus(1)
-    all_words, every = np.unique(word), [0x6162, 0x6262, 0x6163, 0x0061, 0x7A61, 0x7A7A]
-    grid_w, grid_c = np.repeat(all_words, len(every)), np.tile(every, len(all_words))
-    unknown = np.full(len(every), 10 ** 6, dtype=np.uint64)
-    shard = Shard(np.concatenate([word, grid_w, unknown]), np.concatenate([ctx, grid_c, every]),
-                  np.concatenate([n, 0 * grid_c, 0 * unknown.astype(int)]))
-    count = lambda w, at, size: np.bincount(at, weights=w, minlength=size)
-    known = int((np.bincount(shard.w, weights=shard.n) > 0).sum())
-    t2, t1 = shard.start()
-    total = lambda a, b: Sums(count(shard.n, shard.ctx, CONTEXTS), count(a, shard.ctx, CONTEXTS),
-                              count(b, shard.ctx1, 256), known, (0.7, 0.6, 0.5))
-    m2, m1 = shard.gibbs(total(t2, t1), np.random.default_rng(2), 1, 3)
-    assert (m2 <= shard.n).all() and (m2[shard.n > 0] >= 1).all()
-    p = shard.predict(total(m2, m1), m2, m1)
-    new = np.bincount(shard.w, weights=shard.n)[shard.w] == 0
-    for c in every:
-        here = shard.ctx == c
-        assert abs(p[here & ~new].sum() + p[here & new].max() - 1) < 1e-9
+    rng = np.random.default_rng(1)
+    w, c = rng.zipf(1.4, 4000), rng.integers(0, 6, 4000)
+    keep = w < 300
+    grid_w, grid_c = np.repeat(np.arange(301), 7), np.tile(np.arange(7), 301)          # word 0 and context 6 are never seen
+    n = np.bincount(w[keep] * 7 + c[keep], minlength=301 * 7)
+    cell = Cell(grid_w, grid_c, n)
+    t = cell.start()
+    model = {"d1": 0.7, "d0": 0.6}
+    for sweep in range(4):
+        wt, wg, ct, cg = cell.shares(t)
+        model = {**model, "tables": wt.sum(), "words": (wg > 0).sum()}
+        p = cell.predict(model, t, wt, ct, cg)
+        new = (wg == 0)[cell.w]
+        for x in range(7):
+            here = cell.c == x
+            assert abs(p[here & ~new].sum() + p[here & new].max() - 1) < 1e-9
+        t = cell.reseat(model, wt, ct, rng)
+        assert (t <= cell.n).all() and (t[cell.n > 0] >= 1).all() and (t[cell.n == 0] == 0).all()
+
+
+def one_by_one(texts, sweeps=400, burn=50, seed=3):
+    """Log10 scores by seating customers singly, as the process is defined."""
+    rng = random.Random(seed)
+    seen = [(b"" if i == 0 else t[i - 1], w) for t in texts for i, w in enumerate(t)]
+    n = Counter(seen)
+    few = lambda c, k: sum(v == k for v in c.values())
+    d1 = discount(few(n, 1), few(n, 2))
+    first = Counter(w for _, w in n)
+    d0, words = discount(few(first, 1), few(first, 2)), len(first)
+    seats = {x: [k] for x, k in n.items()}                           # sizes of the tables of each dish
+    guests, tables, parent = Counter(), Counter(), Counter()
+    for (c, w), k in n.items():
+        guests[c] += k
+        tables[c] += 1
+        parent[w] += 1
+    root = lambda w: (parent[w] - d0 if parent[w] else 1 + d0 * len(+parent)) / (1 + sum(parent.values()))
+    total, used = Counter(), 0
+    ask = [(c, w) for c in [*guests, b"never"] for w in [*first, b"unknown"]]
+    for s in range(sweeps):
+        for c, w in seen:
+            own = seats[c, w]
+            i = rng.choices(range(len(own)), own)[0]
+            own[i] -= 1
+            guests[c] -= 1
+            if not own[i]:
+                del own[i]
+                tables[c] -= 1
+                parent[w] -= 1
+            fresh = (1 + d1 * tables[c]) * root(w)
+            i = rng.choices(range(len(own) + 1), [k - d1 for k in own] + [fresh])[0]
+            guests[c] += 1
+            if i < len(own):
+                own[i] += 1
+            else:
+                own.append(1)
+                tables[c] += 1
+                parent[w] += 1
+        if s >= burn:
+            used += 1
+            for c, w in ask:
+                own = seats.get((c, w), [])
+                total[c, w] += (sum(own) - d1 * len(own) + (1 + d1 * tables[c]) * root(w)) / (1 + guests[c])
+    assert words == len(first)
+    return {x: math.log10(v / used) for x, v in total.items()}
+
+
+def test_against_seating_one_by_one(spark):
+    rng = random.Random(8)
+    vocab = [b"a", b"b", b"c", b"d", b"e"]
+    train, ids = [], [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 != 1][:40]
+    for _ in ids:
+        t = [rng.choice(vocab)]
+        while len(t) < 12:
+            t.append(vocab[(vocab.index(t[-1]) + rng.choice([1, 1, 1, 0, 2])) % 5])
+        train.append(t)
+    want = one_by_one([[*t, b"\n"] for t in train])
+    asked = [i for i in range(1000, 1400) if zlib.crc32(str(i).encode()) % 5 == 1][:30]
+    tests = [[rng.choice([*vocab, b"zz"]) for _ in range(9)] for _ in asked]
+    rows = [(i, b" ".join(t).decode(), "x", 1) for i, t in zip([*ids, *asked], [*train, *tests])]
+    got = {r.doc_id: r.score for r in score_texts(spark.createDataFrame(rows, SCHEMA), burn_in=3, kept=16).collect()}
+    for i, t in zip(asked, tests):
+        t = [*t, b"\n"]
+        score = 0.0
+        for k, w in enumerate(t):
+            c = b"" if k == 0 else t[k - 1]
+            c = b"never" if c == b"zz" else c
+            score += want[c, b"unknown" if w == b"zz" else w]
+        assert abs(got[i] - score) < 0.02 * len(t), (t, got[i], score)
 
 
 def test_seating_distribution():
@@ -96,16 +158,34 @@ def test_seating_distribution():
     assert seat(np.array([1.0, 1.0]), np.array([1.0, 5.0]), 0.5, rng).tolist() == [1, 1]
 
 
-def test_tokens_and_held_out():
-    texts = ["Ab  c\n", "", " x", "é Z"]
+def test_blocks_and_held_out():
+    texts = ["Ab  c\n", "", " x", "é Z", "ab c"]
     raw = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
     off = np.cumsum([0] + [len(t.encode()) for t in texts])
-    own, word, ctx = tokens(raw, off)
-    assert own.tolist() == [0, 0, 0, 1, 2, 2, 3, 3, 3] and len(set(word.tolist())) == 6
-    assert ctx.tolist() == [0, 0x6162, 0x63, 0, 0, 0x78, 0, 0xC3A9, 0x7A]
+    own, word = tokens(raw, off)
+    assert own.tolist() == [0, 0, 0, 1, 2, 2, 3, 3, 3, 4, 4, 4] and len(set(word.tolist())) == 6
+    for side in (1, 3):
+        block = Block([t.encode() for t in texts], side)
+        context = np.append(np.uint64(0), word[:-1])              # the end of the text before is the start of the next
+        assert (block.keys[block.w][block.pair] == word).all() and (block.keys[block.c][block.pair] == context).all()
+        assert len(block.w) == len({*zip(word.tolist(), context.tolist())}) and block.cut[-1] == len(block.w)
+        assert block.counts(np.array([False, False, True, False, False])).sum() == len(word) - 2
     assert held_out(5) == (zlib.crc32(b"5") % 5 == 1)
 
 
+def test_contexts_are_whole_words(spark):
+    """Words after 'xan' and 'yan' differ; the last two bytes don't tell."""
+    rows = [(i, "xan left " * 20 if i % 2 else "yan right " * 20, "x", 1) for i in range(300)]
+    got = {r.doc_id: r.score / r.n_tokens for r in score_texts(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert max(got.values()) < 0 and min(got.values()) > -0.05
+
+
+def test_rows_without_id(spark):
+    rows = [(None, f"w{i} common words", "x", 1) for i in range(300)] + [(None, None, "x", 1)]
+    got = score_texts(spark.createDataFrame(rows, SCHEMA), block_bytes=500).collect()
+    assert len(got) == 301 and all(r.doc_id is None and r.score < 0 for r in got) and sorted(r.n_tokens for r in got)[:2] == [1, 4]
+
+
 def test_empty(spark):
     assert score_texts(spark.createDataFrame([], SCHEMA)).count() == 0
     df = spark.createDataFrame([(3, "a", "x", 1)], SCHEMA)
