@@ -18,7 +18,7 @@
 
 Defined results: null, empty and zero vectors, vectors with null or non-finite
 components and vectors without a label link with nothing and stay; vectors of
-different length never link; rows that repeat an id are separate vectors; an
+different length never link; vectors of any finite magnitude compare alike; rows that repeat an id are separate vectors; an
 empty table gives an empty result; other columns are not read.
 """
 
@@ -45,7 +45,10 @@ _TILE = 1024
 
 
 def unit_rows(vectors) -> np.ndarray:
+    """Rows of length one.  They are scaled by a power of two first, which is
+    exact and keeps squares of very small and very large entries in range."""
     x = np.array([np.asarray(v, dtype=np.float64) for v in vectors])
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 

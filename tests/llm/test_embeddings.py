@@ -50,6 +50,14 @@ def test_against_brute_force(spark, cell, block):
     assert sorted(map(tuple, got.collect())) == brute(rows)
 
 
+def test_extreme_magnitudes(spark):
+    """Lengths whose squares are beyond a double don't matter."""
+    rows = [(1, [1e-200, 1e-200], 0), (2, [1.0, 0.2], 0), (3, [0.2, 1.0], 0), (4, [1e300, 1e300], 0), (5, [5e-324, 0.0], 0),
+            (6, [1e308, -1e308], 0), (7, [1e-160, -1e-160], 0), (8, [3.0, 3.0], 0)]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert sorted(tuple(r)[:3] for r in got.collect()) == [(1, 2, 1), (2, 1, 2), (3, 0, 3), (4, 2, 1), (5, 1, 2), (6, 1, 6), (7, 1, 6), (8, 2, 1)]
+
+
 def test_empty(spark):
     assert near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
