@@ -2,7 +2,8 @@
 
 Efraimidis-Spirakis sampling: a document's key is an exponential variate
 divided by its quality weight, -ln(u) / w, with u drawn from the SHA-256 of
-its id and the seed, so reruns agree.  A source's target is a number of whole
+the seed, its id and its text, so reruns agree and rows that share an id, or
+have none, draw apart.  A source's target is a number of whole
 epochs plus a fraction; every document is taken once per whole epoch, and the
 fraction takes the documents with the smallest keys while the prefix sum of
 their sizes stays nearest to what is left of the target.
@@ -16,12 +17,15 @@ summary with one row per source is ordered in a single task.
 Targets: sources in code point order, null last, get the weights 5, 2, 1,
 repeating, and share the total size in proportion; no target exceeds ``cap``
 times its source's size, and the excess goes to the others by weight (water
-filling).
+filling).  Key buckets are cut by a distribution that is the average of
+those of weights 0.1, 0.25, 0.5 and 1, so each holds a few times the average
+share of a source at most, whatever its weights.
 
 Defined results: null and empty texts have size 0, target nothing and are
-taken with 0 words; a null source is a source of its own; documents with equal
-keys and ids share one decision; a null id draws like the text ``null``; an
-empty table gives an empty mix; other columns are kept as they are.
+taken with 0 words; a null source is a source of its own; rows
+of equal id and text draw alike, and their place in the table decides which
+of them is taken; a null id draws like the text ``null``; an empty table gives
+an empty mix; other columns are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankforge.llm.shared import cut_lineage, partitions, small, text_of
+from rankforge.llm.shared import cut_lineage, partitions, small, text_of, unused, with_row_key
 
 #: Fixed values of the mix.
 SOURCE_WEIGHTS = (5, 2, 1)
@@ -52,9 +56,9 @@ def quality_weight(text: Column) -> Column:
         .otherwise(F.lit(0.1).cast("double"))
 
 
-def sample_key(id_col: str, weight: Column, seed: str = SEED) -> Column:
+def sample_key(id_col: str, text: Column, weight: Column, seed: str = SEED) -> Column:
     """Exponential variate over the weight; the smallest keys are drawn first."""
-    name = F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
+    name = F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.sha2(text, 256))
     u = (F.conv(F.substring(F.sha2(name, 256), 1, 13), 16, 10).cast("long").cast("double") + 0.5) / float(1 << 52)
     return -F.log(u) / weight
 
@@ -79,55 +83,63 @@ def targets(sizes: DataFrame, weights=SOURCE_WEIGHTS, cap: int = CAP) -> DataFra
     return s.select("source", "source_size", target.alias("target"))
 
 
-def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-             weight: Column | None = None, seed: str = SEED, weights=SOURCE_WEIGHTS, cap: int = CAP):
-    """(rows, plan): the slim rows (id, source, size, key) and one plan row per
-    source: source_size, target, epochs and the cut (key, id) of the fraction."""
+def _bucket(key: Column, n: int) -> Column:
+    """Key buckets 0 to n - 1, in the order of the keys."""
+    spread = sum((F.lit(1.0) - F.exp(-key * w) for w in (0.1, 0.25, 0.5, 1.0)), F.lit(0.0)) / 4
+    return F.least(F.floor(spread * n), F.lit(n - 1)).cast("int")
+
+
+def _plan(docs: DataFrame, row_col: str, id_col: str, text_col: str, source_col: str,
+          weight: Column | None = None, seed: str = SEED, weights=SOURCE_WEIGHTS, cap: int = CAP):
+    """(rows, plan): the slim rows (row, id, source, size, key) and one plan row
+    per source: source_size, target, epochs and the cut (key, id, row) of the
+    fraction.  ``row_col`` names each row."""
     spark = docs.sparkSession
     text = text_of(text_col)
     rows = cut_lineage(docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), n_words(text).alias("size"),
-        sample_key(id_col, quality_weight(text) if weight is None else weight, seed).alias("key")))
+        F.col(row_col).alias("row"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
+        n_words(text).alias("size"), sample_key(id_col, text, quality_weight(text) if weight is None else weight, seed).alias("key")))
     plan = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     plan = cut_lineage(plan.withColumn("epochs", epochs.cast("long"))
                        .withColumn("left", F.col("target") - (F.col("epochs") * F.col("source_size")).cast("double")))
 
     n = 16 * partitions(spark)
-    split = rows.withColumn("bucket", F.least(F.floor((1 - F.exp(-F.col("key"))) * n), F.lit(n - 1)).cast("int"))
+    split = rows.withColumn("bucket", _bucket(F.col("key"), n))
     totals = split.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
     offset = totals.select("source", "bucket", (F.sum("in_bucket").over(
         Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
         - F.col("in_bucket")).alias("offset"))
-    inside = Window.partitionBy("source", "bucket").orderBy("key", F.col("id").asc_nulls_last()) \
+    inside = Window.partitionBy("source", "bucket").orderBy("key", F.col("id").asc_nulls_last(), "row") \
         .rowsBetween(Window.unboundedPreceding, 0)
     pos = split.withColumn("upto", F.sum("size").over(inside)).alias("r").join(
         offset.alias("o"), F.col("r.source").eqNullSafe(F.col("o.source")) & (F.col("r.bucket") == F.col("o.bucket")))
-    pos = pos.select("r.source", "r.id", "r.key",
+    pos = pos.select("r.source", "r.row", "r.id", "r.key",
                      (F.col("offset") + F.col("upto") - F.col("size") / F.lit(2.0)).alias("middle"))
     chosen = pos.join(small(plan.select(F.col("source").alias("s"), "left")), F.col("source").eqNullSafe(F.col("s"))) \
         .where((F.col("left") > 0) & (F.col("middle") <= F.col("left")))
-    cut = chosen.groupBy("source").agg(F.max(_draw("key", "id")).alias("cut"))
+    cut = chosen.groupBy("source").agg(F.max(_draw("key", "id", "row")).alias("cut"))
     plan = plan.alias("p").join(cut.alias("c"), F.col("p.source").eqNullSafe(F.col("c.source")), "left") \
         .select("p.source", "source_size", "target", "epochs", "cut")
     return rows, cut_lineage(plan)
 
 
-def _draw(key: str, id_col: str) -> Column:
-    return F.struct(F.col(key).alias("key"), F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"))
+def _draw(key: str, id_col: str, row: str) -> Column:
+    return F.struct(F.col(key).alias("key"), F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(row).alias("row"))
 
 
-def _copies(key: str, id_col: str, cut: str = "cut", epochs: str = "epochs") -> Column:
-    inside = F.col(cut).isNotNull() & (_draw(key, id_col) <= F.col(cut))
+def _copies(draw: Column, cut: str = "cut", epochs: str = "epochs") -> Column:
+    inside = F.col(cut).isNotNull() & (draw <= F.col(cut))
     return F.col(epochs) + F.when(inside, F.lit(1)).otherwise(F.lit(0)).cast("long")
 
 
 def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                **options) -> DataFrame:
     """Per document: id, size, source_size, target, taken, copies."""
-    rows, plan = mix_plan(docs, id_col, text_col, source_col, **options)
+    row = unused(docs, "__row")
+    rows, plan = _plan(with_row_key(docs, row), row, id_col, text_col, source_col, **options)
     out = rows.alias("r").join(small(plan).alias("p"), F.col("r.source").eqNullSafe(F.col("p.source")))
-    copies = _copies("key", "id")
+    copies = _copies(_draw("key", "id", "row"))
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target",
                       (F.col("size") * copies).alias("taken"), copies.alias("copies"))
 
@@ -136,16 +148,17 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 weight: Column | None = None, seed: str = SEED, **options) -> DataFrame:
     """The mix itself: the documents' rows with all columns, each as often as
     it is taken."""
-    _, plan = mix_plan(docs, id_col, text_col, source_col, weight, seed, **options)
+    row, key, own, epochs, cut, n, copy = (unused(docs, f"__{x}") for x in ("row", "key", "source", "epochs", "cut", "n", "copy"))
+    named = with_row_key(docs, row)
+    _, plan = _plan(named, row, id_col, text_col, source_col, weight, seed, **options)
     text = text_of(text_col)
     # documents of size 0 have no words to take; they stay out of the mix
-    keyed = docs.withColumn("__key", sample_key(id_col, quality_weight(text) if weight is None else weight, seed)) \
+    keyed = named.withColumn(key, sample_key(id_col, text, quality_weight(text) if weight is None else weight, seed)) \
         .where(text.rlike(WORD))
-    plan = plan.select(F.col("source").alias("__source"), F.col("epochs").alias("__epochs"), F.col("cut").alias("__cut"))
-    out = keyed.join(small(plan), F.col(source_col).cast("string").eqNullSafe(F.col("__source")))
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    return out.withColumn("__n", _copies("__key", id_col, "__cut", "__epochs")).where("__n > 0") \
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n")))).select(*names)
+    plan = plan.select(F.col("source").alias(own), F.col("epochs").alias(epochs), F.col("cut").alias(cut))
+    out = keyed.join(small(plan), F.col(source_col).cast("string").eqNullSafe(F.col(own)))
+    return out.withColumn(n, _copies(_draw(key, id_col, row), cut, epochs)).where(F.col(n) > 0) \
+        .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n)))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_mix_sources(spark, sf_dir: str) -> DataFrame:
@@ -159,7 +172,7 @@ d AS (
          CASE WHEN length(text) > 0 THEN greatest(0.1::DOUBLE, 1::DOUBLE - 4 *
               len(regexp_extract_all(text, '[\x21-\x40\x5B-\x60\x7B-\x7E]'))::DOUBLE / length(text)::DOUBLE)
               ELSE 0.1::DOUBLE END AS quality,
-         (('0x' || substr(sha256('mix-1:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE + 0.5)
+         (('0x' || substr(sha256('mix-1:' || coalesce(doc_id::VARCHAR, 'null') || ':' || sha256(text)), 1, 13))::BIGINT::DOUBLE + 0.5)
            / 4503599627370496::DOUBLE AS u
   FROM t),
 k AS (SELECT *, -ln(u) / quality AS key FROM d),

@@ -73,3 +73,36 @@ def test_mix_repeats_rows(spark):
     assert mix_sources(df).columns == df.columns
     empty = spark.createDataFrame([], SCHEMA)
     assert mix_counts(empty).count() == 0 and mix_sources(empty).count() == 0
+
+
+def test_rows_without_id_and_repeated_ids(spark):
+    """Each row decides for itself, so a source of such rows meets its target."""
+    rows = [(None, f"w{i} " * 10, "a") for i in range(200)] + [(i, "b " * 10, "b") for i in range(140)] \
+        + [(5, "same text " * 5, "c")] * 300 + [(6, f"t{i} " * 10, "d") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix_counts(df).collect()
+    by = defaultdict(lambda: [0, 0.0])
+    for r in got:
+        by[r.source_size, r.target][0] += r.taken
+    assert len(got) == len(rows) and all(abs(taken - target) <= 5 for (_, target), (taken, _) in by.items())
+    n = defaultdict(int)
+    for r in mix_sources(df).collect():
+        n[r.source] += 10
+    assert sorted(n.values()) == sorted(taken for taken, _ in by.values())
+
+
+def test_clashing_columns(spark):
+    rows = [(i, f"a b {i}", "s%d" % (i % 2), "r%d" % i, i, "k", "e", "c") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, __row string, __n long, __key string, __epochs string, __source string")
+    out = mix_sources(df)
+    assert out.columns == df.columns and {tuple(r) for r in out.collect()} <= set(rows) and out.count() > 0
+
+
+def test_buckets_of_poor_texts():
+    """No key bucket holds much of a source, whatever its weight."""
+    import numpy as np
+    u = (np.arange(100000) + 0.5) / 100000
+    for w in (0.1, 0.2, 0.35, 0.6, 1.0):
+        key = -np.log(u) / w
+        spread = sum(1 - np.exp(-key * x) for x in (0.1, 0.25, 0.5, 1.0)) / 4
+        assert np.bincount(np.minimum((spread * 128).astype(int), 127)).max() < 6 * 100000 / 128
