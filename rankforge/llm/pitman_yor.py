@@ -22,7 +22,7 @@ probabilities of all known words, the end and the unknown word sum to one.
    the grid: every cell sends its shares to the column and to the row, which
    add them up and send the totals back.  No table of all words or contexts
    is held anywhere.
-4. After each sweep that counts, every pair is predicted under that sample;
+4. Every pair is predicted under the sample of each sweep that counts, and
    these predictive probabilities are averaged over the sweeps.
 5. The averages go back to the blocks that reported the pairs, where whole
    texts are scored.
@@ -56,9 +56,7 @@ from rankforge.llm import repeats
 from rankforge.llm.repeats import NULL_ID
 from rankforge.llm.shared import byte_codes, cut_lineage, give_back, mix, partitions, span_hash, sweep, utf8, word_bounds
 
-BLOCK_BYTES = 16 << 20
-#: Cells of the grid for each block of text, at least.
-CELLS_PER_BLOCK = 2
+BLOCK_BYTES = 24 << 20
 STRENGTH = 1.0
 BURN_IN, KEPT_SWEEPS = 1, 2
 SEED = 11
@@ -135,8 +133,9 @@ class Block:
 
 
 def _pack(*arrays) -> bytes:
+    """Arrays by planes of their bytes, compressed."""
     z = zstandard.ZstdCompressor(level=1)
-    parts = [z.compress(np.ascontiguousarray(a).tobytes()) for a in arrays]
+    parts = [z.compress(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes()) for a in arrays]
     return np.array([len(p) for p in parts], dtype="<i8").tobytes() + b"".join(parts)
 
 
@@ -144,7 +143,8 @@ def _unpack(body: bytes, *kinds) -> list[np.ndarray]:
     size, at, out = np.frombuffer(body[:8 * len(kinds)], dtype="<i8"), 8 * len(kinds), []
     d = zstandard.ZstdDecompressor()
     for n, kind in zip(size.tolist(), kinds):
-        out.append(np.frombuffer(d.decompress(body[at:at + n]), dtype=kind))
+        planes = np.frombuffer(d.decompress(body[at:at + n]), dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
         at += n
     return out
 
@@ -153,8 +153,13 @@ def _heads(x: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, x[1:] != x[:-1]))
 
 
-def _steps(keys: np.ndarray) -> np.ndarray:
-    return np.diff(keys, prepend=np.uint64(0))
+def _steps(x: np.ndarray) -> np.ndarray:
+    """Differences of sorted keys or places."""
+    return np.diff(x, prepend=x.dtype.type(0))
+
+
+def _climb(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps, dtype=np.uint64 if steps.itemsize == 8 else np.int64)
 
 
 #: What cells, columns and rows of the grid send each other: ``seat`` is the
@@ -268,8 +273,8 @@ def _found(side: int):
         for back, body in _letters(table)[PAIRS]:
             step, size, cstep, c, count = _unpack(body, "<u8", "<u4", "<u8", "<u4", "<u4")
             blocks.append(back)
-            words.append(np.cumsum(step, dtype=np.uint64))
-            contexts.append(np.cumsum(cstep, dtype=np.uint64))
+            words.append(_climb(step))
+            contexts.append(_climb(cstep))
             sizes.append(size)
             at.append(c)
             n.append(count)
@@ -285,13 +290,13 @@ def _found(side: int):
         size = np.bincount(cell.w, minlength=cell.words)
         rows = [(number, PAIRS, 0, _pack(size.astype("<u4"), cell.c.astype("<u4"), total.astype("<u4")),
                  float((total == 1).sum()), float((total == 2).sum())),
-                (number, STATE, 0, _pack(tables.astype("<u4"), np.zeros(0, dtype="<f8"))),
+                (number, STATE, 0, _pack(tables.astype("<u4"))),
                 (-1 - number // side, LINKS, number, _pack(_steps(every_word))),
                 (-1 - side - number % side, LINKS, number, _pack(_steps(every_ctx)))]
         a = b = 0
         for block, size, own in zip(blocks, sizes, words):
             k = int(size.sum())
-            rows.append((number, PLACES, block, _pack(place[a:a + k].astype("<u4"), wi[b:b + len(own)].astype("<u4"))))
+            rows.append((number, PLACES, block, _pack(_steps(place[a:a + k]).astype("<u4"), _steps(wi[b:b + len(own)]).astype("<u4"))))
             a, b = a + k, b + len(own)
         rows += _shares(number, side, cell, tables)
         give_back()
@@ -302,21 +307,21 @@ def _found(side: int):
 def _linked(table: pa.Table) -> pa.Table:
     """Place of each cell's words or contexts among those of its row or column."""
     line = table.column("seat")[0].as_py()
-    cells = [(cell, np.cumsum(_unpack(body, "<u8")[0], dtype=np.uint64)) for cell, body in _letters(table)[LINKS]]
+    cells = [(cell, _climb(_unpack(body, "<u8")[0])) for cell, body in _letters(table)[LINKS]]
     at = np.unique(np.concatenate([k for _, k in cells]), return_inverse=True)[1]
     cut = np.cumsum([len(k) for _, k in cells])[:-1]
-    return _mail([(line, LINKS, cell, _pack(x.astype("<u4"))) for (cell, _), x in zip(cells, np.split(at, cut))])
+    return _mail([(line, LINKS, cell, _pack(_steps(x).astype("<u4"))) for (cell, _), x in zip(cells, np.split(at, cut))])
 
 
-def _totals(side: int):
+def _totals(side: int, sample: int):
     """Add up the shares of a row or column; each cell gets its totals."""
     def work(table: pa.Table) -> pa.Table:
         line, got = table.column("seat")[0].as_py(), _letters(table)
-        at = [_unpack(body, "<u4")[0] for _, body in got[LINKS]]
+        at = [_climb(_unpack(body, "<u4")[0]) for _, body in got[LINKS]]
         shares = [_unpack(body, "<f4", "<f8") for _, body in got[SHARES]]       # in the order of the links
         every = np.concatenate(at)
         tables, guests = (np.bincount(every, weights=np.concatenate([x[i] for x in shares])) for i in (0, 1))
-        rows = [(cell, TOTALS, _ROW if line >= -side else _COLUMN,
+        rows = [(cell, TOTALS, 2 * sample + (_ROW if line >= -side else _COLUMN),
                  _pack(tables[x].astype("<f4"), guests[x].astype("<f8"))) for (cell, _), x in zip(got[LINKS], at)]
         if line >= -side:
             rows.append((0, STATS, 0, None, float(tables.sum()), float((guests > 0).sum()), float(guests.sum()),
@@ -326,41 +331,46 @@ def _totals(side: int):
     return work
 
 
-def _opened(got: dict):
+def _cell(got: dict) -> Cell:
     size, c, n = _unpack(got[PAIRS][0][1], "<u4", "<u4", "<u4")
-    cell = Cell(np.repeat(np.arange(len(size)), size), c.astype(np.int64), n)
-    tables, total = _unpack(got[STATE][0][1], "<u4", "<f8")
-    (word_tables, word_guests), (ctx_tables, ctx_guests) = (_unpack(body, "<f4", "<f8") for _, body in got[TOTALS])
-    return cell, tables.astype(np.float64), total, word_tables.astype(np.float64), word_guests, ctx_tables.astype(np.float64), ctx_guests
+    return Cell(np.repeat(np.arange(len(size)), size), c.astype(np.int64), n)
+
+
+def _samples(got: dict) -> list[tuple]:
+    """(tables, word tables, word customers, context tables, context
+    customers) of each sample, in order; totals come by row and by column."""
+    out = []
+    for i, (_, body) in enumerate(got[STATE]):
+        rows, columns = (_unpack(got[TOTALS][2 * i + line][1], "<f4", "<f8") for line in (_ROW, _COLUMN))
+        out.append((_unpack(body, "<u4")[0].astype(np.float64), rows[0].astype(np.float64), rows[1],
+                    columns[0].astype(np.float64), columns[1]))
+    return out
 
 
-def _sweep(side: int, model: dict, number: int, counts: bool):
-    """One Gibbs sweep over a cell; ``counts`` says whether the sample of the
-    sweep before is one whose predictions are averaged."""
+def _sweep(side: int, model: dict, number: int):
+    """One Gibbs sweep over a cell."""
     def work(table: pa.Table) -> pa.Table:
-        name = table.column("seat")[0].as_py()
-        cell, tables, total, wt, _, ct, cg = _opened(_letters(table))
-        if counts:
-            p = cell.predict(model, tables, wt, ct, cg)
-            total = p if not len(total) else total + p
-        tables = cell.reseat(model, wt, ct, np.random.default_rng([SEED, number, name]))
-        rows = [(name, STATE, 0, _pack(tables.astype("<u4"), total)), *_shares(name, side, cell, tables)]
+        name, got = table.column("seat")[0].as_py(), _letters(table)
+        cell, (_, word_tables, _, context_tables, _) = _cell(got), _samples(got)[0]
+        tables = cell.reseat(model, word_tables, context_tables, np.random.default_rng([SEED, number, name]))
+        rows = [(name, STATE, number + 1, _pack(tables.astype("<u4"))), *_shares(name, side, cell, tables)]
         give_back()
         return _mail(rows)
     return work
 
 
-def _answers(model: dict, kept: int):
-    """Averages over the kept samples, the last one included, for each block."""
+def _answers(models: list[dict]):
+    """Predictions averaged over the samples, for each block."""
     def work(table: pa.Table) -> pa.Table:
         name, got = table.column("seat")[0].as_py(), _letters(table)
-        cell, tables, total, wt, wg, ct, cg = _opened(got)
-        p = cell.predict(model, tables, wt, ct, cg)
-        lp = np.log10((p if not len(total) else total + p) / kept).astype("<f4")
+        cell, total = _cell(got), 0.0
+        for model, (tables, word_tables, guests, *contexts) in zip(models, _samples(got)):
+            total = total + cell.predict(model, tables, word_tables, *contexts)
+        lp = np.log10(total / len(models)).astype("<f4")
         rows = []
         for block, body in got[PLACES]:
-            pair, word = _unpack(body, "<u4", "<u4")
-            rows.append((block, STATE, name, _pack(lp[pair], wg[word].astype("<u8"))))
+            pair, word = (_climb(x) for x in _unpack(body, "<u4", "<u4"))
+            rows.append((block, STATE, name, _pack(lp[pair], guests[word].astype("<u8"))))
         give_back()
         return _mail(rows)
     return work
@@ -376,17 +386,20 @@ def train(reports: DataFrame, side: int, burn_in: int = BURN_IN, kept: int = KEP
     links = cut_lineage(by_seat(of(found, LINKS), _linked))
     ones = of(found, PAIRS).agg(F.sum("s0"), F.sum("s1")).first()
     model: dict = {"d1": discount(ones[0] or 0.0, ones[1] or 0.0)}
-    state, tokens_, words = found, 0, 0
-    for number in range(burn_in + kept + 1):
-        totals = cut_lineage(by_seat(links.union(of(state, SHARES)), _totals(side)))
+    state, models, kept_mail = found, [], of(found, PAIRS, PLACES)
+    for number in range(burn_in + kept + 1):                  # sample 0 has one table a dish
+        totals = cut_lineage(by_seat(links.union(of(state, SHARES)), _totals(side, number)))
         sweep(spark)
-        t, words, tokens_, n1, n2 = (x or 0.0 for x in of(totals, STATS).agg(*[F.sum(f"s{i}") for i in range(5)]).first())
-        model = {**model, "tables": t, "words": words, **({} if "d0" in model else {"d0": discount(n1, n2)})}
-        mail = of(found, PAIRS).union(of(state, STATE)).union(of(totals, TOTALS))
+        t, words, total, n1, n2 = (x or 0.0 for x in of(totals, STATS).agg(*[F.sum(f"s{i}") for i in range(5)]).first())
+        model = {"d0": discount(n1, n2), **model, "tables": t, "words": words}
+        mail = of(state, STATE).union(of(totals, TOTALS))
+        if number > burn_in:
+            models.append(model)
+            kept_mail = kept_mail.union(mail)
         if number < burn_in + kept:
-            state = cut_lineage(by_seat(mail, _sweep(side, dict(model), number, number > burn_in)))
-    answers = by_seat(mail.union(of(found, PLACES)), _answers(model, kept))
-    return answers.select(F.col("seat").alias("block"), F.col("back").alias("cell"), "body"), int(tokens_), int(words)
+            state = cut_lineage(by_seat(of(found, PAIRS).union(mail), _sweep(side, model, number)))
+    answers = by_seat(kept_mail, _answers(models))
+    return answers.select(F.col("seat").alias("block"), F.col("back").alias("cell"), "body"), int(total), int(words)
 
 
 # ---- scores ----------------------------------------------------------------
@@ -422,7 +435,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base_score, score (log10 probabilities)."""
     own = repeats.slim(docs, id_col, text_col)
     blocks = repeats.n_blocks(own, block_bytes, least=1)
-    side = math.ceil(math.sqrt(max(CELLS_PER_BLOCK * blocks, partitions(docs.sparkSession))))
+    side = math.ceil(math.sqrt(max(blocks, partitions(docs.sparkSession))))
     text = repeats.text_blocks(own, blocks, "doc", "text")         # rows without an id are spread, too
     reports = cut_lineage(text.groupBy("block").applyInArrow(_report(side), _MAIL))
     answers, total, distinct = train(reports, side, **options)
