@@ -437,7 +437,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     blocks = repeats.n_blocks(own, block_bytes, least=1)
     side = math.ceil(math.sqrt(max(blocks, partitions(docs.sparkSession))))
     text = repeats.text_blocks(own, blocks, "doc", "text")         # rows without an id are spread, too
-    reports = cut_lineage(text.groupBy("block").applyInArrow(_report(side), _MAIL))
+    reports = text.groupBy("block").applyInArrow(_report(side), _MAIL)       # read once, so not written
     answers, total, distinct = train(reports, side, **options)
     out = text.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _score(side, total, distinct),
