@@ -16,8 +16,7 @@ _DEF = ScoringConfig()
 def _var(ai, ni, aj, nj, cap):
     ni_e = F.least(ni.cast("bigint"), F.lit(cap))
     nj_e = F.least(nj.cast("bigint"), F.lit(cap))
-    pi = F.least(F.greatest(ai, F.lit(0.0)), F.lit(1.0))
-    pj = F.least(F.greatest(aj, F.lit(0.0)), F.lit(1.0))
+    pi, pj = clip01(ai), clip01(aj)
     return (pi * (1 - pi)) / F.greatest(ni_e, F.lit(1)) + (pj * (1 - pj)) / F.greatest(nj_e, F.lit(1))
 
 
@@ -56,8 +55,8 @@ def layer_weight(s: Column, scale: float) -> Column:
 
 
 def clip01(x: Column) -> Column:
-    """M5."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
+    """M5; null counts as 0."""
+    return F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0))
 
 
 # ---- numpy twin (used inside the pair kernel) ------------------------------

@@ -127,6 +127,10 @@ def enough_input_lines(program, inp) -> Column:
 
 
 # ---- T9 / J6 -----------------------------------------------------------------------
+#: Whole numbers read from answers.
+WHOLE = "decimal(38,0)"
+
+
 def _last_wins_map(entries, key_type: str, val_type: str) -> Column:
     """Fold (k, v) structs into a map where a later key replaces an earlier
     one; one pass, the entries array is evaluated once."""
@@ -137,28 +141,28 @@ def _last_wins_map(entries, key_type: str, val_type: str) -> Column:
 
 def parse_assignments(c) -> Column:
     """All ``x<int>=(True|False|1|0)``; the last one wins per variable;
-    map<bigint, boolean>.  Variables too large for a long are dropped."""
+    map<decimal(38,0), boolean>, as a variable's number may pass a long."""
     c = F.coalesce(_c(c), F.lit(""))
     pat = r"x(\d+)=(True|False|1|0)"
     pairs = F.arrays_zip(F.regexp_extract_all(c, F.lit(pat), 1).alias("k"),
                          F.regexp_extract_all(c, F.lit(pat), 2).alias("v"))
-    entries = F.transform(pairs, lambda p: F.struct(p["k"].try_cast("bigint").alias("k"),
+    entries = F.transform(pairs, lambda p: F.struct(p["k"].try_cast(WHOLE).alias("k"),
                                                     F.lower(p["v"]).isin("true", "1").alias("v")))
-    return _last_wins_map(F.filter(entries, lambda p: p["k"].isNotNull()), "bigint", "boolean")
+    return _last_wins_map(F.filter(entries, lambda p: p["k"].isNotNull()), WHOLE, "boolean")
 
 
 def sat_satisfied(clauses, assignment) -> Column:
     """Every clause has a literal whose variable is assigned with the
     matching sign; an unassigned variable satisfies nothing."""
     return F.forall(_c(clauses), lambda cl: F.exists(
-        cl, lambda lit: F.coalesce(F.try_element_at(assignment, F.abs(lit).cast("bigint")) == (lit > 0),
+        cl, lambda lit: F.coalesce(F.try_element_at(assignment, F.abs(lit.cast(WHOLE))) == (lit > 0),
                                    F.lit(False))))
 
 
 # ---- T10 ---------------------------------------------------------------------------
 def parse_holes(c) -> Column:
     """Last <HOLES> block, lines ``?name = int``; blank and '#' lines skipped;
-    any other line -> null; the last value wins; map<string, bigint>."""
+    any other line -> null; the last value wins; map<string, decimal(38,0)>."""
     c = _c(c)
     blocks = F.regexp_extract_all(c, F.lit(r"(?is)<HOLES>\s*(.*?)\s*</HOLES>"), 1)
     block = F.try_element_at(blocks, F.lit(-1))
@@ -167,10 +171,10 @@ def parse_holes(c) -> Column:
     pat = r"^(\?[a-zA-Z]\w*)\s*=\s*(-?\d+)$"
     ents = F.transform(body, lambda x: F.struct(
         F.when(x.rlike(pat), F.regexp_extract(x, pat, 1)).alias("k"),
-        F.regexp_extract(x, pat, 2).try_cast("bigint").alias("v")))
+        F.regexp_extract(x, pat, 2).try_cast(WHOLE).alias("v")))
     # a bad line leaves a null key: the whole parse is null then
     ok = F.forall(ents, lambda e: e["k"].isNotNull())
-    return F.when(block.isNotNull() & ok, _last_wins_map(ents, "string", "bigint"))
+    return F.when(block.isNotNull() & ok, _last_wins_map(ents, "string", WHOLE))
 
 
 # ---- T11 / T12 ----------------------------------------------------------------------

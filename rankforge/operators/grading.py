@@ -210,7 +210,7 @@ def holes_verdict(answers, holes, domains) -> Column:
     same = (F.size(F.array_except(keys, holes)) == 0) & (F.size(F.array_except(holes, keys)) == 0)
     in_dom = F.forall(F.map_entries(answers), lambda e: F.coalesce(
         F.array_contains(F.coalesce(F.try_element_at(domains, e["key"]), F.array().cast("array<bigint>")),
-                         e["value"]), F.lit(False)))
+                         e["value"].try_cast("bigint")), F.lit(False)))
     reason = (F.when(answers.isNull(), "missing").when(~same, "not_all")
               .when(~in_dom, "domain"))
     return F.struct(reason.isNull().alias("ok"), reason.alias("reason"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rankforge import fixtures as fx
 from rankforge.functions import actions as A
-from rankforge.functions.text import sat_satisfied
+from rankforge.functions.text import WHOLE, sat_satisfied
 from rankforge.plans.catalog_text import NL, _dhash, _hash, d_strip
 
 Q: dict = {}
@@ -400,7 +400,7 @@ def sat_prompt_orders(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderkey AS item_id",
         "array(array(CAST(o_custkey % 15 + 1 AS INT), CAST(-(o_orderkey % 15 + 1) AS INT)), "
         "array(CAST(-(o_custkey % 7 + 1) AS INT), 15)) AS clauses")
-    odd = F.create_map(*[F.lit(x).cast("bigint") if j == 0 else F.lit(x % 2 == 1) for x in range(1, 16) for j in (0, 1)])
+    odd = F.create_map(*[F.lit(x).cast(WHOLE) if j == 0 else F.lit(x % 2 == 1) for x in range(1, 16) for j in (0, 1)])
     return o.select("item_id", sat_satisfied(F.col("clauses"), odd).alias("satisfied"),
                     *_hash(A.sat_prompt(F.col("clauses"), 15, 2), "prompt"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rankforge import fixtures as fx
 from rankforge.config import ScoringConfig
+from rankforge.functions import scoring as S
 from rankforge.operators import dominance as D
 from rankforge.operators import grading as G
 from rankforge.operators import ops as O
@@ -422,5 +423,41 @@ def leaderboard_full_ev(spark: SparkSession, sf: str) -> DataFrame:
     return P.leaderboard(fl, w, wt, C.EV_ENVS, burn=FULL_CFG.burn, base=0)
 
 
+# ---- A13 ---------------------------------------------------------------------------------
+@register("report_csv_li", Q["leaderboard_li"][1])
+def report_csv_li(spark: SparkSession, sf: str) -> DataFrame:
+    """The leaderboard written as CSV and read back, with its columns' types."""
+    report, path = Q["leaderboard_li"][0](spark, sf), L.scratch_path(spark, "report")
+    L.write_report(report, path)
+    return spark.read.schema(report.schema).option("header", True).csv(path)
+
+
+# ---- M1 - M3, M5 as columns: every participant against the mean of its env ------------------
+_Z = ScoringConfig(z_not_worse=1.5, z_win=0.75)
+
+
+@register("env_verdict_ev", fx.duck_with("fx_ev") + f""",
+a AS (SELECT participant, env, sum(score) * 3 / count(*) - 1 AS acc, count(*) AS n FROM fx_ev GROUP BY ALL),
+b AS (SELECT env, sum(score) / count(*) AS acc, count(*) AS n FROM fx_ev GROUP BY ALL),
+v AS (SELECT participant, a.env, a.acc AS ai, b.acc AS aj,
+             least(greatest(a.acc, 0.0), 1.0) AS pi, least(greatest(b.acc, 0.0), 1.0) AS pj,
+             least(a.n, {_Z.sample_count_cap}) AS ni, least(b.n, {_Z.sample_count_cap}) AS nj FROM a JOIN b USING (env)),
+s AS (SELECT *, sqrt(greatest(pi * (1 - pi) / greatest(ni, 1) + pj * (1 - pj) / greatest(nj, 1), 0.0)) AS sd FROM v),
+t AS (SELECT *, greatest({_Z.eps_floor}, {_Z.z_not_worse} * sd) AS nw, greatest({_Z.eps_win}, {_Z.z_win} * sd) AS win FROM s)
+SELECT participant, env, CAST(pi AS DOUBLE) AS clipped, CAST(nw AS DOUBLE) AS not_worse, CAST(least(win, nw) AS DOUBLE) AS better_by,
+       ai < aj - nw AS worse, ai >= aj + least(win, nw) AS better, NOT (abs(ai - aj) > nw) AS tie FROM t""")
+def env_verdict_ev(spark: SparkSession, sf: str) -> DataFrame:
+    """Accuracies are stretched beyond 0 and 1, so that clipping counts."""
+    e = fx.fx_ev(spark, sf)
+    a = e.groupBy("participant", "env").agg((F.sum("score") * 3 / F.count("*") - 1).alias("ai"), F.count("*").alias("ni"))
+    b = e.groupBy("env").agg((F.sum("score") / F.count("*")).alias("aj"), F.count("*").alias("nj"))
+    x = [F.col(c) for c in ("ai", "ni", "aj", "nj")]
+    nw = S.threshold_not_worse(*x, _Z)
+    v = S.env_verdict(*x, _Z)
+    return a.join(b, "env").select("participant", "env", S.clip01(F.col("ai")).alias("clipped"), nw.alias("not_worse"),
+                                   S.threshold_better(*x, nw, _Z).alias("better_by"), v["worse"].alias("worse"),
+                                   v["better"].alias("better"), v["tie"].alias("tie"))
+
+
 QUERIES = {k: v[0] for k, v in Q.items()}
 ORACLE = {k: v[1] for k, v in Q.items() if v[1] is not None}

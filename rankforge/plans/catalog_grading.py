@@ -407,5 +407,25 @@ def grade_all_mixed(spark: SparkSession, sf: str) -> DataFrame:
     return _registry().grade_all(mixed)
 
 
+
+# ---- U2: a user's grader over the recorded responses of planned tasks -------------------
+@register("evaluate_tasks_orders", """
+SELECT c.c_custkey AS uid, o.o_orderkey AS item_id,
+       CAST(CASE WHEN o.o_orderstatus <> 'P' AND o.o_totalprice >= 1000 * (o.o_custkey % 200) THEN 1 ELSE 0 END AS DOUBLE) AS score,
+       CASE WHEN o.o_orderstatus = 'P' THEN 'no_response'
+            WHEN o.o_totalprice >= 1000 * (o.o_custkey % 200) THEN 'high' ELSE 'low' END AS reason
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey""")
+def evaluate_tasks_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Each customer's orders are the planned tasks; pending ones have no response."""
+    orders = _tbl(spark, sf, "orders")
+    tasks = orders.join(_tbl(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")) \
+        .selectExpr("c_custkey AS uid", "o_orderkey AS item_id")
+    said = orders.where("o_orderstatus <> 'P'").selectExpr(
+        "o_custkey AS uid", "o_orderkey AS item_id", "o_totalprice AS got", "1000 * (o_custkey % 200) AS least")
+    high = F.col("got") >= F.col("least")
+    mine = F.struct(F.when(high, 1.0).otherwise(0.0).alias("score"), F.when(high, "high").otherwise("low").alias("reason"))
+    return G.evaluate_rows(tasks, said, mine, ["uid", "item_id"])
+
+
 QUERIES = {k: v[0] for k, v in Q.items()}
 ORACLE = {k: v[1] for k, v in Q.items() if v[1] is not None}

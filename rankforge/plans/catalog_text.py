@@ -279,8 +279,8 @@ def holes_orders(spark: SparkSession, sf: str) -> DataFrame:
     d = d.select("o_orderkey", T.parse_holes("x").alias("m"))
     m = F.col("m")
     return d.select("o_orderkey", m.isNull().alias("is_null"),
-                    F.try_element_at(m, F.lit("?a")).alias("hole_a"),
-                    F.try_element_at(m, F.lit("?b")).alias("hole_b"),
+                    F.try_element_at(m, F.lit("?a")).cast("bigint").alias("hole_a"),
+                    F.try_element_at(m, F.lit("?b")).cast("bigint").alias("hole_b"),
                     F.size(m).alias("n_holes")).withColumn(
         "n_holes", F.when(F.col("is_null"), F.lit(None)).otherwise(F.col("n_holes")))
 

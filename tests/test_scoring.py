@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankforge.config import ScoringConfig
-from rankforge.functions.scoring import env_verdict, np_masks, threshold_better, threshold_not_worse
+from rankforge.functions.scoring import clip01, env_verdict, np_masks, threshold_better, threshold_not_worse
 from rankforge.operators import dominance as D
 from rankforge.operators import results as R
 from rankforge.plans import scoring as P
@@ -172,3 +172,8 @@ def test_weights_sum_to_one(spark):
         out = P.weights(spark, fl, w, dom, 6, cfg).collect()
         assert sum(r.weight for r in out) == pytest.approx(1.0)
         assert sorted(r.ord for r in out) == list(range(len(out)))
+
+
+def test_clip01(spark):
+    df = spark.createDataFrame([(-0.5, 0.0), (0.25, 0.25), (1.5, 1.0), (None, 0.0)], "x double, want double")
+    assert all(r.c == r.want for r in df.select(clip01(F.col("x")).alias("c"), "want").collect())

@@ -119,7 +119,8 @@ def test_shorten(spark):
 
 def test_parse_assignments_and_sat(spark):
     rows = [("x1=True x2=0 x1=False", [[1], [-2]]), ("x1=10 x3=1", [[1, 3]]),
-            ("nothing", [[1]]), ("x5=1 x5=True x2=False", [[5], [2, -2]]), (None, [])]
+            ("nothing", [[1]]), ("x5=1 x5=True x2=False", [[5], [2, -2]]), (None, []),
+            ("x18446744073709551617=1 x007=True x18446744073709551617=False", [[7]])]
     df = spark.createDataFrame(rows, "s string, cl array<array<int>>")
     out = df.select("s", "cl", T.parse_assignments("s").alias("m"),
                     T.sat_satisfied(F.col("cl"), T.parse_assignments("s")).alias("ok")).collect()
@@ -147,7 +148,8 @@ def _holes_py(text):
 
 def test_parse_holes(spark):
     texts = ["<HOLES>\n?a = 1\n# c\n\n?b=-2\n?a = 3\n</HOLES>", "<holes>?x=1</holes><HOLES>?y = 2</HOLES>",
-             "<HOLES>\n?a = 1\nbad line\n</HOLES>", "no block", "<HOLES></HOLES>", "<HOLES>?a = x</HOLES>"]
+             "<HOLES>\n?a = 1\nbad line\n</HOLES>", "no block", "<HOLES></HOLES>", "<HOLES>?a = x</HOLES>",
+             "<HOLES>?a = -99999999999999999999\n?b = 007</HOLES>"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     for r in df.select("t", T.parse_holes("t").alias("m")).collect():
         want = _holes_py(r.t)
