@@ -29,6 +29,12 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once a row however often it is
+    read: the reads are of a lambda's variable, which no projection is folded into."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def py_strip(c) -> Column:
     return F.btrim(_c(c), F.lit(PY_WS_CHARS))
 
@@ -68,7 +74,7 @@ def has_tag_block(c, tag: str) -> Column:
 
 def tidy_block(c) -> Column:
     """strip, splitlines, rstrip each line, drop trailing blank lines, join."""
-    lines = rstrip_lines(py_splitlines(py_strip(c)))
+    lines = once(py_strip(c), lambda x: rstrip_lines(py_splitlines(x)))
     return F.regexp_replace(F.array_join(lines, "\n"), r"\n+\z", "")
 
 
@@ -165,16 +171,17 @@ def parse_holes(c) -> Column:
     any other line -> null; the last value wins; map<string, decimal(38,0)>."""
     c = _c(c)
     blocks = F.regexp_extract_all(c, F.lit(r"(?is)<HOLES>\s*(.*?)\s*</HOLES>"), 1)
-    block = F.try_element_at(blocks, F.lit(-1))
-    lines = F.transform(py_splitlines(py_strip(block)), lambda x: py_strip(x))
-    body = F.filter(lines, lambda x: (x != "") & ~F.startswith(x, F.lit("#")))
     pat = r"^(\?[a-zA-Z]\w*)\s*=\s*(-?\d+)$"
-    ents = F.transform(body, lambda x: F.struct(
-        F.when(x.rlike(pat), F.regexp_extract(x, pat, 1)).alias("k"),
-        F.regexp_extract(x, pat, 2).try_cast(WHOLE).alias("v")))
-    # a bad line leaves a null key: the whole parse is null then
-    ok = F.forall(ents, lambda e: e["k"].isNotNull())
-    return F.when(block.isNotNull() & ok, _last_wins_map(ents, "string", WHOLE))
+
+    def entries(block: Column) -> Column:
+        lines = F.transform(once(py_strip(block), py_splitlines), lambda x: py_strip(x))
+        body = F.filter(lines, lambda x: (x != "") & ~F.startswith(x, F.lit("#")))
+        return F.transform(body, lambda x: F.struct(
+            F.when(x.rlike(pat), F.regexp_extract(x, pat, 1)).alias("k"),
+            F.regexp_extract(x, pat, 2).try_cast(WHOLE).alias("v")))
+    # a bad line leaves a null key: the whole parse is null then; so it is without a block, which has null entries
+    return once(once(F.try_element_at(blocks, F.lit(-1)), entries), lambda e: F.when(
+        e.isNotNull() & F.forall(e, lambda x: x["k"].isNotNull()), _last_wins_map(e, "string", WHOLE)))
 
 
 # ---- T11 / T12 ----------------------------------------------------------------------

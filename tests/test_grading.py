@@ -113,3 +113,13 @@ def test_user_grader_over_recorded_rows(spark):
                                  "uid int, item_id int, response string, expected int")
     got = {(r.uid, r.item_id): (r.score, r.reason) for r in G.evaluate_rows(tasks, resp, G.grade_answer(), ["uid", "item_id"]).collect()}
     assert got == {(1, 10): (1.0, None), (1, 11): (0.0, "no_response"), (2, 10): (0.0, None)}
+
+
+def test_answers_are_parsed_once_a_row(spark):
+    """However often a verdict reads them, the block's regex is there once."""
+    df = spark.createDataFrame([(1, "<HOLES>\n?a = 3\n?b = 1\n</HOLES>", ["?a", "?b"], ["x\n"], ["x"]), (2, None, ["?a"], ["x"], [None])],
+                               "item_id int, response string, holes array<string>, expected_runs array<string>, got_runs array<string>")
+    df = df.selectExpr("*", "map('?a', sequence(0L, 5L), '?b', sequence(0L, 5L)) as domains")
+    out = df.select("item_id", F.inline(F.array(G.grade_holes())))
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 1.0, "ok"), (2, 0.0, "missing")]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("<HOLES>") == 1
