@@ -105,11 +105,19 @@ def payload_to_text(j) -> Column:
     strings stay in the JVM; only other values go through Arrow."""
     j = F.col(j) if isinstance(j, str) else j
     j = F.coalesce(j, F.lit("null"))
-    v = F.try_parse_json(j)
-    kind = F.schema_of_variant(v)
+    return _text_of_kind(j, _json_kind(j))
+
+
+def _json_kind(j: Column) -> Column:
+    """The type of JSON text, null for other text."""
+    return F.schema_of_variant(F.try_parse_json(j))
+
+
+def _text_of_kind(j: Column, kind: Column) -> Column:
+    """J4 over JSON text of that type."""
     plain = F.when(kind == "STRING", F.get_json_object(j, "$")) \
         .when(kind == "ARRAY<STRING>", F.array_join(F.from_json(j, "array<string>"), "\n", "null"))
-    return F.coalesce(plain, _nested_text(F.when(v.isNotNull() & ~kind.isin("STRING", "ARRAY<STRING>"), j)))
+    return F.coalesce(plain, _nested_text(F.when(~kind.isin("STRING", "ARRAY<STRING>"), j)))
 
 
 def case_expectation(ctype, output_json) -> Column:
@@ -119,13 +127,15 @@ def case_expectation(ctype, output_json) -> Column:
     for output text that isn't JSON."""
     ctype = F.col(ctype) if isinstance(ctype, str) else ctype
     o = F.col(output_json) if isinstance(output_json, str) else output_json
-    o = F.coalesce(o, F.lit("null"))
-    v = F.try_parse_json(o)
+    return payload_to_text(_expected_json(ctype, o, F.try_parse_json(F.coalesce(o, F.lit("null")))))
+
+
+def _expected_json(ctype: Column, o: Column, v: Column) -> Column:
+    """The JSON text that a case's expectation is made of; ``v`` is the parsed ``o``."""
     is_list = F.startswith(F.schema_of_variant(v), F.lit("ARRAY"))
     first = F.to_json(F.try_variant_get(v, "$[0]", "variant"))
-    take = (ctype == "function_call") & F.coalesce(is_list, F.lit(False)) & first.isNotNull()
-    return payload_to_text(F.when(take, first).when(ctype.isin("stdin_stdout", "function_call"), o)
-                           .otherwise(F.lit("{")))
+    return F.coalesce(F.when((ctype == "function_call") & is_list, first),
+                      F.when(ctype.isin("stdin_stdout", "function_call"), F.coalesce(o, F.lit("null"))).otherwise(F.lit("{")))
 
 
 def case_passes(expected: Column, got: Column, stderr: Column) -> Column:
@@ -141,9 +151,16 @@ def grade_cases(cases: DataFrame, item: str = "item_id") -> DataFrame:
     unknown type do not count; score 1 iff all counted cases pass (an item
     whose cases are all of unknown type scores 1.0).
 
-    ``cases``: item, type, output (JSON text or null), got, stderr."""
+    ``cases``: item, type, output (JSON text or null), got, stderr.  They are
+    dealt to all tasks before they are parsed, whatever the files they come
+    from, and what is read more than once is a column, so computed once a row."""
     known = F.col("type").isin("stdin_stdout", "function_call")
-    c = cases.withColumn("_exp", case_expectation("type", "output"))
+    c = cases.repartition(int(cases.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # only a call's output is looked into
+    c = c.withColumn("_v", F.when(F.col("type") == "function_call", F.try_parse_json(F.coalesce("output", F.lit("null")))))
+    c = c.withColumn("_json", _expected_json(F.col("type"), F.col("output"), F.col("_v")))
+    c = c.withColumn("_kind", _json_kind(F.col("_json")))
+    c = c.withColumn("_exp", _text_of_kind(F.col("_json"), F.col("_kind")))
     correct = case_passes(F.col("_exp"), F.col("got"), F.col("stderr"))
     g = c.groupBy(item).agg(F.count_if(known & correct).alias("passed"), F.count_if(known).alias("total"))
     return g.withColumn("score", F.when(F.col("passed") == F.col("total"), 1.0).otherwise(0.0))

@@ -123,3 +123,11 @@ def test_answers_are_parsed_once_a_row(spark):
     out = df.select("item_id", F.inline(F.array(G.grade_holes())))
     assert sorted(tuple(r) for r in out.collect()) == [(1, 1.0, "ok"), (2, 0.0, "missing")]
     assert out._jdf.queryExecution().optimizedPlan().toString().count("<HOLES>") == 1
+
+
+def test_cases_of_one_file_are_dealt_to_all_tasks(spark):
+    rows = [(i, "function_call", '[["a", 1], 2]', "a\n1", "") for i in range(8)]
+    cases = spark.createDataFrame(rows, "item_id long, type string, output string, got string, stderr string").coalesce(1)
+    graded = G.grade_cases(cases)
+    assert "RoundRobinPartitioning" in graded._jdf.queryExecution().executedPlan().toString()
+    assert [(r.passed, r.total, r.score) for r in graded.collect()] == [(1, 1, 1.0)] * 8
