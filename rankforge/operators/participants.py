@@ -225,15 +225,13 @@ def ttl_lookup(requests: DataFrame, fetches: DataFrame, ttl: float, chunk_second
     (key, chunk) only, so a hot key is split by time."""
     from pyspark.sql import Window
     ch = lambda t: F.floor(t / F.lit(chunk_seconds)).cast("bigint")
-    if on_failure == "restamp":      # what the failed fetch found in the cache, under its own time
-        failed = fetches.filter(F.col("value").isNull()).select(key, F.col("ts").alias("now")).distinct()
-        kept = ttl_lookup(failed, fetches, ttl, chunk_seconds, key)
-        fetches = fetches.select(key, F.col("ts").cast("double").alias("ts"), F.col("value").cast("string").alias("value")) \
-            .unionByName(kept.select(key, F.col("now").alias("ts"), "value"))
-    f = (fetches.filter(F.lit(on_failure == "null") | F.col("value").isNotNull())
+    fetched = F.lit(on_failure != "ignore") | F.col("value").isNotNull()
+    f = (fetches.filter(fetched)
          .select(key, F.col("ts").cast("double").alias("_t"), F.col("value").cast("string").alias("_v"))
          .groupBy(key, "_t").agg(F.max("_v").alias("_v")))          # one value per (key, instant)
     f = f.withColumn("_c", ch(F.col("_t")))
+    if on_failure == "restamp":
+        return _restamped(requests, f, ttl, ch, key)
     last_in_chunk = last_rows(f, [key, "_c"], "_t").select(key, "_c", F.struct("_t", "_v").alias("_lf"))
     r = requests.select(key, F.col("now").cast("double").alias("_t")).withColumn("_c", ch(F.col("_t")))
     # carried-in value per (key, chunk): running max over the small chunk table
@@ -249,3 +247,29 @@ def ttl_lookup(requests: DataFrame, fetches: DataFrame, ttl: float, chunk_second
     age = F.col("_t") - best["_t"]
     return u.select(key, F.col("_t").alias("now"), best["_v"].alias("value"), age.alias("age"),
                     F.when(best.isNull(), F.lit(None)).otherwise(age >= F.lit(float(ttl))).alias("is_stale"))
+
+
+def _restamped(requests: DataFrame, f: DataFrame, ttl: float, ch, key: str) -> DataFrame:
+    """``ttl_lookup`` where a failure keeps the value before it under its own
+    time, in one pass: a request gets the latest successful value, under the
+    time of the latest fetch of any kind."""
+    from pyspark.sql import Window
+    some = F.when(F.col("_v").isNotNull(), F.struct("_t", "_v"))
+    tried = F.struct("_t")
+    last_in_chunk = f.groupBy(key, "_c").agg(F.max(some).alias("_lf"), F.max(tried).alias("_la"))
+    r = requests.select(key, F.col("now").cast("double").alias("_t")).withColumn("_c", ch(F.col("_t")))
+    chunks = r.select(key, "_c").distinct().join(last_in_chunk, [key, "_c"], "full")
+    run = Window.partitionBy(key).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    carry = chunks.select(key, "_c", F.max("_lf").over(run).alias("_in"), F.max("_la").over(run).alias("_ina"))
+    u = (r.select(key, "_c", "_t", F.lit(1).alias("_r"), F.lit(None).cast("string").alias("_v"))
+         .unionByName(f.select(key, "_c", "_t", F.lit(0).alias("_r"), "_v")))
+    w = Window.partitionBy(key, "_c").orderBy("_t", "_r").rowsBetween(Window.unboundedPreceding, 0)
+    mine = F.col("_r") == 0
+    u = u.withColumn("_lf", F.last(F.when(mine, some), ignorenulls=True).over(w)) \
+        .withColumn("_la", F.last(F.when(mine, tried), ignorenulls=True).over(w))
+    u = u.filter(F.col("_r") == 1).join(carry, [key, "_c"], "left")
+    value = F.coalesce(F.col("_lf"), F.col("_in"))
+    at = F.when(value.isNotNull(), F.coalesce(F.col("_la"), F.col("_ina"))["_t"])
+    age = F.col("_t") - at
+    return u.select(key, F.col("_t").alias("now"), value["_v"].alias("value"), age.alias("age"),
+                    F.when(value.isNull(), F.lit(None)).otherwise(age >= F.lit(float(ttl))).alias("is_stale"))

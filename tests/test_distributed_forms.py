@@ -70,3 +70,19 @@ def test_last_rows(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("b", 2, "z")], "k string, pos long, v string")
     assert {(r.k, r.v) for r in last_rows(df, ["k"], "pos").collect()} == {("a", "y"), ("b", "z")}
     assert {(r.k, r.v) for r in last_rows(df, ["k"], "pos", first=True).collect()} == {("a", "x"), ("b", "z")}
+
+
+def test_restamped_lookup_matches_the_walk(spark):
+    rng = random.Random(4)
+    fetches = [(rng.choice("xy"), float(rng.randint(0, 900) * 400), rng.choice(["a", "b", None, None])) for _ in range(400)]
+    reqs = {(rng.choice("xyz"), float(rng.randint(0, 400_000))) for _ in range(300)}
+    f = spark.createDataFrame(fetches, "model string, ts double, value string")
+    r = spark.createDataFrame(sorted(reqs), "model string, now double")
+    res = PT.ttl_lookup(r, f, 3600.0, 86400.0, on_failure="restamp")
+    assert res._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") <= 4     # each table twice
+    got = {(x.model, x.now): (x.value, x.age, x.is_stale) for x in res.collect()}
+    for m, now in reqs:
+        upto = [(t, v) for mm, t, v in fetches if mm == m and t <= now]
+        good = [(t, v) for t, v in upto if v is not None]
+        age = now - max(t for t, _ in upto) if good else None
+        assert got[(m, now)] == ((max(good)[1], age, age >= 3600.0) if good else (None, None, None))
