@@ -99,11 +99,12 @@ def shard_faults_ev(spark: SparkSession, sf: str) -> DataFrame:
     """A tail read where one shard in five is gone and one in five is cut off."""
     whole, path = L.scratch_path(spark, "shards"), L.scratch_path(spark, "shards-faulty")
     L.write_shards(L.upload_batches(_nested_ev(spark, sf), "hotkey", ["ts", "seq_id"], F.col("epoch_day")), whole)
-    text = spark.read.text(whole, wholetext=True)
+    with L.few_listing_tasks(spark):
+        text = spark.read.text(whole, wholetext=True)
     number = F.regexp_extract("shard", L.SHARD_NAME, 3).cast("bigint") % 5
     text.filter(number != 1).withColumn("value", F.when(number == 2, F.expr("substring(value, 1, length(value) - 9)"))
                                         .otherwise(F.col("value"))).write.partitionBy("shard").text(path)
-    index = spark.read.format("binaryFile").load(whole).select(F.col("shard").alias("key")).distinct()
+    index = L.shard_names(spark, whole)
     good, _, faults = L.read_tail_shards(spark, path, index, CUR_BLOCK, TAIL_BLOCKS, envs=EV_ENVS)
     seq = F.col("seq")
     name = F.concat(shard_key(seq["window"], seq["uploader"], seq["upload_ns"]), F.lit(".json"))

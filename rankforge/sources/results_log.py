@@ -13,6 +13,7 @@ one bad result does not drop its shard: bad ones go to a quarantine.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,6 +127,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession):
+    """Spark lists folders by a task each, up to 10,000 of them.  A shard's
+    folder holds one file, so starting the tasks would be most of the work;
+    here a core gets two tasks that list many folders each."""
+    before = spark.conf.get(LISTING_TASKS)
+    spark.conf.set(LISTING_TASKS, str(min(int(before), 2 * max(1, spark.sparkContext.defaultParallelism))))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING_TASKS, before)
+
+
+def shard_names(spark: SparkSession, path: str) -> DataFrame:
+    """(key): the shards in a folder as ``write_shards`` lays it out; no content is read."""
+    with few_listing_tasks(spark):
+        return spark.read.format("binaryFile").load(path).select(F.col("shard").alias("key")).distinct()
+
+
 # ---- A13 -----------------------------------------------------------------------------
 def write_report(report: DataFrame, path: str, order: str = "rank") -> None:
     """Leaderboard sink: the report as CSV with a header, in report order.
@@ -146,8 +169,9 @@ def read_shards(spark: SparkSession, path: str, ignore_missing: bool = True,
     reason instead of being dropped silently (A5); files that vanish or are
     corrupt are skipped (A6).  Every row carries the total order
     ``seq = (window, uploader, upload_ns, pos)``."""
-    raw = (spark.read.option("ignoreMissingFiles", ignore_missing).option("ignoreCorruptFiles", True)
-           .text(path, wholetext=True))
+    with few_listing_tasks(spark):
+        raw = (spark.read.option("ignoreMissingFiles", ignore_missing).option("ignoreCorruptFiles", True)
+               .text(path, wholetext=True))
     # the key names the file, or its folder in the layout of write_shards
     file = F.col("shard") if "shard" in raw.columns else F.col("_metadata.file_name")
     raw = raw.select("value", file.alias("file")).filter(F.col("file").rlike(SHARD_NAME))
@@ -186,7 +210,7 @@ def read_tail_shards(spark: SparkSession, path: str, index: DataFrame, cur: int,
     lo, hi = (cur - tail) - ((cur - tail) % w), cur - (cur % w)
     due = index.select(F.col("key").cast("string").alias("key")).distinct() \
         .filter(F.regexp_extract("key", SHARD_NAME, 1).try_cast("bigint").between(lo, hi))
-    there = spark.read.format("binaryFile").load(path).select(F.col("shard").alias("key")).distinct()   # names only, no content
+    there = shard_names(spark, path)
     good, bad = read_shards(spark, path, envs=envs, windows=(lo, hi))
     broken = bad.filter(F.col("reason") == "not_an_array").select(
         F.concat(shard_key(F.col("window"), F.col("uploader"), F.col("upload_ns")), F.lit(".json")).alias("key"),
@@ -198,8 +222,9 @@ def read_tail_shards(spark: SparkSession, path: str, index: DataFrame, cur: int,
 def shard_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The listing of shards under ``path``: key, window, uploader,
     upload_ns, modified (from file metadata; no file content is read)."""
-    m = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
-         .select(F.col("path"), F.col("modificationTime").alias("modified")))
+    with few_listing_tasks(spark):
+        m = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
+             .select(F.col("path"), F.col("modificationTime").alias("modified")))
     key = F.regexp_extract("path", r"([^/]+)$", 1)
     return m.select(key.alias("key"), F.regexp_extract(key, SHARD_NAME, 1).cast("bigint").alias("window"),
                     F.regexp_extract(key, SHARD_NAME, 2).alias("uploader"),

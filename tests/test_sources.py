@@ -82,3 +82,18 @@ def test_micro_batch_replay_is_idempotent(spark):
     w(df, 7)          # the same micro-batch replayed after a failure
     w(df.limit(1), 8)
     assert spark.read.parquet(d).count() == 3
+
+
+def test_shards_are_listed_by_few_tasks(spark, tmp_path):
+    path = str(tmp_path / "shards")
+    spark.range(60).selectExpr("concat(lpad(cast(id AS string), 9, '0'), '-up-0.json') AS shard", "'[]' AS value") \
+        .write.partitionBy("shard").text(path)
+    before, tracker = spark.conf.get(L.LISTING_TASKS), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        names = L.shard_names(spark, path)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("listing")]
+    assert names.count() == 60 and spark.conf.get(L.LISTING_TASKS) == before
+    assert jobs and all(tracker.getStageInfo(s).numTasks <= 2 * spark.sparkContext.defaultParallelism for j in jobs for s in j.stageIds)
