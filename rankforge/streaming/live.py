@@ -34,6 +34,11 @@ from rankforge.sources.results_log import scratch_path, write_results
 
 
 # ---- plumbing ------------------------------------------------------------------------------
+def _tasks(df: DataFrame) -> int:
+    """Partitions of a shuffle that the engine should not join into fewer, larger ones."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def stage_files(df: DataFrame, part_col: str, path: str, slots: int) -> list[str]:
     """Fixture staging: up to ``slots`` folders that follow each other in
     ``part_col`` (a day number), cut at equal parts of its range; returns
@@ -43,7 +48,7 @@ def stage_files(df: DataFrame, part_col: str, path: str, slots: int) -> list[str
         return []
     step = max(1, -(-(hi - lo + 1) // slots))
     df.withColumn("_slot", F.floor((F.col(part_col) - lo) / step).cast("int")) \
-        .write.partitionBy("_slot").parquet(path)
+        .repartition(_tasks(df)).write.partitionBy("_slot").parquet(path)
     return [f"{path}/_slot={i}" for i in range(-(-(hi - lo + 1) // step))]
 
 
@@ -138,7 +143,8 @@ def sliding_sums(panes: DataFrame, keys: Sequence[str], pane: str, k: int, sums:
     slots = p.select(*own).distinct().select(*own, F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_o"))
     empty = slots.select(*own, "_o", *[F.lit(0).cast(dict(p.dtypes)[c]).alias(c) for c in sums], F.lit(0).alias("_here"),
                          F.lit(True).alias("_slot"))
-    both = p.withColumn("_slot", F.lit(False)).unionByName(empty)
+    # two sorts hold a task's rows at once, so there are as many tasks as a shuffle may have
+    both = p.withColumn("_slot", F.lit(False)).unionByName(empty).repartition(_tasks(panes), *own)
     upto = Window.partitionBy(*own).orderBy("_o").rangeBetween(Window.unboundedPreceding, 0)
     onward = Window.partitionBy(*own).orderBy(F.desc("_o")).rangeBetween(Window.unboundedPreceding, 0)
     named = [*sums, "_here"]
@@ -335,7 +341,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], batch: str = "microbatch"
     """The last emitted row per key across update-mode batches; a key whose
     last row says that its state expired is gone."""
     cols = [c for c in df.columns if c not in keys and c != batch]
-    g = df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col(batch)).alias("_l"))
+    g = df.repartition(_tasks(df), *keys).groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col(batch)).alias("_l"))
     out = g.select(*keys, "_l.*")
     return out.where("not expired") if "expired" in cols else out
 
