@@ -181,6 +181,9 @@ def _us(ts: pd.Series) -> np.ndarray:
 
 
 def _eq(a: pd.Series, b: pd.Series) -> pd.Series:
+_NO_TIME = -(1 << 63)
+
+
     return (a == b) | (a.isna() & b.isna())
 
 
@@ -254,6 +257,21 @@ def live_runs(stream: DataFrame, envs: Sequence[str], tail_seconds: int, waterma
 
 # ---- I5 ------------------------------------------------------------------------------------
 STALL_STATE = T.StructType([T.StructField("last_us", T.LongType())])
+def _us_column(df: DataFrame, ts: str = "ts") -> F.Column:
+    """Microseconds of the wall-clock time, as the stateful functions sort it; null comes first."""
+    from rankforge.operators.results import epoch_micros
+    return F.coalesce(epoch_micros(ts, dict(df.dtypes)[ts]), F.lit(_NO_TIME)).alias("_us")
+
+
+def _in_order(pdfs: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray]:
+    """(times, event ids) of a key's rows of a micro-batch, by both.  Arrays
+    only: a key has few rows, so what a data frame costs would be most of it."""
+    parts = [(p["_us"].to_numpy(), p["event_id"].to_numpy()) for p in pdfs]
+    us, ids = parts[0] if len(parts) == 1 else (np.concatenate(c) for c in zip(*parts))
+    by = np.lexsort((ids, us))
+    return us[by], ids[by]
+
+
 STALL_OUT = T.StructType([T.StructField("key", T.LongType()), T.StructField("event_id", T.LongType()),
                           T.StructField("gap", T.DoubleType()), T.StructField("silent_since_us", T.LongType())])
 
@@ -370,7 +388,7 @@ def flush_fn(size: int, age_s: float):
             out[i:end] = batch
             cnt, i = cnt + end - i, end
         state.update((int(batch), int(start), int(cnt)))
-        yield pd.DataFrame({"producer": key[0], "event_id": rows["event_id"].to_numpy(), "batch": out})
+        yield pd.DataFrame({"producer": key[0], "event_id": ids, "batch": out})
     return fn
 
 
@@ -379,6 +397,6 @@ def flush_batches(stream: DataFrame, producer: str, size: int, age_s: float) ->
     ``size`` items or when an item arrives ``age_s`` after the batch's first
     one.  The rule is sequential per producer, so it runs as per-producer
     streaming state, one bounded micro-batch at a time."""
-    return stream.select(F.col(producer).cast("bigint").alias(producer), "ts", "event_id").groupBy(producer) \
+    return stream.select(F.col(producer).cast("bigint").alias(producer), _us_column(stream), "event_id").groupBy(producer) \
         .applyInPandasWithState(flush_fn(size, age_s), FLUSH_OUT, FLUSH_STATE, "append",
                                 GroupStateTimeout.NoTimeout)
