@@ -42,7 +42,8 @@ def _tasks(df: DataFrame) -> int:
 def stage_files(df: DataFrame, part_col: str, path: str, slots: int) -> list[str]:
     """Fixture staging: up to ``slots`` folders that follow each other in
     ``part_col`` (a day number), cut at equal parts of its range; returns
-    their paths in order.  Every task writes; only the range is collected."""
+    their paths in order.  Rows are dealt to all tasks first, since a task sorts
+    what it writes, however few files the table has; only the range is collected."""
     lo, hi = df.agg(F.min(part_col), F.max(part_col)).first()
     if lo is None:
         return []
@@ -180,10 +181,10 @@ def _us(ts: pd.Series) -> np.ndarray:
     return ts.to_numpy().astype("int64")
 
 
-def _eq(a: pd.Series, b: pd.Series) -> pd.Series:
 _NO_TIME = -(1 << 63)
 
 
+def _eq(a: pd.Series, b: pd.Series) -> pd.Series:
     return (a == b) | (a.isna() & b.isna())
 
 
@@ -256,7 +257,6 @@ def live_runs(stream: DataFrame, envs: Sequence[str], tail_seconds: int, waterma
 
 
 # ---- I5 ------------------------------------------------------------------------------------
-STALL_STATE = T.StructType([T.StructField("last_us", T.LongType())])
 def _us_column(df: DataFrame, ts: str = "ts") -> F.Column:
     """Microseconds of the wall-clock time, as the stateful functions sort it; null comes first."""
     from rankforge.operators.results import epoch_micros
@@ -272,6 +272,7 @@ def _in_order(pdfs: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray]:
     return us[by], ids[by]
 
 
+STALL_STATE = T.StructType([T.StructField("last_us", T.LongType())])
 STALL_OUT = T.StructType([T.StructField("key", T.LongType()), T.StructField("event_id", T.LongType()),
                           T.StructField("gap", T.DoubleType()), T.StructField("silent_since_us", T.LongType())])
 
@@ -286,10 +287,8 @@ def stall_fn(timeout_s: float):
             yield pd.DataFrame({"key": [key[0]], "event_id": pd.array([None], dtype="Int64"), "gap": [np.nan],
                                 "silent_since_us": pd.array([last], dtype="Int64")})
             return
-        rows = pd.concat(list(pdfs), ignore_index=True)
-        rows = rows.assign(_us=_us(rows["ts"])).sort_values(["_us", "event_id"], kind="stable")
+        us, ids = _in_order(pdfs)
         prev = state.get[0] if state.exists else None
-        us = rows["_us"].to_numpy()
         before = np.concatenate([[prev if prev is not None else -1], us[:-1]])
         gap = (us - before) / 1e6
         if prev is None:
@@ -297,8 +296,9 @@ def stall_fn(timeout_s: float):
         hit = gap > timeout_s
         state.update((int(us[-1]),))
         state.setTimeoutTimestamp(max(int(us[-1]) // 1000 + wait_ms, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"key": key[0], "event_id": pd.array(rows["event_id"].to_numpy()[hit], dtype="Int64"),
-                            "gap": gap[hit], "silent_since_us": pd.array([None] * int(hit.sum()), dtype="Int64")})
+        if hit.any():
+            yield pd.DataFrame({"key": key[0], "event_id": pd.array(ids[hit], dtype="Int64"),
+                                "gap": gap[hit], "silent_since_us": pd.array([None] * int(hit.sum()), dtype="Int64")})
     return fn
 
 
@@ -307,7 +307,7 @@ def stall_alarms(stream: DataFrame, key: str, timeout_s: float, watermark: str =
     (``silent_since_us``, by an event-time timer, so also when it never comes
     back), and a row for the heartbeat that ends such a gap."""
     s = event_time(stream).withWatermark("ts", watermark)
-    return s.select(F.col(key).cast("bigint").alias(key), "ts", "event_id").groupBy(key) \
+    return s.select(F.col(key).cast("bigint").alias(key), "ts", _us_column(s), "event_id").groupBy(key) \
         .applyInPandasWithState(stall_fn(timeout_s), STALL_OUT, STALL_STATE, "append",
                                 GroupStateTimeout.EventTimeTimeout)
 
@@ -357,7 +357,9 @@ def refreshed_members(loader: Callable[[SparkSession], DataFrame], path: str, ke
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], batch: str = "microbatch") -> DataFrame:
     """The last emitted row per key across update-mode batches; a key whose
-    last row says that its state expired is gone."""
+    last row says that its state expired is gone.  ``max_by`` of a struct sorts
+    its input, so rows are dealt by key first: a task that aggregated before the
+    shuffle would sort all rows of a file split."""
     cols = [c for c in df.columns if c not in keys and c != batch]
     g = df.repartition(_tasks(df), *keys).groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col(batch)).alias("_l"))
     out = g.select(*keys, "_l.*")
@@ -375,9 +377,7 @@ def flush_fn(size: int, age_s: float):
     age_us = int(age_s * 1_000_000)
 
     def fn(key, pdfs, state: GroupState):
-        rows = pd.concat(list(pdfs), ignore_index=True)
-        rows = rows.assign(_us=_us(rows["ts"])).sort_values(["_us", "event_id"], kind="stable")
-        us = rows["_us"].to_numpy()
+        us, ids = _in_order(pdfs)
         batch, start, cnt = state.get if state.exists else (-1, 0, size)   # no open batch yet
         out = np.empty(len(us), dtype=np.int64)
         i = 0

@@ -44,3 +44,37 @@ def test_oracle_small(spark, duck, name):
     cols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(df.columns)
     assert a == rows_of(cols, res.fetchall())
+
+
+class _State:
+    exists, hasTimedOut = False, False
+
+    def update(self, value):
+        self.value = value
+
+    def setTimeoutTimestamp(self, at):
+        self.at = at
+
+    def getCurrentWatermarkMs(self):
+        return 0
+
+
+def test_stateful_functions_take_times_as_numbers():
+    import pandas as pd
+
+    from rankforge.streaming import live as S
+    parts = [pd.DataFrame({"_us": [30_000_000, 1_000_000], "event_id": [3, 1]}), pd.DataFrame({"_us": [2_000_000], "event_id": [2]})]
+    out = pd.concat(S.stall_fn(10.0)((7,), iter(parts), _State()))
+    assert out[["key", "event_id", "gap"]].values.tolist() == [[7, 3, 28.0]]
+    assert not list(S.stall_fn(60.0)((7,), iter(parts), _State()))          # no frame for a key without a gap
+    out = pd.concat(S.flush_fn(2, 60.0)((7,), iter(parts), _State()))
+    assert out[["event_id", "batch"]].values.tolist() == [[1, 0], [2, 0], [3, 1]]
+
+
+def test_staging_deals_one_file_to_all_tasks(spark, tmp_path):
+    from rankforge.streaming import live as S
+    df = spark.range(1000).selectExpr("id", "id % 6 AS part").coalesce(1)
+    paths = S.stage_files(df, "part", str(tmp_path / "stage"), 3)
+    assert spark.read.parquet(*paths).count() == 1000
+    for path in paths:
+        assert spark.read.parquet(path).selectExpr("_metadata.file_path AS f").distinct().count() > 1
