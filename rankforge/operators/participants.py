@@ -256,7 +256,8 @@ def _restamped(requests: DataFrame, f: DataFrame, ttl: float, ch, key: str) -> D
     from pyspark.sql import Window
     some = F.when(F.col("_v").isNotNull(), F.struct("_t", "_v"))
     tried = F.struct("_t")
-    last_in_chunk = f.groupBy(key, "_c").agg(F.max(some).alias("_lf"), F.max(tried).alias("_la"))
+    # a fetch without a time is carried nowhere
+    last_in_chunk = f.filter(F.col("_c").isNotNull()).groupBy(key, "_c").agg(F.max(some).alias("_lf"), F.max(tried).alias("_la"))
     r = requests.select(key, F.col("now").cast("double").alias("_t")).withColumn("_c", ch(F.col("_t")))
     chunks = r.select(key, "_c").distinct().join(last_in_chunk, [key, "_c"], "full")
     run = Window.partitionBy(key).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)

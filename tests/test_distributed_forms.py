@@ -86,3 +86,10 @@ def test_restamped_lookup_matches_the_walk(spark):
         good = [(t, v) for t, v in upto if v is not None]
         age = now - max(t for t, _ in upto) if good else None
         assert got[(m, now)] == ((max(good)[1], age, age >= 3600.0) if good else (None, None, None))
+
+
+def test_restamped_lookup_carries_no_fetch_without_a_time(spark):
+    f = spark.createDataFrame([("x", None, "a"), ("x", 5.0, None)], "model string, ts double, value string")
+    r = spark.createDataFrame([("x", 9.0), ("x", 200_000.0)], "model string, now double")
+    res = PT.ttl_lookup(r, f, 3600.0, 86400.0, on_failure="restamp")
+    assert {(x.now, x.value, x.age, x.is_stale) for x in res.collect()} == {(9.0, None, None, None), (200_000.0, None, None, None)}
