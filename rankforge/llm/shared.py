@@ -97,6 +97,26 @@ def keep(key, build):
     return _kept[key]
 
 
+def let_go() -> None:
+    """Give up what ``keep`` holds.  Workers live on between operators, and an
+    object that the operator before kept counts against the executor."""
+    if _kept:
+        _kept.clear()
+        give_back()
+
+
+def frugal_groups(fn):
+    """Wrap a task function over two cogrouped tables: nothing kept by another
+    operator stays, and memory is given back after every group."""
+    def run(left, right):
+        let_go()
+        try:
+            return fn(left, right)
+        finally:
+            give_back()
+    return run
+
+
 def frugal(fn):
     """Wrap a task function over batches: give memory back when it ends."""
     def run(batches):
