@@ -43,7 +43,11 @@ END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 SHARD_PIECES = 40_000
 #: Bytes of text encoded together; more share more forms.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
+#: Bytes of the Arrow batches that tasks get texts in; a batch is held by the
+#: executor and by its worker.
+BATCH_BYTES = "4m"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Most word forms whose ids a worker keeps between batches.
 KEPT_FORMS = 400_000
 
@@ -93,15 +97,33 @@ class WordEncoder:
         return self._whole
 
     def _clear(self) -> None:
-        self.index: dict[int, int] = {}
+        self.index: dict[int, int] = {}                              # forms of texts with an apostrophe
+        self.keys, self.rows = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)     # the others', by key
         self.flat, self.start = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
 
-    def _learn(self, keys: list[int], words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> range:
+        """The rows of new forms."""
         enc = self.forms.encode(words, is_pretokenized=True, add_special_tokens=False)
         n = np.bincount(np.fromiter(enc.word_ids, np.int64, len(enc.ids)), minlength=len(words))
-        self.index.update(zip(keys, range(len(self.start) - 1, len(self.start) - 1 + len(keys))))
+        rows = range(len(self.start) - 1, len(self.start) - 1 + len(words))
         self.flat = np.concatenate([self.flat, np.array(enc.ids, dtype=np.uint32)])
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(n)])
+        return rows
+
+    def _find(self, keys: np.ndarray, word: Callable[[int], str]) -> np.ndarray:
+        """The rows of distinct forms by rising key; ``word`` gives a form that is new."""
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), dtype=bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == keys[inside]
+        rows = np.empty(len(keys), dtype=np.int64)
+        rows[known] = self.rows[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            rows[new] = self._learn([word(i) for i in new])
+            self.keys = np.insert(self.keys, at[new], keys[new])
+            self.rows = np.insert(self.rows, at[new], rows[new])
+        return rows
 
     def _gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each form) for the forms' rows."""
@@ -122,7 +144,7 @@ class WordEncoder:
 
     def encode(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each document) of UTF-8 documents."""
-        if len(self.index) > KEPT_FORMS:
+        if len(self.start) > KEPT_FORMS:
             self._clear()
         whole, quote = self._simple(raw, off)
         text = lambda d: bytes(raw[off[d]:off[d + 1]]).decode("utf-8", "replace")
@@ -134,12 +156,12 @@ class WordEncoder:
             keys = [hash(("form", f)) for f in forms]
             new = {k: f for k, f in zip(keys, forms) if k not in self.index}
             if new:
-                self._learn(list(new), list(new.values()))
+                self.index.update(zip(new, self._learn(list(new.values()))))
             apart[d] = self._gather(np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys)))[0]
 
-        low = raw + np.where((raw >= 65) & (raw <= 90), 32, 0).astype(np.uint8)
+        low = raw + ((raw >= 65) & (raw <= 90)) * np.uint8(32)
         prev = np.insert(raw[:-1], 0, np.uint8(0)) if len(raw) else raw
-        low = low + np.where((prev == 0xC3) & (raw >= 0x80) & (raw <= 0x9E), 32, 0).astype(np.uint8)
+        low += ((prev == 0xC3) & (raw >= 0x80) & (raw <= 0x9E)) * np.uint8(32)
         kind = self.classes[low]
         edge = np.zeros(len(raw) + 1, dtype=bool)
         edge[off] = True
@@ -155,19 +177,18 @@ class WordEncoder:
             stop = np.append((kind != kind_prev) | (kind == _DIGITS) | edge[:-1], True)
             stops = np.flatnonzero(stop)
             end = stops[np.searchsorted(stops, start, side="right")]
+            del stop, stops
             up, down = powers(len(low) + 1)
             total = np.zeros(len(low) + 1, dtype=np.uint64)
-            np.cumsum(self.codes[low] * up[:len(low)], out=total[1:])
+            total[1:] = self.codes[low]
+            total[1:] *= up[:len(low)]
+            np.cumsum(total[1:], out=total[1:])
             key = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
-            del total, stop, stops
+            del total
             uniq, first, inv = np.unique(key, return_index=True, return_inverse=True)
-            keys = uniq.tolist()
-            new = [i for i, k in enumerate(keys) if k not in self.index]
-            if new:
-                words = [bytes(low[start[first[i]]:end[first[i]]]).decode() for i in new]
-                self._learn([keys[i] for i in new], words)
-            rows = np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))[inv]
-            ids, each = self._gather(rows)
+            del key
+            rows = self._find(uniq, lambda i: bytes(low[start[first[i]]:end[first[i]]]).decode())
+            ids, each = self._gather(rows[inv])
             n = np.bincount(doc, weights=each, minlength=len(off) - 1).astype(np.int64)
         if not apart:
             return ids, n
@@ -216,6 +237,17 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return slim.mapInArrow(frugal(_cut(path, max_tokens, end_id)), _PIECES)
 
 
+def _in_small_batches(df: DataFrame) -> DataFrame:
+    """Checkpoint of ``df``, whose tasks get batches of about ``BATCH_BYTES``."""
+    spark = df.sparkSession
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, BATCH_BYTES)
+    try:
+        return cut_lineage(df)
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 def best_fit(length: np.ndarray, max_tokens: int, max_docs: int, max_attention: float,
              weights: tuple[float, float, float] = (1.0, 0.01, 0.01), rule: str = "norm"):
     """(bin, offset) of each piece, given longest first."""
@@ -283,7 +315,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     max_attention = float(max_attention or max_tokens * max_tokens)
     if max_attention < max_tokens * max_tokens:
         raise ValueError("max_attention must admit a piece of max_tokens")
-    got = cut_lineage(pieces(docs, path, id_col, text_col, max_tokens, end_id))
+    got = _in_small_batches(pieces(docs, path, id_col, text_col, max_tokens, end_id))
     shards = max(1, -(-got.count() // shard_pieces))
     split = got.withColumn("shard", F.pmod(F.xxhash64("row", "piece"), F.lit(shards)).cast("int"))
 

@@ -1,11 +1,14 @@
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from rankforge.llm import packing
 from rankforge.llm.packing import END_ID, WordEncoder, best_fit, pack, tokenizer_path
 
 SCHEMA = "doc_id long, text string, shard string, row int"
@@ -75,3 +78,35 @@ def test_whole_packing(spark, plain):
         assert sum(x[1] for x in own) <= 4096
         assert all(o == sum(x[1] for x in own[:k]) for k, (o, _) in enumerate(own))
     assert pack(spark.createDataFrame([], SCHEMA), tokenizer_path()).count() == 0
+
+
+def test_a_task_gets_texts_in_small_batches(spark, monkeypatch):
+    def sizes(*_):
+        def run(batches):
+            for b in batches:
+                one = [pa.array([0]), pa.array([0]), pa.array([0], pa.int32()), pa.array([b.nbytes]), pa.array([1]), pa.array([b.num_rows])]
+                yield pa.RecordBatch.from_arrays(one, names=["id", "row", "piece", "start", "length", "ids_crc32"])
+        return run
+
+    monkeypatch.setattr(packing, "_cut", sizes)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    got = pack(spark.range(6000).selectExpr("id doc_id", "repeat('text', 1000) text").coalesce(1), "none").collect()
+    assert sum(r.ids_crc32 for r in got) == 6000 and sum(r.start for r in got) > 24e6
+    assert max(r.start for r in got) < 8e6
+    assert spark.conf.get(name) == before
+
+
+def test_memory_of_a_task():
+    rng = np.random.default_rng(0)
+    words = np.array([f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}" for i in range(5000)])
+    texts = [" ".join(words[rng.integers(0, 5000, 1000)]) for _ in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(range(2000)), pa.array(texts)], names=["id", "row", "text"])
+    run = packing._cut(tokenizer_path(), 4096, END_ID)
+    assert sum(r.num_rows for r in run(iter([batch.slice(0, 10)]))) == 10
+    tracemalloc.start()
+    try:
+        assert sum(r.num_rows for r in run(iter([batch]))) == 2000
+        assert tracemalloc.get_traced_memory()[1] < 70e6
+    finally:
+        tracemalloc.stop()
